@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagewright import fixed_values as V
 from pagewright.functions import imaging
 from pagewright.operators.inventory import even_pages
+from pagewright.session import durable
 
 
 def _rgb():
@@ -90,7 +91,7 @@ def label_components(cells: DataFrame, amount: str, cell_min: int, keys=("page",
     tiled = active.withColumn("_tx", F.floor(F.col("cx") / tile)).withColumn("_ty", F.floor(F.col("cy") / tile))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiled.schema) + ", label long"
     ordered = lambda rows: _label_cells(rows.sort_values("cell_id", ignore_index=True))
-    local = tiled.groupBy(*keys, "_tx", "_ty").applyInPandas(ordered, schema)
+    local = durable(tiled.groupBy(*keys, "_tx", "_ty").applyInPandas(ordered, schema))
     edge = (F.pmod("cx", F.lit(tile)).isin(0, tile - 1)) | (F.pmod("cy", F.lit(tile)).isin(0, tile - 1))
     border = local.filter(edge).select(*keys, "cx", "cy", "_tx", "_ty", "label")
     near = F.explode(F.array(*[

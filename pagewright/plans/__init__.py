@@ -1,0 +1,10 @@
+"""Registered queries."""
+
+from pagewright.plans import (  # noqa: F401
+    audit_queries,
+    fidelity_queries,
+    inventory_queries,
+    knowledge_queries,
+    page_queries,
+)
+from pagewright.plans.registry import ORACLE, QUERIES  # noqa: F401
