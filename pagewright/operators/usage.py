@@ -37,7 +37,7 @@ def micro_usd(prices: Prices = Prices()) -> Column:
 
 
 def _usd(total: Column) -> Column:
-    return (total / F.lit(1000000).cast("decimal(8,0)")).cast("decimal(28,10)").cast("double")
+    return total.cast("double") / 1000000
 
 
 def _measures(prices: Prices) -> list:

@@ -5,6 +5,7 @@ from pagewright.plans import (  # noqa: F401
     fidelity_queries,
     inventory_queries,
     knowledge_queries,
+    markup_queries,
     page_queries,
 )
 from pagewright.plans.registry import ORACLE, QUERIES  # noqa: F401

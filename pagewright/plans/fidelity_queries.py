@@ -71,9 +71,9 @@ def fidelity_stats(v: Views):
 
 
 @query("recall_gate", f"""
-    select count(*) as usable, count(*) filter (recall < 8500) as low_rows,
-      cast((select recall from ({_SIZES}) where truth_len >= 100 order by recall limit 1 offset (select count(*) // 2 from ({_SIZES}) where truth_len >= 100)) as double) as median_recall,
-      median_recall >= 8500 as passed from ({_SIZES}) where truth_len >= 100""")
+    select *, median_recall >= 8500 as passed from (select count(*) as usable, count(*) filter (recall < 8500) as low_rows,
+      cast((select recall from ({_SIZES}) where truth_len >= 100 order by recall limit 1 offset (select count(*) // 2 from ({_SIZES}) where truth_len >= 100)) as double) as median_recall
+      from ({_SIZES}) where truth_len >= 100)""")
 def recall_gate(v: Views):
     return D.recall_gate(_rated(v))
 
@@ -86,8 +86,8 @@ def low_recall_rows(v: Views):
 @query("missed_shingles", f"""
     with miss as (select doc_id, [x for x in t if not list_contains(g, x)] as m, a from (select doc_id, t, g, a from ({_SIZES}) join
       (select doc_id, {shingle_source("truth")} as a from fx_pair) using (doc_id) where recall < 10000)),
-    placed as (select doc_id, x, strpos(a, x) as at from (select doc_id, a, unnest(m) as x from miss))
-    select doc_id, string_agg(x, ' ' order by at) as missed from (select *, row_number() over (partition by doc_id order by at) as rn from placed) where rn <= 12 group by 1""")
+    placed as (select doc_id, x, strpos(a, x) as place from (select doc_id, a, unnest(m) as x from miss))
+    select doc_id, string_agg(x, ' ' order by place) as missed from (select *, row_number() over (partition by doc_id order by place) as rn from placed) where rn <= 12 group by 1""")
 def missed_shingles(v: Views):
     rows = _rated(v, missed=True).filter(F.size("missed") > 0)
     return rows.select("doc_id", F.array_join("missed", " ").alias("missed"))
