@@ -242,12 +242,18 @@ class Views:
         y, x, v = F.col("y"), F.col("x"), F.col("v")
         rule, gap = y % 40 == 38, (y % 40 >= 34) & (y % 40 != 38)
         in_rule = (x >= F.col("vec_id") % 7) & (x < F.col("vec_id") % 7 + 44 + F.col("vec_id") % 9)
-        colored = (F.floor(y / 8) + F.floor(x / 8) * 2 + F.floor(F.col("vec_id") / 80)) % 5 < 2
+        cx, cy, page = F.floor(x / 8), F.floor(y / 8), F.col("page")
+        colored = ((cy + cx * 2 + page) % 5 < 2) & ((cx * 3 + cy * 2 + page) % 4 != 0)
+        bright = (F.floor(cx / 3) + F.floor(cy / 3)) % 3 == page % 3
         base = F.when(rule, F.when(in_rule, 20).otherwise(250)).when(gap, F.lit(250))
-        r = F.coalesce(base, F.when(colored, 120 + v * 7 % 130).otherwise(v % 256))
-        g = F.coalesce(base, F.when(colored, v * 3 % 120).otherwise(v % 256))
-        b = F.coalesce(base, F.when(colored, v * 5 % 100 + F.col("page") % 3 * 50).otherwise(v % 256))
-        return grid.select("page", "x", "y", r.cast("int").alias("r"), g.cast("int").alias("g"), b.cast("int").alias("b"))
+
+        def channel(ink: Column, hl: Column) -> Column:
+            return F.coalesce(base, F.when(colored & bright, hl).when(colored, ink).otherwise(v % 256)).cast("int")
+
+        r = channel(120 + v * 7 % 80, 205 + v * 7 % 45)
+        g = channel(v * 3 % 120, 95 + v * 3 % 40)
+        b = channel(v * 5 % 100 + page % 3 * 50, 95 + v * 5 % 50)
+        return grid.select("page", "x", "y", r.alias("r"), g.alias("g"), b.alias("b"))
 
     @cached_property
     def page_sizes(self) -> DataFrame:
