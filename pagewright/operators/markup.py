@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pagewright import fixed_values as V
 from pagewright.functions import imaging, markup, paths, text
 from pagewright.operators.ordering import HOT_ROWS, at_positions, attach_group_facts
+from pagewright.session import durable
 
 KEYS = ("sha", "page")
 
@@ -128,7 +129,7 @@ def resolve_overlaps(located: DataFrame, keys=KEYS, hot_rows: int = HOT_ROWS) ->
     one fails. Marks on the same span share one fate, so they shrink to one row per span before a
     line's spans meet in one row: what is gathered is bounded by the line's own length.
     """
-    keys = list(keys)
+    keys, located = list(keys), durable(located)   # read three times below, and small next to the pages
     at = [*keys, "hit_line", "start", "stop"]
     first = {t: F.min(F.when(F.col("mark_type") == t, F.col("seq"))).alias(f"_first_{t}") for t in V.MARKERS}
     spans = located.filter("hit_line is not null").groupBy(*at).agg(
@@ -279,7 +280,7 @@ def apply_status(instructions: DataFrame, pages: DataFrame, baseline: DataFrame,
     keys = list(keys)
     parts = _record_parts(keys)
     marks = explode_marks(usable_instructions(instructions, keys), keys)
-    resolved = resolve_overlaps(locate_marks(marks, pages, keys, body), keys)
+    resolved = durable(resolve_overlaps(locate_marks(marks, pages, keys, body), keys))
     failed = resolved.groupBy(*keys).agg(
         F.count_if(~F.col("status").isin("applied", "duplicate")).alias("failed_marks"),
         F.count_if(markup.mark_type(F.col("type")).isNull()).alias("unknown_types"),

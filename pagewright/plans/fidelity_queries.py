@@ -10,7 +10,7 @@ from pagewright.plans.registry import query
 from pagewright.plans.sql_views import normalized, ratio, shingle_source
 from pagewright.plans.views import Views
 
-_GRAMS = """list_distinct([{s}[i:i+2] for i in range(1, length({s}) - 1)])"""
+_GRAMS = "list_distinct(list_transform(range(1, len({s}) - 1), lambda i: {s}[i] || {s}[i + 1] || {s}[i + 2]))"
 _SIZES = f"""
     select doc_id, truth_len, got_len, truth_tokens, got_tokens, hits, t, g,
       coalesce({ratio("hits", "truth_tokens", 10000)}, 10000) as recall,
@@ -18,7 +18,7 @@ _SIZES = f"""
         else {ratio("hits", "got_tokens", 10000)} end as precision
     from (select *, len(t) as truth_tokens, len(g) as got_tokens, len(list_intersect(t, g)) as hits from (
       select doc_id, truth_len, got_len, {_GRAMS.format(s="a")} as t, {_GRAMS.format(s="b")} as g from (
-        select doc_id, {shingle_source("truth")} as a, {shingle_source("got")} as b,
+        select doc_id, string_split({shingle_source("truth")}, '') as a, string_split({shingle_source("got")}, '') as b,
           length({normalized("truth")}) as truth_len, length({normalized("got")}) as got_len from fx_pair)))"""
 
 
@@ -29,9 +29,8 @@ def normalize_text(v: Views):
 
 
 @query("shingles", f"""
-    select doc_id, length(s) as n_chars, len({_GRAMS.format(s="s")}) as n_grams,
-      sha256(array_to_string(list_sort({_GRAMS.format(s="s")}), ' ')) as grams_sha
-    from (select doc_id, {shingle_source("text")} as s from documents)""")
+    select doc_id, n_chars, len(g) as n_grams, sha256(array_to_string(list_sort(g), ' ')) as grams_sha from (
+      select doc_id, len(s) as n_chars, {_GRAMS.format(s="s")} as g from (select doc_id, string_split({shingle_source("text")}, '') as s from documents))""")
 def shingles(v: Views):
     grams = v.documents.select(
         "doc_id", F.length(text.shingle_source(F.col("text"))).alias("n_chars"), text.shingles(F.col("text")).alias("_g")

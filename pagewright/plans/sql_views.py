@@ -193,13 +193,13 @@ VIEWS: dict[str, str] = {
         from (select vec_id, embedding, unnest(range(0, 64)) as i from embeddings)""",
     "fx_pixel": """
         select page, x, y,
-               cast(coalesce(base, case when colored and bright then 205 + v * 7 % 45 when colored then 120 + v * 7 % 80 else v % 256 end) as int) as r,
-               cast(coalesce(base, case when colored and bright then 95 + v * 3 % 40 when colored then v * 3 % 120 else v % 256 end) as int) as g,
-               cast(coalesce(base, case when colored and bright then 95 + v * 5 % 50 when colored then v * 5 % 100 + page % 3 * 50 else v % 256 end) as int) as b
+               cast(coalesce(base, case when bright then 205 + v * 7 % 45 when colored then 120 + v * 7 % 80 else v % 256 end) as int) as r,
+               cast(coalesce(base, case when bright then 95 + v * 3 % 40 when colored then v * 3 % 120 else v % 256 end) as int) as g,
+               cast(coalesce(base, case when bright then 95 + v * 5 % 50 when colored then v * 5 % 100 + page % 3 * 50 else v % 256 end) as int) as b
         from (select *, case when y % 40 = 38 then case when x >= vec_id % 7 and x < vec_id % 7 + 44 + vec_id % 9 then 20 else 250 end
                              when y % 40 >= 34 then 250 end as base,
                      (y // 8 + (x // 8) * 2 + page) % 5 < 2 and ((x // 8) * 3 + (y // 8) * 2 + page) % 4 <> 0 as colored,
-                     (x // 24 + y // 24) % 3 = page % 3 as bright
+                     (x // 24 + y // 24) % 3 = page % 3 and (x // 8 + (y // 8) * 2 + page) % 4 < 3 as bright
               from (select vec_id, page, y, v, cast(i * 2 + half as int) as x from fx_value, unnest([0, 1]) t(half)))""",
     "fx_size": """
         select cast(vec_id // 80 as int) as page, cast(max(vec_id % 80) + 1 as int) as height, 128 as width from embeddings group by 1""",

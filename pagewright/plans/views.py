@@ -244,11 +244,11 @@ class Views:
         in_rule = (x >= F.col("vec_id") % 7) & (x < F.col("vec_id") % 7 + 44 + F.col("vec_id") % 9)
         cx, cy, page = F.floor(x / 8), F.floor(y / 8), F.col("page")
         colored = ((cy + cx * 2 + page) % 5 < 2) & ((cx * 3 + cy * 2 + page) % 4 != 0)
-        bright = (F.floor(cx / 3) + F.floor(cy / 3)) % 3 == page % 3
+        bright = ((F.floor(cx / 3) + F.floor(cy / 3)) % 3 == page % 3) & ((cx + cy * 2 + page) % 4 < 3)
         base = F.when(rule, F.when(in_rule, 20).otherwise(250)).when(gap, F.lit(250))
 
         def channel(ink: Column, hl: Column) -> Column:
-            return F.coalesce(base, F.when(colored & bright, hl).when(colored, ink).otherwise(v % 256)).cast("int")
+            return F.coalesce(base, F.when(bright, hl).when(colored, ink).otherwise(v % 256)).cast("int")
 
         r = channel(120 + v * 7 % 80, 205 + v * 7 % 45)
         g = channel(v * 3 % 120, 95 + v * 3 % 40)
