@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
@@ -32,6 +32,18 @@ def to_int(text: Column) -> Column:
     return text.try_cast("int")
 
 
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row, whatever is done with them later.
+
+    The optimizer moves a filter below a projection by writing the projected expressions into
+    the condition, which repeats them. A generator of one row is not rewritten in that way, so
+    costly expressions go through one.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 # --- page classes -----------------------------------------------------------
 
 
@@ -47,9 +59,8 @@ class TextProfile:
 LATIN = TextProfile(script=r"A-Za-z\x{00C0}-\x{024F}", common="etaoinrsETAOINRS")
 
 
-def page_counts(text: Column, profile: TextProfile = TextProfile()) -> Column:
-    """Struct of the four counts that decide a page's class."""
-    dense = squeeze_out(text)
+def page_counts(dense: Column, profile: TextProfile = TextProfile()) -> Column:
+    """Struct of the four counts that decide the class of a page's text without whitespace."""
 
     def left_over(pattern: str) -> Column:
         return F.length(F.regexp_replace(dense, pattern, ""))
@@ -121,18 +132,24 @@ def front_matter_value(head: Column, key: str) -> Column:
 # --- fidelity ---------------------------------------------------------------
 
 
+_NOISE = V.MARKUP_CHARS[:-1] + V.WS + "]+"
+
+
+def _without_tags(text: Column, fill: str) -> Column:
+    """Drop figure and unreadable tags; text without any skips the regex passes."""
+    cut = F.regexp_replace(F.regexp_replace(text, V.FIGURE_TAG, fill), V.UNREADABLE_TAG, fill)
+    return F.when(text.contains("[FIGURE:") | text.contains("[UNREADABLE]"), cut).otherwise(text)
+
+
 def normalize_text(text: Column) -> Column:
-    """Only the content characters, in lower case."""
-    out = F.regexp_replace(text, V.FIGURE_TAG, "")
-    out = F.regexp_replace(out, V.UNREADABLE_TAG, "")
-    return F.lower(squeeze_out(F.regexp_replace(out, V.MARKUP_CHARS, "")))
+    """Only the content characters, in lower case; markup and whitespace go in one pass."""
+    return F.lower(F.regexp_replace(_without_tags(text, ""), _NOISE, ""))
 
 
 def shingle_source(text: Column) -> Column:
-    out = F.regexp_replace(text, V.FIGURE_TAG, " ")
-    out = F.regexp_replace(out, V.UNREADABLE_TAG, " ")
-    out = F.regexp_replace(out, V.BREAK_TAG, " ")
-    return F.lower(F.regexp_replace(out, f"({V.MARKUP_CHARS}|[{V.WS}])+", ""))
+    out = _without_tags(text, " ")
+    out = F.when(text.contains("<"), F.regexp_replace(out, V.BREAK_TAG, " ")).otherwise(out)
+    return F.lower(F.regexp_replace(out, _NOISE, ""))
 
 
 def shingles(text: Column, k: int = V.SHINGLE) -> Column:

@@ -8,30 +8,30 @@ from pyspark.sql import functions as F
 from pagewright import fixed_values as V
 from pagewright.functions import text
 from pagewright.operators.ordering import with_running_sum
+from pagewright.session import durable
 
 
 def with_shingles(df: DataFrame, truth: str = "truth", got: str = "got", k: int = V.SHINGLE) -> DataFrame:
-    return df.withColumn("truth_grams", text.shingles(F.col(truth), k)).withColumn(
-        "got_grams", text.shingles(F.col(got), k)
-    )
+    """Normalised lengths and shingle sets of both texts, which are dropped."""
+    t, g = F.col(truth), F.col(got)
+    return text.pinned(
+        df,
+        truth_len=F.length(text.normalize_text(t)),
+        got_len=F.length(text.normalize_text(g)),
+        truth_grams=text.shingles(t, k),
+        got_grams=text.shingles(g, k),
+    ).drop(truth, got)
 
 
 def fidelity(df: DataFrame, truth: str = "truth", got: str = "got", missed: bool = True) -> DataFrame:
     """Shingle recall and precision (in 1/10000) per row, with the first missed shingles."""
     keep = [c for c in df.columns if c not in (truth, got)]
-    lengths = with_shingles(df, truth, got).select(
-        *keep,
-        F.length(text.normalize_text(F.col(truth))).alias("truth_len"),
-        F.length(text.normalize_text(F.col(got))).alias("got_len"),
-        "truth_grams",
-        "got_grams",
-    )
     t, g = F.col("truth_grams"), F.col("got_grams")
-    out = [*keep, "truth_len", "got_len", F.size(t).alias("truth_tokens"), F.size(g).alias("got_tokens")]
-    rated = lengths.withColumn("_o", text.overlap(t, g))
-    if missed:
-        out.append(missed_shingles(t, g).alias("missed"))
-    return rated.select(*out, "_o.*")
+    extra = {"missed": missed_shingles(t, g)} if missed else {}
+    rated = text.pinned(with_shingles(df, truth, got), _o=text.overlap(t, g), **extra)
+    return rated.select(
+        *keep, "truth_len", "got_len", F.size(t).alias("truth_tokens"), F.size(g).alias("got_tokens"), *extra, "_o.*"
+    )
 
 
 def missed_shingles(truth: Column, got: Column, limit: int = V.MISSED_LIMIT) -> Column:
@@ -65,14 +65,14 @@ def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got") -> Data
     its own because the prefix search reads its inputs many times.
     """
     keep = [c for c in df.columns if c not in (truth, got)]
-    staged = df.select(
-        *keep, text.normalize_text(F.col(truth)).alias("_a"), text.normalize_text(F.col(got)).alias("_b")
+    staged = text.pinned(
+        df, _a=text.normalize_text(F.col(truth)), _b=text.normalize_text(F.col(got))
     ).withColumn("truth_len", F.length("_a"))
     for _ in range(2):
         staged = staged.withColumn("_same", text.common_prefix_length(F.col("_a"), F.col("_b")))
         cut = {c: F.reverse(F.substr(F.col(c), F.col("_same") + 1)) for c in ("_a", "_b")}
         staged = staged.withColumns(cut)
-    return staged.select(*keep, "truth_len", F.levenshtein("_a", "_b").alias("distance"))
+    return text.pinned(staged, distance=F.levenshtein("_a", "_b")).select(*keep, "truth_len", "distance")
 
 
 def with_cer(df: DataFrame) -> DataFrame:
@@ -126,7 +126,8 @@ FLOOR_P10 = lambda n: text.int_div(n, F.lit(10))
 
 def fidelity_stats(df: DataFrame, metrics=("recall", "precision"), min_chars: int = V.MIN_TRUTH_CHARS) -> DataFrame:
     """Mean, upper median and floor-indexed p10 per metric over rows with enough truth text."""
-    usable = df.filter(F.col("truth_len") >= min_chars)
+    # The metrics are read twice and are narrow; the texts behind them are neither.
+    usable = durable(df.filter(F.col("truth_len") >= min_chars).select(*metrics))
     picks = order_stats(usable, metrics, {"median": UPPER_MEDIAN, "p10": FLOOR_P10})
     means = usable.agg(*[F.avg(m).alias(m) for m in metrics]).select(F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.lit("mean").alias("stat"), F.col(m).alias("value"))
@@ -141,7 +142,7 @@ def worst_k(df: DataFrame, key: str, k: int = V.WORST_LIMIT, min_chars: int = V.
 
 def recall_gate(df: DataFrame, min_median: float = V.RECALL_GATE, min_chars: int = V.MIN_TRUTH_CHARS) -> DataFrame:
     """One row: median recall in 1/10000, the rows below the bar, and whether the gate passes."""
-    usable = df.filter(F.col("truth_len") >= min_chars)
+    usable = durable(df.filter(F.col("truth_len") >= min_chars).select("recall"))
     median = order_stats(usable, ["recall"], {"median": UPPER_MEDIAN}).agg(F.max("value").alias("m")).scalar()
     bar = int(round(min_median * 10000))
     return usable.agg(

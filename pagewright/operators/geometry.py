@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagewright import fixed_values as V
 from pagewright.functions import imaging
@@ -36,28 +38,8 @@ def page_histogram(cells: DataFrame, keys=("page",)) -> DataFrame:
 TILE = 256
 
 
-def _label_cells(rows):
-    """Smallest member of each 8-connected set of cells, for one tile."""
-    parent = list(range(len(rows)))
-    places = {(x, y): i for i, (x, y) in enumerate(zip(rows["cx"], rows["cy"]))}
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for (x, y), i in places.items():
-        for near in ((x - 1, y), (x, y - 1), (x - 1, y - 1), (x + 1, y - 1)):
-            j = places.get(near)
-            if j is not None:
-                a, b = root(i), root(j)
-                parent[max(a, b)] = min(a, b)
-    return rows.assign(label=[rows["cell_id"].iloc[root(i)] for i in range(len(rows))])
-
-
-def _merge_labels(rows):
-    """Smallest label of each set of labels joined by the pairs (a, b), for one page."""
+def _roots(pairs):
+    """Smallest member of the set each value of the pairs belongs to."""
     parent: dict = {}
 
     def root(i):
@@ -67,52 +49,78 @@ def _merge_labels(rows):
             i = parent[i]
         return i
 
-    for a, b in zip(rows["a"], rows["b"]):
+    for a, b in pairs:
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
-    labels = list(parent)
-    first = rows.iloc[0]
-    import pandas as pd
+    return {i: root(i) for i in list(parent)}
+
 
-    return pd.DataFrame({**{k: [first[k]] * len(labels) for k in rows.columns if k not in ("a", "b")},
-                         "label": labels, "merged": [root(i) for i in labels]})
+def _neighbours(cells):
+    """Each cell with itself and its earlier 8-neighbours; a cell is row << 32 | column."""
+    held = set(cells)
+    for cell in cells:
+        yield cell, cell
+        for near in (cell - 1, cell - (1 << 32), cell - (1 << 32) - 1, cell - (1 << 32) + 1):
+            if near in held:
+                yield cell, near
+
+
+LABELS = T.ArrayType(T.LongType())
+MERGED = T.ArrayType(T.StructType([T.StructField("label", T.LongType()), T.StructField("merged", T.LongType())]))
+
+
+def _tile_labels(tiles: pd.Series) -> pd.Series:
+    out = []
+    for cells in tiles:
+        cells = cells.tolist()
+        roots = _roots(_neighbours(cells))
+        out.append([roots[c] for c in cells])
+    return pd.Series(out)
+
+
+def _merged_labels(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([
+        [{"label": label, "merged": root} for label, root in _roots(zip(x.tolist(), y.tolist())).items()] for x, y in zip(a, b)
+    ])
 
 
 def label_components(cells: DataFrame, amount: str, cell_min: int, keys=("page",), tile: int = TILE) -> DataFrame:
     """Active cells with the label of their 8-connected component.
 
-    Cells connect within square tiles first, each tile a bounded group; then the labels that
-    touch across tile borders are merged. A page of ordinary size is one tile without borders.
+    Cells connect within square tiles first: a tile's cells travel as one array of at most
+    tile x tile numbers, many tiles to a batch. Then the labels that touch across tile borders
+    are merged. A page of ordinary size is one tile and has no borders.
     """
     keys = list(keys)
+    rest = [c for c in cells.columns if c not in keys]
     active = cells.filter(F.col(amount) >= cell_min).withColumn(
         "cell_id", F.shiftleft(F.col("cy").cast("long"), 32) + F.col("cx")
     )
-    tiled = active.withColumn("_tx", F.floor(F.col("cx") / tile)).withColumn("_ty", F.floor(F.col("cy") / tile))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiled.schema) + ", label long"
-    ordered = lambda rows: _label_cells(rows.sort_values("cell_id", ignore_index=True))
-    local = durable(tiled.groupBy(*keys, "_tx", "_ty").applyInPandas(ordered, schema))
+    tiles = active.groupBy(
+        *keys, F.floor(F.col("cx") / tile).alias("_tx"), F.floor(F.col("cy") / tile).alias("_ty")
+    ).agg(F.collect_list(F.struct("cell_id", *rest)).alias("_cells"))
+    labelled = tiles.withColumn("_labels", F.pandas_udf(_tile_labels, LABELS)(F.col("_cells.cell_id")))
+    local = durable(
+        labelled.select(*keys, "_tx", "_ty", F.explode(F.arrays_zip("_cells", "_labels")).alias("_z")).select(
+            *keys, "_tx", "_ty", *[F.col(f"_z._cells.{c}").alias(c) for c in rest], F.col("_z._labels").alias("label")
+        )
+    )
     edge = (F.pmod("cx", F.lit(tile)).isin(0, tile - 1)) | (F.pmod("cy", F.lit(tile)).isin(0, tile - 1))
     border = local.filter(edge).select(*keys, "cx", "cy", "_tx", "_ty", "label")
-    near = F.explode(F.array(*[
+    steps = F.array(*[
         F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy
-    ]))
-    reach = border.select(*keys, F.col("label").alias("a"), "_tx", "_ty", "cx", "cy", near.alias("_d")).select(
-        *keys, "a", F.col("_tx").alias("_ax"), F.col("_ty").alias("_ay"),
-        (F.col("cx") + F.col("_d.dx")).alias("cx"), (F.col("cy") + F.col("_d.dy")).alias("cy"),
-    )
-    pairs = (
-        reach.join(border.withColumnRenamed("label", "b"), [*keys, "cx", "cy"])
-        .filter((F.col("_ax") != F.col("_tx")) | (F.col("_ay") != F.col("_ty")))
-        .select(*keys, "a", "b")
-        .distinct()
+    ])
+    reach = border.select(*keys, F.col("label").alias("a"), "_tx", "_ty", "cx", "cy", F.explode(steps).alias("_d")).select(
+        *keys, "a", (F.col("cx") + F.col("_d.dx")).alias("cx"), (F.col("cy") + F.col("_d.dy")).alias("cy"), "_tx", "_ty",
+    ).filter((F.floor(F.col("cx") / tile) != F.col("_tx")) | (F.floor(F.col("cy") / tile) != F.col("_ty")))
+    pairs = reach.drop("_tx", "_ty").join(border.withColumnRenamed("label", "b"), [*keys, "cx", "cy"]).select(*keys, "a", "b").distinct()
+    merged = pairs.groupBy(*keys).agg(F.collect_list("a").alias("_a"), F.collect_list("b").alias("_b")).select(
+        *keys, F.inline(F.pandas_udf(_merged_labels, MERGED)("_a", "_b"))
     )
-    key_types = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys)
-    merged = pairs.groupBy(*keys).applyInPandas(_merge_labels, f"{key_types}, label long, merged long")
     return (
         local.join(merged, [*keys, "label"], "left")
         .withColumn("component", F.coalesce("merged", "label"))
-        .select(*keys, *[c for c in cells.columns if c not in keys], "component")
+        .select(*keys, *rest, "component")
     )
 
 

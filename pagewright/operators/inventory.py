@@ -88,7 +88,8 @@ def even_sample(df: DataFrame, sample: int = V.PROBE_PAGES, pages: str = "pages"
 
 
 def text_class(df: DataFrame, body: str = "body", profile=text.TextProfile()) -> DataFrame:
-    counted = df.withColumn("_c", text.page_counts(F.col(body), profile))
+    dense = text.pinned(df, _dense=text.squeeze_out(F.col(body)))
+    counted = text.pinned(dense, _c=text.page_counts(F.col("_dense"), profile))
     return counted.select(*df.columns, "_c.*", text.page_class(F.col("_c")).alias("page_class"))
 
 

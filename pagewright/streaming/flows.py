@@ -53,9 +53,11 @@ def stream_quarantine(stream: DataFrame, goal: str, key: str, good_path: str, ba
     """Rows without error to one sink, dead letters to the other."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_errors(batch, goal, key)
+        rows = batch.persist()   # read by both sinks
+        good, bad = split_errors(rows, goal, key)
         _write_batch(good, good_path, batch_id)
         _write_batch(bad, bad_path, batch_id)
+        rows.unpersist()
 
     return _start(stream, sink, checkpoint)
 
