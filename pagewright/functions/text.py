@@ -62,14 +62,14 @@ LATIN = TextProfile(script=r"A-Za-z\x{00C0}-\x{024F}", common="etaoinrsETAOINRS"
 def page_counts(dense: Column, profile: TextProfile = TextProfile()) -> Column:
     """Struct of the four counts that decide the class of a page's text without whitespace."""
 
-    def left_over(pattern: str) -> Column:
-        return F.length(F.regexp_replace(dense, pattern, ""))
+    def without(chars: str) -> Column:
+        return F.length(F.regexp_replace(dense, f"[{chars}]+", ""))
 
     return F.struct(
         F.length(dense).alias("n_chars"),
-        left_over(f"[{profile.script}{profile.expected}]+").alias("n_odd"),
-        left_over(f"[^{profile.script}]+").alias("n_script"),
-        left_over(f"[^{profile.common}]+").alias("n_common"),
+        without(profile.script + profile.expected).alias("n_odd"),
+        (F.length(dense) - without(profile.script)).alias("n_script"),
+        (F.length(dense) - without(profile.common)).alias("n_common"),
     )
 
 
@@ -173,14 +173,8 @@ def ratio(part: Column, whole: Column, scale: int) -> Column:
     return int_div(part * (2 * scale) + whole, whole * 2)
 
 
-def overlap(truth: Column, got: Column) -> Column:
-    """Struct of hits, and recall and precision in 1/10000, between two shingle sets."""
-    hits = F.size(F.array_intersect(truth, got))
-    n_truth, n_got = F.size(truth), F.size(got)
-    return overlap_of_counts(hits, n_truth, n_got)
-
-
 def overlap_of_counts(hits: Column, n_truth: Column, n_got: Column) -> Column:
+    """Struct of hits, and recall and precision in 1/10000; empty sides follow fixed rules."""
     whole = F.lit(10000).cast("long")
     none = F.lit(0).cast("long")
     recall = F.coalesce(ratio(hits, n_truth, 10000), whole)

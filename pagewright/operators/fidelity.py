@@ -28,9 +28,12 @@ def fidelity(df: DataFrame, truth: str = "truth", got: str = "got", missed: bool
     keep = [c for c in df.columns if c not in (truth, got)]
     t, g = F.col("truth_grams"), F.col("got_grams")
     extra = {"missed": missed_shingles(t, g)} if missed else {}
-    rated = text.pinned(with_shingles(df, truth, got), _o=text.overlap(t, g), **extra)
-    return rated.select(
-        *keep, "truth_len", "got_len", F.size(t).alias("truth_tokens"), F.size(g).alias("got_tokens"), *extra, "_o.*"
+    counted = text.pinned(
+        with_shingles(df, truth, got), hits=F.size(F.array_intersect(t, g)), truth_tokens=F.size(t), got_tokens=F.size(g), **extra
+    )
+    rates = text.overlap_of_counts(F.col("hits"), F.col("truth_tokens"), F.col("got_tokens"))
+    return counted.withColumn("_o", rates).select(
+        *keep, "truth_len", "got_len", "truth_tokens", "got_tokens", *extra, "_o.*"
     )
 
 

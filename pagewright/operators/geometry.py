@@ -19,8 +19,10 @@ def _rgb():
 
 def cell_histogram(pixels: DataFrame, keys=("page",), cell: int = V.CELL) -> DataFrame:
     """Ink, highlight and dark pixel counts and ink colour sums per square cell."""
-    kind = imaging.pixel_class(*_rgb())
-    staged = pixels.select(*keys, F.col("x"), F.col("y"), *_rgb(), kind.alias("_k")).filter("_k <> 'none'")
+    top, dull = imaging.brightness(*_rgb()), imaging.saturation(*_rgb()) < V.MIN_SATURATION
+    staged = pixels.filter((top < V.DARK_BELOW) | ~dull).select(
+        *keys, "x", "y", *_rgb(), imaging.pixel_class(*_rgb()).alias("_k")
+    )
     ink = F.col("_k") == "ink"
     sums = [F.sum(F.when(ink, F.col(c)).otherwise(0)).alias(f"{c}_sum") for c in ("r", "g", "b")]
     return staged.groupBy(
@@ -28,7 +30,7 @@ def cell_histogram(pixels: DataFrame, keys=("page",), cell: int = V.CELL) -> Dat
     ).agg(
         F.count_if(ink).alias("ink"), F.count_if(F.col("_k") == "hl").alias("hl"),
         F.count_if(F.col("_k") == "dark").alias("dark"), *sums,
-    )
+    ).filter(F.col("ink") + F.col("hl") + F.col("dark") > 0)
 
 
 def page_histogram(cells: DataFrame, keys=("page",)) -> DataFrame:

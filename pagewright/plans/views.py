@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.functions import text
 from pagewright.operators import inventory
 
 LINES_PER_PAGE = 5
@@ -253,7 +254,7 @@ class Views:
         r = channel(120 + v * 7 % 80, 205 + v * 7 % 45)
         g = channel(v * 3 % 120, 95 + v * 3 % 40)
         b = channel(v * 5 % 100 + page % 3 * 50, 95 + v * 5 % 50)
-        return grid.select("page", "x", "y", r.alias("r"), g.alias("g"), b.alias("b"))
+        return text.pinned(grid.select("page", "x", "y", "vec_id", "v"), r=r, g=g, b=b).drop("vec_id", "v")
 
     @cached_property
     def page_sizes(self) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pagewright.session import workspace
+from pagewright.session import durable, workspace
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -49,7 +49,8 @@ def rewrite_partitions(spark: SparkSession, path: str, kept: DataFrame, touched:
     The rows are staged first, since a table cannot be overwritten while it is read.
     Partitions left without rows are removed: a dynamic overwrite would not touch them.
     """
-    values = touched.select(partition_by).distinct()
+    # Both inputs may read the very store that is about to change.
+    values = durable(touched.select(partition_by).distinct())
     staging = workspace(spark, "rewrite")
     kept.join(values, partition_by, "left_semi").write.partitionBy(partition_by).parquet(staging)
     staged = read_store(spark, staging, kept.schema)
