@@ -16,13 +16,21 @@ def mark_type(name: Column) -> Column:
 
 
 def strip_marks(text: Column, rounds: int = V.STRIP_ROUNDS) -> Column:
-    """Remove balanced markers; text without any marker skips the regex passes."""
-    out = text
-    for _ in range(rounds):
-        for pattern in (V.HL_MARK, V.UNDERLINE_MARK, V.COLOR_MARK):
-            out = F.regexp_replace(out, pattern, "$1")
-    marked = text.contains("**") | text.contains("</mark>") | text.contains("</u>")
-    return F.when(marked, out).otherwise(text)
+    """Remove balanced markers, innermost rounds included; unbalanced ones stay.
+
+    A fold over the steps keeps the expression small, and a step whose closing marker does not
+    occur any more costs one substring search instead of a regex pass.
+    """
+    passes = (("</mark>", V.HL_MARK), ("</u>", V.UNDERLINE_MARK), ("**", V.COLOR_MARK))
+
+    def step(done: Column, number: Column) -> Column:
+        chain = F
+        for i, (closing, pattern) in enumerate(passes):
+            chain = chain.when((number == i) & done.contains(closing), F.regexp_replace(done, pattern, "$1"))
+        return chain.otherwise(done)
+
+    steps = F.array(*[F.lit(i) for _ in range(rounds) for i in range(len(passes))])
+    return F.aggregate(steps, text, step)
 
 
 def count_marks(text: Column) -> Column:

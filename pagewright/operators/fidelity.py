@@ -12,14 +12,17 @@ from pagewright.session import durable
 
 
 def with_shingles(df: DataFrame, truth: str = "truth", got: str = "got", k: int = V.SHINGLE) -> DataFrame:
-    """Normalised lengths and shingle sets of both texts, which are dropped."""
+    """Normalised lengths and shingle sets of both texts, which are dropped; adds ``same``.
+
+    A candidate equal to its truth takes over the truth's values.
+    """
     t, g = F.col(truth), F.col(got)
+    one = text.pinned(df, truth_len=F.length(text.normalize_text(t)), truth_grams=text.shingles(t, k), same=t == g)
+    same = F.col("same")
     return text.pinned(
-        df,
-        truth_len=F.length(text.normalize_text(t)),
-        got_len=F.length(text.normalize_text(g)),
-        truth_grams=text.shingles(t, k),
-        got_grams=text.shingles(g, k),
+        one,
+        got_len=F.when(same, F.col("truth_len")).otherwise(F.length(text.normalize_text(g))),
+        got_grams=F.when(same, F.col("truth_grams")).otherwise(text.shingles(g, k)),
     ).drop(truth, got)
 
 
@@ -29,7 +32,9 @@ def fidelity(df: DataFrame, truth: str = "truth", got: str = "got", missed: bool
     t, g = F.col("truth_grams"), F.col("got_grams")
     extra = {"missed": missed_shingles(t, g)} if missed else {}
     counted = text.pinned(
-        with_shingles(df, truth, got), hits=F.size(F.array_intersect(t, g)), truth_tokens=F.size(t), got_tokens=F.size(g), **extra
+        with_shingles(df, truth, got),
+        hits=F.when(F.col("same"), F.size(t)).otherwise(F.size(F.array_intersect(t, g))),
+        truth_tokens=F.size(t), got_tokens=F.size(g), **extra,
     )
     rates = text.overlap_of_counts(F.col("hits"), F.col("truth_tokens"), F.col("got_tokens"))
     return counted.withColumn("_o", rates).select(
@@ -45,11 +50,10 @@ def missed_shingles(truth: Column, got: Column, limit: int = V.MISSED_LIMIT) ->
 def fidelity_exploded(df: DataFrame, keys, truth: str = "truth", got: str = "got") -> DataFrame:
     """The same rates through one row per (key, gram), for texts too large for one array pair."""
     keys = list(keys)
-    flagged = [
-        df.select(*keys, F.explode(text.shingles(F.col(side))).alias("gram"), F.lit(bit).alias("_bit"))
-        for side, bit in ((truth, 1), (got, 2))
-    ]
-    seen = flagged[0].unionByName(flagged[1]).groupBy(*keys, "gram").agg(F.bit_or("_bit").alias("_in"))
+    sides = text.pinned(df, _t=text.shingles(F.col(truth)), _g=text.shingles(F.col(got)))
+    both = F.array(*[F.struct(F.col(side).alias("grams"), F.lit(bit).alias("_bit")) for side, bit in (("_t", 1), ("_g", 2))])
+    flagged = sides.select(*keys, F.inline(both)).select(*keys, "_bit", F.explode("grams").alias("gram"))
+    seen = flagged.groupBy(*keys, "gram").agg(F.bit_or("_bit").alias("_in"))
     counts = seen.groupBy(*keys).agg(
         F.count_if(F.col("_in") == 3).alias("hits"),
         F.count_if(F.col("_in") != 2).alias("truth_tokens"),

@@ -7,6 +7,9 @@ ranges once, and combine one small row per range.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,17 +77,19 @@ def attach_group_facts(
     """Left join of one-row-per-group ``facts``, with large groups split.
 
     ``count`` holds the group's size in ``facts``. A group of at least ``hot_rows`` rows is
-    matched by broadcast: there are at most (total rows / hot_rows) of those. Its rows take
-    a salted key for the shuffle join that serves every other group, so they spread out.
+    matched by broadcast: there are at most (total rows / hot_rows) of those. Its rows, and
+    rows with a null key, take a salted key for the shuffle join that serves every other
+    group, so they spread out.
     """
     columns = [c for c in facts.columns if c not in keys]
     payload = facts.select(*keys, F.struct(*columns).alias("_fact"))
     size = F.col(f"_fact.{count}")
+    # Always zero, yet not a literal: the optimizer would drop a literal from the join keys.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
     hot = payload.filter(size >= hot_rows).withColumnRenamed("_fact", "_hot")
-    cold = payload.filter(size < hot_rows).withColumnRenamed("_fact", "_cold").withColumn("_salt", F.lit(0))
-    salt = F.when(F.col("_hot").isNull(), 0).otherwise(
-        1 + F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    )
+    cold = payload.filter(size < hot_rows).withColumnRenamed("_fact", "_cold").withColumn("_salt", zero)
+    settled = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
+    salt = F.when(settled, 1 + F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
     joined = (
         df.join(F.broadcast(hot), list(keys), "left")
         .withColumn("_salt", salt)

@@ -68,13 +68,14 @@ def dense_filter(v: Views):
     return kept.select("doc_id", "material_type")
 
 
-def _hit(target: str, patterns) -> str:
-    return " and ".join(f"regexp_matches({target}, {q(p)})" for p in patterns)
+def _hit(target: str, literals, patterns) -> str:
+    some = [" or ".join(f"contains({target}, {q(one)})" for one in literals)] if literals else []
+    return " and ".join(f"({test})" for test in some + [f"regexp_matches({target}, {q(p)})" for p in patterns])
 
 
 _LEAKS = f"""
     select rule, path from (select path, unnest(list_filter([{", ".join(
-        f"case when {_hit(target, patterns)} then '{rule}' end" for rule, target, patterns in G.DEFAULT_RULES)}], lambda x: x is not null)) as rule
+        f"case when {_hit(target, *test)} then '{rule}' end" for rule, target, *test in G.DEFAULT_RULES)}], lambda x: x is not null)) as rule
       from (select path, text as content from fx_assets join documents using (doc_id)))
     where path not in (select path from fx_assets where doc_id % 50 = 0)
       and not (rule = 'email' and path in (select path from fx_assets where doc_id % 20 = 1))"""

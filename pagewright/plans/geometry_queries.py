@@ -10,6 +10,7 @@ from pagewright.operators import geometry as X
 from pagewright.plans.registry import query
 from pagewright.plans.sql_views import level
 from pagewright.plans.views import Views
+from pagewright.session import durable
 
 
 @query("pixel_class", "select page, kind, count(*) as px, cast(sum(x * 1000 + y) as bigint) as places from fx_kind group by 1, 2")
@@ -87,7 +88,7 @@ _SHAPED = "h >= 10 and h <= 64 and w * 10 >= h * 6 and px >= 60"
         count(*) filter (not ink and {_SHAPED}) as text_hl
       from fx_size left join (select page, w, h, px, true as ink from ({_INK}) union all select page, w, h, px, false from ({_HL})) using (page) group by 1)""")
 def page_levels(v: Views):
-    cells = X.cell_histogram(v.pixels)
+    cells = durable(X.cell_histogram(v.pixels))
     return X.page_levels(v.page_sizes, X.ink_boxes(cells), X.hl_boxes(cells))
 
 

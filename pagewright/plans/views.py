@@ -42,10 +42,10 @@ class Views:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """A table for heavy per-row work, dealt out by key when its files give few splits."""
+        """A table for heavy per-row work, dealt out by key when its files give too few splits."""
         df = self.table(name)
-        wanted = self.spark.sparkContext.defaultParallelism
-        return df.repartition(wanted * 2, key) if len(df.inputFiles()) < wanted else df
+        wanted = 2 * self.spark.sparkContext.defaultParallelism
+        return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -295,9 +295,9 @@ class Views:
                 ((d + i) % 9 == 4).alias("figure_withheld"),
             ),
         )
-        return self.doc_page.select(
-            "doc_id", "page", (71 + d % 7).cast("int").alias("exam_round"), (1 + F.floor(d / 7) % 4).cast("int").alias("session"),
-            items.alias("items"),
+        return text.pinned(self.doc_page, items=items).select(
+            "doc_id", "page", (71 + d % 7).cast("int").alias("exam_round"),
+            (1 + F.floor(d / 7) % 4).cast("int").alias("session"), "items",
         )
 
     @cached_property

@@ -43,3 +43,18 @@ def test_positions_by_stretches(spark):
     wanted = F.array(F.lit(0).cast("long"), F.floor(F.col("n") / 2), F.col("n") - 1)
     got = sorted(O.at_positions(df, ["g"], "page", wanted, width=7).collect())
     assert [tuple(r) for r in got] == [("a", 0), ("a", 150), ("a", 297), ("b", 5), ("c", 1), ("c", 900)]
+
+
+def test_hot_rows_are_spread_by_the_join(spark):
+    rows = [("hot", i) for i in range(900)] + [(None, i) for i in range(100)] + [(f"g{i}", i) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, i int")
+    facts = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = O.attach_group_facts(df, facts, ["g"], "n", ["i"], hot_rows=100)
+        sizes = [len(p) for p in joined.rdd.glom().collect()]
+        assert sum(sizes) == 1050 and max(sizes) < 450
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
