@@ -23,6 +23,11 @@ def trim(text: Column) -> Column:
     return F.regexp_replace(rtrim(text), f"^[{V.WS}]+", "")
 
 
+def collated(text: Column, collation: str = "UNICODE") -> Column:
+    """Text that sorts by a collation; plain columns sort by code point."""
+    return F.collate(text, collation)
+
+
 def matched(text: Column, pattern: str, group: int = 1) -> Column:
     """A capture group, or null when the pattern does not occur."""
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))

@@ -155,17 +155,23 @@ def dedup_savings(df: DataFrame) -> DataFrame:
     )
 
 
-def reuse_probe(df: DataFrame, cache: DataFrame, probe, key: str = "content_sha") -> tuple[DataFrame, DataFrame]:
+def reuse_probe(
+    df: DataFrame, cache: DataFrame, probe, key: str = "content_sha", hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """Probe only content not cached yet.
 
     ``probe`` maps a frame of distinct uncached keys to the columns of ``cache``. Returns the
-    assets with their probe columns, and the cache including the new entries.
+    assets with their probe columns, and the cache including the new entries. One piece of
+    content may have any number of copies, so the probe results go back through a split join.
     """
-    missing = df.select(key).distinct().join(cache.select(key), key, "left_anti")
+    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    missing = copies.select(key).join(cache.select(key), key, "left_anti")
     found = cache.withColumn("from_cache", F.lit(True)).unionByName(
         probe(missing).select(*cache.columns).withColumn("from_cache", F.lit(False))
     )
-    return df.join(found, key, "left"), found.drop("from_cache")
+    spread = [c for c in df.columns if c != key]
+    probed = attach_group_facts(df, copies.join(found, key), [key], "_copies", spread, hot_rows)
+    return probed.drop("_copies"), found.drop("from_cache")
 
 
 def select_assets(
@@ -207,7 +213,7 @@ def rollup_assets(df: DataFrame, dims) -> DataFrame:
     for d in dims:
         here = F.col(f"_g_{d}") == 0
         which, value = which.when(here, F.lit(d)), value.when(here, F.col(d).cast("string"))
-    return sides.select(which.alias("dim"), value.alias("value"), "files", "pages")
+    return sides.select(which.alias("dim"), value.alias("value"), "files", "pages").orderBy("dim", F.desc("pages"), "value")
 
 
 def inventory_gates(df: DataFrame, expected: DataFrame) -> DataFrame:

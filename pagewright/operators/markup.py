@@ -231,7 +231,8 @@ def apply_marks(pages: DataFrame, resolved: DataFrame, keys=KEYS, body: str = "b
     """Pages with their applied marks put in: new_body, n_marks and ``intact``.
 
     ``intact`` holds when stripping the new body gives back the stripped old one. Only first
-    copies of a span and type are gathered per page, so a page's array is bounded by its text.
+    copies of a span and type are gathered per page. Accepted spans of a line never cross, so
+    a line has fewer than twice as many as characters, and a page's array is bounded by its text.
     """
     keys = list(keys)
     chosen = resolved.filter("status = 'applied'").groupBy(*keys).agg(

@@ -112,7 +112,7 @@ def check_pages(df: DataFrame, sha: str = "sha", page: str = "page", md: str = "
         .when(body.rlike(V.REFUSAL), "refusal")
         .otherwise("ok")
     )
-    return staged.withColumn("why", why).drop("_head", "_fields", "_body")
+    return text.pinned(staged, why=why).drop("_head", "_fields", "_body")
 
 
 def progress_by_subject(expected: DataFrame, checked: DataFrame, keys=("sha", "page"), md: str = "md") -> DataFrame:

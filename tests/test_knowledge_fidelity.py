@@ -1,12 +1,15 @@
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
+from pagewright import schemas
 from pagewright.functions import text
 from pagewright.operators import fidelity as D
 from pagewright.operators import knowledge as C
+from pagewright.sources import tables
 from pagewright.sources.cards import read_cards_csv
 
 
@@ -121,3 +124,45 @@ def test_round_robin_matches_the_loop(spark):
         i += 1
     got = D.round_robin_sample(spark.createDataFrame(docs, "path string, pages int"), 9).collect()
     assert [(r.path, r.page) for r in got] == want
+
+
+def test_extractions_from_json_lines_to_questions(spark, tmp_path):
+    item = lambda n, stem: {"number": n, "stem": stem, "options": [{"n": i, "text": "o"} for i in range(1, 6)], "figure_withheld": False}
+    pages = [
+        {"sha": "p", "exam_round": 77, "session": 4, "page": 1, "page_questions": [item(1, "first"), item(28, "kept")]},
+        {"sha": "p", "exam_round": 77, "session": 4, "page": 2, "page_questions": [item(28, "again"), item(99, "outside")]},
+        {"sha": "p", "exam_round": 77, "session": 4, "page": 3, "page_questions": []},
+    ]
+    answers = [{"sha": "k", "exam_round": 77, "page": p, "answers": [{"session": 4, "number": 28, "answer": a, "area_label": "임상·실무약학"}]} for p, a in ((1, 2), (2, 5))]
+    for name, rows in (("q", pages), ("a", answers)):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows))
+    questions = tables.read_jsonl(spark, str(tmp_path / "q.jsonl"), schemas.QUESTION_PAGE)
+    keys = tables.read_jsonl(spark, str(tmp_path / "a.jsonl"), schemas.ANSWER_PAGE)
+    key = F.concat_ws("-", "exam_round", "session", "number")
+    items = C.explode_items(questions, "page_questions").withColumn("id", key)
+    first = C.first_wins(items, ["id"], ["sha", "page", "pos"])
+    last = C.last_wins(C.explode_items(keys, "answers").withColumn("id", key), ["id"], ["sha", "page", "pos"])
+    joined = C.join_answers(C.round_year(C.range_lookup(first, C.quota_ranges(C.default_subjects(spark))), C.default_rounds(spark)), last)
+    got = {r.number: (r.stem, r.subject_key, r.exam_year, r.answer) for r in joined.collect()}
+    assert got == {1: ("first", "practice", 2026, None), 28: ("kept", "manufacturing", 2026, 5), 99: ("outside", None, 2026, None)}
+    gates = C.record_gates(joined).first()
+    assert (gates["items"], gates.bad_options, gates.no_answer, gates.no_subject, gates.repeated_ids) == (3, 0, 2, 1, 0)
+    assert tables.read_jsonl(spark, str(tmp_path / "none.jsonl"), schemas.QUESTION_PAGE).count() == 0
+
+
+def test_guides_merge_in_document_order(spark):
+    unit = {"unit": "u", "rank": 1, "note": None}
+    docs = [("law", 2, ["b"], [], ["n"]), ("law", 1, ["a", "c"], [unit], []), ("social", 3, [], [unit], [])]
+    df = spark.createDataFrame(docs, "subject_key string, ord int, study_order array<string>, unit_priority array<struct<unit:string,rank:int,note:string>>, notes array<string>")
+    for hot in (1, 100):
+        entries = C.merge_by_subject(df, "subject_key", ["ord"], ["study_order", "unit_priority", "notes"], hot_rows=hot)
+        law = sorted((r.place, r.entry) for r in entries.filter("subject_key = 'law' and kind = 'study_order'").collect())
+        assert law == [(0, "a"), (1, "c"), (2, "b")]
+    gates = {r.subject_key: r for r in C.guide_gates(entries, C.default_subjects(spark)).collect()}
+    assert gates["social"].no_content and not gates["law"].no_ranks and gates["physical"].missing
+
+
+def test_collation_is_an_option(spark):
+    df = spark.createDataFrame([("b",), ("A",), ("a",), ("é",), ("f",)], "v string")
+    assert [r.v for r in df.orderBy("v").collect()] == ["A", "a", "b", "f", "é"]
+    assert [r.v for r in df.orderBy(text.collated(F.col("v"))).collect()] == ["a", "A", "b", "é", "f"]
