@@ -157,14 +157,18 @@ def shingle_source(text: Column) -> Column:
     return F.lower(F.regexp_replace(out, _NOISE, ""))
 
 
-def shingles(text: Column, k: int = V.SHINGLE) -> Column:
+def grams(source: Column, k: int = V.SHINGLE) -> Column:
     """Distinct character k-grams in first-seen order, in one linear pass.
 
     A lookahead yields the gram that starts at every position; cutting substrings by
     number would walk the UTF-8 text from its start for each gram.
     """
-    grams = F.regexp_extract_all(shingle_source(text), F.lit(f"(?s)(?=({'.' * k}))"), F.lit(1))
-    return F.array_distinct(grams)
+    found = F.regexp_extract_all(source, F.lit(f"(?s)(?=({'.' * k}))"), F.lit(1))
+    return F.array_distinct(found)
+
+
+def shingles(text: Column, k: int = V.SHINGLE) -> Column:
+    return grams(shingle_source(text), k)
 
 
 def int_div(a: Column, b: Column) -> Column:

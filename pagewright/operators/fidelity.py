@@ -14,16 +14,20 @@ from pagewright.session import durable
 def with_shingles(df: DataFrame, truth: str = "truth", got: str = "got", k: int = V.SHINGLE) -> DataFrame:
     """Normalised lengths and shingle sets of both texts, which are dropped; adds ``same``.
 
-    A candidate equal to its truth takes over the truth's values.
+    A candidate equal to its truth takes over the truth's values. The shingle source differs from
+    the normalised text only where a break tag can occur, so both come from one pass otherwise.
     """
-    t, g = F.col(truth), F.col(got)
-    one = text.pinned(df, truth_len=F.length(text.normalize_text(t)), truth_grams=text.shingles(t, k), same=t == g)
-    same = F.col("same")
-    return text.pinned(
-        one,
-        got_len=F.when(same, F.col("truth_len")).otherwise(F.length(text.normalize_text(g))),
-        got_grams=F.when(same, F.col("truth_grams")).otherwise(text.shingles(g, k)),
-    ).drop(truth, got)
+    t, g, same = F.col(truth), F.col(got), F.col("same")
+    one = text.pinned(df, same=t == g, _t=text.normalize_text(t))
+    two = text.pinned(one, _g=F.when(same, F.col("_t")).otherwise(text.normalize_text(g)))
+
+    def grams(raw: Column, clean: Column) -> Column:
+        return text.grams(F.when(raw.contains("<"), text.shingle_source(raw)).otherwise(clean), k)
+
+    three = text.pinned(two, truth_grams=grams(t, F.col("_t")))
+    four = text.pinned(three, got_grams=F.when(same, F.col("truth_grams")).otherwise(grams(g, F.col("_g"))))
+    lengths = {"truth_len": F.length("_t"), "got_len": F.length("_g")}
+    return four.withColumns(lengths).drop(truth, got, "_t", "_g")
 
 
 def fidelity(df: DataFrame, truth: str = "truth", got: str = "got", missed: bool = True) -> DataFrame:
@@ -64,9 +68,11 @@ def fidelity_exploded(df: DataFrame, keys, truth: str = "truth", got: str = "got
     return full.withColumn("_o", rates).select(*keys, "truth_tokens", "got_tokens", "_o.*")
 
 
-def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got") -> DataFrame:
+def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got", threshold: int | None = None) -> DataFrame:
     """Levenshtein distance of the normalised texts, as ``distance``, and ``truth_len``.
 
+    With a ``threshold`` larger distances are given as -1, which bounds the work per row.
+
     Shared ends never change the distance. They are cut first, so the quadratic part runs over
     the differing middle only, which is short for faithful copies. Every step is a column of
     its own because the prefix search reads its inputs many times.
@@ -79,7 +85,7 @@ def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got") -> Data
         staged = staged.withColumn("_same", text.common_prefix_length(F.col("_a"), F.col("_b")))
         cut = {c: F.reverse(F.substr(F.col(c), F.col("_same") + 1)) for c in ("_a", "_b")}
         staged = staged.withColumns(cut)
-    return text.pinned(staged, distance=F.levenshtein("_a", "_b")).select(*keep, "truth_len", "distance")
+    return text.pinned(staged, distance=F.levenshtein("_a", "_b", threshold)).select(*keep, "truth_len", "distance")
 
 
 def with_cer(df: DataFrame) -> DataFrame:

@@ -135,3 +135,9 @@ def test_turning_back_and_forth(spark):
     assert {(r.x, r.y) for r in once.collect()} == {(x, y) for x in range(2) for y in range(3)}
     back = X.rotate_coords(once, high, -90)
     assert sorted(map(tuple, back.select("x", "y", "r", "g").collect())) == sorted((x, y, x, y) for x in range(3) for y in range(2))
+
+
+def test_hues_over_the_largest_boxes(spark):
+    rows = [(1, i, 0, 8, 8, 100 - i, "red" if i % 2 else "blue") for i in range(50)]
+    totals = X.hue_totals(spark.createDataFrame(rows, "page int, x int, y int, w int, h int, px int, hue string"))
+    assert X.hue_map(totals).first().hues == {"blue": sum(range(100, 60, -2)), "red": sum(range(99, 60, -2))}

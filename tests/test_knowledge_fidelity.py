@@ -100,8 +100,11 @@ def test_edit_distance_against_brute_force(spark):
         rows.append((k, a, "".join(b)))
     df = spark.createDataFrame(rows, "k int, truth string, got string")
     out = {r.k: r for r in D.edit_distance(df).collect()}
+    near = {r.k: r.distance for r in D.edit_distance(df, threshold=2).collect()}
     for k, a, b in rows:
-        assert out[k].distance == levenshtein(a, b) and out[k].truth_len == len(a)
+        want = levenshtein(a, b)
+        assert out[k].distance == want and out[k].truth_len == len(a)
+        assert near[k] == (want if want <= 2 else -1)
 
 
 @pytest.mark.parametrize("n", [1, 2, 9, 10, 11, 37])
@@ -166,3 +169,10 @@ def test_collation_is_an_option(spark):
     df = spark.createDataFrame([("b",), ("A",), ("a",), ("é",), ("f",)], "v string")
     assert [r.v for r in df.orderBy("v").collect()] == ["A", "a", "b", "f", "é"]
     assert [r.v for r in df.orderBy(text.collated(F.col("v"))).collect()] == ["a", "A", "b", "é", "f"]
+
+
+def test_equal_texts_with_break_tags(spark):
+    rows = [(1, "ab<br>cd", "ab<br>cd"), (2, "ab<br/>cd", "abcd"), (3, "abcd", "ab<BR >cd")]
+    got = D.fidelity(spark.createDataFrame(rows, "k int, truth string, got string")).collect()
+    assert [(r.truth_tokens, r.got_tokens, r.hits, r.recall) for r in got] == [(2, 2, 2, 10000)] * 3
+    assert [(r.truth_len, r.got_len) for r in got] == [(7, 7), (8, 4), (4, 7)]

@@ -83,3 +83,18 @@ def test_front_matter_round_trip(spark):
     df = spark.createDataFrame([("s", 3, "text \n\n")], "sha string, page int, body string")
     row = B.parse_front_matter(B.split_front_matter(B.compose_page(df, ("sha", "page")))).first()
     assert row.fields == {"sha": "s", "page": "3"} and row.body == "text\n" and row.head == "---\nsha: s\npage: 3\n---\n"
+
+
+def test_bucketed_stores_join_without_shuffle(spark):
+    left = spark.range(200).selectExpr("cast(id as string) as sha", "cast(id % 7 as int) as page", "id")
+    a = tables.write_bucketed(left, "pages_a", workspace(spark, "a"), ["sha", "page"], 4)
+    b = tables.write_bucketed(left.filter("id % 2 = 0").drop("id"), "pages_b", workspace(spark, "b"), ["sha", "page"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rest = a.join(b, ["sha", "page"], "left_anti")
+        assert rest.count() == 100
+        assert "Exchange hashpartitioning" not in rest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table pages_a")
+        spark.sql("drop table pages_b")
