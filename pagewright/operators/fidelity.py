@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
 from pagewright.functions import text
-from pagewright.operators.ordering import with_running_sum
+from pagewright.operators.ordering import with_global_index, with_running_sum
 from pagewright.session import durable
 
 
+TOP_N = 10_000
+
+
 def with_shingles(df: DataFrame, truth: str = "truth", got: str = "got", k: int = V.SHINGLE) -> DataFrame:
     """Normalised lengths and shingle sets of both texts, which are dropped; adds ``same``.
 
@@ -96,7 +99,8 @@ def round_robin_sample(docs: DataFrame, n: int, path: str = "path", pages: str =
     """Pages picked by going round the documents, each round at a shifted page.
 
     The page of a round depends on the document alone, so repeats within a document drop out
-    in its own row and the first ``n`` picks are a plain top-n.
+    in its own row and the first ``n`` picks are a plain top-n. A sample too large for that is
+    cut by global index instead.
     """
     rounds = F.sequence(F.lit(0), F.lit(V.SAMPLE_ROUNDS - 1))
     plan = docs.filter(F.col(pages) > 0).withColumn(
@@ -104,7 +108,10 @@ def round_robin_sample(docs: DataFrame, n: int, path: str = "path", pages: str =
     )
     picks = plan.select(*docs.columns, "_pages", F.posexplode("_pages").alias("round", "page"))
     fresh = picks.filter(F.array_position("_pages", F.col("page")) == F.col("round") + 1)
-    return fresh.drop("_pages").orderBy("round", path).limit(n)
+    fresh = fresh.drop("_pages")
+    if n <= TOP_N:
+        return fresh.orderBy("round", path).limit(n)
+    return with_global_index(fresh, ["round", path], "_no").filter(F.col("_no") < n).drop("_no")
 
 
 def order_stats(df: DataFrame, metrics, places: dict) -> DataFrame:

@@ -41,7 +41,11 @@ def stream_pages(stream: DataFrame, path: str, keys, checkpoint: str, horizon: t
     """
     if horizon:
         stream = stream.withWatermark(*horizon).dropDuplicatesWithinWatermark(list(keys))
-    return _start(stream, lambda batch, _: incremental_write(batch, path, keys) and None, checkpoint)
+
+    def sink(batch: DataFrame, _: int) -> None:
+        incremental_write(batch, path, keys)
+
+    return _start(stream, sink, checkpoint)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:

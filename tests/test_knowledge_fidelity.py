@@ -115,7 +115,7 @@ def test_order_stats(spark, n):
     assert got == {"median": sorted(values)[n // 2], "p10": sorted(values)[n // 10]}
 
 
-def test_round_robin_matches_the_loop(spark):
+def test_round_robin_matches_the_loop(spark, monkeypatch):
     docs = [(f"d{i}", p) for i, p in enumerate([1, 3, 8, 14, 0])]
     usable = [d for d in docs if d[1] > 0]
     want, i = [], 0
@@ -125,8 +125,10 @@ def test_round_robin_matches_the_loop(spark):
         if pick not in want:
             want.append(pick)
         i += 1
-    got = D.round_robin_sample(spark.createDataFrame(docs, "path string, pages int"), 9).collect()
-    assert [(r.path, r.page) for r in got] == want
+    frame = spark.createDataFrame(docs, "path string, pages int")
+    assert [(r.path, r.page) for r in D.round_robin_sample(frame, 9).collect()] == want
+    monkeypatch.setattr(D, "TOP_N", 3)
+    assert sorted((r.path, r.page) for r in D.round_robin_sample(frame, 9).collect()) == sorted(want)
 
 
 def test_extractions_from_json_lines_to_questions(spark, tmp_path):
