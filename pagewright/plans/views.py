@@ -234,7 +234,7 @@ class Views:
     def pixels(self) -> DataFrame:
         """Eighty vectors make a page of 128 x 80 pixels, one vector per pixel row, each value twice."""
         vec = F.col("vec_id")
-        values = self.table("embeddings").select("vec_id", F.posexplode("embedding").alias("i", "_e"))
+        values = self.spread("embeddings", "vec_id").select("vec_id", F.posexplode("embedding").alias("i", "_e"))
         v = F.floor(F.abs(F.col("_e").cast("double")) * 1000).cast("int")
         grid = values.select(
             F.floor(vec / 80).cast("int").alias("page"), (vec % 80).cast("int").alias("y"), "vec_id", "i",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.session import durable, workspace
@@ -24,23 +25,47 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+MOST_PARTITIONS = 10_000
+
+
+def _same_partitions(stored: DataFrame, new: DataFrame, column: str) -> DataFrame:
+    """The store cut to the partitions the new rows fall into, as a filter on folders.
+
+    The values are collected, one per folder the new rows touch; beyond a bound nothing is cut.
+    """
+    found = [row[0] for row in new.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(found) > MOST_PARTITIONS or None in found:
+        return stored
+    return stored.filter(F.col(column).isin(found))
+
+
+def unstored(new: DataFrame, path: str, keys, partition_by=()) -> DataFrame:
+    """Rows whose key the store does not hold, once per key.
+
+    A partition column must follow from the key: then only the partitions of the new rows
+    are searched, so a small batch does not read the keys of the whole store.
+    """
+    once = new.dropDuplicates(list(keys))
+    stored = read_store(new.sparkSession, path, new.schema)
+    if partition_by:
+        stored = _same_partitions(stored, new, partition_by[0])
+    return once.join(stored.select(*keys), list(keys), "left_anti")
+
+
 def incremental_write(new: DataFrame, path: str, keys, partition_by=(), force: bool = False) -> DataFrame:
     """Append rows whose key is not stored yet, once per key; a rerun adds nothing.
 
     ``force`` rewrites the partitions the new rows fall into instead.
     """
-    spark, keys = new.sparkSession, list(keys)
-    once = new.dropDuplicates(keys)
     if force:
         if not partition_by:
             raise ValueError("force rewrites whole partitions: name the partition columns")
-        writer = once.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows = new.dropDuplicates(list(keys))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
-        stored = read_store(spark, path, new.schema)
-        once = once.join(stored.select(*keys), keys, "left_anti")
-        writer = once.write.mode("append")
+        writer = unstored(new, path, keys, partition_by).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return read_store(spark, path, new.schema)
+    return read_store(new.sparkSession, path, new.schema)
 
 
 def rewrite_partitions(spark: SparkSession, path: str, kept: DataFrame, touched: DataFrame, partition_by: str) -> None:

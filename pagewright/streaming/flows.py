@@ -33,9 +33,12 @@ def _start(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> St
     )
 
 
-def stream_pages(stream: DataFrame, path: str, keys, checkpoint: str, horizon: tuple[str, str] | None = None) -> StreamingQuery:
+def stream_pages(
+    stream: DataFrame, path: str, keys, checkpoint: str, horizon: tuple[str, str] | None = None, partition_by=()
+) -> StreamingQuery:
     """Append each page key once, ever: a key already in the store is skipped.
 
+    With ``partition_by``, columns that follow from the key, a batch searches its own partitions only.
     ``horizon`` (time column, watermark) also drops repeats that arrive close together before
     they reach the store.
     """
@@ -43,7 +46,7 @@ def stream_pages(stream: DataFrame, path: str, keys, checkpoint: str, horizon: t
         stream = stream.withWatermark(*horizon).dropDuplicatesWithinWatermark(list(keys))
 
     def sink(batch: DataFrame, _: int) -> None:
-        incremental_write(batch, path, keys)
+        incremental_write(batch, path, keys, partition_by)
 
     return _start(stream, sink, checkpoint)
 

@@ -98,3 +98,15 @@ def test_bucketed_stores_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table pages_a")
         spark.sql("drop table pages_b")
+
+
+def test_only_touched_partitions_are_searched(spark):
+    path = workspace(spark, "t")
+    rows = spark.range(40).selectExpr("id as k", "cast(id % 8 as int) as part")
+    tables.incremental_write(rows, path, ["k"], ["part"])
+    batch = spark.createDataFrame([(3, 3), (43, 3), (51, 3)], rows.schema)
+    fresh = tables.unstored(batch, path, ["k"], ["part"])
+    assert sorted(r.k for r in fresh.collect()) == [43, 51]
+    scan = [line for line in fresh._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert scan and all("part#" in line.split("PartitionFilters:")[1].split("PushedFilters")[0] for line in scan)
+    assert tables.incremental_write(batch, path, ["k"], ["part"]).count() == 42
