@@ -8,12 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pagewright import plans
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = plans.QUERIES, plans.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +50,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+
+
+def test_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
