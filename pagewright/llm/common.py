@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +43,40 @@ def word_codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[
 def held_out(column: str, modulus: int, rest: int) -> Column:
     """Whether crc32 of the id, as text, leaves ``rest``; a null id reads as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus == rest
+
+
+CHUNK_BYTES = 4 << 20
+
+
+def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> list[tuple[int, int]]:
+    """Stretches of texts of about ``limit`` bytes together, so that work arrays stay small; no text is cut."""
+    cuts, start, total = [], 0, 0
+    for i, t in enumerate(texts):
+        total += len(t) if t else 0
+        if total >= limit:
+            cuts.append((start, i + 1))
+            start, total = i + 1, 0
+    if start < len(texts):
+        cuts.append((start, len(texts)))
+    return cuts
+
+
+def text_bytes(column) -> list[bytes | None]:
+    """An Arrow string column as UTF-8 bytes."""
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return column.cast(kind).to_pylist()
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """A 64-bit finalizer: spreads the bits of whole numbers."""
+    v = values.astype(np.uint64, copy=True)
+    v ^= v >> np.uint64(33)
+    v *= np.uint64(0xFF51AFD7ED558CCD)
+    v ^= v >> np.uint64(33)
+    v *= np.uint64(0xC4CEB9FE1A85EC53)
+    v ^= v >> np.uint64(33)
+    return v
+
+
+def word_hashes(distinct: list[bytes], seed: int = 0) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in distinct], dtype=np.uint64)

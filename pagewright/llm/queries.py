@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import exact_dedup, mixing, token_rollup
+from pagewright.llm import context_mixing, exact_dedup, license_scan, mixing, near_dedup, pieces, quality_classifier, quality_rules, substring_dedup, token_rollup
 from pagewright.llm.common import documents
 from pagewright.session import workspace
 
@@ -25,6 +25,21 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op1_license_scan", license_scan.SQL)
+def op1(spark, folder):
+    return license_scan.license_scan(documents(spark, folder))
+
+
+@register("op2_sentencepiece")
+def op2(spark, folder):
+    return pieces.piece_digests(documents(spark, folder))
+
+
+@register("op3_near_dedup")
+def op3(spark, folder):
+    return near_dedup.near_classes(documents(spark, folder), width=3, similarity=0.85)
+
+
 @register("op4_token_counts", token_rollup.SQL)
 def op4(spark, folder):
     """All documents under two tokenizer versions, then deletes (poor quality) and revised counts (shouting marks
@@ -46,11 +61,33 @@ def op4(spark, folder):
     return token_rollup.totals(spark, store)
 
 
+@register("op5_quality_classifier")
+def op5(spark, folder):
+    docs = documents(spark, folder)
+    model = quality_classifier.fit_quality_model(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality_classifier.score_quality(docs, model)
+
+
 @register("op6_exact_dedup", exact_dedup.SQL)
 def op6(spark, folder):
     return exact_dedup.exact_groups(documents(spark, folder), keep="largest")
 
 
+@register("op7_lm_scoring")
+def op7(spark, folder):
+    return context_mixing.score_texts(documents(spark, folder))
+
+
 @register("op8_source_mix", mixing.SQL)
 def op8(spark, folder):
     return mixing.mix_plan(documents(spark, folder)).drop("times")
+
+
+@register("op9_substring_dedup", substring_dedup.SQL)
+def op9(spark, folder):
+    return substring_dedup.repeated_passages(documents(spark, folder)).drop("kept_text")
+
+
+@register("op10_quality_rules")
+def op10(spark, folder):
+    return quality_rules.quality_rules(documents(spark, folder))
