@@ -1,8 +1,9 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded as its words in lower case, joined by one blank, and an end sign, byte by byte and bit by bit. For each
-order a bit predictor looks up the counts of zeros and ones under the hash of the last bytes and the bits so far. The
-predictions, as log odds, are added up with weights that a gate picks: how many orders have seen their context. The weights
+order, and for the beginning of the word, a bit predictor looks up the counts of zeros and ones under the hash of those bytes
+and the bits so far. The predictions, as log odds, are added up with weights that a gate picks: how many orders have seen
+their context, and how often the word's beginning was seen. The weights
 are learned online over the training n-grams, with every occurrence left out of its own counts. A refinement stage maps the
 mixed odds to what was seen at such odds. Three degrees of sharpness are mixed by Bayes' rule along each text, which
 adapts to the text as it goes on.
@@ -25,14 +26,19 @@ from pagewright.session import durable
 
 ORDERS = (1, 2, 3, 4, 5)
 SLOT_BITS = 20
+WORD_SLOT_BITS = 22
+SLOTS = (len(ORDERS) << SLOT_BITS) + (1 << WORD_SLOT_BITS)
 SLICE_BITS = 14
 HEAD = 1 << 17
-GATES = len(ORDERS) + 1
+INPUTS = len(ORDERS) + 1
+#: How often a word's beginning was seen, in steps: never, once, up to 3, 15, 255 times, more often.
+STEPS = (1, 2, 4, 16, 256)
+GATES = INPUTS * (len(STEPS) + 1)
 LEVELS = 33
 LIMIT = 8.0
 SHARPNESS = (0.8, 1.0, 1.2)
 END = b"\n"
-LM_CHUNK = 2 << 20
+LM_CHUNK = 3 << 20
 _CONTEXT = max(ORDERS)
 
 
@@ -40,36 +46,60 @@ def coded_text(text: bytes | None) -> bytes:
     return b" ".join((text or b"").lower().split()) + END
 
 
-def byte_grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Every coded byte with the bytes before it, as one number, text after text; and where each text starts."""
+def byte_grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every coded byte with the bytes before it, as one number, text after text; a hash of the word's bytes before it; and
+    where each text starts."""
     bodies = [coded_text(t) for t in texts]
     lead = END * _CONTEXT
     raw = np.frombuffer(b"".join(lead + b for b in bodies), np.uint8).astype(np.uint64)
     grams = np.zeros(max(len(raw) - _CONTEXT, 0), np.uint64)
     for k in range(_CONTEXT + 1):
         grams = (grams << np.uint64(8)) | raw[k:len(raw) - _CONTEXT + k]
+    odd = 0x9DDFEA08EB382D69
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(len(raw), odd, np.uint64)], dtype=np.uint64)
+    back = np.cumprod(np.r_[np.uint64(1), np.full(len(raw), pow(odd, -1, 1 << 64), np.uint64)], dtype=np.uint64)
+    sums = np.r_[np.uint64(0), np.cumsum((raw + np.uint64(1)) * powers[:-1], dtype=np.uint64)]
+    places = np.arange(len(raw))
+    breaks = np.where((raw == 32) | (raw == END[0]), places + 1, 0)
+    first = np.r_[0, np.maximum.accumulate(breaks)[:-1]] if len(raw) else places
+    prefix = mixed((sums[:-1] - sums[first]) * back[first])[_CONTEXT:]
     lengths = np.array([len(b) for b in bodies], np.int64)
     starts = np.r_[0, np.cumsum(lengths)]
     keep = np.repeat(np.arange(len(bodies)) * _CONTEXT, lengths) + np.arange(starts[-1])
-    return grams[keep], starts
+    return grams[keep], prefix[keep], starts
 
 
-def bit_slots(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each gram and each of the eight bits of its last byte: the slot per order, and the bit."""
+def distinct_grams(grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each distinct (gram, prefix) stands first, which one every byte is, and how often each occurs."""
+    _, at, inverse, numbers = np.unique(mixed(grams ^ mixed(prefix)), return_index=True, return_inverse=True, return_counts=True)
+    return at, inverse, numbers
+
+
+def bit_slots(grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each gram and each of the eight bits of its last byte: the slot of every predictor, and the bit."""
     symbol = grams & np.uint64(0xFF)
     step = np.arange(8, dtype=np.uint64)
     node = (np.uint64(1) << step) | (symbol[:, None] >> (np.uint64(8) - step))
     bits = ((symbol[:, None] >> (np.uint64(7) - step)) & np.uint64(1)).astype(np.int8)
-    slots = np.empty((len(grams), 8, len(ORDERS)), np.int32)
+    slots = np.empty((len(grams), 8, INPUTS), np.int32)
     for at, order in enumerate(ORDERS):
         context = (grams >> np.uint64(8)) & np.uint64((1 << (8 * order)) - 1)
         spread = mixed(context * np.uint64(0x9DDFEA08EB382D69) + np.uint64(order))
-        slots[:, :, at] = (mixed(spread[:, None] + node) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+        slots[:, :, at] = _slot(spread, node, SLOT_BITS) + (at << SLOT_BITS)
+    word = mixed(prefix + np.uint64(0x5851F42D4C957F2D))
+    slots[:, :, -1] = _slot(word, node, WORD_SLOT_BITS) + (len(ORDERS) << SLOT_BITS)
     return slots, bits
 
 
+def _slot(spread: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+    keyed = (spread[:, None] + node) * np.uint64(0xC4CEB9FE1A85EC53)
+    keyed ^= keyed >> np.uint64(31)
+    keyed *= np.uint64(0xFF51AFD7ED558CCD)
+    return (keyed >> np.uint64(64 - bits)).astype(np.int32)
+
+
 def odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -LIMIT, LIMIT)
+    return np.clip(np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))), -LIMIT, LIMIT)
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -93,60 +123,87 @@ class Mixer:
         return (mixed_odds + odds(cell[..., 0], cell[..., 1])) / 2
 
 
-def _inputs(counts: np.ndarray, slots: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds per order and the gate; ``own`` bits are taken out of the counts."""
-    pairs = np.stack([counts[k, slots[:, :, k]] for k in range(len(ORDERS))], axis=2).astype(np.float32)
-    if own is not None:
-        pairs[..., 1] -= own[..., None]
-        pairs[..., 0] -= 1 - own[..., None]
-        np.maximum(pairs, 0, out=pairs)
-    return odds(pairs[..., 0], pairs[..., 1]), (pairs.sum(axis=-1) > 0).sum(axis=-1)
-
-
-def train_mixer(counts: np.ndarray, grams: np.ndarray, numbers: np.ndarray, rate: float = 0.5, batch: int = 2048) -> Mixer:
-    """Online steps over the grams in hash order, each gram weighing its number of occurrences."""
-    mixer = Mixer(np.full((GATES, len(ORDERS) + 1), 0.35), np.full((GATES, LEVELS, 2), 0.0))
-    mixer.weights[:, -1] = 0.0
+def _left_out(counts: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds and gate of each bit, with one occurrence of the bit itself taken out of the counts."""
+    pairs = counts[slots].astype(np.float32)
+    pairs[..., 1] -= bits[..., None]
+    pairs[..., 0] -= 1 - bits[..., None]
+    np.maximum(pairs, 0, out=pairs)
+    total = pairs.sum(axis=-1)
+    gate = (total[..., :-1] > 0).sum(axis=-1) + INPUTS * np.digitize(total[..., -1], STEPS)
+    return odds(pairs[..., 0], pairs[..., 1]), gate
+
+
+def train_mixer(
+    counts: np.ndarray, grams: np.ndarray, prefix: np.ndarray, numbers: np.ndarray, rate: float = 0.08, batch: int = 1024
+) -> Mixer:
+    """Online steps over the grams in hash order, each gram weighing its number of occurrences; steps shrink with the
+    gradients seen so far."""
+    mixer = Mixer(np.full((GATES, INPUTS + 1), 0.25), np.full((GATES, LEVELS, 2), 0.0))
+    mixer.weights[:, -2:] = 0.6, 0.0
     centre = squash((np.arange(LEVELS) / (LEVELS - 1) * 2 - 1) * LIMIT)
     mixer.seen += np.stack([1 - centre, centre], axis=-1)
-    order = np.argsort(mixed(grams))
+    order = np.argsort(mixed(grams ^ prefix), kind="stable")
+    squares = np.full((GATES, INPUTS + 1), 1e-6)
     for start in range(0, len(order), batch):
         at = order[start:start + batch]
-        slots, bits = bit_slots(grams[at])
-        inputs, gate = _inputs(counts, slots, bits)
+        slots, bits = bit_slots(grams[at], prefix[at])
+        inputs, gate = _left_out(counts, slots, bits)
+        inputs, gate, bits = inputs.reshape(-1, INPUTS), gate.reshape(-1), bits.reshape(-1).astype(np.int64)
         dot = mixer.mix(inputs, gate)
-        weight = np.broadcast_to(numbers[at][:, None].astype(np.float64), bits.shape)
-        error = (bits - squash(dot)) * weight
+        weight = np.repeat(numbers[at].astype(np.float64), 8)
         level = np.rint((dot + LIMIT) * ((LEVELS - 1) / (2 * LIMIT))).astype(np.int64)
-        np.add.at(mixer.seen, (gate, level, bits.astype(np.int64)), weight)
-        for g in range(GATES):
-            here = gate == g
-            total = weight[here].sum()
-            if total:
-                step = np.r_[(error[here][:, None] * inputs[here]).sum(axis=0), error[here].sum()] / total
-                mixer.weights[g] += rate / np.sqrt(1 + start / batch / 10) * step
+        cells = np.bincount((gate * LEVELS + level) * 2 + bits, weight, GATES * LEVELS * 2)
+        mixer.seen += cells.reshape(mixer.seen.shape)
+        error = (bits - squash(dot)) * weight
+        total = np.maximum(np.bincount(gate, weight, GATES), 1e-9)
+        parts = [np.bincount(gate, error * inputs[:, k], GATES) for k in range(INPUTS)] + [np.bincount(gate, error, GATES)]
+        step = np.stack(parts, axis=1) / total[:, None]
+        squares += step * step
+        mixer.weights += rate * step / np.sqrt(squares)
     return mixer
 
 
+def scoring_tables(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds per slot, exactly 0 where nothing was seen; and the step of how often, for the slots of word beginnings."""
+    table = np.empty(len(counts), np.float32)
+    for a in range(0, len(counts), 1 << 20):
+        part = counts[a:a + (1 << 20)].astype(np.float32)
+        value = odds(part[:, 0], part[:, 1])
+        table[a:a + (1 << 20)] = np.where(part.sum(axis=1) > 0, np.where(value == 0, np.float32(1e-6), value), 0)
+    words = counts[len(ORDERS) << SLOT_BITS:].sum(axis=1, dtype=np.int64)
+    return table, np.digitize(words, STEPS).astype(np.int8)
+
+
 @dataclass
 class Model:
-    counts: np.ndarray
+    table: np.ndarray
+    steps: np.ndarray
     mixer: Mixer
 
+    def state(self) -> tuple:
+        return self.table, self.steps, self.mixer.weights, self.mixer.seen
+
+    def final_odds(self, grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Refined log odds of a one for every bit, and the bits."""
+        slots, bits = bit_slots(grams, prefix)
+        inputs = self.table[slots]
+        gate = (inputs[..., :-1] != 0).sum(axis=-1) + INPUTS * self.steps[slots[..., -1] - (len(ORDERS) << SLOT_BITS)].astype(np.int64)
+        return self.mixer.refined(self.mixer.mix(inputs, gate), gate), bits
+
     def log10(self, texts: list[bytes | None]) -> np.ndarray:
         """log10 probability of each coded text."""
         out = []
         for start, end in chunks(texts, LM_CHUNK):
-            grams, starts = byte_grams(texts[start:end])
-            distinct, inverse = np.unique(grams, return_inverse=True)
+            grams, prefix, starts = byte_grams(texts[start:end])
+            distinct, inverse, _ = distinct_grams(grams, prefix)
             costs = np.empty((len(distinct), len(SHARPNESS)))
             for a in range(0, len(distinct), 16384):
-                slots, bits = bit_slots(distinct[a:a + 16384])
-                inputs, gate = _inputs(self.counts, slots, None)
-                sign = np.where(bits == 1, 1.0, -1.0)
-                final = self.mixer.refined(self.mixer.mix(inputs, gate), gate) * sign
+                at = distinct[a:a + 16384]
+                final, bits = self.final_odds(grams[at], prefix[at])
+                final = np.where(bits == 1, -final, final)
                 for s, sharp in enumerate(SHARPNESS):
-                    costs[a:a + 16384, s] = np.log10(squash(sharp * final)).sum(axis=1)
+                    costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -14, 14))).sum(axis=1) / np.log(10)
             sums = np.stack([np.add.reduceat(costs[:, s][inverse], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
             top = sums.max(axis=1)
             out.append(top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)))
@@ -161,9 +218,11 @@ def _gram_counts(batches):
     for batch in batches:
         raw = text_bytes(batch["text"])
         for start, end in chunks(raw):
-            grams, _ = byte_grams(raw[start:end])
-            distinct, numbers = np.unique(grams, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(numbers)], ["gram", "n"])
+            grams, prefix, _ = byte_grams(raw[start:end])
+            at, _, numbers = distinct_grams(grams, prefix)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams[at].view(np.int64)), pa.array(prefix[at].view(np.int64)), pa.array(numbers)], ["gram", "prefix", "n"]
+            )
 
 
 def _word_counts(batches):
@@ -184,11 +243,11 @@ def _slot_counts(batches):
         numbers = batch["n"].to_numpy(zero_copy_only=False)
         if not len(grams):
             continue
-        slots, bits = bit_slots(grams)
-        keys = (slots.astype(np.int64) + (np.arange(len(ORDERS)) << SLOT_BITS)).reshape(-1)
+        slots, bits = bit_slots(grams, batch["prefix"].to_numpy(zero_copy_only=False).view(np.uint64))
+        keys = slots.astype(np.int64).reshape(-1)
         distinct, inverse = np.unique(keys, return_inverse=True)
-        weight = np.repeat(numbers, 8 * len(ORDERS)).astype(np.float64)
-        one = np.repeat(bits.reshape(-1), len(ORDERS)).astype(np.float64)
+        weight = np.repeat(numbers, 8 * INPUTS).astype(np.float64)
+        one = np.repeat(bits.reshape(-1), INPUTS).astype(np.float64)
         ones = np.bincount(inverse, weight * one, len(distinct)).astype(np.int64)
         every = np.bincount(inverse, weight, len(distinct)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(every - ones), pa.array(ones)], ["slot", "zeros", "ones"])
@@ -212,38 +271,39 @@ def _packed(batches):
 def train_model(training: DataFrame) -> Model:
     """Learn from all texts of ``training`` (a column text). Without texts every bit costs one bit."""
     spark = training.sparkSession
-    grams = durable(training.mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    counted = training.mapInArrow(_gram_counts, "gram long, prefix long, n long")
+    grams = durable(counted.groupBy("gram", "prefix").agg(F.sum("n").alias("n")))
     # In order of the leading bytes, so that grams with a common context are summed in one batch.
     ordered = grams.repartitionByRange("gram").sortWithinPartitions("gram")
     slots = ordered.mapInArrow(_slot_counts, "slot long, zeros long, ones long").groupBy("slot").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")
     )
-    table = np.zeros((len(ORDERS) << SLOT_BITS, 2), np.int32)
+    counts = np.zeros((SLOTS, 2), np.int32)
     packed = slots.repartitionByRange("slot").sortWithinPartitions("slot").mapInArrow(_packed, "piece long, at binary, counts binary")
-    for row in packed.toLocalIterator():  # at most len(ORDERS) << SLOT_BITS slots, whatever the input
+    for row in packed.toLocalIterator():  # at most SLOTS slots, whatever the input
         at = np.frombuffer(row["at"], np.int32) + (row["piece"] << SLICE_BITS)
-        table[at] = np.frombuffer(row["counts"], np.int32).reshape(-1, 2)
-    counts = table.reshape(len(ORDERS), 1 << SLOT_BITS, 2)
+        counts[at] = np.frombuffer(row["counts"], np.int32).reshape(-1, 2)
     shared = spark.sparkContext.broadcast(counts)
 
     def learn(batches):
-        parts = [(b["gram"].to_numpy(zero_copy_only=False).view(np.uint64), b["n"].to_numpy(zero_copy_only=False)) for b in batches]
-        if parts and sum(len(g) for g, _ in parts):
-            numbers = np.concatenate([n for _, n in parts])
-            mixer = train_mixer(shared.value, np.concatenate([g for g, _ in parts]), numbers)
+        parts = [[b[c].to_numpy(zero_copy_only=False) for c in ("gram", "prefix", "n")] for b in batches]
+        if parts and sum(len(g) for g, _, _ in parts):
+            grams, prefix, numbers = (np.concatenate([x[k] for x in parts]) for k in range(3))
+            mixer = train_mixer(shared.value, grams.view(np.uint64), prefix.view(np.uint64), numbers)
             yield pa.RecordBatch.from_arrays([
                 pa.array([float(numbers.sum())]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.seen.tobytes()], pa.binary()),
             ], ["n", "weights", "seen"])
 
+    table, steps = scoring_tables(counts)
     learned = grams.mapInArrow(learn, "n double, weights binary, seen binary").toLocalIterator()
-    total, weights, seen = 0.0, np.zeros((GATES, len(ORDERS) + 1)), np.zeros((GATES, LEVELS, 2))
+    total, weights, seen = 0.0, np.zeros((GATES, INPUTS + 1)), np.zeros((GATES, LEVELS, 2))
     for row in learned:  # one small row per task
         total += row["n"]
         weights += row["n"] * np.frombuffer(row["weights"]).reshape(weights.shape)
         seen += np.frombuffer(row["seen"]).reshape(seen.shape)
     if not total:
-        return Model(counts, Mixer(weights, seen))
-    return Model(counts, Mixer(weights / total, seen))
+        return Model(table, steps, Mixer(weights, seen))
+    return Model(table, steps, Mixer(weights / total, seen))
 
 
 def score_texts(
@@ -270,14 +330,13 @@ def score_texts(
     table = (hashes[order], np.array([r["c"] for r in top], np.float64)[order])
     end_count = next(iter(counts.filter(F.col("word") == F.lit(b" ")).collect()), None)
     ends = end_count["c"] if end_count else 0
-    trained = train_model(training)
-    shared = spark.sparkContext.broadcast((trained.counts, trained.mixer.weights, trained.mixer.seen, table))
+    shared = spark.sparkContext.broadcast((train_model(training).state(), table))
 
     def score(batches):
         for batch in batches:
             raw = text_bytes(batch["text"])
-            bit_counts, weights, seen, (known, numbers) = shared.value
-            model = Model(bit_counts, Mixer(weights, seen))
+            (odds_table, steps, weights, seen), (known, numbers) = shared.value
+            model = Model(odds_table, steps, Mixer(weights, seen))
             columns = {c: [] for c in ("n_tokens", "n_known", "base", "rare", "times", "n_bytes")}
             for start, end in chunks(raw, LM_CHUNK):
                 codes, starts, vocabulary = _words(raw[start:end])

@@ -196,9 +196,9 @@ def test_model_is_a_distribution(documents):
     model = context_mixing.train_model(documents.select("text"))
     start = int.from_bytes(b"\nthe ", "big")
     grams = (np.uint64(start) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-    slots, bits = context_mixing.bit_slots(grams)
-    inputs, gate = context_mixing._inputs(model.counts, slots, None)
-    final = model.mixer.refined(model.mixer.mix(inputs, gate), gate) * np.where(bits == 1, 1, -1)
+    prefix = np.full(256, context_mixing.byte_grams([b"the x"])[1][0], np.uint64)
+    final, bits = model.final_odds(grams, prefix)
+    final = final * np.where(bits == 1, 1, -1)
     for sharp in context_mixing.SHARPNESS:
         assert context_mixing.squash(sharp * final).prod(axis=1).sum() == pytest.approx(1, abs=1e-9)
 
