@@ -35,7 +35,9 @@ INPUTS = len(ORDERS) + 1
 STEPS = (1, 2, 4, 16, 256)
 GATES = INPUTS * (len(STEPS) + 1)
 LEVELS = 33
-LIMIT = 8.0
+LIMIT = 10.0
+#: What is added to the counts of zeros and ones.
+PRIOR = 0.05
 SHARPNESS = (0.8, 1.0, 1.2)
 END = b"\n"
 LM_CHUNK = 3 << 20
@@ -99,11 +101,11 @@ def _slot(spread: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
 
 
 def odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return np.clip(np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))), -LIMIT, LIMIT)
+    return np.clip(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR))), -LIMIT, LIMIT)
 
 
 def squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -14, 14)))
+    return 1 / (1 + np.exp(-np.clip(x, -16, 16)))
 
 
 @dataclass
@@ -139,7 +141,7 @@ def train_mixer(
 ) -> Mixer:
     """Online steps over the grams in hash order, each gram weighing its number of occurrences; steps shrink with the
     gradients seen so far."""
-    mixer = Mixer(np.full((GATES, INPUTS + 1), 0.25), np.full((GATES, LEVELS, 2), 0.0))
+    mixer = Mixer(np.full((GATES, INPUTS + 1), 0.12), np.full((GATES, LEVELS, 2), 0.0))
     mixer.weights[:, -2:] = 0.6, 0.0
     centre = squash((np.arange(LEVELS) / (LEVELS - 1) * 2 - 1) * LIMIT)
     mixer.seen += np.stack([1 - centre, centre], axis=-1)
@@ -203,7 +205,7 @@ class Model:
                 final, bits = self.final_odds(grams[at], prefix[at])
                 final = np.where(bits == 1, -final, final)
                 for s, sharp in enumerate(SHARPNESS):
-                    costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -14, 14))).sum(axis=1) / np.log(10)
+                    costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -16, 16))).sum(axis=1) / np.log(10)
             sums = np.stack([np.add.reduceat(costs[:, s][inverse], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
             top = sums.max(axis=1)
             out.append(top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)))

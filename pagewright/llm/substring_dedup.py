@@ -120,7 +120,7 @@ def _shard_windows(rows: pd.DataFrame, phrases: pd.DataFrame, window: int, phras
         out["starts"].append(near.astype(np.int32))
         out["h1"].append(h1[near])
         out["h2"].append(h2[near])
-    return pd.DataFrame(out)
+    return pd.DataFrame({name: pd.Series(values, dtype="int64" if name == "doc_id" else object) for name, values in out.items()})
 
 
 def repeated_passages(
