@@ -167,3 +167,16 @@ MEAN_IN, MEAN_OUT = 3400, 2500
 BULK_LIMIT = 60
 BULK_NAME = r"(?i)\.(md|jsonl|json)$"
 BULK_ALLOWED = r"^(schema|reports|docs)/"
+
+# --- leak rules (``operators.audit.leak_scan``) ------------------------------
+# Id, target column, and the pattern. The ids appear in the output.
+
+LEAK_PATTERNS = (
+    ("local-path", "content", r"[A-Za-z]:\\(?:Users|dev)\\"),
+    ("api-key", "content", r"\b(?:sk-[A-Za-z0-9_-]{20,}|gho_[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{20,})"),
+    ("drive-id", "content", r"\b[A-Za-z0-9_-]{28,44}\b[^\n]*(?:driveFileId|drive_file_id|fileId)"),
+    ("study-ext", "path", r"(?i)\.(?:pdf|mp3|m4a|xlsx|goodnotes)\b"),
+    ("output-dir", "path", r"^(?:data|render|l1|l2|backups|logs)/"),
+    ("l1-content", "content", r"(?m)^---\r?\n(?:[a-z_]+:[^\n]*\r?\n)*?sha:[ \t]*[0-9a-f]{16}\r?\n"),
+    ("source-key", "content", r"source_key:[ \t]*[^ \t\r\n]+/[0-9]-[0-9]\."),
+)

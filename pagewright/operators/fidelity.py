@@ -11,9 +11,6 @@ from pagewright.operators.ordering import with_global_index, with_running_sum
 from pagewright.session import durable
 
 
-TOP_N = 10_000
-
-
 def with_shingles(df: DataFrame, truth: str = "truth", got: str = "got", k: int = V.SHINGLE) -> DataFrame:
     """Normalised lengths and shingle sets of both texts, which are dropped; adds ``same``.
 
@@ -99,8 +96,7 @@ def round_robin_sample(docs: DataFrame, n: int, path: str = "path", pages: str =
     """Pages picked by going round the documents, each round at a shifted page.
 
     The page of a round depends on the document alone, so repeats within a document drop out
-    in its own row and the first ``n`` picks are a plain top-n. A sample too large for that is
-    cut by global index instead.
+    in its own row. Picks are cut by their index in the order of round and path, which is given as ``place``.
     """
     rounds = F.sequence(F.lit(0), F.lit(V.SAMPLE_ROUNDS - 1))
     plan = docs.filter(F.col(pages) > 0).withColumn(
@@ -108,10 +104,7 @@ def round_robin_sample(docs: DataFrame, n: int, path: str = "path", pages: str =
     )
     picks = plan.select(*docs.columns, "_pages", F.posexplode("_pages").alias("round", "page"))
     fresh = picks.filter(F.array_position("_pages", F.col("page")) == F.col("round") + 1)
-    fresh = fresh.drop("_pages")
-    if n <= TOP_N:
-        return fresh.orderBy("round", path).limit(n)
-    return with_global_index(fresh, ["round", path], "_no").filter(F.col("_no") < n).drop("_no")
+    return with_global_index(fresh.drop("_pages"), ["round", path], "place").filter(F.col("place") < n)
 
 
 def order_stats(df: DataFrame, metrics, places: dict) -> DataFrame:
@@ -161,17 +154,31 @@ def worst_k(df: DataFrame, key: str, k: int = V.WORST_LIMIT, min_chars: int = V.
 
 
 def recall_gate(df: DataFrame, min_median: float = V.RECALL_GATE, min_chars: int = V.MIN_TRUTH_CHARS) -> DataFrame:
-    """One row: median recall in 1/10000, the rows below the bar, and whether the gate passes."""
-    usable = durable(df.filter(F.col("truth_len") >= min_chars).select("recall"))
-    median = order_stats(usable, ["recall"], {"median": UPPER_MEDIAN}).agg(F.max("value").alias("m")).scalar()
-    bar = int(round(min_median * 10000))
+    """One row: median recall in 1/10000, the rows below the bar, and whether the gate passes.
+
+    Rows and median are compared exactly; only the median that is shown is rounded.
+    """
+    usable = durable(df.filter(F.col("truth_len") >= min_chars).select("hits", "truth_tokens", _share().alias("_share")))
+    median = order_stats(usable, ["_share"], {"median": UPPER_MEDIAN}).agg(F.max("value").alias("m")).scalar()
     return usable.agg(
-        F.count(F.lit(1)).alias("usable"), F.count_if(F.col("recall") < bar).alias("low_rows")
-    ).select("usable", "low_rows", median.alias("median_recall")).withColumn(
-        "passed", F.col("median_recall") >= bar
+        F.count(F.lit(1)).alias("usable"), F.count_if(_below(min_median)).alias("low_rows")
+    ).select("usable", "low_rows", median.alias("_median")).select(
+        "usable", "low_rows", F.floor(F.col("_median") * 10000 + 0.5).cast("double").alias("median_recall"),
+        (F.col("_median") >= min_median).alias("passed"),
     )
 
 
+def _share() -> Column:
+    """Recall as it is, 1 without truth shingles. Equal counts give equal numbers, and a share equal to the bar
+    gives the number that the bar is written as."""
+    return F.when(F.col("truth_tokens") == 0, F.lit(1.0)).otherwise(F.col("hits") / F.col("truth_tokens"))
+
+
+def _below(bar: float) -> Column:
+    exact = F.lit(str(bar)).cast("decimal(18,9)")
+    return (F.col("truth_tokens") > 0) & (F.col("hits") < F.col("truth_tokens") * exact)
+
+
 def low_recall_rows(df: DataFrame, min_recall: float = V.RECALL_GATE, min_chars: int = V.MIN_TRUTH_CHARS) -> DataFrame:
     """Every usable row whose recall lies below the bar."""
-    return df.filter((F.col("truth_len") >= min_chars) & (F.col("recall") < int(round(min_recall * 10000))))
+    return df.filter((F.col("truth_len") >= min_chars) & _below(min_recall))

@@ -272,10 +272,10 @@ def page_rotation(words: DataFrame, keys=("doc_id", "page"), stretch: int = 4096
         (F.sum("_down") + F.count_if(F.col("_jump") >= 1)).alias("_down"),
         (F.sum("_up") + F.count_if(F.col("_jump") <= -1)).alias("_up"),
     )
-    tenths = int(round(V.TALL_SHARE * 10))
+    share = F.lit(str(V.TALL_SHARE)).cast("decimal(18,9)")
     degrees = (
         F.when(F.col("words") < V.MIN_WORDS, 0)
-        .when(F.col("_tall") * 10 < F.col("words") * tenths, 0)
+        .when(F.col("_tall") < F.col("words") * share, 0)
         .when(F.col("_down") >= F.col("_up"), 270)
         .otherwise(90)
     )

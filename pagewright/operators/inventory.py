@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
 from pagewright.functions import imaging, paths, text
-from pagewright.operators.ordering import HOT_ROWS, attach_group_facts, with_global_index
+from pagewright.operators.ordering import attach_group_facts, with_global_index
 
 
 def skip_assets(
@@ -61,8 +61,11 @@ def path_fields(df: DataFrame, subjects: DataFrame, path: str = "path") -> DataF
     )
 
 
-def content_hash(content: Column, digits: int = V.HASH_HEX, cap: int | None = V.HASH_PREFIX_BYTES) -> Column:
-    """Leading hex digits of SHA-256 over the first ``cap`` bytes; ``cap=None`` hashes all bytes."""
+def content_hash(content: Column, digits: int = V.HASH_HEX, cap: int | None = None) -> Column:
+    """Leading hex digits of SHA-256 over all bytes; 64 ``digits`` give the whole digest.
+
+    A ``cap`` hashes only so many leading bytes: contents that differ later then count as copies.
+    """
     data = content.cast("binary")
     if cap:
         data = F.substring(data, 1, cap)
@@ -116,12 +119,7 @@ def with_extract_route(df: DataFrame) -> DataFrame:
     )
 
 
-def dup_groups(
-    df: DataFrame,
-    keys=("content_sha", "size_bytes"),
-    path: str = "path",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def dup_groups(df: DataFrame, keys=("content_sha", "size_bytes"), path: str = "path") -> DataFrame:
     """Mark exact copies: group id in order of first path, and the first path as primary.
 
     Groups shrink to one row each before the shuffle, and their ids go back to the copies
@@ -135,7 +133,7 @@ def dup_groups(
     named = with_global_index(facts, ["first_path"], "_no").withColumn(
         "dup_group", F.format_string("dup%03d", "_no")
     )
-    marked = attach_group_facts(df, named.drop("_no"), list(keys), "copies", [path], hot_rows)
+    marked = attach_group_facts(df, named.drop("_no"), list(keys), [path])
     return marked.withColumn(
         "is_primary", F.coalesce(F.col(path) == F.col("first_path"), F.lit(True))
     ).drop("copies", "first_path")
@@ -155,23 +153,21 @@ def dedup_savings(df: DataFrame) -> DataFrame:
     )
 
 
-def reuse_probe(
-    df: DataFrame, cache: DataFrame, probe, key: str = "content_sha", hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
+def reuse_probe(df: DataFrame, cache: DataFrame, probe, key: str = "content_sha") -> tuple[DataFrame, DataFrame]:
     """Probe only content not cached yet.
 
     ``probe`` maps a frame of distinct uncached keys to the columns of ``cache``. Returns the
     assets with their probe columns, and the cache including the new entries. One piece of
     content may have any number of copies, so the probe results go back through a split join.
     """
-    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
-    missing = copies.select(key).join(cache.select(key), key, "left_anti")
+    present = df.select(key).distinct()
+    missing = present.join(cache.select(key), key, "left_anti")
     found = cache.withColumn("from_cache", F.lit(True)).unionByName(
         probe(missing).select(*cache.columns).withColumn("from_cache", F.lit(False))
     )
     spread = [c for c in df.columns if c != key]
-    probed = attach_group_facts(df, copies.join(found, key), [key], "_copies", spread, hot_rows)
-    return probed.drop("_copies"), found.drop("from_cache")
+    probed = attach_group_facts(df, present.join(found, key), [key], spread)
+    return probed, found.drop("from_cache")
 
 
 def select_assets(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
 from pagewright.functions import text
-from pagewright.operators.ordering import HOT_ROWS, attach_group_facts, with_global_index, with_group_index
+from pagewright.operators.ordering import attach_group_facts, with_global_index, with_group_index
 
 
 def default_subjects(spark: SparkSession) -> DataFrame:
@@ -165,12 +165,12 @@ def _one_of(df: DataFrame, key, order, pick) -> DataFrame:
     return chosen.select(*key, "_row.*").select(*df.columns)
 
 
-def repeats(df: DataFrame, key, order, hot_rows: int = HOT_ROWS) -> DataFrame:
+def repeats(df: DataFrame, key, order) -> DataFrame:
     """The rows :func:`first_wins` leaves out."""
     facts = df.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_copies"), F.min(F.struct(*order)).alias("_first")
     ).filter(F.col("_copies") > 1)
-    marked = attach_group_facts(df, facts, list(key), "_copies", order, hot_rows)
+    marked = attach_group_facts(df, facts, list(key), order)
     return marked.filter(F.col("_first").isNotNull() & (F.struct(*order) != F.col("_first"))).drop(
         "_copies", "_first"
     )
@@ -240,7 +240,7 @@ def coverage_pivot(papers: DataFrame, sessions=tuple(V.SESSION_TOTALS)) -> DataF
 # --- guides -----------------------------------------------------------------
 
 
-def merge_by_subject(df: DataFrame, subject: str, order, arrays, hot_rows: int = HOT_ROWS) -> DataFrame:
+def merge_by_subject(df: DataFrame, subject: str, order, arrays) -> DataFrame:
     """Entries of a subject's documents in document order: subject, kind, place, entry.
 
     The merged lists stay in long form, so a subject with any number of documents is spread
@@ -251,7 +251,7 @@ def merge_by_subject(df: DataFrame, subject: str, order, arrays, hot_rows: int =
         df.select(F.col(subject).alias("subject_key"), *order, F.explode(kinds).alias("_k"))
         .select("subject_key", *order, "_k.kind", F.posexplode("_k.items").alias("_pos", "entry"))
     )
-    placed = with_group_index(entries, ["subject_key", "kind"], [*order, "_pos"], "place", hot_rows)
+    placed = with_group_index(entries, ["subject_key", "kind"], [*order, "_pos"], "place")
     return placed.drop("_pos")
 
 

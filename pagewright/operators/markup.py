@@ -8,23 +8,17 @@ from pyspark.sql import types as T
 
 from pagewright import fixed_values as V
 from pagewright.functions import imaging, markup, paths, text
-from pagewright.operators.ordering import HOT_ROWS, at_positions, attach_group_facts
+from pagewright.operators.ordering import at_positions, attach_group_facts
 from pagewright.session import durable
 
 KEYS = ("sha", "page")
 
+# People write numbers as text and put odd things where a list belongs, so every field is read as text first.
 INSTRUCTION = T.StructType([
-    T.StructField("sha", T.StringType()),
-    T.StructField("page", T.IntegerType()),
-    T.StructField("marks", T.ArrayType(T.StructType([
-        T.StructField("line", T.IntegerType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("type", T.StringType()),
-    ]))),
-    T.StructField("none", T.StringType()),
-    T.StructField("clear", T.BooleanType()),
-    T.StructField("_corrupt", T.StringType()),
+    *[T.StructField(name, T.StringType()) for name in ("sha", "page", "marks", "none", "clear", "_corrupt")],
 ])
+MARKS = T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in ("line", "text", "type")]))
+_FALSY = ("false", "0", "0.0", "-0", "")
 
 
 # --- baseline ---------------------------------------------------------------
@@ -57,10 +51,30 @@ def numbered_lines(pages: DataFrame, keys=KEYS, body: str = "body") -> DataFrame
 
 
 def parse_instructions(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Instruction records from JSON text; ``bad_json`` flags unreadable ones."""
+    """Instruction records from JSON text; ``bad_json`` flags unreadable ones.
+
+    Page and line may be numbers or text; a page that is no whole number gives -1, a line that is none stays null. ``marks`` that is
+    no list counts as none. ``clear`` is set by anything but false, 0, empty text and null.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    read = df.withColumn("rec", F.from_json(F.col(raw), INSTRUCTION, options))
-    return read.withColumn("bad_json", F.col("rec").isNull() | F.col("rec._corrupt").isNotNull()).drop(raw)
+    read = text.pinned(df, _raw=F.from_json(F.col(raw), INSTRUCTION, options))
+    part = F.col("_raw")
+    page = F.when(part["page"].isNotNull(), F.coalesce(_whole(part["page"]), F.lit(-1)))
+    marks = F.when(part["marks"].startswith("["), F.from_json(part["marks"], MARKS))
+    rec = F.struct(
+        part["sha"].alias("sha"), page.alias("page"),
+        F.transform(marks, lambda m: F.struct(_whole(m["line"]).alias("line"), m["text"].alias("text"), m["type"].alias("type"))).alias("marks"),
+        part["none"].alias("none"),
+        (part["clear"].isNotNull() & ~part["clear"].isin(*_FALSY)).alias("clear"),
+    )
+    bad = part.isNull() | part["_corrupt"].isNotNull()
+    return text.pinned(read, rec=F.when(~bad, rec), bad_json=bad).drop(raw, "_raw")
+
+
+def _whole(value: Column) -> Column:
+    """A whole number written as a number or as text, else null."""
+    number = F.trim(value).try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def explode_marks(instructions: DataFrame, keys=KEYS) -> DataFrame:
@@ -122,7 +136,7 @@ def _crosses(span: Column, other: Column) -> Column:
     return overlap & ~inside & ~around
 
 
-def resolve_overlaps(located: DataFrame, keys=KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve_overlaps(located: DataFrame, keys=KEYS) -> DataFrame:
     """Status per mark: applied, duplicate, or the reason it failed.
 
     Longest marks come first, equal lengths in instruction order; a mark that crosses an accepted
@@ -159,7 +173,7 @@ def resolve_overlaps(located: DataFrame, keys=KEYS, hot_rows: int = HOT_ROWS) ->
         F.create_map(*[x for t in V.MARKERS for x in (F.lit(t), F.col(f"_span._first_{t}"))]).alias("_firsts"),
         F.array_contains("_done", F.struct(F.col("_span.s").alias("s"), F.col("_span.e").alias("e"))).alias("_ok"),
     )
-    marked = attach_group_facts(located, facts, at, "_n", ["seq"], hot_rows)
+    marked = attach_group_facts(located, facts, at, ["seq"])
     status = (
         F.when(F.col("why").isNotNull(), F.col("why"))
         .when(~F.col("_ok"), "partly overlaps another mark")
@@ -386,9 +400,9 @@ def emphasis_gates(state: DataFrame) -> DataFrame:
 def none_heavy_docs(state: DataFrame, key: str = "sha", reviewed: int = V.NONE_HEAVY_REVIEWED, share: float = V.NONE_HEAVY_SHARE) -> DataFrame:
     """Documents that leave most of their coloured pages unmarked."""
     per = state.groupBy(key).agg(F.count_if("marked").alias("_m"), F.count_if("none").alias("none"))
-    tenths = int(round(share * 10))
+    bar = F.lit(str(share)).cast("decimal(18,9)")
     return per.withColumn("reviewed", F.col("_m") + F.col("none")).filter(
-        (F.col("reviewed") >= reviewed) & (F.col("none") * 10 >= F.col("reviewed") * tenths)
+        (F.col("reviewed") >= reviewed) & (F.col("none") >= F.col("reviewed") * bar)
     ).drop("_m")
 
 

@@ -7,15 +7,11 @@ ranges once, and combine one small row per range.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.session import durable
 
-HOT_ROWS = 1_000_000
 SALTS = 256
 
 
@@ -42,21 +38,13 @@ def with_global_index(df: DataFrame, order, name: str = "idx") -> DataFrame:
     )
 
 
-def with_group_index(df: DataFrame, keys, order, name: str = "idx", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """0-based place of each row within its group.
-
-    The largest group is measured first. Up to ``hot_rows`` rows a plain window does;
-    beyond, the place is the row's global index less the first index of its group.
-    """
+def with_group_index(df: DataFrame, keys, order, name: str = "idx") -> DataFrame:
+    """0-based place of each row within its group: its global index less the first index of its group."""
     keys = list(keys)
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= hot_rows:
-        along = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(along).cast("long") - 1)
     numbered = with_global_index(df, [*keys, *order], "_global")
-    firsts = numbered.groupBy(*keys).agg(F.min("_global").alias("_first"), F.count(F.lit(1)).alias("_size"))
-    placed = attach_group_facts(numbered, firsts, keys, "_size", order, hot_rows)
-    return placed.withColumn(name, F.col("_global") - F.col("_first")).drop("_global", "_first", "_size")
+    firsts = numbered.groupBy(*keys).agg(F.min("_global").alias("_first"))
+    placed = attach_group_facts(numbered, firsts, keys, order)
+    return placed.withColumn(name, F.col("_global") - F.col("_first")).drop("_global", "_first")
 
 
 def with_running_sum(df: DataFrame, order, amount: str, name: str) -> DataFrame:
@@ -71,31 +59,19 @@ def with_running_sum(df: DataFrame, order, amount: str, name: str) -> DataFrame:
     )
 
 
-def attach_group_facts(
-    df: DataFrame, facts: DataFrame, keys, count: str, spread, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left join of one-row-per-group ``facts``, with large groups split.
+def attach_group_facts(df: DataFrame, facts: DataFrame, keys, spread) -> DataFrame:
+    """Left join of one-row-per-group ``facts``, with every group split over salts.
 
-    ``count`` holds the group's size in ``facts``. A group of at least ``hot_rows`` rows is
-    matched by broadcast: there are at most (total rows / hot_rows) of those. Its rows, and
-    rows with a null key, take a salted key for the shuffle join that serves every other
-    group, so they spread out.
+    A row's salt is a hash of its ``spread`` columns. The salts that occur in a group, at most ``SALTS`` of them, fetch the
+    group's facts first; the rows then join by group and salt, so a group of any size is spread, as are rows
+    with a null key. One plan serves every size.
     """
+    keys = list(keys)
     columns = [c for c in facts.columns if c not in keys]
     payload = facts.select(*keys, F.struct(*columns).alias("_fact"))
-    size = F.col(f"_fact.{count}")
-    # Always zero, yet not a literal: the optimizer would drop a literal from the join keys.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
-    hot = payload.filter(size >= hot_rows).withColumnRenamed("_fact", "_hot")
-    cold = payload.filter(size < hot_rows).withColumnRenamed("_fact", "_cold").withColumn("_salt", zero)
-    settled = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
-    salt = F.when(settled, 1 + F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
-    joined = (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_salt", salt)
-        .join(cold, [*keys, "_salt"], "left")
-        .withColumn("_fact", F.coalesce("_hot", "_cold"))
-    )
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    fetched = salted.select(*keys, "_salt").dropna(subset=keys).distinct().join(payload, keys)
+    joined = salted.join(fetched, [*keys, "_salt"], "left")
     return joined.select(*[F.col(c) for c in df.columns], *[F.col(f"_fact.{c}").alias(c) for c in columns])
 
 

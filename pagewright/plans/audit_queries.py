@@ -68,22 +68,33 @@ def dense_filter(v: Views):
     return kept.select("doc_id", "material_type")
 
 
-def _hit(target: str, literals, patterns) -> str:
-    some = [" or ".join(f"contains({target}, {q(one)})" for one in literals)] if literals else []
-    return " and ".join(f"({test})" for test in some + [f"regexp_matches({target}, {q(p)})" for p in patterns])
-
-
-_LEAKS = f"""
-    select rule, path from (select path, unnest(list_filter([{", ".join(
-        f"case when {_hit(target, *test)} then '{rule}' end" for rule, target, *test in G.DEFAULT_RULES)}], lambda x: x is not null)) as rule
-      from (select path, text as content from fx_assets join documents using (doc_id)))
-    where path not in (select path from fx_assets where doc_id % 50 = 0)
-      and not (rule = 'email' and path in (select path from fx_assets where doc_id % 20 = 1))"""
+# The rules once more, written for this dialect and not taken from the operator's list.
+_LEAKS = r"""
+    with docs as (select path, doc_id, concat(text, case doc_id % 7 when 1 then concat(chr(10), 'uses fileId here', chr(10), md5(doc_id::varchar))
+        when 2 then concat(chr(10), md5(doc_id::varchar), ' is a fileId') else '' end) as content from fx_assets join documents using (doc_id)),
+    hits as (
+      select 'local-path' as rule, path, doc_id from docs where regexp_matches(content, '[A-Za-z]:\\(Users|dev)\\')
+      union all select 'api-key', path, doc_id from docs where regexp_matches(content, '\b(sk-[A-Za-z0-9_-]{20}|gho_[A-Za-z0-9]{20}|AIza[A-Za-z0-9_-]{20})')
+      union all select 'drive-id', path, doc_id from docs where len(list_filter(string_split(content, chr(10)),
+        lambda x: regexp_matches(x, '\b[A-Za-z0-9_-]{28,44}\b.*(driveFileId|drive_file_id|fileId)'))) > 0
+      union all select 'study-ext', path, doc_id from docs where regexp_matches(lower(path), '\.(pdf|mp3|m4a|xlsx|goodnotes)\b')
+      union all select 'output-dir', path, doc_id from docs where split_part(path, '/', 1) in ('data', 'render', 'l1', 'l2', 'backups', 'logs') and contains(path, '/')
+      union all select 'l1-content', path, doc_id from docs where regexp_matches(content, '(^|\n)---\r?\n([a-z_]+:[^\n]*\r?\n)*?sha:[ \t]*[0-9a-f]{16}\r?\n')
+      union all select 'source-key', path, doc_id from docs where regexp_matches(content, 'source_key:[ \t]*[^ \t\r\n]+/[0-9]-[0-9]\.')
+      union all select 'email', path, doc_id from docs where regexp_matches(content, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')
+      union all select 'phone', path, doc_id from docs where regexp_matches(content, '\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}')
+      union all select 'secret', path, doc_id from docs where regexp_matches(lower(content), '\b(token|secret|password|api_key) *= *"[0-9a-z_-]{20}'))
+    select rule, path from hits where doc_id % 50 <> 0 and not (rule = 'email' and doc_id % 20 = 1)"""
 
 
 def _hits(v: Views):
-    text = v.documents.select("doc_id", F.col("text").alias("content"))
-    docs = v.assets.select("doc_id", "path").join(text, "doc_id")
+    d = F.col("doc_id")
+    digest = F.md5(d.cast("string").cast("binary"))
+    extra = (
+        F.when(d % 7 == 1, F.concat(F.lit("\nuses fileId here\n"), digest))
+        .when(d % 7 == 2, F.concat(F.lit("\n"), digest, F.lit(" is a fileId"))).otherwise("")
+    )
+    docs = v.assets.select("doc_id", "path").join(v.documents.select("doc_id", F.concat("text", extra).alias("content")), "doc_id")
     allow = v.assets.filter("doc_id % 50 = 0").select("path")
     by_rule = v.assets.filter("doc_id % 20 = 1").select("path", F.lit("email").alias("rule"))
     return G.leak_scan(docs, allow=allow, allow_by_rule=by_rule)

@@ -70,14 +70,15 @@ def fidelity_stats(v: Views):
 
 
 @query("recall_gate", f"""
-    select *, median_recall >= 8500 as passed from (select count(*) as usable, count(*) filter (recall < 8500) as low_rows,
-      cast((select recall from ({_SIZES}) where truth_len >= 100 order by recall limit 1 offset (select count(*) // 2 from ({_SIZES}) where truth_len >= 100)) as double) as median_recall
-      from ({_SIZES}) where truth_len >= 100)""")
+    with rated as (select *, case when truth_tokens = 0 then 1.0::double else hits::double / truth_tokens end as share from ({_SIZES}) where truth_len >= 100)
+    select usable, low_rows, floor(m * 10000 + 0.5) as median_recall, m >= 0.85::double as passed from (
+      select count(*) as usable, count(*) filter (hits * 20 < truth_tokens * 17) as low_rows,
+        (select share from rated order by share limit 1 offset (select count(*) // 2 from rated)) as m from rated)""")
 def recall_gate(v: Views):
     return D.recall_gate(_rated(v))
 
 
-@query("low_recall_rows", f"select doc_id, recall from ({_SIZES}) where truth_len >= 100 and recall < 8500")
+@query("low_recall_rows", f"select doc_id, recall from ({_SIZES}) where truth_len >= 100 and hits * 20 < truth_tokens * 17")
 def low_recall_rows(v: Views):
     return D.low_recall_rows(_rated(v)).select("doc_id", "recall")
 
@@ -113,11 +114,12 @@ def cer_stats(v: Views):
 
 
 @query("round_robin", """
-    select doc_id, path, cast(round as int) as round, cast(page as int) as page from (
+    select doc_id, path, cast(round as int) as round, cast(page as int) as page, row_number() over (order by round, path) - 1 as place from (
       select doc_id, path, round, (round * 7 + 1) % pages + 1 as page,
         row_number() over (partition by doc_id, (round * 7 + 1) % pages order by round) as rn
       from (select doc_id, path, pages, unnest(range(0, 5)) as round from fx_assets))
     where rn = 1 order by round, path limit (select count(*) * 2 from documents)""")
 def round_robin(v: Views):
     docs = v.assets.select("doc_id", "path", "pages")
-    return D.round_robin_sample(docs, 2 * v.table("documents").count()).select("doc_id", "path", "round", "page")
+    twice = 2 * v.table("documents").agg(F.count(F.lit(1))).scalar()
+    return D.round_robin_sample(docs, twice).select("doc_id", "path", "round", "page", "place")

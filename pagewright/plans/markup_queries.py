@@ -219,9 +219,9 @@ def emphasis_gates(v: Views):
 
 @query("none_heavy_docs", f"""
     select doc_id, none, reviewed from (select doc_id, count(*) filter ({_NONE}) as none, count(*) filter ({_NONE}) + count(*) filter ({_MARKED}) as reviewed
-      from ({_STATE}) group by 1) where reviewed >= 3 and none * 10 >= reviewed * 2""")
+      from ({_STATE}) group by 1) where reviewed >= 3 and none * 4 >= reviewed""")
 def none_heavy_docs(v: Views):
-    return E.none_heavy_docs(_state(v), "doc_id", reviewed=3, share=0.2)
+    return E.none_heavy_docs(_state(v), "doc_id", reviewed=3, share=0.25)
 
 
 @query("scan_crosstab", f"""

@@ -171,6 +171,33 @@ def invalidate(v: Views):
     return kept.select("doc_id", "page", F.sha2("body", 256).alias("body_sha"))
 
 
+@query("force_write", """
+    select doc_id, page, doc_id % 4 as part, sha256(case when (doc_id * 3 + page) % 7 = 0 then concat(body, ' again') else body end) as body_sha from fx_doc_page""")
+def force_write(v: Views):
+    """Rebuild some pages of a partitioned store; the other keys of their partitions survive."""
+    path = workspace(v.spark, "pages")
+    pages = v.doc_page.select("doc_id", "page", "body", (F.col("doc_id") % 4).alias("part"))
+    tables.incremental_write(pages, path, ("doc_id", "page"), partition_by=("part",))
+    again = pages.filter("(doc_id * 3 + page) % 7 = 0").withColumn("body", F.concat("body", F.lit(" again")))
+    store = tables.incremental_write(again, path, ("doc_id", "page"), partition_by=("part",), force=True)
+    return store.select("doc_id", "page", "part", F.sha2("body", 256).alias("body_sha"))
+
+
+_NAMED = "case doc_id % 5 when 0 then 'a:b' when 1 then 'p/q' when 2 then 'with space' when 3 then null else 'plain' end"
+
+
+@query("invalidate_named", f"select doc_id, page, {_NAMED} as part from fx_doc_page where doc_id % 5 = 4 or (doc_id % 5 = 2 and doc_id % 2 = 0)")
+def invalidate_named(v: Views):
+    """Invalidation in partitions whose names need escaping, and in the null partition."""
+    path = workspace(v.spark, "pages")
+    pages = v.doc_page.select("doc_id", "page", F.expr(_NAMED).alias("part"))
+    store = tables.incremental_write(pages, path, ("doc_id", "page"), partition_by=("part",))
+    gone = v.table("documents").select("doc_id").filter("doc_id % 5 in (0, 1, 3) or (doc_id % 5 = 2 and doc_id % 2 = 1)")
+    touched = store.join(gone, "doc_id", "left_semi").select("part")
+    tables.rewrite_partitions(v.spark, path, B.invalidate(store, gone, ("doc_id",)), touched, "part")
+    return tables.read_store(v.spark, path, store.schema)
+
+
 def _with_errors(df):
     dense = F.length(text.squeeze_out(F.col("body")))
     why = F.when(dense < 60, F.concat(F.lit("body too short: "), F.repeat("body", 6)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +24,25 @@ DOCUMENTS = T.StructType([
 ])
 
 
+BATCHES = 5
+
+
+def _arrivals(v: Views, table: str, schema: T.StructType, order: str):
+    """A stream over the table in ``BATCHES`` files that arrive one by one, in the order of a column."""
+    path = workspace(v.spark, f"arriving-{table}")
+    rows = v.table(table).select(*schema.fieldNames())
+    place = F.ntile(BATCHES).over(Window.orderBy("day"))
+    # Whole stretches of the order per file: counts per stretch are few, the rows themselves are only filtered.
+    stretch = F.date_trunc("hour", order) if schema[order].dataType.typeName().startswith("timestamp") else F.floor(F.col(order) / 64)
+    stretches = rows.select(stretch.alias("day")).distinct().withColumn("part", place)
+    dealt = rows.withColumn("day", stretch).join(stretches, "day")
+    for part in range(1, BATCHES + 1):
+        dealt.filter(F.col("part") == part).select(*schema.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    return flows.read_table_stream(v.spark, path, table, schema, files_per_trigger=1, pattern="*.parquet")
+
+
 def _usage(v: Views):
-    events = flows.read_table_stream(v.spark, v.folder, "events", EVENTS)
+    events = _arrivals(v, "events", EVENTS, "ts")
     tok_in = F.floor(F.col("value") * 10).cast("long")
     return events.select(
         "event_id", F.col("ts").cast("timestamp").alias("t"), F.col("event_type").alias("tag"), tok_in.alias("tok_in"),
@@ -40,7 +58,7 @@ def stream_pages(v: Views):
     before = v.table("documents").filter("doc_id % 4 = 1").select("doc_id", F.lit("stored before").alias("text"))
     tables.incremental_write(before, path, ["doc_id"])
     for run in ("first", "second"):
-        stream = flows.read_table_stream(v.spark, v.folder, "documents", DOCUMENTS).select("doc_id", "text")
+        stream = _arrivals(v, "documents", DOCUMENTS, "doc_id").select("doc_id", "text")
         flows.stream_pages(stream, path, ["doc_id"], f"{checkpoint}/{run}").awaitTermination()
     stored = tables.read_store(v.spark, path, before.schema)
     return stored.select("doc_id", F.sha2("text", 256).alias("text_sha"))
@@ -48,7 +66,7 @@ def stream_pages(v: Views):
 
 def _quarantine(v: Views):
     good, bad, checkpoint = (workspace(v.spark, name) for name in ("good", "bad", "offsets"))
-    docs = flows.read_table_stream(v.spark, v.folder, "documents", DOCUMENTS)
+    docs = _arrivals(v, "documents", DOCUMENTS, "doc_id")
     dense = F.length(text.squeeze_out(F.col("text")))
     failed = docs.select("doc_id", F.when(dense < 200, F.concat(F.lit("short: "), "text")).alias("error"))
     flows.stream_quarantine(failed, "documents", "doc_id", good, bad, checkpoint).awaitTermination()

@@ -42,10 +42,8 @@ class Views:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """A table for heavy per-row work, dealt out by key when its files give too few splits."""
-        df = self.table(name)
-        wanted = 2 * self.spark.sparkContext.defaultParallelism
-        return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+        """A table for heavy per-row work, dealt out by key: a file may be one split whatever its size."""
+        return self.table(name).repartition(key)
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -185,7 +183,12 @@ class Views:
             F.when(((d + p) % 6 == 3), pick(("no-emphasis", "figure-only", "header-only"), d % 3)).alias("none"),
             ((d + p) % 6 == 4).alias("clear"),
         )
-        return self.doc_page.filter((d + p) % 8 != 7).select("doc_id", "page", F.to_json(record).alias("raw"))
+        # As people write them: numbers as text in some records, no list where there are no marks in others.
+        raw = F.to_json(record)
+        raw = F.when(d % 3 == 0, F.regexp_replace(raw, r'"page":(\d+)', r'"page":"$1"')).otherwise(raw)
+        raw = F.when(d % 4 == 1, F.regexp_replace(raw, r'"line":(-?\d+)', r'"line":"$1"')).otherwise(raw)
+        raw = F.when(d % 5 == 2, F.replace(raw, F.lit('"marks":[]'), F.lit('"marks":{}'))).otherwise(raw)
+        return self.doc_page.filter((d + p) % 8 != 7).select("doc_id", "page", raw.alias("raw"))
 
     @cached_property
     def instructions(self) -> DataFrame:

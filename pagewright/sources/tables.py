@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,67 +28,97 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-MOST_PARTITIONS = 10_000
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _hadoop_path(spark, path)
+    fs.delete(folder, True)
 
 
-def _same_partitions(stored: DataFrame, new: DataFrame, column: str) -> DataFrame:
-    """The store cut to the partitions the new rows fall into, as a filter on folders.
+def _same(left: DataFrame, right: DataFrame, columns):
+    """Null-safe equality of ``columns``, as a join condition."""
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
 
-    The values are collected, one per folder the new rows touch; beyond a bound nothing is cut.
-    """
-    found = [row[0] for row in new.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
-    if len(found) > MOST_PARTITIONS or None in found:
-        return stored
-    return stored.filter(F.col(column).isin(found))
+
+def _same_partitions(stored: DataFrame, new: DataFrame, partition_by) -> DataFrame:
+    """The store cut to the value range of the new rows' partitions, which Spark turns into a filter on folders."""
+    for column in partition_by:
+        low, high = new.agg(F.min(column)).scalar(), new.agg(F.max(column)).scalar()
+        stored = stored.filter(F.col(column).isNull() | F.col(column).between(low, high))
+    return stored
 
 
-def unstored(new: DataFrame, path: str, keys, partition_by=()) -> DataFrame:
+def _once(new: DataFrame, keys, order) -> DataFrame:
+    """One row per key: the first in ``order``, by default in the order of all other columns."""
+    rest = [c for c in new.columns if c not in keys]
+    if not rest:
+        return new.distinct()
+    chosen = F.min_by(F.struct(*rest), F.struct(*(order or rest)))
+    return new.groupBy(*keys).agg(chosen.alias("_row")).select(*keys, "_row.*").select(*new.columns)
+
+
+def unstored(new: DataFrame, path: str, keys, partition_by=(), order=()) -> DataFrame:
     """Rows whose key the store does not hold, once per key.
 
-    A partition column must follow from the key: then only the partitions of the new rows
-    are searched, so a small batch does not read the keys of the whole store.
+    Partition columns belong to the key: a row is known by its key and partition together, so a small batch searches the
+    range of its own partitions only, and reads key columns only.
     """
-    once = new.dropDuplicates(list(keys))
-    stored = read_store(new.sparkSession, path, new.schema)
-    if partition_by:
-        stored = _same_partitions(stored, new, partition_by[0])
-    return once.join(stored.select(*keys), list(keys), "left_anti")
+    whole = list(dict.fromkeys([*keys, *partition_by]))
+    once = _once(new, whole, order)
+    stored = _same_partitions(read_store(new.sparkSession, path, new.schema), new, partition_by).select(*whole)
+    return once.join(stored, _same(once, stored, whole), "left_anti")
 
 
-def incremental_write(new: DataFrame, path: str, keys, partition_by=(), force: bool = False) -> DataFrame:
+def incremental_write(new: DataFrame, path: str, keys, partition_by=(), force: bool = False, order=()) -> DataFrame:
     """Append rows whose key is not stored yet, once per key; a rerun adds nothing.
 
-    ``force`` rewrites the partitions the new rows fall into instead.
+    ``force`` replaces the stored rows of these keys instead; every other key stays. Of rows with one key the first in ``order``
+    is taken, so a repeated batch writes the same rows.
     """
+    spark = new.sparkSession
     if force:
-        if not partition_by:
-            raise ValueError("force rewrites whole partitions: name the partition columns")
-        rows = new.dropDuplicates(list(keys))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        whole = list(dict.fromkeys([*keys, *partition_by]))
+        once = _once(new, whole, order)
+        stored = _same_partitions(read_store(spark, path, new.schema), new, partition_by)
+        rest = stored.join(once.select(*whole), _same(stored, once, whole), "left_anti")
+        if partition_by:
+            touched = once.select(*partition_by).distinct()
+            rest = rest.join(touched, _same(rest, touched, partition_by), "left_semi")
+        _swap(spark, rest.unionByName(once), path, partition_by)
     else:
-        writer = unstored(new, path, keys, partition_by).write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return read_store(new.sparkSession, path, new.schema)
+        writer = unstored(new, path, keys, partition_by, order).write.mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return read_store(spark, path, new.schema)
+
+
+def _swap(spark: SparkSession, rows: DataFrame, path: str, partition_by) -> None:
+    """Put ``rows`` in place of the partitions they fall into, or of the whole store without partitions.
+
+    Rows are staged first, since a table cannot be overwritten while it is read; the staged copy is removed afterwards.
+    """
+    staging = workspace(spark, "swap")
+    rows.write.parquet(staging)
+    writer = spark.read.schema(rows.schema).parquet(staging).write.mode("overwrite")
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    writer.parquet(path)
+    remove_folder(spark, staging)
 
 
 def rewrite_partitions(spark: SparkSession, path: str, kept: DataFrame, touched: DataFrame, partition_by: str) -> None:
-    """Replace the touched partitions of a store by their rows in ``kept``.
+    """Replace the touched partitions of a store by their rows in ``kept``, whatever their values, null included.
 
-    The rows are staged first, since a table cannot be overwritten while it is read.
-    Partitions left without rows are removed: a dynamic overwrite would not touch them.
+    Partitions left without rows are removed: a dynamic overwrite would not touch them. Their folders are named as
+    Spark names them, escaped and with the default name for null.
     """
     # Both inputs may read the very store that is about to change.
     values = durable(touched.select(partition_by).distinct())
-    staging = workspace(spark, "rewrite")
-    kept.join(values, partition_by, "left_semi").write.partitionBy(partition_by).parquet(staging)
-    staged = read_store(spark, staging, kept.schema)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition_by
-    ).parquet(path)
-    emptied = values.join(staged.select(partition_by).distinct(), partition_by, "left_anti")
-    for row in emptied.toLocalIterator():  # one row per emptied partition folder
-        fs, folder = _hadoop_path(spark, f"{path}/{partition_by}={row[0]}")
-        fs.delete(folder, True)
+    rows = kept.join(values, kept[partition_by].eqNullSafe(values[partition_by]), "left_semi")
+    left = durable(rows.select(partition_by).distinct())
+    emptied = values.join(left, values[partition_by].eqNullSafe(left[partition_by]), "left_anti")
+    gone = durable(emptied.select(F.col(partition_by).cast("string")))
+    _swap(spark, rows, path, (partition_by,))
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in gone.toLocalIterator():  # one folder per emptied partition
+        remove_folder(spark, f"{path}/{name.getPartitionPathString(partition_by, row[0])}")
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, keys, buckets: int) -> DataFrame:

@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pagewright.operators.ordering import HOT_ROWS, attach_group_facts, with_running_sum
+from pagewright.operators.ordering import attach_group_facts, with_running_sum
 from pagewright.operators.pagestore import split_errors
 from pagewright.operators.usage import Prices, micro_usd
-from pagewright.sources.tables import incremental_write, read_store
+from pagewright.sources.tables import incremental_write, read_store, remove_folder
 
 
-def read_table_stream(spark: SparkSession, folder: str, table: str, schema: T.StructType, files_per_trigger: int = 100) -> DataFrame:
-    """File-source stream over one Parquet table of a folder."""
+def read_table_stream(
+    spark: SparkSession, folder: str, table: str, schema: T.StructType, files_per_trigger: int = 100, pattern: str | None = None
+) -> DataFrame:
+    """File-source stream over one Parquet table of a folder, or over the files that match ``pattern``."""
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}.parquet")
+        .option("pathGlobFilter", pattern or f"{table}.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(folder)
     )
@@ -101,7 +103,7 @@ LEDGER = T.StructType([
 ])
 
 
-def spend_flags(batch: DataFrame, prior: DataFrame, limit_usd: str, order, prices: Prices, hot_rows: int = HOT_ROWS) -> DataFrame:
+def spend_flags(batch: DataFrame, prior: DataFrame, limit_usd: str, order, prices: Prices) -> DataFrame:
     """Spend of each call's budget before the call, earlier batches included, and the blocked flag.
 
     The running total follows (budget, order) over ranges of rows, so one busy budget is summed by
@@ -109,27 +111,29 @@ def spend_flags(batch: DataFrame, prior: DataFrame, limit_usd: str, order, price
     """
     priced = batch.withColumn("_cost", micro_usd(prices))
     summed = with_running_sum(priced, ["budget", *order], "_cost", "_upto")
-    facts = summed.groupBy("budget").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(F.col("_upto") - F.col("_cost")).alias("_base")
-    ).join(prior.select("budget", "spent"), "budget", "left")
-    placed = attach_group_facts(summed, facts, ["budget"], "_n", order, hot_rows)
+    facts = summed.groupBy("budget").agg(F.min(F.col("_upto") - F.col("_cost")).alias("_base")).join(prior.select("budget", "spent"), "budget", "left")
+    placed = attach_group_facts(summed, facts, ["budget"], order)
     before = F.col("_upto") - F.col("_cost") - F.col("_base") + F.coalesce("spent", F.lit(0).cast("decimal(28,4)"))
     limit = F.lit(limit_usd).cast("decimal(18,6)") * 1000000
     return (
         placed.withColumn("spent_before", before.cast("decimal(28,4)"))
         .withColumn("blocked", (limit > 0) & (F.col("spent_before") >= limit))
-        .drop("_upto", "_base", "_n", "spent")
+        .drop("_upto", "_base", "spent")
         .withColumnRenamed("_cost", "cost")
     )
 
 
 def stream_budget(stream: DataFrame, path: str, ledger_path: str, checkpoint: str, limit_usd: str, order, prices: Prices = Prices(cached="0")) -> StreamingQuery:
-    """Flag calls once a budget's spend has reached the limit; totals carry over in a ledger table."""
+    """Flag calls once a budget's spend has reached the limit; totals carry over in a ledger table.
+
+    Each batch writes the totals of all budgets, reads the snapshot before its own only, and removes what lies before that
+    one: a batch that is repeated still finds its predecessor.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ledger = read_store(spark, ledger_path, LEDGER).filter(F.col("batch_id") < batch_id)
-        prior = ledger.groupBy("budget").agg(F.max_by("spent", "batch_id").alias("spent"))
+        before = LEDGER.fieldNames()[:-1]
+        prior = read_store(spark, f"{ledger_path}/batch_id={batch_id - 1}", T.StructType(LEDGER.fields[:-1])).select(*before)
         flagged = spend_flags(batch, prior, limit_usd, order, prices)
         _write_batch(flagged, path, batch_id)
         written = spark.read.parquet(f"{path}/batch_id={batch_id}")
@@ -137,5 +141,6 @@ def stream_budget(stream: DataFrame, path: str, ledger_path: str, checkpoint: st
         zero = F.lit(0).cast("decimal(28,4)")
         spent = (F.coalesce("_new", zero) + F.coalesce("spent", zero)).cast("decimal(28,4)")
         _write_batch(totals.select("budget", spent.alias("spent")), ledger_path, batch_id)
+        remove_folder(spark, f"{ledger_path}/batch_id={batch_id - 2}")
 
     return _start(stream, sink, checkpoint)

@@ -44,8 +44,7 @@ def test_first_last_and_repeats(spark):
         order = ["paper", "page", "pos"]
         assert sorted((r.id, r.v) for r in C.first_wins(df, ["id"], order).collect()) == [("a", "x"), ("b", "w")]
         assert sorted((r.id, r.v) for r in C.last_wins(df, ["id"], order).collect()) == [("a", "z"), ("b", "w")]
-        for hot in (1, 100):
-            assert sorted(r.v for r in C.repeats(df, ["id"], order, hot_rows=hot).collect()) == ["y", "z"]
+        assert sorted(r.v for r in C.repeats(df, ["id"], order).collect()) == ["y", "z"]
 
 
 def test_papers_and_areas(spark):
@@ -115,7 +114,7 @@ def test_order_stats(spark, n):
     assert got == {"median": sorted(values)[n // 2], "p10": sorted(values)[n // 10]}
 
 
-def test_round_robin_matches_the_loop(spark, monkeypatch):
+def test_round_robin_matches_the_loop(spark):
     docs = [(f"d{i}", p) for i, p in enumerate([1, 3, 8, 14, 0])]
     usable = [d for d in docs if d[1] > 0]
     want, i = [], 0
@@ -126,9 +125,14 @@ def test_round_robin_matches_the_loop(spark, monkeypatch):
             want.append(pick)
         i += 1
     frame = spark.createDataFrame(docs, "path string, pages int")
-    assert [(r.path, r.page) for r in D.round_robin_sample(frame, 9).collect()] == want
-    monkeypatch.setattr(D, "TOP_N", 3)
-    assert sorted((r.path, r.page) for r in D.round_robin_sample(frame, 9).collect()) == sorted(want)
+    assert [(r.path, r.page) for r in D.round_robin_sample(frame, 9).orderBy("place").collect()] == want
+
+
+def test_recall_gate_compares_before_rounding(spark):
+    df = spark.createDataFrame([(16999, 20000, 200)] * 3 + [(17000, 20000, 200)], "hits long, truth_tokens long, truth_len int")
+    row = D.recall_gate(df.limit(3)).first()
+    assert (row.usable, row.low_rows, row.median_recall, row.passed) == (3, 3, 8500.0, False)
+    assert D.recall_gate(df.filter("hits = 17000")).first().passed and D.low_recall_rows(df).count() == 3
 
 
 def test_extractions_from_json_lines_to_questions(spark, tmp_path):
@@ -159,10 +163,9 @@ def test_guides_merge_in_document_order(spark):
     unit = {"unit": "u", "rank": 1, "note": None}
     docs = [("law", 2, ["b"], [], ["n"]), ("law", 1, ["a", "c"], [unit], []), ("social", 3, [], [unit], [])]
     df = spark.createDataFrame(docs, "subject_key string, ord int, study_order array<string>, unit_priority array<struct<unit:string,rank:int,note:string>>, notes array<string>")
-    for hot in (1, 100):
-        entries = C.merge_by_subject(df, "subject_key", ["ord"], ["study_order", "unit_priority", "notes"], hot_rows=hot)
-        law = sorted((r.place, r.entry) for r in entries.filter("subject_key = 'law' and kind = 'study_order'").collect())
-        assert law == [(0, "a"), (1, "c"), (2, "b")]
+    entries = C.merge_by_subject(df, "subject_key", ["ord"], ["study_order", "unit_priority", "notes"])
+    law = sorted((r.place, r.entry) for r in entries.filter("subject_key = 'law' and kind = 'study_order'").collect())
+    assert law == [(0, "a"), (1, "c"), (2, "b")]
     gates = {r.subject_key: r for r in C.guide_gates(entries, C.default_subjects(spark)).collect()}
     assert gates["social"].no_content and not gates["law"].no_ranks and gates["physical"].missing
 

@@ -20,21 +20,23 @@ def test_running_sum_is_exact_over_partitions(spark):
         assert out[k] == total
 
 
-def test_group_index_same_with_and_without_large_groups(spark):
+def test_group_index_of_a_large_group(spark):
     rows = [("hot" if i % 3 else f"g{i}", i) for i in range(300)]
-    df = spark.createDataFrame(rows, "g string, i int")
-    plain = {(r.g, r.i): r.idx for r in O.with_group_index(df, ["g"], ["i"]).collect()}
-    split = {(r.g, r.i): r.idx for r in O.with_group_index(df, ["g"], ["i"], hot_rows=10).collect()}
-    assert plain == split and max(plain.values()) == 199
+    df = spark.createDataFrame(rows, "g string, i int").repartition(5)
+    places = {(r.g, r.i): r.idx for r in O.with_group_index(df, ["g"], ["i"]).collect()}
+    hot = sorted(i for g, i in rows if g == "hot")
+    assert all(places["hot", i] == k for k, i in enumerate(hot)) and all(v == 0 for (g, _), v in places.items() if g != "hot")
 
 
-def test_group_facts_reach_hot_and_cold_rows(spark):
-    rows = [("hot" if i % 3 else f"g{i}", i) for i in range(300)] + [("none", -1)]
+def test_group_facts_reach_every_row(spark):
+    rows = [("hot" if i % 3 else f"g{i}", i) for i in range(300)] + [("none", -1), (None, -2)]
     df = spark.createDataFrame(rows, "g string, i int")
     facts = df.filter("g <> 'none'").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("first"))
-    out = O.attach_group_facts(df, facts, ["g"], "n", ["i"], hot_rows=50).collect()
-    assert len(out) == 301
-    assert all((r.n, r.first) == ((200, 1) if r.g == "hot" else (None, None) if r.g == "none" else (1, r.i)) for r in out)
+    out = O.attach_group_facts(df, facts, ["g"], ["i"]).collect()
+    assert len(out) == 302
+    assert all(
+        (r.n, r.first) == ((200, 1) if r.g == "hot" else (None, None) if r.g in ("none", None) else (1, r.i)) for r in out
+    )
 
 
 def test_positions_by_stretches(spark):
@@ -52,7 +54,7 @@ def test_hot_rows_are_spread_by_the_join(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = O.attach_group_facts(df, facts, ["g"], "n", ["i"], hot_rows=100)
+        joined = O.attach_group_facts(df, facts, ["g"], ["i"])
         sizes = [len(p) for p in joined.rdd.glom().collect()]
         assert sum(sizes) == 1050 and max(sizes) < 450
     finally:

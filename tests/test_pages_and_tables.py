@@ -48,7 +48,28 @@ def test_incremental_write_is_idempotent_and_force_rebuilds(spark):
     newer = spark.createDataFrame([(1, "new", 0), (3, "c", 1)], "k int, v string, part int")
     assert {r.k: r.v for r in tables.incremental_write(newer, path, ["k"], ["part"]).collect()} == {1: "a", 2: "b", 3: "c"}
     forced = tables.incremental_write(newer, path, ["k"], ["part"], force=True)
-    assert {r.k: r.v for r in forced.collect()} == {1: "new", 3: "c"}
+    assert {r.k: r.v for r in forced.collect()} == {1: "new", 2: "b", 3: "c"}
+    whole = workspace(spark, "t")
+    tables.incremental_write(first.drop("part"), whole, ["k"])
+    forced = tables.incremental_write(newer.drop("part"), whole, ["k"], force=True)
+    assert {r.k: r.v for r in forced.collect()} == {1: "new", 2: "b", 3: "c"}
+
+
+def test_survivor_of_a_batch_is_fixed(spark):
+    rows = spark.createDataFrame([(1, "b", 2), (1, "a", 3), (2, "z", 1)], "k int, v string, t int")
+    for parts in (1, 3):
+        store = tables.incremental_write(rows.repartition(parts), workspace(spark, "t"), ["k"], order=["t"])
+        assert {r.k: r.v for r in store.collect()} == {1: "b", 2: "z"}
+
+
+def test_named_partitions_are_rewritten(spark):
+    path = workspace(spark, "t")
+    rows = [(1, "a:b"), (2, "x"), (3, "x"), (4, None), (5, "p/q r"), (6, "y=z%"), (7, None)]
+    store = tables.incremental_write(spark.createDataFrame(rows, "k int, part string"), path, ["k"], ["part"])
+    gone = spark.createDataFrame([(1,), (2,), (4,), (5,), (6,), (7,)], "k int")
+    touched = store.join(gone, "k", "left_semi").select("part")
+    tables.rewrite_partitions(spark, path, B.invalidate(store, gone, ("k",)), touched, "part")
+    assert [tuple(r) for r in tables.read_store(spark, path, store.schema).collect()] == [(3, "x")]
 
 
 def test_rewrite_removes_emptied_partitions(spark):

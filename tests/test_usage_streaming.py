@@ -47,13 +47,15 @@ def test_gates_and_log(spark):
 def test_leak_rules(spark):
     docs = spark.createDataFrame([
         ("l1/a.pdf", "fine"), ("b.md", "---\nsource: q\nsha: 0123456789abcdef\n---\n"), ("c", "x" * 30 + " fileId"), ("d", "C:\\Users\\me"),
-        ("e", "sk-" + "a" * 20), ("f", "y" * 30),
+        ("e", "sk-" + "a" * 20), ("f", "y" * 30), ("g", "uses fileId here\n" + "z" * 30), ("h", "fileId " + "z" * 30),
     ], "path string, content string")
     hits = G.leak_scan(docs)
     assert sorted((r.path, r.rule) for r in hits.collect()) == [
-        ("b.md", "page-text"), ("c", "file-id"), ("d", "local-path"), ("e", "api-key"), ("l1/a.pdf", "output-folder"), ("l1/a.pdf", "study-file")]
-    allowed = G.leak_scan(docs, allow=docs.filter("path = 'e'"), allow_by_rule=spark.createDataFrame([("study-file", "l1/a.pdf")], "rule string, path string"))
+        ("b.md", "l1-content"), ("c", "drive-id"), ("d", "local-path"), ("e", "api-key"), ("l1/a.pdf", "output-dir"), ("l1/a.pdf", "study-ext")]
+    allowed = G.leak_scan(docs, allow=docs.filter("path = 'e'"), allow_by_rule=spark.createDataFrame([("study-ext", "l1/a.pdf")], "rule string, path string"))
     assert allowed.count() == 4
+    extra = G.leak_scan(spark.createDataFrame([("p", "see D:\\Courses and /Courses/x")], "path string, content string"), rules=[G.source_folder_rule("Courses")])
+    assert [r.rule for r in extra.collect()] == ["drive-path"]
 
 
 def batches(spark, folder, parts):
