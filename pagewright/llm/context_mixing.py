@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import chunks, held_out, mixed, text_bytes, whole_text, word_codes, word_hashes
 from pagewright.session import durable
 
-ORDERS = (1, 2, 3, 4, 5)
+ORDERS = (2, 3, 4, 5)
 SLOT_BITS = 20
 WORD_SLOT_BITS = 22
 SLOTS = (len(ORDERS) << SLOT_BITS) + (1 << WORD_SLOT_BITS)
@@ -40,7 +41,11 @@ LIMIT = 10.0
 PRIOR = 0.05
 SHARPNESS = (0.8, 1.0, 1.2)
 END = b"\n"
-LM_CHUNK = 3 << 20
+LM_CHUNK = 4 << 20
+#: Distinct grams a task keeps together before it hands them on.
+HELD = 3_000_000
+#: Partial tables of bit counts; each task of that step holds one.
+TABLES = 8
 _CONTEXT = max(ORDERS)
 
 
@@ -116,13 +121,15 @@ class Mixer:
     seen: np.ndarray
 
     def mix(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        w = self.weights[gate]
-        return np.clip((inputs * w[..., :-1]).sum(axis=-1) + w[..., -1], -LIMIT, LIMIT)
+        total = self.weights[:, -1].astype(inputs.dtype)[gate]
+        for k in range(INPUTS):
+            total = total + inputs[..., k] * self.weights[:, k].astype(inputs.dtype)[gate]
+        return np.clip(total, -LIMIT, LIMIT)
 
     def refined(self, mixed_odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
         level = np.rint((mixed_odds + LIMIT) * ((LEVELS - 1) / (2 * LIMIT))).astype(np.int64)
-        cell = self.seen[gate, level]
-        return (mixed_odds + odds(cell[..., 0], cell[..., 1])) / 2
+        known = odds(self.seen[..., 0], self.seen[..., 1]).astype(mixed_odds.dtype)
+        return (mixed_odds + known[gate, level]) / 2
 
 
 def _left_out(counts: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,20 +200,46 @@ class Model:
         gate = (inputs[..., :-1] != 0).sum(axis=-1) + INPUTS * self.steps[slots[..., -1] - (len(ORDERS) << SLOT_BITS)].astype(np.int64)
         return self.mixer.refined(self.mixer.mix(inputs, gate), gate), bits
 
+    def bit_costs(self, grams: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's last byte, per degree of sharpness."""
+        costs = np.empty((len(grams), len(SHARPNESS)), np.float32)
+        for a in range(0, len(grams), 16384):
+            final, bits = self.final_odds(grams[a:a + 16384], prefix[a:a + 16384])
+            final = np.where(bits == 1, -final, final)
+            for s, sharp in enumerate(SHARPNESS):
+                costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -16, 16))).sum(axis=1) / np.log(10)
+        return costs
+
+
+class Scorer:
+    """Scores texts with a model; costs of grams seen before in the task are kept, up to ``HELD`` of them."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.keys, self.costs = np.zeros(0, np.uint64), np.zeros((0, len(SHARPNESS)), np.float32)
+
+    def _costs(self, grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        distinct, at, inverse = np.unique(mixed(grams ^ mixed(prefix)), return_index=True, return_inverse=True)
+        costs = np.empty((len(distinct), len(SHARPNESS)), np.float32)
+        place = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
+        known = self.keys[place] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        costs[known] = self.costs[place[known]]
+        costs[~known] = self.model.bit_costs(grams[at[~known]], prefix[at[~known]])
+        keys = np.concatenate([self.keys, distinct[~known]])
+        if len(keys) > HELD:
+            self.keys, self.costs = distinct, costs
+        else:
+            order = np.argsort(keys)
+            self.keys, self.costs = keys[order], np.concatenate([self.costs, costs[~known]])[order]
+        return costs, inverse
+
     def log10(self, texts: list[bytes | None]) -> np.ndarray:
         """log10 probability of each coded text."""
         out = []
         for start, end in chunks(texts, LM_CHUNK):
             grams, prefix, starts = byte_grams(texts[start:end])
-            distinct, inverse, _ = distinct_grams(grams, prefix)
-            costs = np.empty((len(distinct), len(SHARPNESS)))
-            for a in range(0, len(distinct), 16384):
-                at = distinct[a:a + 16384]
-                final, bits = self.final_odds(grams[at], prefix[at])
-                final = np.where(bits == 1, -final, final)
-                for s, sharp in enumerate(SHARPNESS):
-                    costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -16, 16))).sum(axis=1) / np.log(10)
-            sums = np.stack([np.add.reduceat(costs[:, s][inverse], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
+            costs, inverse = self._costs(grams, prefix)
+            sums = np.stack([np.add.reduceat(costs[:, s].astype(np.float64)[inverse], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
             top = sums.max(axis=1)
             out.append(top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)))
         return np.concatenate(out) if out else np.zeros(0)
@@ -216,15 +249,36 @@ def _words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[byte
     return word_codes([t.lower() if t else t for t in texts])
 
 
+def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    grams, prefix, numbers = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    at, inverse, _ = distinct_grams(grams, prefix)
+    return grams[at], prefix[at], np.bincount(inverse, numbers, len(at)).astype(np.int64)
+
+
 def _gram_counts(batches):
+    """Distinct grams of a task with their numbers, merged whenever ``HELD`` have come together."""
+    held, total = [], 0
+
+    def batch_of(grams, prefix, numbers):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(grams.view(np.int64)), pa.array(prefix.view(np.int64)), pa.array(numbers)], ["gram", "prefix", "n"]
+        )
+
     for batch in batches:
         raw = text_bytes(batch["text"])
         for start, end in chunks(raw):
             grams, prefix, _ = byte_grams(raw[start:end])
             at, _, numbers = distinct_grams(grams, prefix)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), pa.array(prefix[at].view(np.int64)), pa.array(numbers)], ["gram", "prefix", "n"]
-            )
+            held.append((grams[at], prefix[at], numbers))
+            total += len(at)
+            if total > HELD:
+                held = [_merged(held)]
+                total = len(held[0][0])
+                if total > HELD // 2:
+                    yield batch_of(*held[0])
+                    held, total = [], 0
+    if held:
+        yield batch_of(*_merged(held))
 
 
 def _word_counts(batches):
@@ -238,36 +292,23 @@ def _word_counts(batches):
             )
 
 
-def _slot_counts(batches):
-    """n-gram counts to bit counts per slot, summed within each batch."""
-    for batch in batches:
-        grams = batch["gram"].to_numpy(zero_copy_only=False).view(np.uint64)
-        numbers = batch["n"].to_numpy(zero_copy_only=False)
-        if not len(grams):
-            continue
-        slots, bits = bit_slots(grams, batch["prefix"].to_numpy(zero_copy_only=False).view(np.uint64))
-        keys = slots.astype(np.int64).reshape(-1)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        weight = np.repeat(numbers, 8 * INPUTS).astype(np.float64)
-        one = np.repeat(bits.reshape(-1), INPUTS).astype(np.float64)
-        ones = np.bincount(inverse, weight * one, len(distinct)).astype(np.int64)
-        every = np.bincount(inverse, weight, len(distinct)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(every - ones), pa.array(ones)], ["slot", "zeros", "ones"])
-
-
-def _packed(batches):
-    """Counts in slot order, in slices of fixed size; a slice that a batch cuts comes in parts."""
+def _slot_tables(batches):
+    """Bit counts per slot over all grams of a task, in slices of fixed size; slices without counts are left out."""
+    counts = np.zeros(SLOTS * 2, np.int64)
     for batch in batches:
-        slot = batch["slot"].to_numpy(zero_copy_only=False)
-        both = np.stack([batch["zeros"].to_numpy(zero_copy_only=False), batch["ones"].to_numpy(zero_copy_only=False)], 1)
-        piece = slot >> SLICE_BITS
-        for p in np.unique(piece).tolist():
-            here = piece == p
-            yield pa.RecordBatch.from_arrays([
-                pa.array([p], pa.int64()),
-                pa.array([(slot[here] & ((1 << SLICE_BITS) - 1)).astype(np.int32).tobytes()], pa.binary()),
-                pa.array([np.minimum(both[here], 2**31 - 1).astype(np.int32).tobytes()], pa.binary()),
-            ], ["piece", "at", "counts"])
+        grams, prefix, numbers = (batch[c].to_numpy(zero_copy_only=False) for c in ("gram", "prefix", "n"))
+        for a in range(0, len(grams), 65536):
+            slots, bits = bit_slots(grams[a:a + 65536].view(np.uint64), prefix[a:a + 65536].view(np.uint64))
+            cells = slots.astype(np.int64) * 2 + bits[..., None]
+            np.add.at(counts, cells.reshape(-1), np.repeat(numbers[a:a + 65536], 8 * INPUTS))
+    for piece, part in enumerate(counts.reshape(-1, 2 << SLICE_BITS)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["piece", "counts"])
+
+
+def _slice_sum(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(c, np.int64) for c in rows["counts"])
+    return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "counts": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
 
 
 def train_model(training: DataFrame) -> Model:
@@ -275,16 +316,11 @@ def train_model(training: DataFrame) -> Model:
     spark = training.sparkSession
     counted = training.mapInArrow(_gram_counts, "gram long, prefix long, n long")
     grams = durable(counted.groupBy("gram", "prefix").agg(F.sum("n").alias("n")))
-    # In order of the leading bytes, so that grams with a common context are summed in one batch.
-    ordered = grams.repartitionByRange("gram").sortWithinPartitions("gram")
-    slots = ordered.mapInArrow(_slot_counts, "slot long, zeros long, ones long").groupBy("slot").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")
-    )
+    partial = grams.coalesce(TABLES).mapInArrow(_slot_tables, "piece long, counts binary")
     counts = np.zeros((SLOTS, 2), np.int32)
-    packed = slots.repartitionByRange("slot").sortWithinPartitions("slot").mapInArrow(_packed, "piece long, at binary, counts binary")
-    for row in packed.toLocalIterator():  # at most SLOTS slots, whatever the input
-        at = np.frombuffer(row["at"], np.int32) + (row["piece"] << SLICE_BITS)
-        counts[at] = np.frombuffer(row["counts"], np.int32).reshape(-1, 2)
+    width = 1 << SLICE_BITS
+    for row in partial.groupBy("piece").applyInPandas(_slice_sum, "piece long, counts binary").toLocalIterator():  # SLOTS in all
+        counts[row["piece"] * width:(row["piece"] + 1) * width] = np.frombuffer(row["counts"], np.int32).reshape(-1, 2)
     shared = spark.sparkContext.broadcast(counts)
 
     def learn(batches):
@@ -335,10 +371,10 @@ def score_texts(
     shared = spark.sparkContext.broadcast((train_model(training).state(), table))
 
     def score(batches):
+        (odds_table, steps, weights, seen), (known, numbers) = shared.value
+        scorer = Scorer(Model(odds_table, steps, Mixer(weights, seen)))
         for batch in batches:
             raw = text_bytes(batch["text"])
-            (odds_table, steps, weights, seen), (known, numbers) = shared.value
-            model = Model(odds_table, steps, Mixer(weights, seen))
             columns = {c: [] for c in ("n_tokens", "n_known", "base", "rare", "times", "n_bytes")}
             for start, end in chunks(raw, LM_CHUNK):
                 codes, starts, vocabulary = _words(raw[start:end])
@@ -359,7 +395,7 @@ def score_texts(
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"], batch["held_out"], pa.array(columns["n_tokens"], pa.int64()), pa.array(columns["n_known"], pa.int64()),
                 pa.array(columns["base"], pa.float64()), pa.array(columns["rare"], pa.list_(pa.binary())),
-                pa.array(columns["times"], pa.list_(pa.int64())), pa.array(columns["n_bytes"], pa.int64()), pa.array(model.log10(raw), pa.float64()),
+                pa.array(columns["times"], pa.list_(pa.int64())), pa.array(columns["n_bytes"], pa.int64()), pa.array(scorer.log10(raw), pa.float64()),
             ], ["doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "times", "n_bytes", "score"])
 
     scored = durable(rows.mapInArrow(
