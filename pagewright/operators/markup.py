@@ -204,7 +204,7 @@ def _marker(kind: Column, side: int) -> Column:
 
 
 def mark_page(body: Column, marks: Column) -> Column:
-    """Body with markers put around spans; ``marks`` is array<struct<line,s,e,kind>>.
+    """Body with markers put around spans; ``marks`` maps a 1-based line to array<struct<s,e,kind>>.
 
     Each span gives two boundary events. At one position inner spans close before outer ones, and
     all closings come before openings, outer first; so markers always nest.
@@ -235,8 +235,8 @@ def mark_page(body: Column, marks: Column) -> Column:
         )
 
     def one_line(line: Column, i: Column) -> Column:
-        own = F.filter(marks, lambda m: m["line"] == i + 1)
-        return F.when(F.exists(marks, lambda m: m["line"] == i + 1), build(line, own)).otherwise(line)
+        own = F.try_element_at(marks, i + 1)
+        return F.when(own.isNotNull(), build(line, own)).otherwise(line)
 
     return F.array_join(F.transform(F.split(body, "\n"), one_line), "\n")
 
@@ -249,23 +249,16 @@ def apply_marks(pages: DataFrame, resolved: DataFrame, keys=KEYS, body: str = "b
     a line has fewer than twice as many as characters, and a page's array is bounded by its text.
     """
     keys = list(keys)
-    chosen = resolved.filter("status = 'applied'").groupBy(*keys).agg(
-        F.collect_list(F.struct(
-            F.col("hit_line").alias("line"), F.col("start").alias("s"), F.col("stop").alias("e"),
-            F.col("mark_type").alias("kind"),
-        )).alias("_marks")
-    )
-    staged = pages.join(chosen, keys, "left").withColumn("_base", markup.strip_marks(F.col(body)))
-    staged = staged.withColumn(
-        "new_body",
-        F.when(F.col("_marks").isNull(), F.col(body)).otherwise(mark_page(F.col("_base"), F.col("_marks"))),
-    )
-    return staged.select(
-        *pages.columns,
-        "new_body",
-        F.when(F.col("_marks").isNull(), 0).otherwise(F.size("_marks")).alias("n_marks"),
-        (markup.strip_marks(F.col("new_body")) == F.col("_base")).alias("intact"),
+    span = F.struct(F.col("start").alias("s"), F.col("stop").alias("e"), F.col("mark_type").alias("kind"))
+    lines = resolved.filter("status = 'applied'").groupBy(*keys, "hit_line").agg(F.collect_list(span).alias("_own"))
+    chosen = lines.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("hit_line", "_own"))).alias("_marks"), F.sum(F.size("_own")).cast("int").alias("n_marks")
     )
+    marked = F.col("_marks").isNotNull()
+    base = text.pinned(pages.join(chosen, keys, "left"), _base=F.when(marked, markup.strip_marks(F.col(body))))
+    staged = text.pinned(base, new_body=F.when(marked, mark_page(F.col("_base"), F.col("_marks"))).otherwise(F.col(body)))
+    intact = F.when(marked, markup.strip_marks(F.col("new_body")) == F.col("_base")).otherwise(True)
+    return staged.select(*pages.columns, "new_body", F.coalesce("n_marks", F.lit(0)).alias("n_marks"), intact.alias("intact"))
 
 
 def clear_marks(body: Column) -> Column:
@@ -300,7 +293,8 @@ def apply_status(instructions: DataFrame, pages: DataFrame, baseline: DataFrame,
         F.count_if(~F.col("status").isin("applied", "duplicate")).alias("failed_marks"),
         F.count_if(markup.mark_type(F.col("type")).isNull()).alias("unknown_types"),
     )
-    applied = apply_marks(pages.select(*keys, body), resolved, keys, body).select(
+    filed = pages.select(*keys, body).join(instructions.select(*keys).distinct(), keys, "left_semi")
+    applied = apply_marks(filed, resolved, keys, body).select(
         *keys, F.col(body).alias("_old"), "new_body", "intact", markup.body_fingerprint(F.col(body)).alias("_fp")
     )
     base = baseline.select(*keys, F.col("fp").alias("_want"))

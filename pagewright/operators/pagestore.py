@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagewright import fixed_values as V
 from pagewright.functions import paths, text
@@ -43,13 +44,14 @@ def split_errors(df: DataFrame, goal: str, key: str, error: str = "error") -> tu
     return good, bad
 
 
-def map_pages(df: DataFrame, body_function, schema: str, key: str = "key") -> DataFrame:
+def map_pages(df: DataFrame, body_function, schema: str | T.StructType, key: str = "key") -> DataFrame:
     """Apply a caller's Python function to rows in Arrow batches; a failing row carries its error.
 
     ``body_function`` takes one row as a dict and returns a dict. An exception that has
     ``stop_pipeline`` set ends the job, any other becomes the row's ``error``.
     """
-    names = [part.split()[0] for part in schema.split(",")]
+    shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = shape.fieldNames()
 
     def run(batches):
         import pandas as pd
@@ -68,7 +70,7 @@ def map_pages(df: DataFrame, body_function, schema: str, key: str = "key") -> Da
                 rows.append(out)
             yield pd.DataFrame(rows, columns=[*names, "error"])
 
-    return df.mapInPandas(run, f"{schema}, error string")
+    return df.mapInPandas(run, T.StructType([*shape.fields, T.StructField("error", T.StringType())]))
 
 
 def worklist(assets: DataFrame, store: DataFrame, keys=("content_sha", "page")) -> DataFrame:

@@ -11,6 +11,21 @@ from pagewright.operators import pagestore as B
 from pagewright.plans.registry import query
 from pagewright.plans.sql_views import choose, squeeze
 from pagewright.plans.views import FOLDERS, STEMS, Views, pick
+from pagewright.session import workspace
+from pagewright.sources import files
+
+
+@query("scan_assets", """
+    select source, count(*) > 0 as found, cast(sum(strlen(text) + 1) as bigint) as size_bytes from documents group by source""")
+def scan_assets(v: Views):
+    """Documents written as one text file per source, then listed."""
+    root = workspace(v.spark, "files")
+    v.table("documents").select("source", "text").repartition("source").write.partitionBy("source").text(root)
+    listed = files.scan_assets(v.spark, root).filter(~F.col("path").contains("/_"))
+    source = F.regexp_extract("path", r"source=([^/]+)/", 1)
+    return listed.groupBy(source.alias("source")).agg(
+        (F.count(F.lit(1)) == 1).alias("found"), F.sum("size_bytes").alias("size_bytes")
+    )
 
 
 @query("dup_groups", "select doc_id, path, content_sha, dup_group, is_primary from fx_dups")

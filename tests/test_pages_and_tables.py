@@ -90,6 +90,8 @@ def test_map_pages_carries_errors_and_stops_when_told(spark):
     good, bad = B.split_errors(B.map_pages(df, body, "key string, half long"), "g", "key")
     assert [tuple(r) for r in good.collect()] == [("a", 10)]
     assert [(r.goal, r.key) for r in bad.collect()] == [("g", "b")] and "zero" in bad.first().error
+    pair = B.map_pages(df, lambda row: {"s": {"a": row["n"], "b": 2}}, "key string, s struct<a:int,b:int>").filter("error is null")
+    assert sorted((r.key, r.s.a, r.s.b) for r in pair.collect()) == [("a", 1, 2), ("b", 0, 2)]
 
     def fatal(row):
         problem = RuntimeError("over budget")
