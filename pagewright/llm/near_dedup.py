@@ -5,9 +5,10 @@ A document's set are the hashes of its word shingles. Equal sets are one class f
 candidate keys. Candidates are compared by registers (share of equal ones, less the expected chance collisions), what passes is
 confirmed on the full sets.
 
-Only connectivity matters, so links are looked for in two passes. First every class is checked against one pivot, the smallest member
-of the bucket it shares most often. Then, in every bucket whose members are not yet of one component, registers are compared
-between components, block by block, and what passes is confirmed. No bucket is cut, no candidate is dropped.
+Only connectivity matters, so links are looked for in two passes. A bucket's pivot is the member that shares most buckets with others, which
+is the middle of a family of copies. First every class is checked against the pivot it meets most often. Then, in every bucket
+whose members are not yet of one component, registers are compared between components, block by block, and what passes is
+confirmed. No bucket is cut, no candidate is dropped.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pagewright.session import durable
 INDEX_BITS = 8
 BUCKETS = 1 << INDEX_BITS
 MANTISSA = 10
-BLOCK = 256
+BLOCK = 2048
 #: How rarely a pair at the very threshold may share no band.
 MISS = 1e-8
 
@@ -100,11 +101,13 @@ def _cross_pairs(batches, similarity: float):
         left, right = [], []
         for a, b in zip(np.r_[0, edges], np.r_[edges, len(table)], strict=True):
             same = key[1][a] == key[2][a]
-            first = np.arange(a, b) if same else np.flatnonzero(blocks[a:b] == key[1][a]) + a
-            second = first if same else np.flatnonzero(blocks[a:b] == key[2][a]) + a
-            for i in first:
-                others = second[(second > i) | (not same)]
-                others = others[comps[others] != comps[i]]
+            places = np.arange(a, b)
+            _, which, many = np.unique(comps[a:b], return_inverse=True, return_counts=True)
+            largest = which == many.argmax()
+            # Rows outside the largest component meet all rows of other components, each pair once.
+            for i in places[~largest]:
+                others = places[(largest | (places > i)) & (which != which[i - a])]
+                others = others[same | (blocks[others] != blocks[i])]
                 small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
                 others = others[small >= similarity * large]
                 if len(others):
@@ -154,7 +157,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
 
 
 def near_classes(
-    docs: DataFrame, width: int = 5, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, block: int = BLOCK, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -204,8 +207,12 @@ def near_classes(
         F.min("row").alias("rep"), F.min("doc_id").alias("first_id"), F.any_value("registers").alias("registers")
     ))
     banded = classes.select("rep", "registers").mapInArrow(bands, "band long, rep long")
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("pivot")).filter("m > 1")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = durable(banded.join(shared, "band"))
+    degrees = members.groupBy("rep").agg(F.sum("m").alias("degree"))
+    pivots = members.join(degrees, "rep").groupBy("band").agg(
+        F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("pivot")
+    )
     wanted = members.select("rep").distinct().join(classes, "rep").select("rep", "digest", "first_id", "registers")
     known = wanted.select("first_id").distinct()
     sets = durable(
@@ -215,7 +222,7 @@ def near_classes(
         .join(wanted, "digest").select("rep", "shingles", "registers")
     )
     best = (
-        members.filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("hits"))
+        members.join(pivots, "band").filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("hits"))
         .groupBy("rep").agg(F.max_by("pivot", F.struct("hits", -F.col("pivot"))).alias("pivot"))
         .select(F.col("pivot").alias("u"), F.col("rep").alias("v"))
     )
@@ -226,7 +233,7 @@ def near_classes(
         "band", "rep", "m", F.coalesce("v", "rep").alias("comp")
     )
     open_bands = labelled.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("band")
-    parts = F.ceil(F.col("m") / BLOCK).cast("long")
+    parts = F.ceil(F.col("m") / block).cast("long")
     blocks = (
         labelled.join(open_bands, "band")
         .withColumn("block", F.pmod(F.xxhash64("rep"), parts))

@@ -40,8 +40,8 @@ def plain_classes(rows, width, percent):
     return sorted(((i, len(s), least.get(find(k)) if s else i) for k, (i, s) in enumerate(sets)), key=repr)
 
 
-@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
-def test_near_classes_against_all_pairs(spark, documents, odd, width, percent):
+@pytest.mark.parametrize("width,percent,block", [(3, 85, near_dedup.BLOCK), (5, 80, 2)])
+def test_near_classes_against_all_pairs(spark, documents, odd, width, percent, block):
     base = [r["text"] for r in documents.select("text").collect() if r["text"] and len(r["text"].split()) > 40][:25]
     rng = np.random.default_rng(5)
     family = []
@@ -54,7 +54,7 @@ def test_near_classes_against_all_pairs(spark, documents, odd, width, percent):
             family.append((100_000 + k * 10 + copy, " ".join(own)))
     rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").union(odd.select("doc_id", "text")).collect()] + family
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    out = near_dedup.near_classes(frame, width, percent / 100).collect()
+    out = near_dedup.near_classes(frame, width, percent / 100, block).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out), key=repr) == plain_classes(rows, width, percent)
     assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"]) for r in out)
 
