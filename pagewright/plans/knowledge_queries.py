@@ -16,16 +16,17 @@ from pagewright.sources.cards import read_cards_csv
 _DECKS = f"""
     select concat(lpad(cast(a as varchar), 2, '0'), 'to', lpad(cast(a + 7 as varchar), 2, '0'), '_약치part', a, '_deck') as deck, a,
       {trim("front")} as front, {trim("back")} as back
-    from (select conv_id % 8 + 1 as a, max(text) filter (turn = 0) as front, case when conv_id % 10 = 3 then '  ' else
-      concat(' "', max(text) filter (turn = 1), '", ', chr(10), 'x ') end as back from conversations group by conv_id)"""
+    from (select conv_id % 8 + 1 as a, coalesce(max(text) filter (turn % 2 = 0), '') as front, case when conv_id % 10 = 3 then '  ' else
+      concat(' "', coalesce(max(text) filter (turn % 2 = 1), ''), '", ', chr(10), 'x ') end as back
+      from conversations group by conv_id, turn // 2)"""
 
 
 def _deck_files(v: Views):
-    """Question and answer turns as card files with quotes and line breaks, one folder per deck."""
+    """All turns, each with the next as its answer, as card files with quotes and line breaks, one folder per deck."""
     c = F.col("conv_id")
     a = c % 8 + 1
-    turn = lambda n: F.max(F.when(F.col("turn") == n, F.col("text")))
-    pairs = v.table("conversations").groupBy("conv_id").agg(turn(0).alias("front"), turn(1).alias("_answer"))
+    turn = lambda n: F.coalesce(F.max(F.when(F.col("turn") % 2 == n, F.col("text"))), F.lit(""))
+    pairs = v.table("conversations").groupBy("conv_id", F.floor(F.col("turn") / 2)).agg(turn(0).alias("front"), turn(1).alias("_answer"))
     back = F.when(c % 10 == 3, "  ").otherwise(F.concat(F.lit(' "'), "_answer", F.lit('", \nx ')))
     two = lambda n: F.lpad(n.cast("string"), 2, "0")
     deck = F.concat(two(a), F.lit("to"), two(a + 7), F.lit("_약치part"), a, F.lit("_deck"))
