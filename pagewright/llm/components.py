@@ -13,7 +13,7 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(u, v) edges to (u, v) with v the smallest node that u reaches; nodes that are their own smallest have no row.
 
     Each round joins every node to the minimum of its neighbours; minima are partial aggregates and the joins can
@@ -21,9 +21,7 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """
     edges = durable(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
     before = _state(edges)
-    for _ in range(rounds):
-        if not before[0]:
-            break
+    while before[0]:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
