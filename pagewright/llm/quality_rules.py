@@ -105,7 +105,7 @@ def _cut(binned: DataFrame, keys: list[str], share: float) -> DataFrame:
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    """Mean and inverse Cholesky factor per group, in the unit of the vector; the factor's diagonal has the floors added."""
+    """Centre and inverse covariance per group, in the unit of the vector; the floors are added to the variances."""
     p = range(len(VECTOR))
     whole = {v: F.col(v).cast("decimal(20,0)") for v in VECTOR}
     sums = rows.groupBy("group").agg(
@@ -113,42 +113,42 @@ def _moments(rows: DataFrame) -> DataFrame:
         *[F.sum(whole[v]).cast("double").alias(f"s{i}") for i, v in enumerate(VECTOR)],
         *[F.sum((F.col(VECTOR[i]) * F.col(VECTOR[j])).cast("decimal(20,0)")).cast("double").alias(f"q{i}{j}") for i in p for j in p if j <= i],
     )
-    facts = sums.select(
-        "group",
-        *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in p],
-        *[
-            (F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * F.col(f"s{j}") / F.col("n")
-             + (F.lit((FLOORS[i] * UNIT) ** 2) if i == j else F.lit(0.0))).alias(f"c{i}{j}")
-            for i in p for j in p if j <= i
-        ],
+    mean = [F.col(f"s{i}") / F.col("n") for i in p]
+    cell = {
+        (i, j): F.col(f"q{max(i, j)}{min(i, j)}") / F.col("n") - mean[i] * mean[j] + ((FLOORS[i] * UNIT) ** 2 if i == j else 0.0)
+        for i in p for j in p
+    }
+    return sums.select("group", F.array(*mean).alias("centre"), F.array(*cell.values()).alias("covariance")).select(
+        "group", "centre", _inverse(F.col("covariance"), len(VECTOR)).alias("inverse")
     )
-    return _factor(facts)
 
 
-def _factor(facts: DataFrame) -> DataFrame:
-    p = range(len(VECTOR))
-    for j in p:
-        below = [F.col(f"l{j}{k}") * F.col(f"l{j}{k}") for k in range(j)]
-        facts = facts.withColumn(f"l{j}{j}", F.sqrt(F.greatest(reduce(lambda a, b: a - b, below, F.col(f"c{j}{j}")), F.lit(1.0))))
-        for i in range(j + 1, len(VECTOR)):
-            terms = [F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)]
-            facts = facts.withColumn(f"l{i}{j}", reduce(lambda a, b: a - b, terms, F.col(f"c{i}{j}")) / F.col(f"l{j}{j}"))
-    for j in p:
-        facts = facts.withColumn(f"w{j}{j}", 1 / F.col(f"l{j}{j}"))
-        for i in range(j + 1, len(VECTOR)):
-            terms = [F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)]
-            facts = facts.withColumn(f"w{i}{j}", -reduce(add, terms) / F.col(f"l{i}{i}"))
-    return facts.select("group", *[f"m{i}" for i in p], *[f"w{i}{j}" for i in p for j in p if j <= i])
+def _inverse(matrix: Column, n: int) -> Column:
+    """Inverse of a positive definite n x n matrix, given row by row as an array, by sweeping every pivot."""
+
+    def sweep(a: Column, k: Column) -> Column:
+        def cell(x: Column) -> Column:
+            i, j = F.floor(x / n).cast("int"), x % n
+            pivot, down, across = F.get(a, k * n + k), F.get(a, i * n + k), F.get(a, k * n + j)
+            return (
+                F.when((i == k) & (j == k), 1 / pivot).when(i == k, across / pivot).when(j == k, -down / pivot)
+                .otherwise(F.get(a, x) - down * across / pivot)
+            )
+
+        return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), cell)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), matrix, sweep)
 
 
 def _distances(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Squared Mahalanobis distance of each row to its group's estimate, and its bin."""
     p = range(len(VECTOR))
-    known = rows.select("row", "group", *VECTOR).join(facts, "group")
-    parts = [reduce(add, [F.col(f"w{i}{j}") * (F.col(VECTOR[j]) - F.col(f"m{j}")) for j in range(i + 1)]) for i in p]
-    squared = pinned(known.select("row", "group", *VECTOR, *[x.alias(f"y{i}") for i, x in enumerate(parts)]),
-                     d2=reduce(add, [F.col(f"y{i}") * F.col(f"y{i}") for i in p]))
-    return squared.withColumn("bin", F.floor(F.log2(1 + F.col("d2")) * DISTANCE_BINS)).drop(*[f"y{i}" for i in p])
+    known = rows.select("row", "group", *VECTOR).join(facts, "group").select(
+        "row", "group", *VECTOR, "inverse", *[(F.col(v) - F.get("centre", F.lit(i))).alias(f"z{i}") for i, v in enumerate(VECTOR)]
+    )
+    terms = [F.get("inverse", F.lit(i * len(VECTOR) + j)) * F.col(f"z{i}") * F.col(f"z{j}") for i in p for j in p]
+    squared = pinned(known, d2=F.greatest(reduce(add, terms), F.lit(0.0)))
+    return squared.select("row", "group", *VECTOR, "d2", F.floor(F.log2(1 + F.col("d2")) * DISTANCE_BINS).alias("bin"))
 
 
 def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4, least: int = 50) -> DataFrame:
@@ -165,10 +165,10 @@ def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4, least
     grouped = durable(keyed.join(names, ["l", "s"]).select("row", "group", *VECTOR))
     spots = grouped.select("group", F.posexplode(F.array(*VECTOR)).alias("at", "bin"))
     centres = _cut(spots, ["group", "at"], 0.5)
-    wide = centres.groupBy("group").agg(*[F.max(F.when(F.col("at") == i, F.col("cut"))).cast("double").alias(f"m{i}") for i in range(len(VECTOR))])
     p = range(len(VECTOR))
-    unit = {f"w{i}{j}": F.lit(1 / (FLOORS[i] * UNIT) if i == j else 0.0) for i in p for j in p if j <= i}
-    facts = durable(wide.withColumns(unit))
+    at_once = [F.max(F.when(F.col("at") == i, F.col("cut"))).cast("double") for i in p]
+    unit = [F.lit(1 / (FLOORS[i] * UNIT) ** 2 if i == j else 0.0) for i in p for j in p]
+    facts = durable(centres.groupBy("group").agg(F.array(*at_once).alias("centre")).withColumn("inverse", F.array(*unit)))
     for _ in range(steps):
         placed = _distances(grouped, facts)
         inner = placed.join(_cut(placed, ["group"], share), "group").filter("bin <= cut")
