@@ -9,14 +9,14 @@ The vocabulary file is a parameter. Segmentation maximises the sum of piece scor
 path under its scores, not the merge order, and its ids decode alike.
 """
 
-from __future__ import annotations
-
 import hashlib
 import os
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,8 @@ MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_
 MARK = "▁"
 BYTE_COST = 10.0
 PIECE_CHUNK = 6 << 20
+#: Words whose paths a task keeps for its next texts.
+KEPT_WORDS = 400_000
 _WORD = re.compile(r" *[^ \n]+| +|\n")
 _INNER = re.compile(r"[^ ] |\n")
 
@@ -112,16 +114,18 @@ def viterbi_words(words: list[str], vocabulary: Vocabulary) -> list[list[int]]:
     return out
 
 
-def encode_texts(texts: list[bytes | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in order, and where each text starts."""
+def encode_texts(texts: list[bytes | None], vocabulary: Vocabulary, kept: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in order, and where each text starts. ``kept`` carries paths of words from call to call."""
+    kept = {} if kept is None else kept
+    if len(kept) > KEPT_WORDS:
+        kept.clear()
     lists = [marked_words(t.decode("utf-8", "surrogatepass")) if t else [] for t in texts]
     counts = np.array([len(x) for x in lists], np.int64)
     coded = pa.array([w for x in lists for w in x], type=pa.large_string()).dictionary_encode()
     codes, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
-    order = sorted(range(len(distinct)), key=distinct.__getitem__)
-    paths = [None] * len(distinct)
-    for at, path in zip(order, viterbi_words([distinct[k] for k in order], vocabulary), strict=True):
-        paths[at] = path
+    new = sorted(w for w in distinct if w not in kept)
+    kept.update(zip(new, viterbi_words(new, vocabulary), strict=True))
+    paths = [kept[w] for w in distinct]
     lengths = np.array([len(p) for p in paths], np.int64)
     flat = np.array([i for p in paths for i in p], np.int32)
     first = np.r_[0, np.cumsum(lengths)]
@@ -141,15 +145,14 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, name: str = "piec
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path).state())
 
     @F.pandas_udf("array<int>")
-    def encode(texts):
-        import pandas as pd
-
-        vocabulary, out = Vocabulary(*shared.value), []
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        for start, end in chunks(raw, PIECE_CHUNK):
-            ids, starts = encode_texts(raw[start:end], vocabulary)
-            out += [ids[starts[i]:starts[i + 1]] for i in range(end - start)]
-        return pd.Series(out, dtype=object)
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vocabulary, kept = Vocabulary(*shared.value), {}
+        for texts in batches:
+            raw, out = [t.encode("utf-8", "surrogatepass") for t in texts], []
+            for start, end in chunks(raw, PIECE_CHUNK):
+                ids, starts = encode_texts(raw[start:end], vocabulary, kept)
+                out += [ids[starts[i]:starts[i + 1]] for i in range(end - start)]
+            yield pd.Series(out, dtype=object)
 
     return docs.withColumn(name, encode(whole_text(text_column)))
 
@@ -159,9 +162,7 @@ def decode_documents(encoded: DataFrame, model_path: str = MODEL, ids_column: st
     shared = encoded.sparkSession.sparkContext.broadcast(load_vocabulary(model_path).spelled)
 
     @F.pandas_udf("string")
-    def decode(lists):
-        import pandas as pd
-
+    def decode(lists: pd.Series) -> pd.Series:
         return pd.Series([decode_ids(x, shared.value).decode("utf-8", "surrogatepass") for x in lists], dtype=object)
 
     return encoded.withColumn(name, decode(F.coalesce(F.col(ids_column), F.array().cast("array<int>"))))
@@ -175,12 +176,12 @@ def piece_digests(docs: DataFrame, model_path: str = MODEL, id_column: str = "do
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path).state())
 
     def digest(batches):
-        vocabulary = Vocabulary(*shared.value)
+        vocabulary, kept = Vocabulary(*shared.value), {}
         for batch in batches:
             raw = text_bytes(batch["text"])
             numbers, sizes, shas, same = [], [], [], []
             for start, end in chunks(raw, PIECE_CHUNK):
-                ids, starts = encode_texts(raw[start:end], vocabulary)
+                ids, starts = encode_texts(raw[start:end], vocabulary, kept)
                 for i in range(end - start):
                     own = ids[starts[i]:starts[i + 1]]
                     numbers.append(len(own))
