@@ -5,7 +5,7 @@ by concentration steps: from coordinate-wise medians on, mean and covariance are
 with the smallest Mahalanobis distance, again and again. A text whose distance lies beyond ``cutoff`` is rejected.
 
 Every step is a DataFrame aggregate over one small row per document, with partial sums, so a group that holds a third of
-all rows is summed where its rows lie. Medians and the cut of the concentration step are read off histograms of
+all rows is summed where its rows lie; estimates come back to the rows by a salted join. Medians and the cut of the concentration step are read off histograms of
 whole-number bins, and sums are exact decimals: the result does not depend on partitions or order.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions.text import pinned
 from pagewright.llm.common import SPACE, space_words, whole_text
+from pagewright.operators.ordering import attach_group_facts
 from pagewright.session import durable
 
 SYMBOLS = "[#*$%&|<>]"
@@ -143,7 +144,7 @@ def _inverse(matrix: Column, n: int) -> Column:
 def _distances(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Squared Mahalanobis distance of each row to its group's estimate, and its bin."""
     p = range(len(VECTOR))
-    known = rows.select("row", "group", *VECTOR).join(facts, "group").select(
+    known = attach_group_facts(rows.select("row", "group", *VECTOR), facts, ["group"], ["row"]).select(
         "row", "group", *VECTOR, "inverse", *[(F.col(v) - F.get("centre", F.lit(i))).alias(f"z{i}") for i, v in enumerate(VECTOR)]
     )
     terms = [F.get("inverse", F.lit(i * len(VECTOR) + j)) * F.col(f"z{i}") * F.col(f"z{j}") for i in p for j in p]
@@ -162,7 +163,7 @@ def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4, least
         F.when(F.col("n") >= least, F.to_json(F.struct("lang", "source"))).otherwise("small").alias("group"),
     )
     keyed = rows.withColumn("l", F.coalesce("lang", F.lit("\u0000"))).withColumn("s", F.coalesce("source", F.lit("\u0000")))
-    grouped = durable(keyed.join(names, ["l", "s"]).select("row", "group", *VECTOR))
+    grouped = durable(attach_group_facts(keyed, names, ["l", "s"], ["row"]).select("row", "group", *VECTOR))
     spots = grouped.select("group", F.posexplode(F.array(*VECTOR)).alias("at", "bin"))
     centres = _cut(spots, ["group", "at"], 0.5)
     p = range(len(VECTOR))
@@ -171,11 +172,11 @@ def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4, least
     facts = durable(centres.groupBy("group").agg(F.array(*at_once).alias("centre")).withColumn("inverse", F.array(*unit)))
     for _ in range(steps):
         placed = _distances(grouped, facts)
-        inner = placed.join(_cut(placed, ["group"], share), "group").filter("bin <= cut")
+        inner = attach_group_facts(placed, _cut(placed, ["group"], share), ["group"], ["row"]).filter("bin <= cut")
         facts = durable(_moments(inner))
     placed = _distances(grouped, facts)
     middle = _cut(placed, ["group"], 0.5).select("group", (F.pow(F.lit(2.0), F.col("cut") / DISTANCE_BINS) - 1).alias("middle"))
-    return placed.join(middle, "group").select("row", (F.col("d2") / F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))).alias("d2"))
+    return attach_group_facts(placed, middle, ["group"], ["row"]).select("row", (F.col("d2") / F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))).alias("d2"))
 
 
 def quality_rules(
