@@ -27,7 +27,7 @@ from pagewright.session import durable
 
 ORDERS = (2, 3, 4, 5)
 SLOT_BITS = 20
-WORD_SLOT_BITS = 22
+WORD_SLOT_BITS = 21
 SLOTS = (len(ORDERS) << SLOT_BITS) + (1 << WORD_SLOT_BITS)
 SLICE_BITS = 14
 HEAD = 1 << 17
@@ -175,11 +175,11 @@ def train_mixer(
 
 def scoring_tables(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds per slot, exactly 0 where nothing was seen; and the step of how often, for the slots of word beginnings."""
-    table = np.empty(len(counts), np.float32)
+    table = np.empty(len(counts), np.float16)
     for a in range(0, len(counts), 1 << 20):
         part = counts[a:a + (1 << 20)].astype(np.float32)
         value = odds(part[:, 0], part[:, 1])
-        table[a:a + (1 << 20)] = np.where(part.sum(axis=1) > 0, np.where(value == 0, np.float32(1e-6), value), 0)
+        table[a:a + (1 << 20)] = np.where(part.sum(axis=1) > 0, np.where(value == 0, np.float16(1e-6), value), 0)
     words = counts[len(ORDERS) << SLOT_BITS:].sum(axis=1, dtype=np.int64)
     return table, np.digitize(words, STEPS).astype(np.int8)
 
@@ -196,7 +196,7 @@ class Model:
     def final_odds(self, grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Refined log odds of a one for every bit, and the bits."""
         slots, bits = bit_slots(grams, prefix)
-        inputs = self.table[slots]
+        inputs = self.table[slots].astype(np.float32)
         gate = (inputs[..., :-1] != 0).sum(axis=-1) + INPUTS * self.steps[slots[..., -1] - (len(ORDERS) << SLOT_BITS)].astype(np.int64)
         return self.mixer.refined(self.mixer.mix(inputs, gate), gate), bits
 
@@ -306,6 +306,12 @@ def _slot_tables(batches):
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["piece", "counts"])
 
 
+def _narrowed(counts: np.ndarray) -> np.ndarray:
+    """Counts in 16 bits: large pairs are scaled down together, what was seen stays at least 1."""
+    scale = np.maximum(counts.max(axis=1, keepdims=True) / 65535, 1)
+    return np.maximum(np.rint(counts / scale), counts > 0).astype(np.uint16)
+
+
 def _slice_sum(rows: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(c, np.int64) for c in rows["counts"])
     return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "counts": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
@@ -321,6 +327,7 @@ def train_model(training: DataFrame) -> Model:
     width = 1 << SLICE_BITS
     for row in partial.groupBy("piece").applyInPandas(_slice_sum, "piece long, counts binary").toLocalIterator():  # SLOTS in all
         counts[row["piece"] * width:(row["piece"] + 1) * width] = np.frombuffer(row["counts"], np.int32).reshape(-1, 2)
+    counts = _narrowed(counts)
     shared = spark.sparkContext.broadcast(counts)
 
     def learn(batches):
