@@ -83,7 +83,7 @@ def _locate(body: str, ends: np.ndarray, automaton, phrase: int) -> np.ndarray:
 def _shard_windows(rows: pd.DataFrame, phrases: pd.DataFrame, window: int, phrase: int) -> pd.DataFrame:
     import ahocorasick
 
-    out = {"doc_id": [], "digest": [], "body": [], "starts": [], "h1": [], "h2": []}
+    out = {"doc_id": [], "digest": [], "body": [], "starts": [], "times": [], "h1": [], "h2": []}
     wanted = set(zip(phrases["doc_id"], phrases["digest"], strict=True))
     recurring = np.unique(phrases["phrase"].to_numpy(np.int64).view(np.uint64)) if len(phrases) else np.zeros(0, np.uint64)
     docs = []
@@ -113,13 +113,18 @@ def _shard_windows(rows: pd.DataFrame, phrases: pd.DataFrame, window: int, phras
         np.add.at(change, first, 1)
         np.add.at(change, places + 1, -1)
         near = np.flatnonzero(np.cumsum(change)[:max(len(words) - window + 1, 0)] > 0)
-        h1, h2 = _window_hashes(hashes, window)
+        h1, h2 = (h[near] for h in _window_hashes(hashes, window))
+        # A window that a document repeats is one row: the starts follow in the order of the distinct windows.
+        order = np.lexsort((near, h2, h1))
+        h1, h2 = h1[order], h2[order]
+        fresh = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]) if len(order) else order
         out["doc_id"].append(doc_id)
         out["digest"].append(digest)
         out["body"].append(body[1:-1])
-        out["starts"].append(near.astype(np.int32))
-        out["h1"].append(h1[near])
-        out["h2"].append(h2[near])
+        out["starts"].append(near[order].astype(np.int32))
+        out["times"].append(np.diff(np.r_[fresh, len(order)]).astype(np.int32))
+        out["h1"].append(h1[fresh])
+        out["h2"].append(h2[fresh])
     return pd.DataFrame({name: pd.Series(values, dtype="int64" if name == "doc_id" else object) for name, values in out.items()})
 
 
@@ -172,24 +177,30 @@ def repeated_passages(
     held = spread.join(recurring, "phrase").select("doc_id", "digest", "phrase", shard.alias("shard"))
     located = texts.withColumn("shard", shard).groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(
         lambda rows, phrases: _shard_windows(rows, phrases, window, phrase),
-        "doc_id long, digest binary, body string, starts array<int>, h1 array<long>, h2 array<int>",
+        "doc_id long, digest binary, body string, starts array<int>, times array<int>, h1 array<long>, h2 array<int>",
     )
     path = workspace(spark, "passages")
     located.write.parquet(path)
     found = spark.read.parquet(path)
-    windows = found.select("doc_id", "digest", F.inline(F.arrays_zip("starts", "h1", "h2")))
+    places = F.sequence(F.lit(0), F.size("h1") - 1)
+    windows = found.filter(F.size("h1") > 0).select(
+        "doc_id", "digest", F.inline(F.arrays_zip(places.alias("place"), F.col("h1").alias("h1"), F.col("h2").alias("h2")))
+    )
     smallest = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
     gone = (
         windows.join(smallest, ["h1", "h2"]).filter("doc_id > least")
-        .groupBy("doc_id", "digest").agg(F.collect_list("starts").alias("gone"))
+        .groupBy("doc_id", "digest").agg(F.collect_list("place").alias("gone"))
     )
 
     def cut(batches):
         for batch in batches:
             removed, shas, kept = [], [], []
-            for body, starts in zip(text_bytes(batch["body"]), batch["gone"].to_pylist(), strict=True):
+            columns = [batch[c].to_pylist() for c in ("starts", "times", "gone")]
+            for body, starts, times, gone in zip(text_bytes(batch["body"]), *columns, strict=True):
                 words = body.split(b" ")
-                drop = covered(np.asarray(starts, np.int64), window, len(words))
+                chosen = np.zeros(len(times), bool)
+                chosen[gone] = True
+                drop = covered(np.asarray(starts, np.int64)[np.repeat(chosen, times)], window, len(words))
                 rest = b" ".join(w for w, d in zip(words, drop.tolist(), strict=True) if not d)
                 removed.append(int(drop.sum()))
                 shas.append(hashlib.sha256(rest).hexdigest())
@@ -198,7 +209,8 @@ def repeated_passages(
                 batch["doc_id"], batch["digest"], pa.array(removed, pa.int64()), pa.array(shas), pa.array(kept, pa.binary()).cast(pa.string()),
             ], ["doc_id", "digest", "n_removed", "new_sha", "kept_text"])
 
-    cuts = found.select("doc_id", "digest", "body").join(gone, ["doc_id", "digest"]).select("doc_id", "digest", "body", "gone").mapInArrow(
+    texts_left = found.select("doc_id", "digest", "body", "starts", "times").join(gone, ["doc_id", "digest"])
+    cuts = texts_left.select("doc_id", "digest", "body", "starts", "times", "gone").mapInArrow(
         cut, "doc_id long, digest binary, n_removed long, new_sha string, kept_text string"
     )
     placed = sketches.drop("anchors").join(firsts, "digest", "left").join(cuts, ["doc_id", "digest"], "left")
