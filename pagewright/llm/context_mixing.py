@@ -41,9 +41,9 @@ LIMIT = 10.0
 PRIOR = 0.05
 SHARPNESS = (0.8, 1.0, 1.2)
 END = b"\n"
-LM_CHUNK = 4 << 20
+LM_CHUNK = 1 << 20
 #: Distinct grams a task keeps together before it hands them on.
-HELD = 3_000_000
+HELD = 1_500_000
 #: Partial tables of bit counts; each task of that step holds one.
 TABLES = 8
 _CONTEXT = max(ORDERS)
@@ -266,7 +266,7 @@ def _gram_counts(batches):
 
     for batch in batches:
         raw = text_bytes(batch["text"])
-        for start, end in chunks(raw):
+        for start, end in chunks(raw, LM_CHUNK):
             grams, prefix, _ = byte_grams(raw[start:end])
             at, _, numbers = distinct_grams(grams, prefix)
             held.append((grams[at], prefix[at], numbers))

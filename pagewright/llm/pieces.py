@@ -12,23 +12,24 @@ path under its scores, not the merge order, and its ids decode alike.
 import hashlib
 import os
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagewright.llm.common import chunks, text_bytes, whole_text
 
 MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
 MARK = "▁"
 BYTE_COST = 10.0
-PIECE_CHUNK = 6 << 20
+PIECE_CHUNK = 2 << 20
 #: Words whose paths a task keeps for its next texts.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 _WORD = re.compile(r" *[^ \n]+| +|\n")
 _INNER = re.compile(r"[^ ] |\n")
 
@@ -144,17 +145,27 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, name: str = "piec
     """``docs`` with an array of piece ids; a null or empty text gets an empty array, a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path).state())
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode(batches):
         vocabulary, kept = Vocabulary(*shared.value), {}
-        for texts in batches:
-            raw, out = [t.encode("utf-8", "surrogatepass") for t in texts], []
-            for start, end in chunks(raw, PIECE_CHUNK):
-                ids, starts = encode_texts(raw[start:end], vocabulary, kept)
-                out += [ids[starts[i]:starts[i + 1]] for i in range(end - start)]
-            yield pd.Series(out, dtype=object)
-
-    return docs.withColumn(name, encode(whole_text(text_column)))
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch["_text"]), 0).to_numpy(zero_copy_only=False)
+            # Slices of a few megabytes of text, so that neither bytes nor ids of a whole batch are held at once.
+            owner = np.cumsum(sizes, dtype=np.int64) // PIECE_CHUNK
+            for start, end in zip(*_runs(owner), strict=True):
+                part = batch.slice(start, end - start)
+                ids, starts = encode_texts(text_bytes(part["_text"]), vocabulary, kept)
+                column = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*[part[c] for c in columns], column], [*columns, name])
+
+    columns = [c for c in docs.columns if c != name]
+    shape = T.StructType([*[docs.schema[c] for c in columns], T.StructField(name, T.ArrayType(T.IntegerType()))])
+    return docs.select(*columns, whole_text(text_column).alias("_text")).mapInArrow(encode, shape)
+
+
+def _runs(owner: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches of equal values."""
+    cuts = (np.flatnonzero(np.diff(owner)) + 1).tolist()
+    return ([0, *cuts], [*cuts, len(owner)]) if len(owner) else ([], [])
 
 
 def decode_documents(encoded: DataFrame, model_path: str = MODEL, ids_column: str = "pieces", name: str = "decoded") -> DataFrame:
