@@ -8,8 +8,10 @@ are learned online over the training n-grams, with every occurrence left out of
 mixed odds to what was seen at such odds. Three degrees of sharpness are mixed by Bayes' rule along each text, which
 adapts to the text as it goes on.
 
-Counts of n-grams and words cover all training texts and are summed by Spark. Only tables of a fixed size travel to the tasks: the
-hashed counts, the mixing weights and the ``HEAD`` most frequent words; rarer words are joined.
+Counts of n-grams and words cover all training texts and stay in Spark tables that grow with them: one row per distinct gram, and
+per order one row per context and next byte with the counts along that byte's bits. Tables of longer contexts are joined to those of
+shorter ones, so no key has more than 256 rows there; counts of word beginnings come back by a salted join. Only the mixing weights and the
+``HEAD`` most frequent words travel to all tasks; rarer words are joined.
 """
 
 from __future__ import annotations
@@ -17,19 +19,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import chunks, held_out, mixed, text_bytes, whole_text, word_codes, word_hashes
-from pagewright.session import durable
+from pagewright.operators.ordering import attach_group_facts
+from pagewright.session import durable, workspace
 
-ORDERS = (2, 3, 4, 5)
-SLOT_BITS = 20
-WORD_SLOT_BITS = 21
-SLOTS = (len(ORDERS) << SLOT_BITS) + (1 << WORD_SLOT_BITS)
-SLICE_BITS = 14
+ORDERS = (1, 2, 3, 4, 5)
 HEAD = 1 << 17
 INPUTS = len(ORDERS) + 1
 #: How often a word's beginning was seen, in steps: never, once, up to 3, 15, 255 times, more often.
@@ -42,10 +41,12 @@ PRIOR = 0.05
 SHARPNESS = (0.8, 1.0, 1.2)
 END = b"\n"
 LM_CHUNK = 1 << 20
+#: Bytes of text that are scored together; a longer text is a chunk of its own.
+SCORE_CHUNK = 8 << 20
 #: Distinct grams a task keeps together before it hands them on.
 HELD = 1_500_000
-#: Partial tables of bit counts; each task of that step holds one.
-TABLES = 8
+#: Per predictor: what was seen beside each of the eight bits of a byte, and how often the byte itself was.
+PATH = 9
 _CONTEXT = max(ORDERS)
 
 
@@ -76,35 +77,16 @@ def byte_grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     return grams[keep], prefix[keep], starts
 
 
+def gram_keys(grams: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    return mixed(grams ^ mixed(prefix))
+
+
 def distinct_grams(grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each distinct (gram, prefix) stands first, which one every byte is, and how often each occurs."""
-    _, at, inverse, numbers = np.unique(mixed(grams ^ mixed(prefix)), return_index=True, return_inverse=True, return_counts=True)
+    _, at, inverse, numbers = np.unique(gram_keys(grams, prefix), return_index=True, return_inverse=True, return_counts=True)
     return at, inverse, numbers
 
 
-def bit_slots(grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each gram and each of the eight bits of its last byte: the slot of every predictor, and the bit."""
-    symbol = grams & np.uint64(0xFF)
-    step = np.arange(8, dtype=np.uint64)
-    node = (np.uint64(1) << step) | (symbol[:, None] >> (np.uint64(8) - step))
-    bits = ((symbol[:, None] >> (np.uint64(7) - step)) & np.uint64(1)).astype(np.int8)
-    slots = np.empty((len(grams), 8, INPUTS), np.int32)
-    for at, order in enumerate(ORDERS):
-        context = (grams >> np.uint64(8)) & np.uint64((1 << (8 * order)) - 1)
-        spread = mixed(context * np.uint64(0x9DDFEA08EB382D69) + np.uint64(order))
-        slots[:, :, at] = _slot(spread, node, SLOT_BITS) + (at << SLOT_BITS)
-    word = mixed(prefix + np.uint64(0x5851F42D4C957F2D))
-    slots[:, :, -1] = _slot(word, node, WORD_SLOT_BITS) + (len(ORDERS) << SLOT_BITS)
-    return slots, bits
-
-
-def _slot(spread: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    keyed = (spread[:, None] + node) * np.uint64(0xC4CEB9FE1A85EC53)
-    keyed ^= keyed >> np.uint64(31)
-    keyed *= np.uint64(0xFF51AFD7ED558CCD)
-    return (keyed >> np.uint64(64 - bits)).astype(np.int32)
-
-
 def odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.clip(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR))), -LIMIT, LIMIT)
 
@@ -132,15 +114,35 @@ class Mixer:
         return (mixed_odds + known[gate, level]) / 2
 
 
-def _left_out(counts: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds and gate of each bit, with one occurrence of the bit itself taken out of the counts."""
-    pairs = counts[slots].astype(np.float32)
-    pairs[..., 1] -= bits[..., None]
-    pairs[..., 0] -= 1 - bits[..., None]
-    np.maximum(pairs, 0, out=pairs)
-    total = pairs.sum(axis=-1)
-    gate = (total[..., :-1] > 0).sum(axis=-1) + INPUTS * np.digitize(total[..., -1], STEPS)
-    return odds(pairs[..., 0], pairs[..., 1]), gate
+def path_counts(context: np.ndarray, symbol: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """For every byte after a context, rows in the order of both: how often the other value of each of its bits was seen after the
+    same bits so far, and how often the byte itself."""
+    counts = np.empty((len(context), PATH), np.float32)
+    above = None
+    for step in range(PATH):
+        node = symbol >> (8 - step)
+        new = np.r_[True, (context[1:] != context[:-1]) | (node[1:] != node[:-1])]
+        starts = np.flatnonzero(new)
+        here = np.repeat(np.add.reduceat(numbers, starts), np.diff(np.r_[starts, len(context)]))
+        if step:
+            counts[:, step - 1] = above - here
+        above = here
+    counts[:, -1] = above
+    return counts
+
+
+def bit_inputs(counts: np.ndarray, symbol: np.ndarray, left_out: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log odds of a one and gate for each bit of each byte, and the bits; ``left_out`` occurrences of the byte itself are taken
+    out of its counts, which has a row of ``PATH`` numbers per predictor."""
+    step = np.arange(8)
+    bits = ((symbol.astype(np.int64)[:, None] >> (7 - step)) & 1).astype(np.int8)
+    other = counts[..., :8]
+    later = np.cumsum(other[..., ::-1], axis=-1, dtype=np.float64)[..., ::-1] - other
+    taken = np.maximum((later + counts[..., 8:]).astype(np.float32) - left_out, 0)
+    total = taken + other
+    gate = (total[:, :-1] > 0).sum(axis=1) + INPUTS * np.digitize(total[:, -1], STEPS)
+    inputs = odds(other, taken) * np.where(bits == 1, np.float32(1), np.float32(-1))[:, None]
+    return inputs.transpose(0, 2, 1), gate, bits
 
 
 def train_mixer(
@@ -156,8 +158,7 @@ def train_mixer(
     squares = np.full((GATES, INPUTS + 1), 1e-6)
     for start in range(0, len(order), batch):
         at = order[start:start + batch]
-        slots, bits = bit_slots(grams[at], prefix[at])
-        inputs, gate = _left_out(counts, slots, bits)
+        inputs, gate, bits = bit_inputs(counts[at], grams[at] & np.uint64(0xFF), 1)
         inputs, gate, bits = inputs.reshape(-1, INPUTS), gate.reshape(-1), bits.reshape(-1).astype(np.int64)
         dot = mixer.mix(inputs, gate)
         weight = np.repeat(numbers[at].astype(np.float64), 8)
@@ -173,76 +174,50 @@ def train_mixer(
     return mixer
 
 
-def scoring_tables(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds per slot, exactly 0 where nothing was seen; and the step of how often, for the slots of word beginnings."""
-    table = np.empty(len(counts), np.float16)
-    for a in range(0, len(counts), 1 << 20):
-        part = counts[a:a + (1 << 20)].astype(np.float32)
-        value = odds(part[:, 0], part[:, 1])
-        table[a:a + (1 << 20)] = np.where(part.sum(axis=1) > 0, np.where(value == 0, np.float16(1e-6), value), 0)
-    words = counts[len(ORDERS) << SLOT_BITS:].sum(axis=1, dtype=np.int64)
-    return table, np.digitize(words, STEPS).astype(np.int8)
-
-
 @dataclass
 class Model:
-    table: np.ndarray
-    steps: np.ndarray
-    mixer: Mixer
+    """The distinct grams of the training texts with their numbers, as a table, and the mixing weights."""
 
-    def state(self) -> tuple:
-        return self.table, self.steps, self.mixer.weights, self.mixer.seen
+    grams: DataFrame
+    mixer: Mixer
 
     def final_odds(self, grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Refined log odds of a one for every bit, and the bits."""
-        slots, bits = bit_slots(grams, prefix)
-        inputs = self.table[slots].astype(np.float32)
-        gate = (inputs[..., :-1] != 0).sum(axis=-1) + INPUTS * self.steps[slots[..., -1] - (len(ORDERS) << SLOT_BITS)].astype(np.int64)
-        return self.mixer.refined(self.mixer.mix(inputs, gate), gate), bits
-
-    def bit_costs(self, grams: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's last byte, per degree of sharpness."""
-        costs = np.empty((len(grams), len(SHARPNESS)), np.float32)
-        for a in range(0, len(grams), 16384):
-            final, bits = self.final_odds(grams[a:a + 16384], prefix[a:a + 16384])
-            final = np.where(bits == 1, -final, final)
-            for s, sharp in enumerate(SHARPNESS):
-                costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -16, 16))).sum(axis=1) / np.log(10)
-        return costs
-
-
-class Scorer:
-    """Scores texts with a model; costs of grams seen before in the task are kept, up to ``HELD`` of them."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.keys, self.costs = np.zeros(0, np.uint64), np.zeros((0, len(SHARPNESS)), np.float32)
-
-    def _costs(self, grams: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distinct, at, inverse = np.unique(mixed(grams ^ mixed(prefix)), return_index=True, return_inverse=True)
-        costs = np.empty((len(distinct), len(SHARPNESS)), np.float32)
-        place = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
-        known = self.keys[place] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
-        costs[known] = self.costs[place[known]]
-        costs[~known] = self.model.bit_costs(grams[at[~known]], prefix[at[~known]])
-        keys = np.concatenate([self.keys, distinct[~known]])
-        if len(keys) > HELD:
-            self.keys, self.costs = distinct, costs
-        else:
-            order = np.argsort(keys)
-            self.keys, self.costs = keys[order], np.concatenate([self.costs, costs[~known]])[order]
-        return costs, inverse
-
-    def log10(self, texts: list[bytes | None]) -> np.ndarray:
-        """log10 probability of each coded text."""
-        out = []
-        for start, end in chunks(texts, LM_CHUNK):
-            grams, prefix, starts = byte_grams(texts[start:end])
-            costs, inverse = self._costs(grams, prefix)
-            sums = np.stack([np.add.reduceat(costs[:, s].astype(np.float64)[inverse], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
-            top = sums.max(axis=1)
-            out.append(top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)))
-        return np.concatenate(out) if out else np.zeros(0)
+        """Refined log odds of a one for every bit, and the bits; a look-up for few grams."""
+        spark = self.grams.sparkSession
+        asked = spark.createDataFrame(list(zip(grams.view(np.int64).tolist(), prefix.view(np.int64).tolist())), "gram long, prefix long")
+        every = self.grams.unionByName(asked.withColumn("n", F.lit(0).cast("long"))).groupBy("gram", "prefix").agg(F.sum("n").alias("n"))
+        rows = with_counts(every).join(asked.distinct(), ["gram", "prefix"], "left_semi").collect()  # at most what was asked for
+        known = {(r["gram"], r["prefix"]): r["counts"] for r in rows}
+        counts = _numbers([known[key] for key in zip(grams.view(np.int64).tolist(), prefix.view(np.int64).tolist())])
+        return final_odds(self.mixer, counts, grams & np.uint64(0xFF))
+
+
+def final_odds(mixer: Mixer, counts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    inputs, gate, bits = bit_inputs(counts, symbol)
+    return mixer.refined(mixer.mix(inputs, gate), gate), bits
+
+
+def bit_costs(mixer: Mixer, counts: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """log10 probability of each byte, per degree of sharpness."""
+    costs = np.empty((len(symbol), len(SHARPNESS)), np.float32)
+    for a in range(0, len(symbol), 16384):
+        final, bits = final_odds(mixer, counts[a:a + 16384], symbol[a:a + 16384])
+        final = np.where(bits == 1, -final, final)
+        for s, sharp in enumerate(SHARPNESS):
+            costs[a:a + 16384, s] = -np.log1p(np.exp(np.clip(sharp * final, -16, 16))).sum(axis=1) / np.log(10)
+    return costs
+
+
+def log10_scores(texts: list[bytes | None], keys: np.ndarray, costs: np.ndarray) -> np.ndarray:
+    """log10 probability of each coded text, from the costs of its grams; ``keys`` are sorted."""
+    out = []
+    for start, end in chunks(texts, LM_CHUNK):
+        grams, prefix, starts = byte_grams(texts[start:end])
+        place = np.searchsorted(keys, gram_keys(grams, prefix))
+        sums = np.stack([np.add.reduceat(costs[:, s].astype(np.float64)[place], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
+        top = sums.max(axis=1)
+        out.append(top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)))
+    return np.concatenate(out) if out else np.zeros(0)
 
 
 def _words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -255,32 +230,125 @@ def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams[at], prefix[at], np.bincount(inverse, numbers, len(at)).astype(np.int64)
 
 
-def _gram_counts(batches):
-    """Distinct grams of a task with their numbers, merged whenever ``HELD`` have come together."""
-    held, total = [], 0
+def _numbers(blobs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), np.float32).reshape(-1, INPUTS, PATH)
+
+
+def _blobs(values: np.ndarray) -> pa.Array:
+    """One binary value per row of a two-dimensional array."""
+    data = np.ascontiguousarray(values)
+    ends = np.arange(len(data) + 1, dtype=np.int32) * np.int32(data[0].nbytes if len(data) else 0)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _kept(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` as a compressed table in the shared folder."""
+    folder = workspace(frame.sparkSession, label)
+    frame.write.option("compression", "zstd").parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def _cut_chunks(batches):
+    """Rows with the number of their chunk: stretches of about ``SCORE_CHUNK`` bytes of a task's rows."""
+    from pyspark import TaskContext
+
+    chunk, total = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        numbers = []
+        for length in pc.binary_length(batch["text"]).to_pylist():
+            if total and total + length > SCORE_CHUNK:
+                chunk, total = chunk + 1, 0
+            total += length
+            numbers.append(chunk)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], [*batch.schema.names, "chunk"])
+
+
+def _chunk_grams(batches):
+    """Distinct grams of each chunk, with their numbers in training texts; merged whenever ``HELD`` have come together."""
+    held, total, current = [], 0, None
 
     def batch_of(grams, prefix, numbers):
         return pa.RecordBatch.from_arrays(
-            [pa.array(grams.view(np.int64)), pa.array(prefix.view(np.int64)), pa.array(numbers)], ["gram", "prefix", "n"]
+            [pa.array(np.full(len(grams), current)), pa.array(grams.view(np.int64)), pa.array(prefix.view(np.int64)), pa.array(numbers)],
+            ["chunk", "gram", "prefix", "n"],
         )
 
     for batch in batches:
-        raw = text_bytes(batch["text"])
-        for start, end in chunks(raw, LM_CHUNK):
-            grams, prefix, _ = byte_grams(raw[start:end])
-            at, _, numbers = distinct_grams(grams, prefix)
-            held.append((grams[at], prefix[at], numbers))
-            total += len(at)
-            if total > HELD:
-                held = [_merged(held)]
-                total = len(held[0][0])
-                if total > HELD // 2:
-                    yield batch_of(*held[0])
-                    held, total = [], 0
+        raw, owner = text_bytes(batch["text"]), batch["chunk"].to_numpy(zero_copy_only=False)
+        learned = ~batch["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+        cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if held and owner[first] != current:
+                yield batch_of(*_merged(held))
+                held, total = [], 0
+            current = int(owner[first])
+            for start, end in chunks(raw[first:last], LM_CHUNK):
+                grams, prefix, starts = byte_grams(raw[first + start:first + end])
+                at, inverse, _ = distinct_grams(grams, prefix)
+                weight = np.repeat(learned[first + start:first + end].astype(np.float64), np.diff(starts))
+                held.append((grams[at], prefix[at], np.bincount(inverse, weight, len(at)).astype(np.int64)))
+                total += len(at)
+                if total > HELD:
+                    held = [_merged(held)]
+                    total = len(held[0][0])
+                    if total > HELD // 2:
+                        yield batch_of(*held[0])
+                        held, total = [], 0
     if held:
         yield batch_of(*_merged(held))
 
 
+def _paths(batches):
+    """``path_counts`` of rows in the order of context and symbol; the last context of a batch waits for the next batch."""
+
+    def batch_of(context, symbol, numbers):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(context), pa.array(symbol), _blobs(path_counts(context, symbol, numbers))], ["context", "symbol", "path"]
+        )
+
+    held = None
+    for batch in batches:
+        part = [batch[c].to_numpy(zero_copy_only=False) for c in ("context", "symbol", "n")]
+        if not len(part[0]):
+            continue
+        held = part if held is None else [np.concatenate(x) for x in zip(held, part)]
+        cut = len(held[0]) - int(np.argmax(held[0][::-1] != held[0][-1])) if held[0][0] != held[0][-1] else 0
+        if cut:
+            yield batch_of(*[x[:cut] for x in held])
+            held = [x[cut:] for x in held]
+    if held is not None:
+        yield batch_of(*held)
+
+
+def _with_paths(level: DataFrame) -> DataFrame:
+    """context, symbol and path of a table context, symbol, n with one row per context and symbol."""
+    dealt = level.repartition("context").sortWithinPartitions("context", "symbol")
+    return dealt.mapInArrow(_paths, "context long, symbol long, path binary")
+
+
+def with_counts(grams: DataFrame) -> DataFrame:
+    """``grams`` (gram, prefix, n; one row per gram and prefix) with the counts of every predictor: ``PATH`` numbers each."""
+    symbol = F.col("gram").bitwiseAND(255)
+    summed = F.sum("n").alias("n")
+    levels = [grams.groupBy(F.shiftright("gram", 8).alias("context"), symbol.alias("symbol")).agg(summed)]
+    for order in ORDERS[-2::-1]:
+        shorter = F.col("context").bitwiseAND((1 << (8 * order)) - 1)
+        levels.append(levels[-1].groupBy(shorter.alias("context"), "symbol").agg(summed))
+    known = None
+    for order, level in zip(ORDERS, reversed(levels)):
+        paths = _with_paths(level)
+        if known is None:
+            known = paths.withColumnRenamed("path", "counts")
+            continue
+        below = known.withColumnRenamed("context", "shorter")
+        longer = paths.withColumn("shorter", F.col("context").bitwiseAND((1 << (8 * (order - 1))) - 1))
+        known = longer.join(below, ["shorter", "symbol"]).select("context", "symbol", F.concat("counts", "path").alias("counts"))
+    words = _with_paths(grams.groupBy(F.col("prefix").alias("context"), symbol.alias("symbol")).agg(summed))
+    keyed = grams.withColumn("context", F.shiftright("gram", 8)).withColumn("symbol", symbol)
+    both = attach_group_facts(keyed, words.withColumnRenamed("context", "prefix"), ["prefix", "symbol"], ["context"])
+    return both.join(known, ["context", "symbol"]).select("gram", "prefix", "n", F.concat("counts", "path").alias("counts"))
+
+
 def _word_counts(batches):
     for batch in batches:
         raw = text_bytes(batch["text"])
@@ -292,63 +360,69 @@ def _word_counts(batches):
             )
 
 
-def _slot_tables(batches):
-    """Bit counts per slot over all grams of a task, in slices of fixed size; slices without counts are left out."""
-    counts = np.zeros(SLOTS * 2, np.int64)
-    for batch in batches:
-        grams, prefix, numbers = (batch[c].to_numpy(zero_copy_only=False) for c in ("gram", "prefix", "n"))
-        for a in range(0, len(grams), 65536):
-            slots, bits = bit_slots(grams[a:a + 65536].view(np.uint64), prefix[a:a + 65536].view(np.uint64))
-            cells = slots.astype(np.int64) * 2 + bits[..., None]
-            np.add.at(counts, cells.reshape(-1), np.repeat(numbers[a:a + 65536], 8 * INPUTS))
-    for piece, part in enumerate(counts.reshape(-1, 2 << SLICE_BITS)):
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["piece", "counts"])
-
-
-def _narrowed(counts: np.ndarray) -> np.ndarray:
-    """Counts in 16 bits: large pairs are scaled down together, what was seen stays at least 1."""
-    scale = np.maximum(counts.max(axis=1, keepdims=True) / 65535, 1)
-    return np.maximum(np.rint(counts / scale), counts > 0).astype(np.uint16)
-
-
-def _slice_sum(rows: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(c, np.int64) for c in rows["counts"])
-    return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "counts": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
-
-
-def train_model(training: DataFrame) -> Model:
-    """Learn from all texts of ``training`` (a column text). Without texts every bit costs one bit."""
-    spark = training.sparkSession
-    counted = training.mapInArrow(_gram_counts, "gram long, prefix long, n long")
-    grams = durable(counted.groupBy("gram", "prefix").agg(F.sum("n").alias("n")))
-    partial = grams.coalesce(TABLES).mapInArrow(_slot_tables, "piece long, counts binary")
-    counts = np.zeros((SLOTS, 2), np.int32)
-    width = 1 << SLICE_BITS
-    for row in partial.groupBy("piece").applyInPandas(_slice_sum, "piece long, counts binary").toLocalIterator():  # SLOTS in all
-        counts[row["piece"] * width:(row["piece"] + 1) * width] = np.frombuffer(row["counts"], np.int32).reshape(-1, 2)
-    counts = _narrowed(counts)
-    shared = spark.sparkContext.broadcast(counts)
+def _learned(counted: DataFrame) -> Mixer:
+    """Mixing weights over the grams of training texts: each task learns from its own, the weights are averaged."""
 
     def learn(batches):
-        parts = [[b[c].to_numpy(zero_copy_only=False) for c in ("gram", "prefix", "n")] for b in batches]
-        if parts and sum(len(g) for g, _, _ in parts):
-            grams, prefix, numbers = (np.concatenate([x[k] for x in parts]) for k in range(3))
-            mixer = train_mixer(shared.value, grams.view(np.uint64), prefix.view(np.uint64), numbers)
+        parts = []
+        for b in batches:
+            grams, prefix, numbers = (b[c].to_numpy(zero_copy_only=False) for c in ("gram", "prefix", "n"))
+            parts.append((grams, prefix, numbers, _numbers(b["counts"].to_pylist())))
+        if parts and sum(len(x[0]) for x in parts):
+            grams, prefix, numbers, counts = (np.concatenate([x[k] for x in parts]) for k in range(4))
+            mixer = train_mixer(counts, grams.view(np.uint64), prefix.view(np.uint64), numbers)
             yield pa.RecordBatch.from_arrays([
                 pa.array([float(numbers.sum())]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.seen.tobytes()], pa.binary()),
             ], ["n", "weights", "seen"])
 
-    table, steps = scoring_tables(counts)
-    learned = grams.mapInArrow(learn, "n double, weights binary, seen binary").toLocalIterator()
+    learned = counted.filter("n > 0").mapInArrow(learn, "n double, weights binary, seen binary").toLocalIterator()
     total, weights, seen = 0.0, np.zeros((GATES, INPUTS + 1)), np.zeros((GATES, LEVELS, 2))
     for row in learned:  # one small row per task
         total += row["n"]
         weights += row["n"] * np.frombuffer(row["weights"]).reshape(weights.shape)
         seen += np.frombuffer(row["seen"]).reshape(seen.shape)
-    if not total:
-        return Model(table, steps, Mixer(weights, seen))
-    return Model(table, steps, Mixer(weights / total, seen))
+    return Mixer(weights / total if total else weights, seen)
+
+
+def _gram_table(chunked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct grams of each chunk, and over all chunks with their numbers in training texts."""
+    pieces = chunked.mapInArrow(_chunk_grams, "chunk long, gram long, prefix long, n long")
+    return pieces, pieces.groupBy("gram", "prefix").agg(F.sum("n").alias("n"))
+
+
+def train_model(training: DataFrame) -> Model:
+    """Learn from all texts of ``training`` (a column text). Without texts every bit costs one bit."""
+    rows = training.select(F.lit(False).alias("held_out"), whole_text("text").alias("text"), F.lit(0).cast("long").alias("chunk"))
+    grams = _kept(_gram_table(rows)[1], "lm-grams")
+    return Model(grams, _learned(_kept(with_counts(grams), "lm-counts")))
+
+
+def _text_scores(chunked: DataFrame) -> DataFrame:
+    """row and its score, for the rows of ``chunked`` (row, held_out, text, chunk)."""
+    pieces, grams = _gram_table(chunked)
+    counted = _kept(with_counts(_kept(grams, "lm-grams")), "lm-counts")
+    shared = counted.sparkSession.sparkContext.broadcast(_learned(counted))
+
+    def priced(batches):
+        for b in batches:
+            grams = b["gram"].to_numpy(zero_copy_only=False).view(np.uint64)
+            prefix = b["prefix"].to_numpy(zero_copy_only=False).view(np.uint64)
+            costs = bit_costs(shared.value, _numbers(b["counts"].to_pylist()), grams & np.uint64(0xFF))
+            keys = gram_keys(grams, prefix).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b["gram"], b["prefix"], pa.array(keys), _blobs(costs)], ["gram", "prefix", "key", "costs"])
+
+    prices = counted.mapInArrow(priced, "gram long, prefix long, key long, costs binary")
+    needed = pieces.select("chunk", "gram", "prefix").join(prices, ["gram", "prefix"]).select("chunk", "key", "costs")
+
+    def score(texts: pa.Table, costs: pa.Table) -> pa.Table:
+        keys = costs["key"].to_numpy().view(np.uint64)
+        keys, at = np.unique(keys, return_index=True)
+        values = np.frombuffer(b"".join(costs["costs"].to_pylist()), np.float32).reshape(-1, len(SHARPNESS))[at]
+        scores = log10_scores(text_bytes(texts["text"].combine_chunks()), keys, values)
+        return pa.table({"row": texts["row"], "score": pa.array(scores, pa.float64())})
+
+    texts = chunked.select("chunk", "row", "text").groupBy("chunk")
+    return texts.cogroup(needed.groupBy("chunk")).applyInArrow(score, "row long, score double")
 
 
 def score_texts(
@@ -362,8 +436,10 @@ def score_texts(
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(id_column).alias("doc_id"), held_out(id_column, modulus, rest).alias("held_out"), whole_text(text_column).alias("text")
+        F.col(id_column).alias("doc_id"), held_out(id_column, modulus, rest).alias("held_out"), whole_text(text_column).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    rows = _kept(rows.mapInArrow(_cut_chunks, "doc_id long, held_out boolean, text string, row long, chunk long"), "lm-texts")
     training = rows.filter(~F.col("held_out")).select("text")
     counts = durable(training.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")))
     size = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
@@ -375,11 +451,10 @@ def score_texts(
     table = (hashes[order], np.array([r["c"] for r in top], np.float64)[order])
     end_count = next(iter(counts.filter(F.col("word") == F.lit(b" ")).collect()), None)
     ends = end_count["c"] if end_count else 0
-    shared = spark.sparkContext.broadcast((train_model(training).state(), table))
+    shared = spark.sparkContext.broadcast(table)
 
-    def score(batches):
-        (odds_table, steps, weights, seen), (known, numbers) = shared.value
-        scorer = Scorer(Model(odds_table, steps, Mixer(weights, seen)))
+    def words_of(batches):
+        known, numbers = shared.value
         for batch in batches:
             raw = text_bytes(batch["text"])
             columns = {c: [] for c in ("n_tokens", "n_known", "base", "rare", "times", "n_bytes")}
@@ -400,21 +475,21 @@ def score_texts(
                     columns["times"].append(times)
                     columns["n_bytes"].append(len(coded_text(raw[start + i])))
             yield pa.RecordBatch.from_arrays([
-                batch["doc_id"], batch["held_out"], pa.array(columns["n_tokens"], pa.int64()), pa.array(columns["n_known"], pa.int64()),
+                batch["row"], batch["doc_id"], batch["held_out"], pa.array(columns["n_tokens"], pa.int64()), pa.array(columns["n_known"], pa.int64()),
                 pa.array(columns["base"], pa.float64()), pa.array(columns["rare"], pa.list_(pa.binary())),
-                pa.array(columns["times"], pa.list_(pa.int64())), pa.array(columns["n_bytes"], pa.int64()), pa.array(scorer.log10(raw), pa.float64()),
-            ], ["doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "times", "n_bytes", "score"])
+                pa.array(columns["times"], pa.list_(pa.int64())), pa.array(columns["n_bytes"], pa.int64()),
+            ], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "times", "n_bytes"])
 
     scored = durable(rows.mapInArrow(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, rare array<binary>, times array<long>, n_bytes long, score double"
-    )).withColumn("row", F.monotonically_increasing_id())
+        words_of, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, rare array<binary>, times array<long>, n_bytes long"
+    ))
     tails = scored.select("row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))))
     missing = F.coalesce("c", F.lit(0))
     looked_up = tails.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(missing > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * (F.log10(missing + 0.5) - F.log10(F.lit(float(divisor))))).alias("more"),
     )
-    return scored.drop("rare", "times").join(looked_up, "row", "left").select(
+    return scored.drop("rare", "times").join(_text_scores(rows), "row").join(looked_up, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),

@@ -216,6 +216,36 @@ def test_language_model_edges(odd, nothing):
     assert all(r["train_tokens"] == 0 for r in context_mixing.score_texts(only_held).collect())
 
 
+def test_language_model_counts_are_exact(spark):
+    """Every predictor has the counts of its own context alone, whatever else the texts hold."""
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abcdefgh "), 400)) for _ in range(60)] + ["the cat", "the cap", "", "the cat"]
+    rows = spark.createDataFrame([(t, i % 4 == 0, i % 3) for i, t in enumerate(texts)], "text string, held_out boolean, chunk long").repartition(3)
+    counted = context_mixing.with_counts(context_mixing._gram_table(rows)[1]).collect()
+    grams, words = {k: Counter() for k in context_mixing.ORDERS}, Counter()
+    seen = Counter()
+    for i, text in enumerate(texts):
+        raw, prefix, _ = context_mixing.byte_grams([text.encode()])
+        for g, w in zip(raw.tolist(), prefix.view(np.int64).tolist()):
+            seen[g, w] += i % 4 != 0
+            words[w, g & 255] += i % 4 != 0
+            for k in grams:
+                grams[k][(g >> 8) & (256**k - 1), g & 255] += i % 4 != 0
+    assert context_mixing.ORDERS[0] == 1 and len(counted) == len(seen)
+    tables = [{} for _ in context_mixing.ORDERS] + [{}]
+    for table, counts in zip(tables, [*grams.values(), words]):
+        for (context, byte), n in counts.items():
+            table.setdefault(context, []).append((byte, n))
+    for r in counted:
+        g, byte = r["gram"], r["gram"] & 255
+        assert r["n"] == seen[g, r["prefix"]]
+        got = np.frombuffer(r["counts"], np.float32).reshape(len(tables), -1)
+        contexts = [(g >> 8) & (256**k - 1) for k in context_mixing.ORDERS] + [r["prefix"]]
+        for row, table, context in zip(got, tables, contexts):
+            beside = [sum(n for b, n in table[context] if b >> (8 - j) == byte >> (8 - j) and b >> (7 - j) != byte >> (7 - j)) for j in range(8)]
+            assert row.tolist() == [*beside, sum(n for b, n in table[context] if b == byte)]
+
+
 # --- pieces
 
 @pytest.fixture(scope="module")
