@@ -30,6 +30,8 @@ VECTOR = ("length", "word_length", "symbols", "lines", "repeats")
 #: Smallest standard deviation a coordinate is given: shares are 0 in nearly all clean texts.
 FLOORS = (0.3, 0.15, 0.7, 0.7, 0.7)
 CHI2_MEDIAN = 4.351
+#: The 99.999 % quantile of chi-square with as many degrees as the vector has coordinates.
+CHI2_CUTOFF = 30.856
 DISTANCE_BINS = 16
 
 
@@ -180,7 +182,7 @@ def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4, least
 
 
 def quality_rules(
-    docs: DataFrame, cutoff: float = 60.0, share: float = 0.75, steps: int = 4, id_column: str = "doc_id",
+    docs: DataFrame, cutoff: float = CHI2_CUTOFF, share: float = 0.75, steps: int = 4, id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.

@@ -90,3 +90,17 @@ def test_junk_is_rejected_and_clean_kept(spark, folder, documents):
     judged = quality_rules.quality_rules(documents).join(labels, "doc_id")
     good = judged.filter("quality = 1 AND n_words >= 20").agg(F.avg(F.col("kept").cast("double"))).first()[0]
     assert good > 0.98
+
+
+def test_single_bad_shares_are_rejected(spark):
+    """One bad share is enough: a symbol after every word, or nothing but one line again and again."""
+    rng = np.random.default_rng(8)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    lines = [[" ".join(rng.choice(words, 6)) for _ in range(rng.integers(5, 30))] for _ in range(300)]
+    rows = [(i, "\n".join(x), "en", "a") for i, x in enumerate(lines)]
+    rows += [(1000 + i, " | ".join(" ".join(x).split()), "en", "a") for i, x in enumerate(lines[:10])]
+    rows += [(2000 + i, "\n".join(["wa wb wc"] * 2 + [x[0]] + ["wa wb wc"] * 2 + [x[1]] + ["wd we"] * 3 + [x[2]]), "en", "a") for i, x in enumerate(lines[:10])]
+    out = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(out[i]["base_failed"] for i in out)
+    assert not any(r["kept"] for i, r in out.items() if i >= 1000)
+    assert sum(r["kept"] for i, r in out.items() if i < 1000) > 0.98 * len(lines)
