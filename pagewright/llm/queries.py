@@ -43,16 +43,18 @@ def op3(spark, folder):
 @register("op4_token_counts", token_rollup.SQL)
 def op4(spark, folder):
     """All documents under two tokenizer versions, then deletes (poor quality) and revised counts (shouting marks
-    taken out), each batch committed, the last two committed twice."""
+    taken out), each batch committed, the last two committed twice. Rows without id, which no batch can revise, come
+    with the revised text at once."""
     docs, store = documents(spark, folder), workspace(spark, "token-counts")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     poor = labels.filter("quality = 0").select("doc_id")
     loud = F.contains(F.coalesce("text", F.lit("")), F.lit("!!"))
     quiet = docs.filter(loud).withColumn("text", F.replace("text", F.lit("!!"), F.lit(" ")))
-    revised = quiet.join(poor, "doc_id", "left_anti")
+    revised = quiet.filter("doc_id IS NOT NULL").join(poor, "doc_id", "left_anti")
+    first = docs.withColumn("text", F.when(F.col("doc_id").isNull(), F.replace("text", F.lit("!!"), F.lit(" "))).otherwise(F.col("text")))
     plain = docs.withColumn("text", F.replace("text", F.lit("|"), F.lit(" ")))
     batches = {
-        1: token_rollup.upserts(docs, "space-1").unionByName(token_rollup.upserts(plain, "space-2")),
+        1: token_rollup.upserts(first, "space-1").unionByName(token_rollup.upserts(plain, "space-2")),
         2: token_rollup.deletes(poor),
         3: token_rollup.upserts(revised, "space-1"),
     }

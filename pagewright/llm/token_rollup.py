@@ -58,7 +58,7 @@ def commit(spark: SparkSession, store: str, batch: int, changes: DataFrame) -> N
 
     Batches count upwards. Within a batch an upsert of a document and version that occurs more than once
     takes the largest (tokens, source, lang), and a delete applies before the upserts. Rows without
-    doc_id are left out, since they could never be revised.
+    doc_id are plain insertions of their batch: each counts, and later batches never revise it.
     """
     known = changes.filter(F.col("doc_id").isNotNull())
     fresh = (
@@ -80,7 +80,8 @@ def commit(spark: SparkSession, store: str, batch: int, changes: DataFrame) -> N
         .select("doc_id", *GROUP, "tokens", (-F.col("sign")).alias("sign"))
     )
     order = [f.name for f in LEDGER.fields if f.name != "batch"]
-    signed = fresh.select(*order).unionByName(touched.select(*order))
+    nameless = changes.filter(F.col("doc_id").isNull() & ~F.col("deleted")).withColumn("sign", F.lit(1).cast("long"))
+    signed = fresh.select(*order).unionByName(touched.select(*order)).unionByName(nameless.select(*order))
     signed.write.mode("overwrite").parquet(f"{store}/ledger/batch={batch}")
     written = spark.read.parquet(f"{store}/ledger/batch={batch}")
     written.groupBy(*GROUP).agg(

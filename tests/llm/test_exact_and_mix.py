@@ -90,3 +90,13 @@ def test_rollup_is_additive_and_idempotent(spark, odd):
 
 def test_rollup_without_batches(spark):
     assert token_rollup.totals(spark, workspace(spark, "rollup")).count() == 0
+
+
+def test_rollup_counts_rows_without_id(spark):
+    store = workspace(spark, "rollup")
+    schema = "doc_id long, text string, lang string, source string"
+    rows = spark.createDataFrame([(None, "a b c", "en", "s"), (None, "a b c", "en", "s"), (1, "a", "en", "s")], schema)
+    later = spark.createDataFrame([(None, "d", "en", "s"), (1, "a b", "en", "s")], schema)
+    for batch, docs in ((1, rows), (2, later), (2, later)):
+        token_rollup.commit(spark, store, batch, token_rollup.upserts(docs, "v1"))
+    assert [(r["docs"], r["tokens"]) for r in token_rollup.totals(spark, store).collect()] == [(4, 9)]
