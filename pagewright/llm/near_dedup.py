@@ -258,7 +258,18 @@ def near_classes(
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, with all their columns."""
+    """The rows of ``docs`` whose id is the smallest of its class, with all their columns.
+
+    A row without id is named by a hash of its text, which sorts behind usual ids: it stays when its class has no smaller name, and of
+    equal texts without id one row stays; texts without shingles all stay.
+    """
     id_column = options.get("id_column", "doc_id")
-    stay = near_classes(docs, **options).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, docs[id_column] == stay["_id"], "left_semi")
+    hashed = F.shiftrightunsigned(F.xxhash64(whole_text(options.get("text_column", "text"))), 2).bitwiseOR(1 << 62)
+    named = docs.withColumn("_name", F.coalesce(F.col(id_column), hashed))
+    classes = near_classes(named, **{**options, "id_column": "_name"}).filter("kept")
+    stay = durable(classes.groupBy(F.col("doc_id").alias("_id")).agg(F.max("n_shingles").alias("_n")))
+    with_id, without = named.filter(F.col(id_column).isNotNull()), named.filter(F.col(id_column).isNull())
+    found = without.join(stay, without["_name"] == stay["_id"])
+    parts = [with_id.join(stay, with_id["_name"] == stay["_id"], "left_semi"), found.filter("_n = 0"), found.filter("_n > 0").dropDuplicates(["_name"])]
+    whole = [part.select(*docs.columns) for part in parts]
+    return whole[0].unionByName(whole[1]).unionByName(whole[2])

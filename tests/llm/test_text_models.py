@@ -73,6 +73,17 @@ def test_near_classes_of_an_empty_table(nothing):
     assert near_dedup.near_classes(nothing).count() == 0
 
 
+def test_rows_without_id_stay(spark):
+    """Unique ones stay, of copies without id one stays, and a copy with an id goes before one without."""
+    def text(k):
+        return " ".join(f"{k}w{i}" for i in range(80))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, text("c")), (5, text("c")), (6, text("d")), (None, "x"), (None, "x"), (None, ""), (None, "")]
+    out = near_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), width=5, similarity=0.8)
+    assert out.columns == ["doc_id", "text"]
+    assert Counter((r["doc_id"], r["text"][:1]) for r in out.collect()) == {(None, "a"): 1, (None, "b"): 1, (5, "c"): 1, (6, "d"): 1, (None, "x"): 1, (None, ""): 2}
+
+
 def test_cross_pairs_sees_groups_that_batches_cut():
     import pyarrow as pa
 
