@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import context_mixing, exact_dedup, license_scan, mixing, near_dedup, pieces, quality_classifier, quality_rules, substring_dedup, token_rollup
-from pagewright.llm.common import documents
+from pagewright.llm import (
+    collocations, context_mixing, exact_dedup, license_scan, mixing, near_dedup, periodic_runs, pieces, positional_index, quality_classifier, quality_rules,
+    substring_dedup, token_rollup,
+)
+from pagewright.llm.common import documents, space_words, whole_text
 from pagewright.session import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +96,30 @@ def op9(spark, folder):
 @register("op10_quality_rules")
 def op10(spark, folder):
     return quality_rules.quality_rules(documents(spark, folder))
+
+
+@register("op11_benchmark_decontamination", positional_index.SQL)
+def op11(spark, folder):
+    return positional_index.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def looped_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` where the text of some ids ends in a loop of its own words: with h = crc32 of the id, h % 10 = 0 and g = h // 10, each word
+    i >= a = g % n becomes word a + (i - a) % p with p = 1 + (n - a) // (3 + g % 8). Texts without id or words stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = space_words(whole_text())
+    shaped = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    shaped = shaped.withColumn("g", F.floor(F.col("h") / 10)).withColumn("n", F.size("w"))
+    shaped = shaped.withColumn("a", F.expr("IF(n > 0, g % n, NULL)")).withColumn("p", F.expr("IF(n > 0, 1 + (n - a) div (3 + g % 8), NULL)"))
+    looped = F.expr("array_join(transform(sequence(0, n - 1), i -> element_at(w, CAST(IF(i < a, i, a + (i - a) % p) AS INT) + 1)), ' ')")
+    return shaped.select("doc_id", F.when(F.col("n") > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_runs")
+def op12(spark, folder):
+    return periodic_runs.run_digests(periodic_runs.find_runs(looped_tails(documents(spark, folder))))
+
+
+@register("op13_collocations", collocations.SQL)
+def op13(spark, folder):
+    return collocations.mine_collocations(documents(spark, folder))

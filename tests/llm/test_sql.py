@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from pagewright.llm.queries import ORACLE, QUERIES
 
-TABLES = "documents labels".split()
+TABLES = "documents labels benchmark".split()
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,7 @@ def test_same_rows(spark, duck, folder, name):
 
 def test_every_dealt_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stages_take_effect(spark, folder, documents):
