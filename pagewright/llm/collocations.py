@@ -167,7 +167,7 @@ def _scored(counts: DataFrame, words: DataFrame, state: DataFrame, least: int) -
         cuts.withColumn("head", F.expr("slice(gram, 1, k)")).withColumn("rest", F.expr("slice(gram, k + 1, size(gram) - k)"))
         .join(left, ["lang", "head"]).join(right, ["lang", "rest"])
     )
-    exact = "(1000 * CAST(a AS DECIMAL(19, 0)) * CAST(n AS DECIMAL(14, 0))) div (CAST(l AS DECIMAL(19, 0)) * CAST(r AS DECIMAL(19, 0)))"
+    exact = "(1000 * CAST(a AS DECIMAL(17, 0)) * CAST(n AS DECIMAL(17, 0))) div (CAST(l AS DECIMAL(19, 0)) * CAST(r AS DECIMAL(19, 0)))"
     return parts.groupBy("lang", "gram", "a", "n").agg(
         F.min(F.struct(F.expr(exact).alias("score"), "k", "l", "r")).alias("cut")
     ).select("lang", "gram", "a", "cut.l", "cut.r", "n", "cut.score")
