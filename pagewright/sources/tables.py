@@ -10,26 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagewright.session import durable, workspace
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+from pagewright.session import durable
+from pagewright.sources import versions
 
 
 def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The Parquet store, or an empty frame when nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
-        return spark.createDataFrame([], schema)
+    """The last version of the store, or an empty frame when nothing was written yet; a folder without versions is read whole."""
+    return versions.read_version(spark, path, schema)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    fs, folder = _hadoop_path(spark, path)
+    fs, folder = versions.hadoop_path(spark, path)
     fs.delete(folder, True)
 
 
@@ -55,70 +46,66 @@ def _once(new: DataFrame, keys, order) -> DataFrame:
     return new.groupBy(*keys).agg(chosen.alias("_row")).select(*keys, "_row.*").select(*new.columns)
 
 
+def _known(new: DataFrame, path: str, keys, partition_by) -> tuple[DataFrame | None, DataFrame | None]:
+    """Of the new keys those that the store holds, and the files that hold them, from its index; Nones for a store without versions."""
+    spark = new.sparkSession
+    number = versions.latest(spark, path)
+    if number is None:
+        return None, None
+    hits = versions.suspects(spark, path, versions.version_table(spark, path, number), new, keys)
+    opened = versions.read_files(spark, path, new.schema, versions.file_names(hits))
+    stored = _same_partitions(opened, hits, partition_by).select(*keys)
+    return stored.join(hits.select(*keys).distinct(), _same(stored, hits, keys), "left_semi"), hits
+
+
 def unstored(new: DataFrame, path: str, keys, partition_by=(), order=()) -> DataFrame:
     """Rows whose key the store does not hold, once per key.
 
-    Partition columns belong to the key: a row is known by its key and partition together, so a small batch searches the
-    range of its own partitions only, and reads key columns only.
+    Partition columns belong to the key: a row is known by its key and partition together. The key index tells which files may
+    hold which key; only these are opened, and of them the key columns only.
     """
     whole = list(dict.fromkeys([*keys, *partition_by]))
     once = _once(new, whole, order)
-    stored = _same_partitions(read_store(new.sparkSession, path, new.schema), new, partition_by).select(*whole)
+    stored, _ = _known(once, path, whole, partition_by)
+    if stored is None:
+        stored = _same_partitions(read_store(new.sparkSession, path, new.schema), new, partition_by).select(*whole)
     return once.join(stored, _same(once, stored, whole), "left_anti")
 
 
 def incremental_write(new: DataFrame, path: str, keys, partition_by=(), force: bool = False, order=()) -> DataFrame:
     """Append rows whose key is not stored yet, once per key; a rerun adds nothing.
 
-    ``force`` replaces the stored rows of these keys instead; every other key stays. Of rows with one key the first in ``order``
-    is taken, so a repeated batch writes the same rows.
+    ``force`` replaces the stored rows of these keys instead; every other key stays, and only files that hold one of the keys are
+    rewritten. Of rows with one key the first in ``order`` is taken, so a repeated batch writes the same rows. The write is one
+    new version of the store: readers see all of it or nothing.
     """
     spark = new.sparkSession
-    if force:
-        whole = list(dict.fromkeys([*keys, *partition_by]))
-        once = _once(new, whole, order)
-        stored = _same_partitions(read_store(spark, path, new.schema), new, partition_by)
-        rest = stored.join(once.select(*whole), _same(stored, once, whole), "left_anti")
-        if partition_by:
-            touched = once.select(*partition_by).distinct()
-            rest = rest.join(touched, _same(rest, touched, partition_by), "left_semi")
-        _swap(spark, rest.unionByName(once), path, partition_by)
+    whole = list(dict.fromkeys([*keys, *partition_by]))
+    if force and versions.latest(spark, path) is not None:
+        once = durable(_once(new, whole, order))
+        _, hits = _known(once, path, whole, partition_by)
+        held = versions.read_files(spark, path, new.schema, versions.file_names(hits))
+        rest = held.join(once.select(*whole), _same(held, once, whole), "left_anti")
+        versions.commit(rest.unionByName(once), path, keys, partition_by, dead=hits)
     else:
-        writer = unstored(new, path, keys, partition_by, order).write.mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        if force:
+            remove_folder(spark, path)
+        versions.commit(unstored(new, path, keys, partition_by, order), path, keys, partition_by)
     return read_store(spark, path, new.schema)
 
 
-def _swap(spark: SparkSession, rows: DataFrame, path: str, partition_by) -> None:
-    """Put ``rows`` in place of the partitions they fall into, or of the whole store without partitions.
-
-    Rows are staged first, since a table cannot be overwritten while it is read; the staged copy is removed afterwards.
-    """
-    staging = workspace(spark, "swap")
-    rows.write.parquet(staging)
-    writer = spark.read.schema(rows.schema).parquet(staging).write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
-    remove_folder(spark, staging)
-
-
 def rewrite_partitions(spark: SparkSession, path: str, kept: DataFrame, touched: DataFrame, partition_by: str) -> None:
     """Replace the touched partitions of a store by their rows in ``kept``, whatever their values, null included.
 
-    Partitions left without rows are removed: a dynamic overwrite would not touch them. Their folders are named as
-    Spark names them, escaped and with the default name for null.
+    The files of these partitions leave the next version of the store, so a partition without rows is simply no longer named.
     """
     # Both inputs may read the very store that is about to change.
     values = durable(touched.select(partition_by).distinct())
     rows = kept.join(values, kept[partition_by].eqNullSafe(values[partition_by]), "left_semi")
-    left = durable(rows.select(partition_by).distinct())
-    emptied = values.join(left, values[partition_by].eqNullSafe(left[partition_by]), "left_anti")
-    gone = durable(emptied.select(F.col(partition_by).cast("string")))
-    _swap(spark, rows, path, (partition_by,))
-    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for row in gone.toLocalIterator():  # one folder per emptied partition
-        remove_folder(spark, f"{path}/{name.getPartitionPathString(partition_by, row[0])}")
+    table = versions.version_table(spark, path, versions.latest(spark, path))
+    dead = table.join(values, table["part"][partition_by].eqNullSafe(values[partition_by]), "left_semi")
+    shape = table.select("keys", "parts").first()
+    versions.commit(rows, path, shape["keys"], shape["parts"], dead=dead)
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, keys, buckets: int) -> DataFrame:
