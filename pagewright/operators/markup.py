@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +15,7 @@ from pagewright.operators.ordering import at_positions, attach_group_facts
 from pagewright.session import durable
 
 KEYS = ("sha", "page")
+LOST_SALTS = 64
 
 # People write numbers as text and put odd things where a list belongs, so every field is read as text first.
 INSTRUCTION = T.StructType([
@@ -91,96 +95,102 @@ def locate_marks(marks: DataFrame, pages: DataFrame, keys=KEYS, body: str = "bod
     """Find each mark's text on its line or up to two lines away; first occurrence counts.
 
     Adds mark_type, hit_line (1-based), start and stop (0-based, stop exclusive) and ``why`` for
-    marks that cannot be placed. One join on the page key: the page's lines travel as an array.
+    marks that cannot be placed. A mark asks for the lines around its own by page and line number, so only these lines travel
+    with it; marks found on none of them are then held against the lines of their page, each text once.
     """
-    lines = pages.select(*keys, F.split(markup.strip_marks(F.col(body)), "\n").alias("_lines"))
-    wanted = marks.withColumn("text", F.coalesce("text", F.lit("")))
-    joined = wanted.join(lines, list(keys))
-    needle, array = F.col("text"), F.col("_lines")
-
-    def on(offset: int) -> Column:
-        number = F.col("line") + offset
-        inside = (number >= 1) & (number <= F.size(array))
-        return F.when(inside & F.get(array, number - 1).contains(needle), number)
-
+    keys = list(keys)
+    filed = marks.withColumn("text", F.coalesce("text", F.lit(""))).join(pages.select(*keys).distinct(), keys, "left_semi").select(*marks.columns)
+    wanted = durable(filed.withColumn("_id", F.monotonically_increasing_id()))   # ids hold for good once written
+    needle = F.col("text")
     blank, broken = text.trim(needle) == "", needle.contains("\n")
-    found = joined.withColumn(
-        "hit_line", F.when(~blank & ~broken, F.coalesce(*[on(d) for d in V.LINE_OFFSETS]))
+    marked = pages.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    lines = durable(
+        marked.select(*keys, F.posexplode(F.split(markup.strip_marks(F.col(body)), "\n")).alias("_at", "_line"))
+        .select(*keys, (F.col("_at") + 1).alias("_number"), "_line")
     )
-    anywhere = F.array_position(F.transform(array, lambda one: one.contains(needle)), True)
+    sought = wanted.filter(~blank & ~broken).select("_id", *keys, "text", "line")
+    asked = sought.select("_id", *keys, "text", F.posexplode(F.array(*[F.col("line") + d for d in V.LINE_OFFSETS])).alias("_turn", "_number"))
+    near = (
+        asked.join(lines, [*keys, "_number"]).filter(F.col("_line").contains(needle))
+        .groupBy("_id").agg(F.min(F.struct("_turn", F.col("_number").alias("hit_line"), (F.instr("_line", needle) - 1).alias("start"))).alias("_hit"))
+    )
+    hits = durable(near.select("_id", "_hit.hit_line", "_hit.start"))
+
+    # The rest: distinct texts of a page, dealt over salts so that a page with very many of them is searched by many tasks.
+    lost = sought.join(hits, "_id", "left_anti")
+    texts = lost.select(*keys, "text", F.pmod(F.xxhash64("text"), F.lit(LOST_SALTS)).cast("int").alias("_salt")).distinct()
+    searched = texts.select(*keys, "_salt").distinct().join(lines, keys)
+    placed = (
+        texts.join(searched, [*keys, "_salt"]).filter(F.col("_line").contains(needle))
+        .groupBy(*keys, "text").agg(F.min("_number").alias("_elsewhere"))
+    )
+    elsewhere = lost.join(placed, [*keys, "text"]).select("_id", "_elsewhere")
+    found = wanted.join(hits, "_id", "left").join(elsewhere, "_id", "left")
     why = (
         F.when(F.col("hit_line").isNotNull(), None)
         .when(blank, "empty text")
         .when(broken, "line break in text")
-        .otherwise(
-            F.when(anywhere == 0, "not in the text").otherwise(
-                F.concat(F.lit("on line "), anywhere, F.lit(" instead"))
-            )
-        )
+        .when(F.col("_elsewhere").isNull(), "not in the text")
+        .otherwise(F.concat(F.lit("on line "), F.col("_elsewhere"), F.lit(" instead")))
     )
-    start = F.instr(F.get(array, F.col("hit_line") - 1), needle) - 1
-    return (
-        found.withColumn("start", start)
-        .withColumn("stop", F.col("start") + F.length(needle))
-        .withColumn("mark_type", F.coalesce(markup.mark_type(F.col("type")), F.lit("color")))
-        .withColumn("why", why)
-        .drop("_lines")
+    return found.select(
+        *marks.columns, "hit_line", "start", (F.col("start") + F.length(needle)).alias("stop"),
+        F.coalesce(markup.mark_type(F.col("type")), F.lit("color")).alias("mark_type"), why.alias("why"),
     )
 
 
-def _crosses(span: Column, other: Column) -> Column:
-    """The two spans overlap and neither holds the other."""
-    overlap = (span["s"] < other["e"]) & (span["e"] > other["s"])
-    inside = (span["s"] >= other["s"]) & (span["e"] <= other["e"])
-    around = (other["s"] >= span["s"]) & (other["e"] <= span["e"])
-    return overlap & ~inside & ~around
+def _accept_spans(batches):
+    """Whether each span is accepted; rows come line by line, the longest span first.
+
+    An accepted span is at least as long as the next one, so the two cross exactly if an end of the accepted span lies strictly inside
+    the other. Hence a sorted list of the ends of accepted spans, searched by bisection, decides.
+    """
+    line, ends = None, []
+    for batch in batches:
+        shapes = zip(*(batch[c].to_pylist() for c in (*batch.schema.names[:-2], "start", "stop")), strict=True)
+        fates = []
+        for *own, start, stop in shapes:
+            if own != line:
+                line, ends = own, []
+            after = bisect.bisect_right(ends, start)
+            accepted = after == len(ends) or ends[after] >= stop
+            if accepted:
+                for end in (start, stop):
+                    at = bisect.bisect_left(ends, end)
+                    if at == len(ends) or ends[at] != end:
+                        ends.insert(at, end)
+            fates.append(accepted)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fates, pa.bool_())], [*batch.schema.names, "_ok"])
 
 
 def resolve_overlaps(located: DataFrame, keys=KEYS) -> DataFrame:
     """Status per mark: applied, duplicate, or the reason it failed.
 
     Longest marks come first, equal lengths in instruction order; a mark that crosses an accepted
-    one fails. Marks on the same span share one fate, so they shrink to one row per span before a
-    line's spans meet in one row: what is gathered is bounded by the line's own length.
+    one fails. Marks on the same span share one fate, so they shrink to one row per span. Spans are dealt by line and stream
+    past the line's accepted ends in sorted order: nothing but these ends, at most one per character, is held.
     """
-    keys, located = list(keys), durable(located)   # read three times below, and small next to the pages
+    keys, located = list(keys), durable(located)   # read twice below, and small next to the pages
     at = [*keys, "hit_line", "start", "stop"]
     first = {t: F.min(F.when(F.col("mark_type") == t, F.col("seq"))).alias(f"_first_{t}") for t in V.MARKERS}
-    spans = located.filter("hit_line is not null").groupBy(*at).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("seq").alias("_seq"), *first.values()
-    )
-    ordered = F.array_sort(F.collect_list(F.struct(
-        (F.col("start") - F.col("stop")).alias("neg"), F.col("_seq").alias("seq"),
-        F.col("start").alias("s"), F.col("stop").alias("e"),
-        "_n", *[f"_first_{t}" for t in V.MARKERS],
-    )))
-    lines = spans.groupBy(*keys, "hit_line").agg(ordered.alias("_spans"))
-
-    def accept(done: Column, span: Column) -> Column:
-        one = F.array(F.struct(span["s"].alias("s"), span["e"].alias("e")))
-        return F.when(F.exists(done, lambda other: _crosses(span, other)), done).otherwise(F.concat(done, one))
-
-    none = F.array().cast("array<struct<s:int,e:int>>")
-    fates = lines.withColumn("_done", F.aggregate("_spans", none, accept)).select(
-        *keys, "hit_line", "_done", F.explode("_spans").alias("_span")
-    )
-    facts = fates.select(
-        *keys,
-        "hit_line",
-        F.col("_span.s").alias("start"),
-        F.col("_span.e").alias("stop"),
-        F.col("_span._n").alias("_n"),
-        F.create_map(*[x for t in V.MARKERS for x in (F.lit(t), F.col(f"_span._first_{t}"))]).alias("_firsts"),
-        F.array_contains("_done", F.struct(F.col("_span.s").alias("s"), F.col("_span.e").alias("e"))).alias("_ok"),
+    spans = located.filter("hit_line is not null").groupBy(*at).agg(F.min("seq").alias("_seq"), *first.values())
+    spans = durable(spans)
+    ordered = (
+        spans.repartition(*keys, "hit_line").sortWithinPartitions(*keys, "hit_line", F.col("start") - F.col("stop"), "_seq", "start", "stop").select(*at)
     )
+    shape = T.StructType([*ordered.schema.fields, T.StructField("_ok", T.BooleanType())])
+    facts = ordered.mapInArrow(_accept_spans, shape).join(spans.drop("_seq"), at)
     marked = attach_group_facts(located, facts, at, ["seq"])
+    earliest = F
+    for t in V.MARKERS:
+        earliest = earliest.when(F.col("mark_type") == t, F.col(f"_first_{t}"))
     status = (
         F.when(F.col("why").isNotNull(), F.col("why"))
         .when(~F.col("_ok"), "partly overlaps another mark")
-        .when(F.col("seq") != F.try_element_at("_firsts", F.col("mark_type")), "duplicate")
+        .when(F.col("seq") != earliest, "duplicate")
         .otherwise("applied")
     )
-    return marked.withColumn("status", status).drop("_n", "_firsts", "_ok", "why")
+    return marked.withColumn("status", status).select(*[c for c in located.columns if c != "why"], "status")
 
 
 def failed_marks(resolved: DataFrame, keys=KEYS) -> DataFrame:

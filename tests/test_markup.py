@@ -30,55 +30,49 @@ def test_counts_and_aliases(spark):
 # --- brute force -------------------------------------------------------------
 
 
-def plain_strip(body):
-    for _ in range(6):
-        for pattern in (r"<mark>([\s\S]*?)</mark>", r"<u>([\s\S]*?)</u>", r"\*\*([^*\n]+)\*\*"):
+def without_marks(body):
+    """Markers go in rounds, highlights first, with the patterns of the fixed values."""
+    for _ in range(V.STRIP_ROUNDS):
+        for pattern in (V.HL_MARK, V.UNDERLINE_MARK, V.COLOR_MARK):
             body = re.sub(pattern, r"\1", body)
     return body
 
 
-def plain_place(body, marks):
-    """Status per mark and the marked body, one page at a time."""
-    lines = plain_strip(body).split("\n")
-    status, taken = {}, {}
-    for i, (line, words, kind) in sorted(enumerate(marks), key=lambda m: (-len(m[1][1]), m[0])):
-        kind = V.MARK_ALIASES.get(kind.lower().strip(), "color")
-        if not words.strip():
-            status[i] = "empty text"
-            continue
-        if "\n" in words:
-            status[i] = "line break in text"
-            continue
-        hit = next((line + d for d in (0, -1, 1, -2, 2) if 1 <= line + d <= len(lines) and words in lines[line + d - 1]), None)
-        if hit is None:
-            where = next((n for n, text in enumerate(lines, 1) if words in text), None)
-            status[i] = f"on line {where} instead" if where else "not in the text"
-            continue
-        s = lines[hit - 1].index(words)
-        e = s + len(words)
-        own = taken.setdefault(hit, [])
-        if any(s < y and e > x and not (s >= x and e <= y) and not (x >= s and y <= e) for x, y, _ in own):
+def ruled_places(body, marks):
+    """Status per mark and the marked body of one page, from the rule: a span is the set of places it covers; two spans cross
+    when they share places and neither holds the other."""
+    lines = without_marks(body).split("\n")
+    status, spans = {}, {}
+    for i, (line, words, kind) in enumerate(marks):
+        holding = {n for n, own in enumerate(lines, 1) if words in own}
+        asked = [line + d for d in V.LINE_OFFSETS if line + d in holding]
+        if not words.strip() or "\n" in words:
+            status[i] = "line break in text" if words.strip() else "empty text"
+        elif asked:
+            begin = lines[asked[0] - 1].find(words)
+            spans[i] = (asked[0], frozenset(range(begin, begin + len(words))), V.MARK_ALIASES.get(kind.lower().strip(), "color"))
+        else:
+            status[i] = f"on line {min(holding)} instead" if holding else "not in the text"
+    accepted = set()
+    for i in sorted(spans, key=lambda i: (-len(spans[i][1]), i)):
+        hit, places, kind = spans[i]
+        others = [p for n, p, _ in accepted if n == hit]
+        if any(p & places and not p <= places and not places <= p for p in others):
             status[i] = "partly overlaps another mark"
-        elif (s, e, kind) in own:
-            status[i] = "duplicate"
         else:
-            own.append((s, e, kind))
-            status[i] = "applied"
-    depth = {"hl": 0, "underline": 1, "color": 2}
-    for hit, own in taken.items():
-        def tree(lo, hi, inner):
-            out, at = "", lo
-            while inner:
-                first = min(inner, key=lambda m: (m[0], -m[1], depth[m[2]]))
-                within = [m for m in inner if m is not first and m[0] >= first[0] and m[1] <= first[1]]
-                inner = [m for m in inner if m is not first and m not in within]
-                mark = V.MARKERS[first[2]]
-                out += lines[hit - 1][at:first[0]] + mark[0] + tree(first[0], first[1], within) + mark[1]
-                at = first[1]
-            return out + lines[hit - 1][at:hi]
-
-        lines[hit - 1] = tree(0, len(lines[hit - 1]), own)
-    return status, "\n".join(lines) if any(taken.values()) else None
+            status[i] = "duplicate" if spans[i] in accepted else "applied"
+            accepted.add(spans[i])
+    rank = list(E._NESTING)
+    for number in {n for n, _, _ in accepted}:
+        own = [(p, k) for n, p, k in accepted if n == number]
+        out = ""
+        for place in range(len(lines[number - 1]) + 1):
+            closing = sorted((m for m in own if max(m[0]) + 1 == place), key=lambda m: (len(m[0]), -rank.index(m[1])))
+            opening = sorted((m for m in own if min(m[0]) == place), key=lambda m: (-len(m[0]), rank.index(m[1])))
+            out += "".join(V.MARKERS[k][1] for _, k in closing) + "".join(V.MARKERS[k][0] for _, k in opening)
+            out += lines[number - 1][place:place + 1]
+        lines[number - 1] = out
+    return status, "\n".join(lines) if accepted else None
 
 
 def random_pages(seed, n=60):
@@ -110,13 +104,49 @@ def test_placing_against_brute_force(spark, seed):
     applied = {r.page: r for r in E.apply_marks(frame, resolved).collect()}
     seen = set()
     for page, body, rows in pages:
-        want, text = plain_place(body, rows)
+        want, text = ruled_places(body, rows)
         seen |= set(want.values())
         assert {i: status[page, i] for i in want} == want
         assert applied[page].new_body == (body if text is None else text)
     assert {"applied", "duplicate", "partly overlaps another mark", "not in the text"} <= seen
 
 
+def test_very_many_marks_on_one_page(spark):
+    """100,000 marks on one page: found, lost and overlapping ones; the page's text does not travel with them."""
+    lines = [f"line {n} " + "abcdefghij" * 20 for n in range(400)]
+    frame = spark.createDataFrame([("s", 1, "\n".join(lines))], "sha string, page int, body string")
+    place = F.pmod(F.xxhash64("id"), F.lit(400)).cast("int")
+    words = F.when(F.col("id") % 10 == 0, F.concat(F.lit("lost "), F.col("id") % 5000)).when(F.col("id") % 10 == 1, F.concat(F.lit("line "), (place + 200) % 400, F.lit(" abc")))
+    marks = spark.range(100_000).repartition(8).select(
+        F.lit("s").alias("sha"), F.lit(1).alias("page"), F.col("id").cast("int").alias("seq"), (place + 1).alias("line"),
+        F.coalesce(words, F.concat(F.lit("line "), place, F.lit(" "), F.expr("substr('abcdefghijabcdefghij', 1, cast(id % 17 as int) + 2)"))).alias("text"), F.lit("hl").alias("type"),
+    )
+    located = E.locate_marks(marks, frame)
+    assert "_lines" not in located._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.status.split(" ")[0]: r["count"] for r in E.resolve_overlaps(located).groupBy(F.split("status", " ")[0].alias("status")).count().collect()}
+    assert got["not"] == 10_000 and got["on"] == 10_000 and sum(got.values()) == 100_000 and 400 * 16 <= got["applied"] <= 400 * 17
+
+
+def test_ten_thousand_spans_on_one_line(spark):
+    rng = random.Random(5)
+    spans = {(s, s + rng.choice([1, 2, 3, 5, 8, 40, 200])) for s in (rng.randrange(5000) for _ in range(12_000))}
+    rows = [("s", 1, i, 1, s, e, "hl", None) for i, (s, e) in enumerate(sorted(spans, key=lambda x: hash(x)))]
+    located = spark.createDataFrame(rows, "sha string, page int, seq int, hit_line int, start int, stop int, mark_type string, why string")
+    status = {r.seq: r.status for r in E.resolve_overlaps(located).collect()}
+    kept, cover = [], {}
+    for _, _, i, _, s, e, _, _ in sorted(rows, key=lambda r: (r[4] - r[5], r[2])):
+        # A place knows the accepted spans over it, longest first; a span is accepted if all its places know the same spans as its neighbours inside.
+        over = [cover.get(p, frozenset()) for p in range(s, e)]
+        common = frozenset.intersection(*over)
+        crossing = any(o != common for o in over)
+        assert status[i] == ("partly overlaps another mark" if crossing else "applied")
+        if not crossing:
+            kept.append(i)
+            for p in range(s, e):
+                cover[p] = cover.get(p, frozenset()) | {i}
+    assert 1000 < len(kept) < len(rows)
+
+
 def one_line(spark, line, marks):
     frame = spark.createDataFrame([("s", 1, line)], "sha string, page int, body string")
     rows = spark.createDataFrame([("s", 1, i, 1, t, k) for i, (t, k) in enumerate(marks)],
