@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +70,43 @@ def fidelity_exploded(df: DataFrame, keys, truth: str = "truth", got: str = "got
     return full.withColumn("_o", rates).select(*keys, "truth_tokens", "got_tokens", "_o.*")
 
 
+#: Texts whose differing middle is longer than this are searched in bands, shorter ones take the whole matrix.
+LONG_MIDDLE = 4096
+FIRST_BAND = 64
+
+
+def _within(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Edit distance of two arrays if it is at most ``band``, else a larger number; cells off the diagonal by more than that are never touched."""
+    if abs(len(a) - len(b)) > band:
+        return band + 1
+    along = np.arange(2 * band + 1)
+    edge = np.full(band, -1, np.int64)
+    padded = np.concatenate([edge, b, edge, edge[:1]])
+    row = np.where(along >= band, along - band, 4 * band + len(a))
+    for i in range(len(a)):
+        turned = row + (padded[i:i + 2 * band + 1] != a[i])
+        turned[:-1] = np.minimum(turned[:-1], row[1:] + 1)
+        row = np.minimum.accumulate(turned - along) + along
+        if row.min() > band:
+            return band + 1
+    return int(row[len(b) - len(a) + band])
+
+
+def _banded_distance(truth: pd.Series, got: pd.Series) -> pd.Series:
+    """Edit distances from bands that get four times as wide until the distance fits in; null where a side is null."""
+    out = []
+    for pair in zip(truth, got, strict=True):
+        if pair[0] is None or pair[1] is None:
+            out.append(None)
+            continue
+        a, b = (np.frombuffer(side.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) for side in pair)
+        band = FIRST_BAND
+        while (found := _within(a, b, band)) > band:
+            band *= 4
+        out.append(found)
+    return pd.Series(out, dtype="Int32")
+
+
 def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got", threshold: int | None = None) -> DataFrame:
     """Levenshtein distance of the normalised texts, as ``distance``, and ``truth_len``.
 
@@ -75,7 +114,8 @@ def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got", thresho
 
     Shared ends never change the distance. They are cut first, so the quadratic part runs over
     the differing middle only, which is short for faithful copies. Every step is a column of
-    its own because the prefix search reads its inputs many times.
+    its own because the prefix search reads its inputs many times. Long middles are searched in bands that get four times as wide
+    until the distance fits in, so their work grows with length x distance.
     """
     keep = [c for c in df.columns if c not in (truth, got)]
     staged = text.pinned(
@@ -85,7 +125,14 @@ def edit_distance(df: DataFrame, truth: str = "truth", got: str = "got", thresho
         staged = staged.withColumn("_same", text.common_prefix_length(F.col("_a"), F.col("_b")))
         cut = {c: F.reverse(F.substr(F.col(c), F.col("_same") + 1)) for c in ("_a", "_b")}
         staged = staged.withColumns(cut)
-    return text.pinned(staged, distance=F.levenshtein("_a", "_b", threshold)).select(*keep, "truth_len", "distance")
+    if threshold is not None:
+        distance = F.levenshtein("_a", "_b", threshold)
+    else:
+        long = F.greatest(F.length("_a"), F.length("_b")) > LONG_MIDDLE
+        banded = F.pandas_udf(_banded_distance, "int")
+        staged = staged.withColumn("_far", banded(F.when(long, F.col("_a")), F.when(long, F.col("_b"))))
+        distance = F.when(long, F.col("_far")).otherwise(F.levenshtein("_a", "_b"))
+    return text.pinned(staged, distance=distance).select(*keep, "truth_len", "distance")
 
 
 def with_cer(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 
 from pagewright import fixed_values as V
 from pagewright.functions import imaging
+from pagewright.operators.components import smallest_members
 from pagewright.operators.inventory import even_pages
 from pagewright.session import durable
 
@@ -38,60 +40,67 @@ def page_histogram(cells: DataFrame, keys=("page",)) -> DataFrame:
 
 
 TILE = 256
+SPAN = 64
 
 
-def _roots(pairs):
-    """Smallest member of the set each value of the pairs belongs to."""
-    parent: dict = {}
+def tile_labels(tile, row, column):
+    """Label of every cell: the number of the first cell of its 8-connected component within its tile; cells come in order of
+    tile, row and column.
 
-    def root(i):
-        parent.setdefault(i, i)
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for a, b in pairs:
-        a, b = root(a), root(b)
-        parent[max(a, b)] = min(a, b)
-    return {i: root(i) for i in list(parent)}
-
-
-def _neighbours(cells):
-    """Each cell with itself and its earlier 8-neighbours; a cell is row << 32 | column."""
-    held = set(cells)
-    for cell in cells:
-        yield cell, cell
-        for near in (cell - 1, cell - (1 << 32), cell - (1 << 32) - 1, cell - (1 << 32) + 1):
-            if near in held:
-                yield cell, near
+    Cells of a row that stand side by side are one run. Runs of neighbouring rows that touch are pairs; runs take the smaller
+    label of a pair and then the label of their label until nothing changes.
+    """
+    if not len(row):
+        return np.zeros(0, np.int64)
+    wide = int(column.max()) + 4
+    line = (tile * (int(row.max()) + 2) + row) * wide
+    fresh = np.r_[True, np.diff(line + column) != 1]
+    run = np.cumsum(fresh) - 1
+    first = np.flatnonzero(fresh)
+    last = np.r_[first[1:], len(row)] - 1
+    begin, end = (line + column)[first] + 1, (line + column)[last] + 1
+    # In the row below, the runs that reach from one place before the run to one after it.
+    low = np.searchsorted(end, begin + wide - 1, "left")
+    high = np.searchsorted(begin, end + wide + 1, "right")
+    touching = np.maximum(high - low, 0)
+    upper = np.repeat(np.arange(len(first)), touching)
+    lower = np.arange(len(upper)) - np.repeat(np.cumsum(touching) - touching, touching) + np.repeat(low, touching)
+    label = np.arange(len(first))
+    while True:
+        a, b = label[upper], label[lower]
+        if (a == b).all():
+            return first[label][run]
+        least = np.minimum(a, b)
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        while (label[label] != label).any():
+            label = label[label]
 
 
 LABELS = T.ArrayType(T.LongType())
-MERGED = T.ArrayType(T.StructType([T.StructField("label", T.LongType()), T.StructField("merged", T.LongType())]))
 
 
-def _tile_labels(tiles: pd.Series) -> pd.Series:
-    out = []
-    for cells in tiles:
-        cells = cells.tolist()
-        roots = _roots(_neighbours(cells))
-        out.append([roots[c] for c in cells])
-    return pd.Series(out)
-
-
-def _merged_labels(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([
-        [{"label": label, "merged": root} for label, root in _roots(zip(x.tolist(), y.tolist())).items()] for x, y in zip(a, b)
-    ])
+def _labels_of_tiles(tiles: pd.Series) -> pd.Series:
+    """Tiles as ascending arrays of cells (row << 32 | column) to the same with labels, which are cells as well."""
+    sizes = tiles.map(len).to_numpy()
+    if not len(sizes):
+        return pd.Series([], dtype=object)
+    cells, starts = np.concatenate(tiles.to_list()), np.cumsum(sizes) - sizes
+    tile = np.repeat(np.arange(len(sizes)), sizes)
+    # Places count from the tile's own corner, so that numbers stay small on pages of any size.
+    row = (cells >> 32) - np.repeat(cells[starts] >> 32, sizes)
+    column = cells & 0xFFFFFFFF
+    column = column - np.repeat(np.minimum.reduceat(column, starts), sizes)
+    labels = cells[tile_labels(tile, row, column)]
+    return pd.Series(np.split(labels, starts[1:]))
 
 
 def label_components(cells: DataFrame, amount: str, cell_min: int, keys=("page",), tile: int = TILE) -> DataFrame:
     """Active cells with the label of their 8-connected component.
 
     Cells connect within square tiles first: a tile's cells travel as one array of at most
-    tile x tile numbers, many tiles to a batch. Then the labels that touch across tile borders
-    are merged. A page of ordinary size is one tile and has no borders.
+    tile x tile numbers, many tiles to a batch, and are labelled together. Then the labels that touch across tile borders
+    are merged by joins, so no page meets in one row. A page of ordinary size is one tile and has no borders.
     """
     keys = list(keys)
     rest = [c for c in cells.columns if c not in keys]
@@ -100,8 +109,8 @@ def label_components(cells: DataFrame, amount: str, cell_min: int, keys=("page",
     )
     tiles = active.groupBy(
         *keys, F.floor(F.col("cx") / tile).alias("_tx"), F.floor(F.col("cy") / tile).alias("_ty")
-    ).agg(F.collect_list(F.struct("cell_id", *rest)).alias("_cells"))
-    labelled = tiles.withColumn("_labels", F.pandas_udf(_tile_labels, LABELS)(F.col("_cells.cell_id")))
+    ).agg(F.sort_array(F.collect_list(F.struct("cell_id", *rest))).alias("_cells"))
+    labelled = tiles.withColumn("_labels", F.pandas_udf(_labels_of_tiles, LABELS)(F.col("_cells.cell_id")))
     local = durable(
         labelled.select(*keys, "_tx", "_ty", F.explode(F.arrays_zip("_cells", "_labels")).alias("_z")).select(
             *keys, "_tx", "_ty", *[F.col(f"_z._cells.{c}").alias(c) for c in rest], F.col("_z._labels").alias("label")
@@ -116,9 +125,7 @@ def label_components(cells: DataFrame, amount: str, cell_min: int, keys=("page",
         *keys, "a", (F.col("cx") + F.col("_d.dx")).alias("cx"), (F.col("cy") + F.col("_d.dy")).alias("cy"), "_tx", "_ty",
     ).filter((F.floor(F.col("cx") / tile) != F.col("_tx")) | (F.floor(F.col("cy") / tile) != F.col("_ty")))
     pairs = reach.drop("_tx", "_ty").join(border.withColumnRenamed("label", "b"), [*keys, "cx", "cy"]).select(*keys, "a", "b").distinct()
-    merged = pairs.groupBy(*keys).agg(F.collect_list("a").alias("_a"), F.collect_list("b").alias("_b")).select(
-        *keys, F.inline(F.pandas_udf(_merged_labels, MERGED)("_a", "_b"))
-    )
+    merged = smallest_members(pairs, keys)
     return (
         local.join(merged, [*keys, "label"], "left")
         .withColumn("component", F.coalesce("merged", "label"))
@@ -185,7 +192,7 @@ def underline_hints(pixels: DataFrame, sizes: DataFrame, keys=("page",)) -> Data
     """Thin dark horizontal runs with text above and a clear pixel over their middle.
 
     ``sizes`` has width and height per page. Runs are islands of neighbouring dark pixels in a
-    pixel row; every test after that looks up single pixels by equal keys.
+    pixel row; every test after that holds runs against runs by equal pixel row and stretch of columns.
     """
     keys = list(keys)
     dark = pixels.filter(imaging.brightness(*_rgb()) < V.RULE_DARK_BELOW).select(*keys, "x", "y")
@@ -201,23 +208,24 @@ def underline_hints(pixels: DataFrame, sizes: DataFrame, keys=("page",)) -> Data
         .filter((F.col("len") >= 45) & (F.col("len") <= longest))
         .withColumn("mid", F.col("x") + F.shiftright("len", 1))
     )
-    # Five pixels per run decide thickness: the one above must be clear, and one of four below.
-    probes = fit.select(*keys, "x", "y", "len", "mid", F.explode(F.array(*[F.lit(d) for d in (-1, 1, 2, 3, 4)])).alias("_dy"))
-    spots = dark.select(*keys, F.col("x").alias("mid"), F.col("y").alias("_py"), F.lit(True).alias("_hit"))
-    thin = (
-        probes.withColumn("_py", F.col("y") + F.col("_dy"))
-        .join(spots, [*keys, "mid", "_py"], "left")
-        .groupBy(*keys, "x", "y", "len")
-        .agg(F.count_if(F.col("_hit") & (F.col("_dy") < 0)).alias("_up"), F.count_if(F.col("_hit") & (F.col("_dy") > 0)).alias("_down"))
-        .filter((F.col("_up") == 0) & (F.col("_down") < 4))
-    )
-    rows = thin.select(*keys, "x", "y", "len", F.explode(F.sequence(F.lit(4), F.least(F.lit(34), F.col("y")))).alias("_dy")).filter(F.col("_dy") <= F.col("y"))
-    marks = dark.select(*keys, F.col("x").alias("_x"), F.col("y").alias("_py"))
-    over = (
-        rows.withColumn("_py", F.col("y") - F.col("_dy"))
-        .join(marks, [*keys, "_py"])
-        .filter((F.col("_x") >= F.col("x")) & (F.col("_x") < F.col("x") + F.col("len")) & ((F.col("_x") - F.col("x")) % 3 == 0))
+    # Dark runs by pixel row and stretch of SPAN columns: what lies at a place, or over a run, is found by equal keys.
+    stretches = F.sequence(F.floor(F.col("x") / SPAN), F.floor((F.col("x") + F.col("len") - 1) / SPAN))
+    held = runs.select(*keys, F.col("y").alias("_py"), F.col("x").alias("_from"), (F.col("x") + F.col("len") - 1).alias("_to"), F.explode(stretches).alias("_span"))
+    # Five places per run decide thickness: the one above must be clear, and one of four below.
+    probes = fit.select(*keys, "x", "y", "len", "mid", F.explode(F.array(*[F.lit(d) for d in (-1, 1, 2, 3, 4)])).alias("_dy")).select(
+        "*", (F.col("y") + F.col("_dy")).alias("_py"), F.floor(F.col("mid") / SPAN).alias("_span")
     )
+    at = [*keys, "_py", "_span"]
+    dark_at = probes.join(held, at).filter(F.col("mid").between(F.col("_from"), F.col("_to"))).select(*keys, "x", "y", "len", "_dy")
+    seen = dark_at.groupBy(*keys, "x", "y", "len").agg(F.count_if(F.col("_dy") < 0).alias("_up"), F.count_if(F.col("_dy") > 0).alias("_down"))
+    thick = seen.filter((F.col("_up") > 0) | (F.col("_down") >= 4))
+    thin = fit.select(*keys, "x", "y", "len").join(thick, [*keys, "x", "y", "len"], "left_anti")
+    rows = thin.select("*", F.explode(F.sequence(F.lit(4), F.least(F.lit(34), F.col("y")))).alias("_dy"), stretches.alias("_spans")).filter(F.col("_dy") <= F.col("y"))
+    windows = rows.select(*keys, "x", "y", "len", "_dy", (F.col("y") - F.col("_dy")).alias("_py"), F.explode("_spans").alias("_span"))
+    # Every third column of the run counts: the first of them within the overlap must not lie behind it.
+    low = F.greatest("x", "_from")
+    third = low + F.pmod(F.col("x") - low, F.lit(3))
+    over = windows.join(held, at).filter(third <= F.least(F.col("_to"), F.col("x") + F.col("len") - 1))
     return over.groupBy(*keys, "x", "y", "len").agg(F.count_distinct("_dy").alias("_above")).filter("_above >= 8").drop("_above")
 
 

@@ -1,10 +1,13 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pagewright.functions import imaging
 from pagewright.operators import geometry as X
+from pagewright.operators.components import smallest_members
 
 
 def flood(cells):
@@ -35,6 +38,64 @@ def test_components_do_not_depend_on_tiles(spark, tile):
         assert {frozenset(g) for (q, _), g in groups.items() if q == p} == flood(cells)
 
 
+def test_labels_of_dense_and_winding_tiles():
+    """Spirals, combs, full and random tiles, many at once, against a flood fill."""
+    rng = random.Random(2)
+    spiral, (x, y), (dx, dy) = {(0, 0)}, (0, 0), (1, 0)
+    for turn in range(1, 40):
+        for _ in range(2 * (turn // 2 + turn % 2)):
+            x, y = x + dx, y + dy
+            spiral.add((x + 60, y + 60))
+        dx, dy = -dy, dx
+    shapes = [spiral, {(x, y) for x in range(0, 40, 2) for y in range(30)} | {(x, 30) for x in range(40)}, {(x, y) for x in range(30) for y in range(30)}, {(7, 9)}]
+    shapes += [{(rng.randrange(40), rng.randrange(40)) for _ in range(k)} for k in (5, 300, 700, 1200)]
+    shift = 1 << 30
+    tiles = [sorted(((y + shift) << 32) + x + shift for x, y in cells) for cells in shapes]
+    out = X._labels_of_tiles(pd.Series([np.array(t) for t in tiles]))
+    for cells, ids, labels in zip(shapes, tiles, out, strict=True):
+        groups = {}
+        for cell, label in zip(ids, labels.tolist(), strict=True):
+            groups.setdefault(label, set()).add(((cell & 0xFFFFFFFF) - shift, (cell >> 32) - shift))
+        assert {frozenset(g) for g in groups.values()} == flood(cells)
+        assert all(label == min(((y + shift) << 32) + x + shift for x, y in g) for label, g in groups.items())
+
+
+def test_members_of_chains_and_stars(spark):
+    """Chains (the worst case for hooking), stars, loops, and labels that recur under another key."""
+    pairs = [(1, k, k + 1) for k in range(200)] + [(1, 1000, k) for k in range(1001, 1100)] + [(2, 5, 5), (2, 7, 6), (2, 6, 7), (2, 9, 3), (2, 9, 8)]
+    out = {(r.page, r.label): r.merged for r in smallest_members(spark.createDataFrame(pairs, "page int, a long, b long"), ["page"]).collect()}
+    want = {(1, k): 0 for k in range(201)} | {(1, k): 1000 for k in range(1000, 1100)} | {(2, 6): 6, (2, 7): 6, (2, 9): 3, (2, 8): 3, (2, 3): 3}
+    assert out == want
+    assert smallest_members(spark.createDataFrame([], "page int, a long, b long"), ["page"]).count() == 0
+
+
+def test_rules_with_words_above(spark):
+    """Rules of several lengths and places under rows of marks, against a pixel-by-pixel test."""
+    rng = random.Random(11)
+    dark = {}
+    for page in range(6):
+        own = dark.setdefault(page, set())
+        for _ in range(8):
+            x, y, size, thick = rng.randrange(0, 200), rng.randrange(0, 120), rng.choice([44, 45, 60, 130, 181]), rng.choice([1, 2, 4, 5])
+            own |= {(x + i, y + j) for i in range(size) for j in range(thick)}
+            for row in rng.sample(range(4, 35), rng.choice([7, 8, 20])):
+                own |= {(x + rng.randrange(size), y - row) for _ in range(rng.choice([1, 3]))}
+    rows = [(p, x, y, 0, 0, 0) for p, own in dark.items() for x, y in own if 0 <= y < 150 and x < 300]
+    dark = {p: {(x, y) for q, x, y, *_ in rows if q == p} for p in dark}
+    want = set()
+    for p, own in dark.items():
+        for x, y in own:
+            size = next(n for n in range(1, 400) if (x + n, y) not in own)
+            mid = x + size // 2
+            if (x - 1, y) in own or not (2 <= y < 144 and 45 <= size <= 180) or (mid, y - 1) in own or all((mid, y + d) in own for d in (1, 2, 3, 4)):
+                continue
+            if sum(any((i, y - d) in own for i in range(x, x + size, 3)) for d in range(4, 35) if y >= d) >= 8:
+                want.add((p, x, y, size))
+    sizes = spark.createDataFrame([(p, 300, 150) for p in dark], "page int, width int, height int")
+    got = X.underline_hints(spark.createDataFrame(rows, "page int, x int, y int, r int, g int, b int"), sizes)
+    assert {(r.page, r.x, r.y, r.len) for r in got.collect()} == want and len(want) > 3
+
+
 @pytest.mark.parametrize("rgb, kind", [
     ((109, 0, 0), "dark"), ((110, 110, 110), "none"), ((199, 100, 100), "ink"), ((200, 91, 91), "hl"), ((200, 90, 200), "none"), ((200, 145, 145), "none"),
 ])

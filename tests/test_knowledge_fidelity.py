@@ -1,6 +1,8 @@
 import json
 import random
+import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +88,28 @@ def levenshtein(a, b):
     return last[-1]
 
 
+def test_edit_distance_of_long_texts(spark):
+    """Near copies of 100,000 characters that differ at both ends take a narrow band, not the whole matrix."""
+    rng = random.Random(7)
+    body = "".join(rng.choice("abcdefgh ") for _ in range(100_000)).replace("  ", " x")
+    rows = [(1, "q" + body + "q", "zz" + body[:50_000] + "k" + body[50_000:] + "z"), (2, body[:3000], body[3000:5000]), (3, body[:40], "q" * 40)]
+    start = time.perf_counter()
+    out = {r.k: r.distance for r in D.edit_distance(spark.createDataFrame(rows, "k int, truth string, got string")).collect()}
+    assert out[1] == 4 and out[3] == 40 and time.perf_counter() - start < 20
+    sides = spark.createDataFrame(rows[1:2], "k int, a string, b string").select(*[text.normalize_text(F.col(c)).alias(c) for c in "ab"])
+    assert out[2] == sides.selectExpr("levenshtein(a, b)").first()[0]
+
+
+def test_bands_against_the_whole_matrix(spark, monkeypatch):
+    monkeypatch.setattr(D, "FIRST_BAND", 1)
+    rng = random.Random(3)
+    pairs = [("".join(rng.choice("abé") for _ in range(rng.randrange(30))), "".join(rng.choice("ab\U0001f600") for _ in range(rng.randrange(30)))) for _ in range(300)]
+    pairs += [(a, a[:5] + "z" + a[7:]) for a, _ in pairs] + [("", ""), (None, "a")]
+    frame = spark.createDataFrame(pairs, "a string, b string").selectExpr("a", "b", "levenshtein(a, b) as d").toPandas()
+    got = D._banded_distance(frame["a"].where(frame["a"].notna(), None), frame["b"]).tolist()
+    assert [None if g is pd.NA else g for g in got] == [None if d != d else int(d) for d in frame["d"].tolist()]
+
+
 def test_edit_distance_against_brute_force(spark):
     rng = random.Random(3)
     letters = "abé폐"
