@@ -81,7 +81,7 @@ def _within(a: np.ndarray, b: np.ndarray, band: int) -> int:
         return band + 1
     along = np.arange(2 * band + 1)
     edge = np.full(band, -1, np.int64)
-    padded = np.concatenate([edge, b, edge, edge[:1]])
+    padded = np.concatenate([edge, b, edge, edge])
     row = np.where(along >= band, along - band, 4 * band + len(a))
     for i in range(len(a)):
         turned = row + (padded[i:i + 2 * band + 1] != a[i])

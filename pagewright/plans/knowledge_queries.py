@@ -15,23 +15,24 @@ from pagewright.sources.cards import read_cards_csv
 
 _DECKS = f"""
     select concat(lpad(cast(a as varchar), 2, '0'), 'to', lpad(cast(a + 7 as varchar), 2, '0'), '_약치part', a, '_deck') as deck, a,
-      {trim("front")} as front, {trim("back")} as back
+      {trim("front")} as front, {trim("back")} as back, conv_id, k
     from (select conv_id % 8 + 1 as a, coalesce(max(text) filter (turn % 2 = 0), '') as front, case when conv_id % 10 = 3 then '  ' else
-      concat(' "', coalesce(max(text) filter (turn % 2 = 1), ''), '", ', chr(10), 'x ') end as back
+      concat(' "', coalesce(max(text) filter (turn % 2 = 1), ''), '", ', chr(13), chr(10), 'x ') end as back, conv_id, turn // 2 as k
       from conversations group by conv_id, turn // 2)"""
 
 
 def _deck_files(v: Views):
-    """All turns, each with the next as its answer, as card files with quotes and line breaks, one folder per deck."""
+    """All turns, each with the next as its answer, as card files with quotes and line breaks (CRs as well), one file per deck."""
     c = F.col("conv_id")
     a = c % 8 + 1
     turn = lambda n: F.coalesce(F.max(F.when(F.col("turn") % 2 == n, F.col("text"))), F.lit(""))
-    pairs = v.table("conversations").groupBy("conv_id", F.floor(F.col("turn") / 2)).agg(turn(0).alias("front"), turn(1).alias("_answer"))
-    back = F.when(c % 10 == 3, "  ").otherwise(F.concat(F.lit(' "'), "_answer", F.lit('", \nx ')))
+    pairs = v.table("conversations").groupBy("conv_id", F.floor(F.col("turn") / 2).alias("_k")).agg(turn(0).alias("front"), turn(1).alias("_answer"))
+    back = F.when(c % 10 == 3, "  ").otherwise(F.concat(F.lit(' "'), "_answer", F.lit('", \r\nx ')))
     two = lambda n: F.lpad(n.cast("string"), 2, "0")
     deck = F.concat(two(a), F.lit("to"), two(a + 7), F.lit("_약치part"), a, F.lit("_deck"))
     path = workspace(v.spark, "cards")
-    pairs.select("front", back.alias("back"), deck.alias("deck")).write.partitionBy("deck").option("escape", '"').option(
+    rows = pairs.select("front", back.alias("back"), deck.alias("deck"), "conv_id", "_k").repartition("deck").sortWithinPartitions("deck", "conv_id", "_k")
+    rows.drop("conv_id", "_k").write.partitionBy("deck").option("escape", '"').option(
         "ignoreLeadingWhiteSpace", "false"
     ).option("ignoreTrailingWhiteSpace", "false").csv(path)
     cards = read_cards_csv(v.spark, f"{path}/*")
@@ -40,10 +41,10 @@ def _deck_files(v: Views):
 
 
 @query("cards", f"""
-    select printf('talk-%05d', row_number() over (order by deck, front, back)) as id, deck, concat('part', a) as chapter,
+    select printf('talk-%05d', row_number() over (order by deck, conv_id, k)) as id, deck, concat('part', a) as chapter,
       cast(a as int) as chapter_from, cast(a + 7 as int) as chapter_to, front, back from ({_DECKS}) where front <> '' and back <> ''""")
 def cards(v: Views):
-    kept = C.clean_cards(C.card_attributes(_deck_files(v), "deck"), ("deck", "front", "back"))
+    kept = C.clean_cards(C.card_attributes(_deck_files(v), "deck"))
     return kept.select("id", "deck", "chapter", "chapter_from", "chapter_to", "front", "back")
 
 

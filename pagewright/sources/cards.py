@@ -2,32 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagewright.functions.text import squeeze_out
 
-CARD_SCHEMA = T.StructType([T.StructField("front", T.StringType()), T.StructField("back", T.StringType())])
+#: Code points that no text holds stand for the commas and line ends between fields while a file is cut up.
+FIELD_END, ROW_END = "\ufdd0", "\ufdd1"
+
+
+def _marked(content: Column) -> Column:
+    """The content with marks for separators: cut at quotes, every second part lies inside of quotes and stays as it is.
+
+    Outside, CRs go and commas and line ends become marks. An empty part between two inner ones is a doubled quote.
+    """
+    parts = F.split(content, '"')
+
+    def part(own: Column, i: Column) -> Column:
+        plain = F.translate(F.replace(own, F.lit("\r"), F.lit("")), ",\n", FIELD_END + ROW_END)
+        doubled = (own == "") & (i > 0) & (i < F.size(parts) - 1)
+        return F.when(i % 2 == 1, own).when(doubled, F.lit('"')).otherwise(plain)
+
+    return F.array_join(F.transform(parts, part), "")
 
 
 def read_cards_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    """Rows front, back, path and row (place within the file); all-blank rows are dropped."""
-    raw = (
-        spark.read.schema(CARD_SCHEMA)
-        .option("multiLine", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("enforceSchema", "true")
-        .csv(list(paths))
-        .select(
-            F.regexp_replace("front", "\r", "").alias("front"),
-            F.regexp_replace("back", "\r", "").alias("back"),
-            F.col("_metadata.file_path").alias("path"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-    )
+    """Rows front, back, path and row (0-based place within the file, blank rows counted); all-blank rows are dropped.
+
+    Fields may be quoted and then hold commas, line ends, CRs and doubled quotes; outside of quotes CRs are dropped, as is a byte order
+    mark. An empty field is null. A card file is read whole, since only its beginning tells where quotes open.
+    """
+    whole = spark.read.text(list(paths), wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    content = F.regexp_replace("value", "^\ufeff", "")
+    rows = whole.select("path", F.posexplode(F.split(_marked(content), ROW_END)).alias("row", "_line"))
+    fields = F.split("_line", FIELD_END)
+    raw = rows.select(*[F.nullif(F.get(fields, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(("front", "back"))], "path", F.col("row").cast("long").alias("row"))
     blank = lambda c: squeeze_out(F.coalesce(c, F.lit(""))) == ""
     return raw.filter(~(blank("front") & blank("back")))

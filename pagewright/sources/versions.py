@@ -31,14 +31,14 @@ def hadoop_path(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
     fs, folder = hadoop_path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
 def latest(spark: SparkSession, path: str) -> int | None:
     """Number of the last published version, or None."""
-    numbers = [int(n) for n in _names(spark, f"{path}/_versions") if n.isdigit()]
+    numbers = [int(n) for n in folder_names(spark, f"{path}/_versions") if n.isdigit()]
     return max(numbers, default=None)
 
 
@@ -138,15 +138,20 @@ def suspects(spark: SparkSession, path: str, table: DataFrame, new: DataFrame, k
 # --- commits ----------------------------------------------------------------
 
 
-def _publish(spark: SparkSession, path: str, staged: str, number: int) -> None:
-    """Make a staged version table the next version: one rename, which fails if another writer was first."""
+def publish_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Give a finished folder its name: one rename, which fails if the name is taken."""
+    fs, goal = hadoop_path(spark, target)
+    fs.mkdirs(goal.getParent())
     jvm = spark._jvm
-    fs, target = hadoop_path(spark, f"{path}/_versions/{number:010d}")
-    fs.mkdirs(target.getParent())
     kinds = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     source = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(staged))
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    context.rename(source, fs.makeQualified(target), kinds)
+    context.rename(source, fs.makeQualified(goal), kinds)
+
+
+def _publish(spark: SparkSession, path: str, staged: str, number: int) -> None:
+    """Make a staged version table the next version; fails if another writer was first."""
+    publish_folder(spark, staged, f"{path}/_versions/{number:010d}")
 
 
 def commit(rows: DataFrame, path: str, keys, parts=(), dead: DataFrame | None = None) -> int:
@@ -163,7 +168,7 @@ def commit(rows: DataFrame, path: str, keys, parts=(), dead: DataFrame | None =
         kept = version_table(spark, path, before)
         if dead is not None:
             kept = kept.join(durable(dead.select("file").distinct()), "file", "left_anti")
-    elif _names(spark, path):
+    elif folder_names(spark, path):
         old = spark.read.schema(rows.schema).parquet(path)
         kept = _index_commit(spark, path, old, f"adopted-{name}", keys, parts)
     folder = f"{path}/commit={name}"
@@ -185,7 +190,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
 
     Not to be run while a writer is at work: what it has staged is named by no version yet.
     """
-    numbers = sorted(int(n) for n in _names(spark, f"{path}/_versions") if n.isdigit())
+    numbers = sorted(int(n) for n in folder_names(spark, f"{path}/_versions") if n.isdigit())
     if not numbers:
         return []
     stay = numbers[-keep:]
@@ -193,9 +198,9 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     live = set()
     for table in tables:
         live |= {r[0] for r in table.distinct().collect()}
-    gone = [f"_versions/{n}" for n in _names(spark, f"{path}/_versions") if not (n.isdigit() and int(n) in stay)]
-    gone += [n for n in _names(spark, path) if n.startswith("commit=") and n.removeprefix("commit=") not in live]
-    gone += [f"_filters/{n}" for n in _names(spark, f"{path}/_filters") if n not in live]
+    gone = [f"_versions/{n}" for n in folder_names(spark, f"{path}/_versions") if not (n.isdigit() and int(n) in stay)]
+    gone += [n for n in folder_names(spark, path) if n.startswith("commit=") and n.removeprefix("commit=") not in live]
+    gone += [f"_filters/{n}" for n in folder_names(spark, f"{path}/_filters") if n not in live]
     for folder in gone:
         fs, target = hadoop_path(spark, f"{path}/{folder}")
         fs.delete(target, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pagewright.operators.ordering import attach_group_facts, with_running_sum
 from pagewright.operators.pagestore import split_errors
 from pagewright.operators.usage import Prices, micro_usd
+from pagewright.sources import versions
 from pagewright.sources.tables import incremental_write, read_store, remove_folder
 
 
@@ -81,19 +84,58 @@ def daily_usage(stream: DataFrame, watermark: str = "1 day", prices: Prices = Pr
     return out.select(F.col("_w.start").cast("date").alias("day"), "tag", "calls", "tok_in", "tok_out", "micro")
 
 
-def stream_usage_daily(stream: DataFrame, path: str, checkpoint: str, watermark: str = "1 day") -> StreamingQuery:
-    """Changed (day, tag) rows per batch; :func:`read_latest` gives the current table."""
-    return _start(
-        daily_usage(stream, watermark), lambda batch, batch_id: _write_batch(batch, path, batch_id), checkpoint, "update"
-    )
+def stream_usage_daily(stream: DataFrame, path: str, checkpoint: str, watermark: str = "1 day", fold_every: int = 16) -> StreamingQuery:
+    """Changed (day, tag) rows per batch; :func:`read_latest` gives the current table. Every ``fold_every`` batches the
+    finished ones are folded into a snapshot."""
+    counts = daily_usage(stream, watermark)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, path, batch_id)
+        if batch_id and batch_id % fold_every == 0:
+            # This batch may be repeated after a crash, so it stays out of the snapshot.
+            fold_batches(batch.sparkSession, path, counts.schema, ["day", "tag"], batch_id - 1)
+
+    return _start(counts, sink, checkpoint, "update")
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in versions.folder_names(spark, f"{path}/_snapshots") if n.isdigit())
+
+
+def _latest_rows(spark: SparkSession, path: str, schema: T.StructType, keys, upto: int | None = None) -> DataFrame:
+    """The row of the last batch for each key, with its batch: the newest snapshot and the batches after it."""
+    numbered = T.StructType([*[T.StructField(f.name, f.dataType) for f in schema.fields], T.StructField("batch_id", T.LongType())])
+    rows, done = read_store(spark, path, numbered), _snapshots(spark, path)
+    if upto is not None:
+        rows = rows.filter(F.col("batch_id") <= upto)
+    if done:
+        rows = rows.filter(F.col("batch_id") > done[-1]).unionByName(read_store(spark, f"{path}/_snapshots/{done[-1]:010d}", numbered))
+    rest = [f.name for f in numbered.fields if f.name not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row")).select(*keys, "_row.*")
+
+
+def fold_batches(spark: SparkSession, path: str, schema: T.StructType, keys, upto: int) -> None:
+    """Put the rows that count after batch ``upto`` into one snapshot and remove what it replaces.
+
+    The snapshot is published by one rename; batches that it holds are left out of reading, whether they are removed yet or not.
+    """
+    done = _snapshots(spark, path)
+    if done and done[-1] >= upto:
+        return
+    staged = f"{path}/_snapshots/_staged-{uuid.uuid4().hex[:12]}"
+    _latest_rows(spark, path, schema, keys, upto).write.parquet(staged)
+    versions.publish_folder(spark, staged, f"{path}/_snapshots/{upto:010d}")
+    for name in versions.folder_names(spark, path):
+        number = name.removeprefix("batch_id=")
+        if number != name and int(number) <= upto:
+            remove_folder(spark, f"{path}/{name}")
+    for number in done:
+        remove_folder(spark, f"{path}/_snapshots/{number:010d}")
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys) -> DataFrame:
-    """The row of the last batch for each key."""
-    stored = read_store(spark, path, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    latest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
-    return latest.select(*keys, "_row.*")
+    """The row of the last batch for each key, from the newest snapshot and the batches after it."""
+    return _latest_rows(spark, path, schema, keys).select(*[f.name for f in schema.fields])
 
 
 LEDGER = T.StructType([

@@ -19,7 +19,7 @@ def test_cards_from_csv(spark, tmp_path):
     deck = tmp_path / "01to08_약치심혈관 카드.csv"
     deck.write_bytes('﻿front,back\r\n"two\r\nlines","say ""hi"""\r\n , \r\nonly,\r\n'.encode())
     rows = read_cards_csv(spark, str(deck))
-    assert [(r.front, r.back) for r in rows.orderBy("row").collect()] == [("front", "back"), ("two\nlines", 'say "hi"'), ("only", None)]
+    assert [(r.front, r.back) for r in rows.orderBy("row").collect()] == [("front", "back"), ("two\r\nlines", 'say "hi"'), ("only", None)]
     named = C.card_attributes(rows.withColumn("filename", F.lit(deck.name)).withColumn("subject_key", F.lit("s")))
     cards = C.clean_cards(named).orderBy("id").collect()
     assert [c.id for c in cards] == ["s-00001", "s-00002"] and (cards[0].chapter, cards[0].chapter_from, cards[0].chapter_to) == ("심혈관", 1, 8)
@@ -28,6 +28,16 @@ def test_cards_from_csv(spark, tmp_path):
     assert tuple(C.card_attributes(plain).first())[1:] == ("notes.v2", None, None)
 
 
+@pytest.mark.parametrize("content, want", [
+    ('a,b\r\n"x\ry","p\r\nq"\r\n', [(0, "a", "b"), (1, "x\ry", "p\r\nq")]), ('a\r\rb,"c"\r', [(0, "ab", "c")]),
+    ('"","""",z\n""""""," "\n', [(0, None, '"'), (1, '""', " ")]), ('x"y,z"w,"a""b""c"\n\n,\nlast', [(0, "xy,zw", 'a"b"c'), (3, "last", None)]),
+    ('"open\r\n,end', [(0, "open\r\n,end", None)]), ("", []),
+])
+def test_quotes_and_line_ends(spark, tmp_path, content, want):
+    (tmp_path / "deck.csv").write_bytes(content.encode())
+    assert [(r.row, r.front, r.back) for r in read_cards_csv(spark, str(tmp_path)).orderBy("row").collect()] == want
+
+
 def test_default_layout_and_lookup(spark):
     subjects = C.default_subjects(spark)
     totals = spark.createDataFrame(list(V.SESSION_TOTALS.items()), "session int, want int")

@@ -2,11 +2,13 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagewright.operators import audit as G
 from pagewright.operators import usage as U
 from pagewright.session import workspace
+from pagewright.sources import versions
 from pagewright.streaming import flows
 
 LOG = "event_id long, t timestamp, tag string, tok_in long, tok_out long, cached long"
@@ -85,6 +87,56 @@ def test_budget_ledger_over_batches_and_restart(spark):
         spent[budget] = before + 200_000
 
 
+def test_daily_usage_over_folded_batches(spark):
+    """Seven batches with late rows and a restart, folded every two: the same table as one aggregation, read from one snapshot and the tail."""
+    folder, out, marks = (workspace(spark, n) for n in ("in", "out", "offsets"))
+    rows = [(h % 30, "xy"[h % 2], h, 1, 0) for h in range(70)]
+    frame = log(spark, rows)
+    numbered = frame.withColumn("n", F.row_number().over(Window.orderBy("tok_in")))
+    files = [numbered.filter(F.col("n") % 7 == k).drop("n") for k in range(7)]
+    keys = ["day", "tag"]
+
+    def run():
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(folder)
+        flows.stream_usage_daily(stream, out, marks, "40 days", fold_every=2).awaitTermination()
+
+    batches(spark, folder, files[:4])
+    run()
+    for part in files[4:]:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    run()
+    kept = versions.folder_names(spark, out)
+    assert sum(n.startswith("batch_id=") for n in kept) <= 3 and len(flows._snapshots(spark, out)) == 1
+    schema = flows.daily_usage(frame).schema
+    got = {(r.day, r.tag): (r.calls, r.tok_in, r.tok_out) for r in flows.read_latest(spark, out, schema, keys).collect()}
+    want = frame.groupBy(F.to_date("t").alias("day"), "tag").agg(F.count("*").alias("c"), F.sum("tok_in").alias("i"), F.sum("tok_out").alias("o"))
+    assert got == {(r.day, r.tag): (r.c, r.i, r.o) for r in want.collect()}
+
+
+def test_a_fold_that_stops_changes_nothing(spark, monkeypatch):
+    path = workspace(spark, "daily")
+    shape = spark.createDataFrame([], "k int, v string")
+    for number, rows in enumerate([[(1, "a"), (2, "b")], [(2, "c")], [(3, "d")]]):
+        spark.createDataFrame(rows, shape.schema).write.parquet(f"{path}/batch_id={number}")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    def latest():
+        return {r.k: r.v for r in flows.read_latest(spark, path, shape.schema, ["k"]).collect()}
+
+    want = {1: "a", 2: "c", 3: "d"}
+    for name in ("publish_folder", "folder_names"):
+        with monkeypatch.context() as patch:
+            whole = getattr(versions, name)
+            patch.setattr(versions, name, stop if name == "publish_folder" else lambda s, p: whole(s, p) if "_snapshots" in p else stop())
+            with pytest.raises(RuntimeError, match="stopped"):
+                flows.fold_batches(spark, path, shape.schema, ["k"], 1)
+        assert latest() == want
+    flows.fold_batches(spark, path, shape.schema, ["k"], 2)
+    assert latest() == want and not [n for n in versions.folder_names(spark, path) if n.startswith("batch_id=2")]
+
+
 def test_pages_streamed_once_over_restarts(spark):
     folder, store, marks = (workspace(spark, n) for n in ("in", "store", "offsets"))
     first = spark.createDataFrame([("a", 1, "old"), ("a", 1, "old"), ("a", 2, "old")], "sha string, page int, body string")
