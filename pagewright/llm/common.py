@@ -20,6 +20,18 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``docs`` has it; Spark does not tell cases apart."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def space_words(text: Column) -> Column:
     """Words between ASCII white space, as an array."""
     trimmed = F.btrim(text, F.lit(SPACE))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import whole_text
+from pagewright.llm.common import unused, whole_text
 from pagewright.session import durable
 
 KEY = ["digest", "n_bytes", "mark"]
@@ -71,14 +71,15 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame, keep: str = "largest", **options) -> DataFrame:
     """The rows of ``docs`` that stay, one per distinct text, with all their columns.
 
-    Rows that repeat both id and text are one document, of which one row stays.
+    Rows that repeat both id and text are one document, of which one row stays. A null text counts as empty; columns of any name are kept.
     """
+    own_id, own_sha, kept_id, kept_sha = unused(docs, "_id", "_sha", "_kept_id", "_kept_sha")
     groups = exact_groups(docs, keep, **options)
-    stay = groups.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    stay = groups.filter("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha)).distinct()
     id_column, text_column = options.get("id_column", "doc_id"), options.get("text_column", "text")
-    marked = docs.withColumn("_sha", F.sha2(whole_text(text_column), 256)).withColumn("_id", F.col(id_column))
-    match = marked["_id"].eqNullSafe(stay["_id"]) & (marked["_sha"] == stay["_sha"])
-    return marked.join(stay, match, "left_semi").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    marked = docs.withColumn(own_sha, F.sha2(whole_text(text_column), 256)).withColumn(own_id, F.col(id_column))
+    match = F.col(own_id).eqNullSafe(F.col(kept_id)) & (F.col(own_sha) == F.col(kept_sha))
+    return marked.join(stay, match, "left_semi").dropDuplicates([own_id, own_sha]).select(*docs.columns)
 
 
 SQL = """

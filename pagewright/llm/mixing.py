@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import space_words, whole_text
+from pagewright.llm.common import space_words, unused, whole_text
 from pagewright.operators.ordering import with_global_index, with_running_sum
 from pagewright.session import durable
 
@@ -86,15 +86,15 @@ def mix_plan(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with all their columns, a row per epoch in which a document is taken.
 
-    Rows that repeat an id share the largest number of times among them.
+    Rows that repeat an id share the largest number of times among them. A null text has no words, so it is never taken; columns of any name are kept.
     """
-    plan = mix_plan(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("times").alias("_times"))
-    taken = plan.filter("_times > 0")
-    id_column = options.get("id_column", "doc_id")
-    joined = docs.withColumn("_own", F.col(id_column))
+    own, planned, times, epoch = unused(docs, "_own", "_id", "_times", "_epoch")
+    plan = mix_plan(docs, **options).groupBy(F.col("doc_id").alias(planned)).agg(F.max("times").alias(times))
+    taken = plan.filter(F.col(times) > 0)
+    joined = docs.withColumn(own, F.col(options.get("id_column", "doc_id")))
     return (
-        joined.join(taken, joined["_own"].eqNullSafe(taken["_id"]))
-        .withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        joined.join(taken, F.col(own).eqNullSafe(F.col(planned)))
+        .withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(*docs.columns)
     )
 

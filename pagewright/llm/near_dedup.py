@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import chunks, mixed, text_bytes, whole_text, word_codes, word_hashes
+from pagewright.llm.common import chunks, mixed, text_bytes, unused, whole_text, word_codes, word_hashes
 from pagewright.llm.components import connected_components
 from pagewright.session import durable
 
@@ -261,15 +261,17 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, with all their columns.
 
     A row without id is named by a hash of its text, which sorts behind usual ids: it stays when its class has no smaller name, and of
-    equal texts without id one row stays; texts without shingles all stay.
+    equal texts without id one row stays; texts without shingles all stay. Columns of any name are kept.
     """
+    name, kept_id, shingles = unused(docs, "_name", "_id", "_n")
     id_column = options.get("id_column", "doc_id")
     hashed = F.shiftrightunsigned(F.xxhash64(whole_text(options.get("text_column", "text"))), 2).bitwiseOR(1 << 62)
-    named = docs.withColumn("_name", F.coalesce(F.col(id_column), hashed))
-    classes = near_classes(named, **{**options, "id_column": "_name"}).filter("kept")
-    stay = durable(classes.groupBy(F.col("doc_id").alias("_id")).agg(F.max("n_shingles").alias("_n")))
+    named = docs.withColumn(name, F.coalesce(F.col(id_column), hashed))
+    classes = near_classes(named, **{**options, "id_column": name}).filter("kept")
+    stay = durable(classes.groupBy(F.col("doc_id").alias(kept_id)).agg(F.max("n_shingles").alias(shingles)))
     with_id, without = named.filter(F.col(id_column).isNotNull()), named.filter(F.col(id_column).isNull())
-    found = without.join(stay, without["_name"] == stay["_id"])
-    parts = [with_id.join(stay, with_id["_name"] == stay["_id"], "left_semi"), found.filter("_n = 0"), found.filter("_n > 0").dropDuplicates(["_name"])]
+    same = F.col(name) == F.col(kept_id)
+    found = without.join(stay, same)
+    parts = [with_id.join(stay, same, "left_semi"), found.filter(F.col(shingles) == 0), found.filter(F.col(shingles) > 0).dropDuplicates([name])]
     whole = [part.select(*docs.columns) for part in parts]
     return whole[0].unionByName(whole[1]).unionByName(whole[2])

@@ -125,10 +125,11 @@ def encode_texts(texts: list[bytes | None], vocabulary: Vocabulary, kept: dict |
     coded = pa.array([w for x in lists for w in x], type=pa.large_string()).dictionary_encode()
     codes, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
     new = sorted(w for w in distinct if w not in kept)
-    kept.update(zip(new, viterbi_words(new, vocabulary), strict=True))
+    # Paths are kept as bytes of 32-bit numbers, a few times smaller than lists.
+    kept.update(zip(new, (np.array(p, "<i4").tobytes() for p in viterbi_words(new, vocabulary)), strict=True))
     paths = [kept[w] for w in distinct]
-    lengths = np.array([len(p) for p in paths], np.int64)
-    flat = np.array([i for p in paths for i in p], np.int32)
+    lengths = np.array([len(p) // 4 for p in paths], np.int64)
+    flat = np.frombuffer(b"".join(paths), "<i4")
     first = np.r_[0, np.cumsum(lengths)]
     own = lengths[codes]
     ends = np.r_[0, np.cumsum(own)]
@@ -142,24 +143,27 @@ def decode_ids(ids, spelled: list[bytes]) -> bytes:
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL, name: str = "pieces", text_column: str = "text") -> DataFrame:
-    """``docs`` with an array of piece ids; a null or empty text gets an empty array, a column of that name is replaced."""
+    """``docs`` with an array of piece ids; a null or empty text gets an empty array, a column of that name is replaced.
+
+    The text travels to Python once, in its own column.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path).state())
 
     def encode(batches):
         vocabulary, kept = Vocabulary(*shared.value), {}
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch["_text"]), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.binary_length(batch[text_column]), 0).to_numpy(zero_copy_only=False)
             # Slices of a few megabytes of text, so that neither bytes nor ids of a whole batch are held at once.
             owner = np.cumsum(sizes, dtype=np.int64) // PIECE_CHUNK
             for start, end in zip(*_runs(owner), strict=True):
                 part = batch.slice(start, end - start)
-                ids, starts = encode_texts(text_bytes(part["_text"]), vocabulary, kept)
+                ids, starts = encode_texts(text_bytes(part[text_column]), vocabulary, kept)
                 column = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in columns], column], [*columns, name])
 
     columns = [c for c in docs.columns if c != name]
     shape = T.StructType([*[docs.schema[c] for c in columns], T.StructField(name, T.ArrayType(T.IntegerType()))])
-    return docs.select(*columns, whole_text(text_column).alias("_text")).mapInArrow(encode, shape)
+    return docs.select(*columns).mapInArrow(encode, shape)
 
 
 def _runs(owner: np.ndarray) -> tuple[list[int], list[int]]:

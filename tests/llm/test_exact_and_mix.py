@@ -1,8 +1,9 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from pagewright.llm import exact_dedup, mixing, token_rollup
+from pagewright.llm import exact_dedup, mixing, near_dedup, pieces, token_rollup
 from pagewright.session import workspace
 
 
@@ -100,3 +101,19 @@ def test_rollup_counts_rows_without_id(spark):
     for batch, docs in ((1, rows), (2, later), (2, later)):
         token_rollup.commit(spark, store, batch, token_rollup.upserts(docs, "v1"))
     assert [(r["docs"], r["tokens"]) for r in token_rollup.totals(spark, store).collect()] == [(4, 9)]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Every helper name of the pipeline's stages as an extra column."""
+    names = "_id _sha _kept_id _kept_sha _name _n _own _times _epoch _text kept digest rep band block key cell start size target taken times shard NAME_".split()
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base, "a"), (2, base, "a"), (3, base + " x", "b"), (4, "other words " * 9, None), (None, "no id here", "a"), (5, None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("*", *[F.lit(f"v{k}").alias(n) for k, n in enumerate(names)])
+    stages = [
+        exact_dedup.drop_exact_copies(docs), near_dedup.drop_near_copies(docs, width=5, similarity=0.8), mixing.mixed_documents(docs),
+        pieces.encode_documents(docs).drop("pieces"),
+    ]
+    for out, ids in zip(stages, [{2, 3, 4, None, 5}, {1, 4, None, 5}, {1, 2, 3, 4, None}, {1, 2, 3, 4, None, 5}], strict=True):
+        got = out.collect()
+        assert out.columns == docs.columns and {r["doc_id"] for r in got} <= ids and len({r["doc_id"] for r in got}) >= len(ids) - 2
+        assert all(r[n] == f"v{k}" for r in got for k, n in enumerate(names))
