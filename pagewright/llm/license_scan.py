@@ -1,7 +1,8 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
 A block is a stretch of ``BLOCK`` words; blocks start every half block, so a notice of up to half a block lies whole
-in one. A block matches a template when it holds at least ``threshold`` of the template's distinct tokens. Tokens are
+in one. A block matches a template when it holds at least ``threshold`` of the template's distinct tokens, and the template's mark, a few
+words that tell it from its kin, starts in the block. Tokens are
 ordered by how many documents hold them, rare first. A matching block must hold one of the template's first
 n - need + 1 tokens in that order (prefix), have at least ``need`` template tokens (length), and from the first shared
 token on there must be enough tokens left on both sides (position). Survivors are counted exactly, so the
@@ -28,23 +29,25 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Notices by label, as words; a notice has at most half a block of words.
+#: Notices by label, as words, and the words that must stand together in a block for the notice to be meant: they tell
+#: licenses apart whose notices share nearly all words. A notice has at most half a block of words.
 TEMPLATES = (
-    ("agpl", "licensed under the gnu affero general public license version 3"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that"),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
-    ("cc0-1.0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mit", "released under the mit license"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("proprietary", "all rights reserved no part of this work may be reproduced without written permission"),
+    ("agpl", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
+    ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at", "in compliance with the license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that", "source and binary forms"),
+    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4"),
+    ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4"),
+    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4"),
+    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4"),
+    ("cc0-1.0", "to the extent possible under law the author has waived all copyright and related or neighboring rights", "waived all copyright"),
+    ("gpl-3.0", "licensed under the gnu general public license version 3", "gnu general public license version 3"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gnu general public license"),
+    ("lgpl", "licensed under the gnu lesser general public license", "gnu lesser general public license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted"),
+    ("mit", "released under the mit license", "mit license"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    ("proprietary", "all rights reserved no part of this work may be reproduced without written permission", "all rights reserved"),
 )
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -76,10 +79,10 @@ def _places(words: Column, phrase: str) -> Column:
 
 def _templates(spark, templates, threshold: float) -> DataFrame:
     rows = [
-        (k, label, sorted(set(notice.split(" "))))
-        for k, (label, notice) in enumerate(templates)
+        (k, label, sorted(set(notice.split(" "))), f"# {mark}")
+        for k, (label, notice, mark) in enumerate(templates)
     ]
-    frame = spark.createDataFrame(rows, "template int, label string, tokens array<string>")
+    frame = spark.createDataFrame(rows, "template int, label string, tokens array<string>, mark string")
     n = F.size("tokens")
     return frame.withColumn("n", n).withColumn("need", F.ceil(n * F.lit(threshold) - F.lit(1e-9)).cast("int"))
 
@@ -89,10 +92,10 @@ def license_matches(keyed: DataFrame, templates=TEMPLATES, threshold: float = TH
 
     ``keyed`` has doc_id, text_key and words.
     """
-    assert all(len(notice.split(" ")) <= block // 2 for _, notice in templates)
+    assert all(len(notice.split(" ")) <= block // 2 for _, notice, _ in templates)
     spark = keyed.sparkSession
     notices = _templates(spark, templates, threshold)
-    vocabulary = F.array(*[F.lit(t) for t in sorted({t for _, notice in templates for t in notice.split(" ")})])
+    vocabulary = F.array(*[F.lit(t) for t in sorted({t for _, notice, _ in templates for t in notice.split(" ")})])
     tokens = notices.select(F.explode("tokens").alias("token")).distinct()
     held = keyed.select(F.explode(F.array_intersect("words", vocabulary)).alias("token")).groupBy("token").count()
     # One row per token of the fixed templates, so one window over all of them is bounded.
@@ -100,26 +103,31 @@ def license_matches(keyed: DataFrame, templates=TEMPLATES, threshold: float = TH
         "token", F.row_number().over(Window.orderBy(F.coalesce("count", F.lit(0)), "token")).alias("rank")
     ))
     ordered = durable(
-        notices.select("template", "label", "n", "need", F.explode("tokens").alias("token"))
+        notices.select("template", "label", "mark", "n", "need", F.explode("tokens").alias("token"))
         .join(ranks, "token")
-        .groupBy("template", "label", "n", "need").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
-        
+        .groupBy("template", "label", "mark", "n", "need").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
     )
     prefix = ordered.select(
         "*", F.posexplode(F.slice("ranks", F.lit(1), F.col("n") - F.col("need") + 1)).alias("at", "rank")
     )
     rare = prefix.join(ranks, "rank").agg(F.collect_set("token")).scalar()
     half = block // 2
+    # The words of the notices with their places, and the places of the marks, which no word can equal.
+    spots = F.filter(F.transform("words", lambda t, i: F.struct(i.alias("pos"), t.alias("token"))), lambda x: F.array_contains(vocabulary, x["token"]))
+    def places(mark: str) -> Column:
+        return F.transform(_places(F.col("words"), mark), lambda i: F.struct(i.alias("pos"), F.lit(f"# {mark}").alias("token")))
+
+    marks = [places(mark) for mark in sorted({mark for *_, mark in templates})]
     hits = (
         keyed.filter(F.arrays_overlap("words", rare))
-        .select("doc_id", "text_key", F.posexplode("words").alias("pos", "token"))
-        .filter(F.col("token").isin(sorted({t for _, notice in templates for t in notice.split(" ")})))
-        .join(F.broadcast(ranks), "token")
+        .select("doc_id", "text_key", F.inline(F.concat(spots, *marks)))
+        .join(F.broadcast(ranks), "token", "left")
+        .withColumn("mark", F.when(F.col("rank").isNull(), F.col("token")))
         .withColumn("last", F.floor(F.col("pos") / half))
-        .select("doc_id", "text_key", "rank", F.explode(F.array("last", F.col("last") - 1)).alias("block"))
+        .select("doc_id", "text_key", "rank", "mark", F.explode(F.array("last", F.col("last") - 1)).alias("block"))
         .filter("block >= 0")
         .groupBy("doc_id", "text_key", "block")
-        .agg(F.sort_array(F.collect_set("rank")).alias("held"))
+        .agg(F.sort_array(F.collect_set("rank")).alias("held"), F.collect_set("mark").alias("marks"))
     )
     probes = hits.select("*", F.posexplode("held").alias("place", "rank"))
     left = F.least(F.col("n") - F.col("at"), F.size("held") - F.col("place"))
@@ -128,7 +136,7 @@ def license_matches(keyed: DataFrame, templates=TEMPLATES, threshold: float = TH
         probes.join(F.broadcast(prefix), "rank")
         .filter((F.size("held") >= F.col("need")) & (left >= F.col("need")))
         .withColumn("shared", shared)
-        .filter("shared >= need")
+        .filter("shared >= need AND array_contains(marks, mark)")
         .select("doc_id", "text_key", "block", "template", "label", "shared", "n")
         .distinct()
     )
@@ -183,7 +191,8 @@ def _sql() -> str:
 
     phrases = ", ".join(f"({quoted(p.split(' '))}, '{label}')" for p, label in PHRASES.items())
     notices = ", ".join(
-        f"({quoted(sorted(set(n.split(' '))))}, '{label}', {math.ceil(len(set(n.split(' '))) * THRESHOLD - 1e-9)})" for label, n in TEMPLATES
+        f"({quoted(sorted(set(n.split(' '))))}, '{label}', {math.ceil(len(set(n.split(' '))) * THRESHOLD - 1e-9)}, {quoted(mark.split(' '))})"
+        for label, n, mark in TEMPLATES
     )
     return f"""
 WITH w AS (
@@ -195,9 +204,12 @@ base AS (
   WHERE words[i + 1 : i + len(phrase)] = phrase),
 b AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS base FROM base GROUP BY doc_id),
 m AS (
-  SELECT doc_id, n.label, n.tokens, n.need, len(list_intersect(list_distinct(words[s + 1 : s + {BLOCK}]), n.tokens)) AS shared
-  FROM w, unnest(range(0, len(words), {BLOCK // 2})) t(s), (VALUES {notices}) n(tokens, label, need)),
-f AS (SELECT doc_id, list(DISTINCT label) AS found, max(shared / len(tokens)) AS share FROM m WHERE shared >= need GROUP BY doc_id)
+  SELECT doc_id, n.label, n.tokens, n.need, n.mark, words[s + 1 : s + {BLOCK} + 8] AS own,
+         len(list_intersect(list_distinct(words[s + 1 : s + {BLOCK}]), n.tokens)) AS shared
+  FROM w, unnest(range(0, len(words), {BLOCK // 2})) t(s), (VALUES {notices}) n(tokens, label, need, mark)),
+f AS (
+  SELECT doc_id, list(DISTINCT label) AS found, max(shared / len(tokens)) AS share FROM m
+  WHERE shared >= need AND len(list_filter(range({BLOCK}), lambda i: own[i + 1 : i + len(mark)] = mark)) > 0 GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,

@@ -32,6 +32,20 @@ def test_license_places_and_thresholds(spark):
     assert out[7]["n_base"] == 0
 
 
+def test_kindred_licenses_are_told_apart(spark):
+    """Each notice gets its own label, and none of its kin's."""
+    texts = {
+        "licensed under the GNU General Public License version 3": "gpl,gpl-3.0", "Licensed under the GNU Affero General Public License, version 3": "agpl",
+        "licensed under the GNU Lesser General Public License": "lgpl", "Licensed under CC BY 4.0": "cc-by,cc-by-4.0",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc-4.0", "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0", "licensed under cc by-nc-sa 4.0": "cc-by",
+        "license version 3 of the gnu general public, licensed under": "",
+    }
+    rows = [(k, f"{'z ' * pad}{text} and so on") for k, text in enumerate(texts) for pad in (0, 40, 90)]
+    out = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = list(texts.values())
+    assert all(r["labels"] == want[r["doc_id"]] for r in out) and len(out) == len(rows)
+
+
 def plain_statistics(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = {}
