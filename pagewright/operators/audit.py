@@ -104,6 +104,12 @@ def check(name: str, passed: DataFrame, detail: str | None = None) -> DataFrame:
     return passed.select(F.lit(name).alias("name"), status.alias("status"), note.alias("detail"))
 
 
+def named_checks(gates: DataFrame) -> DataFrame:
+    """Gate rows from a frame of name, bad and passed, as the inventory's gates are; the detail is the number of bad cases."""
+    status = F.when(F.col("passed").isNull(), "skip").when(F.col("passed"), "pass").otherwise("fail")
+    return gates.select("name", status.alias("status"), F.col("bad").cast("string").alias("detail"))
+
+
 def gate_report(checks) -> DataFrame:
     """All gate rows in one table."""
     out = None

@@ -240,19 +240,39 @@ def coverage_pivot(papers: DataFrame, sessions=tuple(V.SESSION_TOTALS)) -> DataF
 # --- guides -----------------------------------------------------------------
 
 
-def merge_by_subject(df: DataFrame, subject: str, order, arrays) -> DataFrame:
-    """Entries of a subject's documents in document order: subject, kind, place, entry.
+SUBJECT_COLUMNS = ("subject_order", "subject_name", "area", "exam_questions", "session")
 
-    The merged lists stay in long form, so a subject with any number of documents is spread
-    over tasks. Struct elements become JSON text.
+
+def merge_by_subject(df: DataFrame, subject: str, order, arrays, subjects: DataFrame, source=()) -> DataFrame:
+    """Entries of a subject's documents in document order, with the subject's place in the subject list and its attributes.
+
+    Every document adds one entry of kind ``sources``, a JSON object of its ``source`` columns, if any are named. Documents
+    of subjects that ``subjects`` (ord, folder, key, area, quota, session) lacks are left out. The merged lists stay in long form, so a
+    subject with any number of documents is spread over tasks. Struct elements become JSON text.
     """
-    kinds = F.array(*[F.struct(F.lit(a).alias("kind"), _as_text(df, a).alias("items")) for a in arrays])
+    lists = [F.struct(F.lit(a).alias("kind"), _as_text(df, a).alias("items")) for a in arrays]
+    if source:
+        lists.append(F.struct(F.lit("sources").alias("kind"), F.array(F.to_json(F.struct(*source))).alias("items")))
     entries = (
-        df.select(F.col(subject).alias("subject_key"), *order, F.explode(kinds).alias("_k"))
+        df.select(F.col(subject).alias("subject_key"), *order, F.explode(F.array(*lists)).alias("_k"))
         .select("subject_key", *order, "_k.kind", F.posexplode("_k.items").alias("_pos", "entry"))
     )
-    placed = with_group_index(entries, ["subject_key", "kind"], [*order, "_pos"], "place")
-    return placed.drop("_pos")
+    listed = entries.join(subjects.select(F.col("key").alias("subject_key")), "subject_key", "left_semi")
+    placed = with_group_index(listed, ["subject_key", "kind"], [*order, "_pos"], "place").drop("_pos")
+    return placed.join(subject_attributes(subjects), "subject_key")
+
+
+def subject_attributes(subjects: DataFrame) -> DataFrame:
+    return subjects.select(
+        F.col("key").alias("subject_key"), F.col("ord").alias("subject_order"), F.col("folder").alias("subject_name"), "area",
+        F.col("quota").alias("exam_questions"), "session",
+    )
+
+
+def guide_heads(entries: DataFrame, kinds) -> DataFrame:
+    """One row per merged subject, in the order of the subject list: its attributes and the length of each list."""
+    sizes = [F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in kinds]
+    return entries.groupBy("subject_key", *SUBJECT_COLUMNS).agg(*sizes).orderBy("subject_order")
 
 
 def _as_text(df: DataFrame, array: str) -> Column:

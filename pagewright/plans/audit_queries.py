@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagewright.operators import audit as G
-from pagewright.operators import inventory as A
 from pagewright.operators import usage as U
+from pagewright.plans import inventory_queries
 from pagewright.plans.registry import query
 from pagewright.plans.sql_views import q
 from pagewright.plans.views import Views
@@ -124,8 +124,6 @@ def bulk_gate(v: Views):
 
 def _report(v: Views):
     docs, labels = v.table("documents"), v.table("labels")
-    gates = A.inventory_gates(v.manifest, v.doc_dim.limit(0).select("material_type", F.lit(0).alias("want")))
-    one = gates.agg(F.bool_and("passed").alias("ok"), F.sum("bad").alias("detail"))
     keys = docs.agg((F.count(F.lit(1)) == F.count_distinct("doc_id")).alias("ok"), F.count(F.lit(1)).alias("detail"))
     covered = labels.agg(F.count(F.lit(1)).alias("n")).select(
         (F.col("n") == docs.agg(F.count(F.lit(1)).alias("n")).scalar()).alias("ok"), F.col("n").alias("detail")
@@ -134,15 +132,13 @@ def _report(v: Views):
         F.when(F.col("n") > 0, True).alias("ok"), F.lit("no such language").alias("detail")
     )
     return G.gate_report([
-        G.check("inventory", one), G.check("document keys", keys), G.check("every document labelled", covered), G.check("language xx", absent),
+        G.named_checks(inventory_queries.inventory_gates(v)), G.check("document keys", keys), G.check("every document labelled", covered), G.check("language xx", absent),
     ])
 
 
-_REPORT = """
+_REPORT = f"""
     select name, case when ok is null then 'skip' when ok then 'pass' else 'fail' end as status, detail from (
-      select 'inventory' as name, (select count(*) from fx_dups where not is_primary) >= 0 and (select max(n) from
-        (select count(*) as n from fx_dups where is_primary group by content_sha)) = 1 as ok,
-        cast((select count(*) filter (n > 1) from (select count(*) as n from fx_dups where is_primary group by content_sha)) as varchar) as detail
+      select name, passed as ok, cast(bad as varchar) as detail from ({inventory_queries.GATES})
       union all select 'document keys', count(*) = count(distinct doc_id), cast(count(*) as varchar) from documents
       union all select 'every document labelled', (select count(*) from labels) = count(*), cast((select count(*) from labels) as varchar) from documents
       union all select 'language xx', null, 'no such language')"""

@@ -93,14 +93,14 @@ def missed_shingles(v: Views):
     return rows.select("doc_id", F.array_join("missed", " ").alias("missed"))
 
 
-# A candidate page differs from its truth in the middle: letters put in, taken out, replaced or turned round. ASCII only, where both
-# engines count the same steps.
+# A candidate page differs from its truth in the middle: letters put in, taken out, replaced or turned round. Letters beyond ASCII
+# stand as one sign each, as one engine counts steps in bytes.
 _EDITED = """
     select doc_id, page, t as truth, case (doc_id + page) % 5 when 0 then t
       when 1 then concat(substr(t, 1, m), 'qz', substr(t, m + 1)) when 2 then concat(substr(t, 1, m), substr(t, m + 4))
       when 3 then concat(substr(t, 1, m), translate(substr(t, m + 1, 20), 'aeiou', 'eioua'), substr(t, m + 21))
       else concat(substr(t, 1, m), reverse(substr(t, m + 1, 30)), 'k', substr(t, m + 31)) end as got
-    from (select doc_id, page, t, length(t) // 2 as m from (select doc_id, page, regexp_replace(body, '[^ -~\\n]', '', 'g') as t from fx_doc_page))"""
+    from (select doc_id, page, t, length(t) // 2 as m from (select doc_id, page, regexp_replace(body, '[^ -~\\n]', '~', 'g') as t from fx_doc_page))"""
 _DISTANCE = f"""
     select doc_id, page, length(a) as truth_len, levenshtein(a, b) as distance from (
       select doc_id, page, {normalized("truth")} as a, {normalized("got")} as b from ({_EDITED}))"""
@@ -108,7 +108,7 @@ _DISTANCE = f"""
 
 def _edited(v: Views):
     t, m = F.col("truth"), F.col("_m")
-    plain = text.pinned(v.doc_page, truth=F.regexp_replace("body", r"[^ -~\n]", ""))
+    plain = text.pinned(v.doc_page, truth=F.regexp_replace("body", r"[^ -~\n]", "~"))
     got = (
         F.when((F.col("doc_id") + F.col("page")) % 5 == 0, t)
         .when((F.col("doc_id") + F.col("page")) % 5 == 1, F.concat(F.substr(t, F.lit(1), m), F.lit("qz"), F.substr(t, m + 1)))

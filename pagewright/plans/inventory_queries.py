@@ -42,7 +42,7 @@ def dedup_savings(v: Views):
     return A.dedup_savings(A.dup_groups(v.assets))
 
 
-@query("inventory_gates", """
+GATES = """
     with counts as (select material_type, count(*) as n from fx_manifest where is_primary group by 1)
     select name, bad, bad = 0 as passed from (
       select 'every row has a route' as name, count(*) filter (extract_route is null) as bad from fx_manifest
@@ -51,7 +51,10 @@ def dedup_savings(v: Views):
         select count(*) as n from fx_manifest where is_primary group by content_sha)
       union all select 'file count of ' || p_type, abs(coalesce(n, 0) - want) from (
         select 'textbook' as p_type, count(*) // 100 as want from part union all select 'errata', 0) e
-        left join counts on material_type = p_type)""")
+        left join counts on material_type = p_type)"""
+
+
+@query("inventory_gates", GATES)
 def inventory_gates(v: Views):
     wanted = v.table("part").agg(F.floor(F.count(F.lit(1)) / 100).alias("want")).select(
         F.inline(F.array(

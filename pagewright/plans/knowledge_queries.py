@@ -217,20 +217,31 @@ def coverage_pivot(v: Views):
     return C.coverage_pivot(papers)
 
 
+GUIDE_LISTS = ("study_order", "unit_priority", "recommended_materials", "notes")
+
+
 def _entries(v: Views):
-    return C.merge_by_subject(v.guide_docs, "subject_key", ["conv_id", "turn"], ["study_order", "unit_priority", "notes"])
+    return C.merge_by_subject(v.guide_docs, "subject_key", ["conv_id", "turn"], GUIDE_LISTS, v.subjects, ("type", "source_key", "sha"))
 
 
 @query("merge_by_subject", """
     select subject_key, kind, row_number() over (partition by subject_key, kind order by conv_id, turn, pos) - 1 as place,
-      conv_id, turn, entry from fx_entries""")
+      conv_id, turn, entry, subject_order, subject_name, area, exam_questions, session from fx_entries""")
 def merge_by_subject(v: Views):
-    return _entries(v).select("subject_key", "kind", "place", "conv_id", "turn", "entry")
+    return _entries(v).select("subject_key", "kind", "place", "conv_id", "turn", "entry", *C.SUBJECT_COLUMNS)
+
+
+@query("guide_heads", f"""
+    select subject_key, subject_order, subject_name, area, exam_questions, session,
+      {", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in (*GUIDE_LISTS, "sources"))}
+    from fx_entries group by all""")
+def guide_heads(v: Views):
+    return C.guide_heads(_entries(v), (*GUIDE_LISTS, "sources"))
 
 
 @query("guide_gates", """
     select key as subject_key, n is null as missing, coalesce(content = 0, false) as no_content, coalesce(ranked = 0, false) as no_ranks
-    from fx_subjects left join (select subject_key, count(*) as n, count(*) filter (kind in ('study_order', 'notes')) as content,
+    from fx_subjects left join (select subject_key, count(*) as n, count(*) filter (kind in ('study_order', 'recommended_materials', 'notes')) as content,
       count(*) filter (kind = 'unit_priority') as ranked from fx_entries group by 1) e on e.subject_key = key""")
 def guide_gates(v: Views):
     return C.guide_gates(_entries(v), v.subjects)

@@ -109,7 +109,7 @@ VIEWS: dict[str, str] = {
     "fx_subjects": """
         select n_nationkey as ord, concat('src', n_nationkey) as folder, lower(n_name) as key, n_regionkey as area,
                10 + n_nationkey % 5 as quota, n_regionkey + 1 as session
-        from nation where n_regionkey <> 4""",
+        from nation""",
     "fx_fields": f"""
         select a.*, concat(coalesce(s.key, '_root'), '/', a.path) as source_key, s.folder as subject_folder,
                coalesce(s.key, '_root') as subject_key, coalesce(s.area, 0) as area,
@@ -242,10 +242,21 @@ VIEWS: dict[str, str] = {
         from fx_first f left join fx_ranges r on r.session = f.session and f.number between r.n_from and r.n_to
         left join fx_answers a on a.id = f.id""",
     "fx_entries": """
+        select e.*, ord as subject_order, folder as subject_name, area, quota as exam_questions, session
+        from fx_all_entries e join fx_subjects on key = subject_key""",
+    "fx_all_entries": f"""
+        select concat('nation_', conv_id % 13) as subject_key, conv_id, turn, 'sources' as kind, 0 as pos,
+               concat('{{"type":"', {choose(D.MATERIALS, "(conv_id // 5) % 8")}, '","source_key":"talk/', conv_id, '/', turn, '","sha":"', sha256(text), '"}}') as entry
+        from conversations
+        union all
+        select concat('nation_', conv_id % 13), conv_id, turn, 'recommended_materials', pos - 1, string_split(lines[pos], ' ')[1]
+        from (select *, unnest(range(1, len(lines) + 1)) as pos from (select *, string_split(text, chr(10)) as lines from conversations
+              where role = 'user' and turn % 4 = 2))
+        union all
         select subject_key, conv_id, turn, kind, pos, entry from (
           select concat('nation_', conv_id % 13) as subject_key, conv_id, turn, pos - 1 as pos,
                  case role when 'user' then 'study_order' when 'assistant' then 'unit_priority' else 'notes' end as kind,
-                 case role when 'assistant' then concat('{"unit":', to_json(substr(lines[pos], 1, 10)), ',"rank":', pos, '}') else lines[pos] end as entry
+                 case role when 'assistant' then concat('{{"unit":', to_json(substr(lines[pos], 1, 10)), ',"rank":', pos, '}}') else lines[pos] end as entry
           from (select *, unnest(range(1, len(lines) + 1)) as pos from (select *, string_split(text, chr(10)) as lines from conversations
                 where not (role = 'assistant' and conv_id % 13 = 5))))""",
 }

@@ -86,7 +86,7 @@ class Views:
     @cached_property
     def subjects(self) -> DataFrame:
         n = F.col("n_nationkey")
-        return self.table("nation").filter("n_regionkey <> 4").select(
+        return self.table("nation").select(
             n.alias("ord"), F.concat(F.lit("src"), n).alias("folder"), F.lower("n_name").alias("key"),
             F.col("n_regionkey").alias("area"), (10 + n % 5).alias("quota"), (F.col("n_regionkey") + 1).alias("session"),
         )
@@ -326,6 +326,10 @@ class Views:
             F.when(role == "user", lines).otherwise(none).alias("study_order"),
             F.when((role == "assistant") & (c % 13 != 5), units).otherwise(F.array().cast(UNITS)).alias("unit_priority"),
             F.when(role == "system", lines).otherwise(none).alias("notes"),
+            F.when((role == "user") & (t % 4 == 2), F.transform(lines, lambda line: F.substring_index(line, " ", 1))).otherwise(none)
+            .alias("recommended_materials"),
+            pick(MATERIALS, F.floor(c / 5) % 8).alias("type"), F.concat(F.lit("talk/"), c, F.lit("/"), t).alias("source_key"),
+            F.sha2("text", 256).alias("sha"),
         )
 
 

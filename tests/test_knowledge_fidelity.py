@@ -197,11 +197,21 @@ def test_guides_merge_in_document_order(spark):
     unit = {"unit": "u", "rank": 1, "note": None}
     docs = [("law", 2, ["b"], [], ["n"]), ("law", 1, ["a", "c"], [unit], []), ("social", 3, [], [unit], [])]
     df = spark.createDataFrame(docs, "subject_key string, ord int, study_order array<string>, unit_priority array<struct<unit:string,rank:int,note:string>>, notes array<string>")
-    entries = C.merge_by_subject(df, "subject_key", ["ord"], ["study_order", "unit_priority", "notes"])
+    more = spark.createDataFrame([("law", 3, [], [], []), ("unlisted", 1, ["z"], [], []), ("practice", 1, [], [], [])], df.schema)
+    df = df.unionByName(more).withColumn("sha", F.concat(F.lit("h"), "ord"))
+    lists = ["study_order", "unit_priority", "notes"]
+    entries = C.merge_by_subject(df, "subject_key", ["ord"], lists, C.default_subjects(spark), ("sha",))
     law = sorted((r.place, r.entry) for r in entries.filter("subject_key = 'law' and kind = 'study_order'").collect())
     assert law == [(0, "a"), (1, "c"), (2, "b")]
     gates = {r.subject_key: r for r in C.guide_gates(entries, C.default_subjects(spark)).collect()}
     assert gates["social"].no_content and not gates["law"].no_ranks and gates["physical"].missing
+    assert gates["practice"].no_content and not gates["practice"].missing
+    sources = sorted((r.place, r.entry) for r in entries.filter("subject_key = 'law' and kind = 'sources'").collect())
+    assert sources == [(0, '{"sha":"h1"}'), (1, '{"sha":"h2"}'), (2, '{"sha":"h3"}')]
+    heads = C.guide_heads(entries, [*lists, "sources"]).collect()
+    assert [(r.subject_key, r.subject_order, r.area, r.session, r.n_study_order, r.n_sources) for r in heads] == [
+        ("practice", 11, 3, 4, 0, 1), ("social", 13, 3, 4, 0, 1), ("law", 14, 4, 4, 3, 3),
+    ]
 
 
 def test_collation_is_an_option(spark):
