@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
 from pagewright.functions import text
-from pagewright.operators.ordering import attach_group_facts, with_global_index, with_group_index
+from pagewright.operators.ordering import attach_group_facts, with_group_index, with_prefix_index
 
 
 def default_subjects(spark: SparkSession) -> DataFrame:
@@ -44,11 +44,11 @@ def _is_kept() -> Column:
 
 
 def clean_cards(df: DataFrame, order=("path", "row")) -> DataFrame:
-    """Trimmed cards with both sides, numbered over all files in ``order``."""
+    """Trimmed cards with both sides, numbered over all files in ``order``, which tells all rows apart."""
     kept = _sides(df).filter(_is_kept())
     number = F.col("_no") + 1
     return (
-        with_global_index(kept, order, "_no")
+        with_prefix_index(kept, order, "_no")
         .withColumn("id", F.format_string("%s-%05d", "subject_key", number))
         .drop("_no")
     )
@@ -195,8 +195,8 @@ def cross_check(df: DataFrame) -> DataFrame:
 
 
 def final_order(df: DataFrame, order=("exam_round", "session", "number"), name: str = "seq") -> DataFrame:
-    """Globally sorted items with their 0-based place."""
-    return with_global_index(df, order, name)
+    """Items with their 0-based place in the global order, which tells all items apart."""
+    return with_prefix_index(df, order, name)
 
 
 # --- gates ------------------------------------------------------------------

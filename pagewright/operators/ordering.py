@@ -1,8 +1,8 @@
 """Exact ordering, running totals and group facts that never gather a group in one task.
 
 A window without a partition key, or over a key that holds a large share of the rows,
-runs in one task. The helpers here spread that work: order by range, materialise the
-ranges once, and combine one small row per range.
+runs in one task. The helpers here spread that work: order by range and combine one small row per range. The ranges are either
+materialised once, for inputs that are dear to compute or have ties, or cut at stated keys, for inputs that are cheap to read again.
 """
 
 from __future__ import annotations
@@ -38,6 +38,65 @@ def with_global_index(df: DataFrame, order, name: str = "idx") -> DataFrame:
     )
 
 
+#: Sampled order keys per range, when ranges are cut without storing rows.
+KEYS_PER_RANGE = 32
+
+
+def key_bounds(df: DataFrame, order, ranges: int) -> list:
+    """Order keys that cut the rows into about ``ranges`` even parts, each the first key of a part, ascending.
+
+    They are taken from the ``KEYS_PER_RANGE * ranges`` keys with the smallest hash, so the driver sees no more than
+    that, and the same rows give the same bounds.
+    """
+    if ranges < 2:
+        return []
+    picked = df.select(*order).orderBy(F.xxhash64(*order)).limit(KEYS_PER_RANGE * ranges)
+    keys = [tuple(r) for r in picked.orderBy(*order).collect()]
+    places = sorted({len(keys) * i // ranges for i in range(1, ranges)} - {0})
+    bounds = [keys[p] for p in places if p < len(keys)]
+    return [b for i, b in enumerate(bounds) if i == 0 or b != bounds[i - 1]]
+
+
+def range_number(df: DataFrame, order, bounds: list) -> Column:
+    """How many of the ascending ``bounds`` lie at or before a row's order key, found by halving; nulls come first."""
+    if not bounds:
+        return F.lit(0)
+    types = df.select(*order).schema
+    cut = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, types, strict=True)]) for b in bounds])
+    widths = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*map(F.lit, widths)), F.lit(0),
+        lambda at, width: F.when(F.get(cut, at + width - 1) <= F.struct(*order), at + width).otherwise(at),
+    )
+
+
+def with_prefix_sum(df: DataFrame, order, amount: Column, name: str, ranges: int | None = None) -> DataFrame:
+    """Sum of ``amount`` over the rows up to and including this one in the total order, without storing a row.
+
+    The order keys are read for the bounds of the ranges, then keys and amounts for the total of each range; the rows
+    themselves are shuffled once, and each range adds what lies before it. ``ranges`` is ``spark.sql.shuffle.partitions`` unless
+    given. ``df`` gives the same rows whenever it is read, and ``order`` tells all rows apart and ascends.
+    """
+    order = list(order)
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = range_number(df, order, key_bounds(df, order, parts))
+    ranged = df.withColumn("_range", number).withColumn("_amount", amount)
+    totals = ranged.groupBy("_range").agg(F.sum("_amount").alias("_total"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(F.col("_range"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
+    upto = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumn("_within", F.sum("_amount").over(upto))
+    # One start per range, of which there are ``ranges`` at most.
+    return summed.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_within")).drop(
+        "_range", "_amount", "_start", "_within"
+    )
+
+
+def with_prefix_index(df: DataFrame, order, name: str = "idx", ranges: int | None = None) -> DataFrame:
+    """0-based place of each row in the total order of ``order``, without storing a row; see ``with_prefix_sum``."""
+    return with_prefix_sum(df, order, F.lit(1).cast("long"), name, ranges).withColumn(name, F.col(name) - 1)
+
+
 def with_group_index(df: DataFrame, keys, order, name: str = "idx") -> DataFrame:
     """0-based place of each row within its group: its global index less the first index of its group."""
     keys = list(keys)

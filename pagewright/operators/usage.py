@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright import fixed_values as V
-from pagewright.operators.ordering import with_running_sum
+from pagewright.operators.ordering import with_prefix_sum
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,7 @@ def project_remaining(total: DataFrame, done: DataFrame, prices: Prices = Prices
 def budget_cutoff(log: DataFrame, limit_usd: str, prices: Prices = Prices(cached="0"), order=("t", "event_id")) -> DataFrame:
     """Spend before each call and whether the call is blocked; a limit of 0 blocks nothing."""
     priced = log.withColumn("_cost", micro_usd(prices))
-    summed = with_running_sum(priced, order, "_cost", "_upto")
+    summed = with_prefix_sum(priced, order, F.col("_cost"), "_upto")
     before = F.col("_upto") - F.col("_cost")
     limit = (F.lit(limit_usd).cast("decimal(18,6)") * F.lit(1000000).cast("decimal(8,0)")).cast("decimal(28,4)")
     blocked = (limit > 0) & (before >= limit)

@@ -60,3 +60,30 @@ def test_hot_rows_are_spread_by_the_join(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_prefix_sums_without_stored_rows(spark):
+    """Composite keys with nulls, unsorted input and any number of ranges against a plain loop."""
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, "a", "b", "é", ""]), i if i % 9 else None, rnd.randrange(50)) for i in range(700)]
+    rows = list({(a, b): (a, b, n) for a, b, n in rows}.values())
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "a string, b int, n long")
+    key = lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0)
+    expected, total = {}, 0
+    for place, (a, b, n) in enumerate(sorted(rows, key=key)):
+        total += n
+        expected[a, b] = (place, total)
+    for ranges in (None, 1, 2, 7, 64):
+        out = O.with_prefix_index(O.with_prefix_sum(df.repartition(6), ["a", "b"], F.col("n"), "upto", ranges), ["a", "b"], "idx", ranges)
+        assert {(r.a, r.b): (r.idx, r.upto) for r in out.collect()} == expected
+    assert O.with_prefix_index(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_range_bounds_are_even_and_store_nothing(spark):
+    df = spark.range(20000).select((F.col("id") * 7919 % 20000).alias("k"))
+    bounds = O.key_bounds(df, ["k"], 8)
+    sizes = [r["count"] for r in df.groupBy(O.range_number(df, ["k"], bounds).alias("r")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8
+    plan = O.with_prefix_sum(df, ["k"], F.lit(1), "upto")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan
