@@ -1,8 +1,12 @@
 """Quality rules: fixed rules, then robust multivariate outliers.
 
 Five statistics of a text become a vector. Per language and source a minimum-covariance-determinant estimate is found
-by concentration steps: from coordinate-wise medians on, mean and covariance are taken over the ``share`` of rows
-with the smallest Mahalanobis distance, again and again. A text whose distance lies beyond ``cutoff`` is rejected.
+by concentration steps: mean and covariance are taken over the ``share`` of rows with the smallest Mahalanobis distance, again
+and again, from two starts (coordinate-wise medians; mean and covariance of all rows), of which the one that ends with the smaller determinant
+counts. A text whose distance lies beyond ``cutoff`` is rejected.
+
+Every estimate of a group is drawn towards its language by one formula, ``(n * own + PULL * language) / (n + PULL)`` with n rows, so a group
+of any size has an estimate of its own and no size switches the rule.
 
 Every step is a DataFrame aggregate over one small row per document, with partial sums, so a group that holds a third of
 all rows is summed where its rows lie; estimates come back to the rows by a salted join. Medians and the cut of the concentration step are read off histograms of
@@ -27,8 +31,11 @@ WINDOW = 8
 #: Vectors are kept in whole thousandths.
 UNIT = 1000
 VECTOR = ("length", "word_length", "symbols", "lines", "repeats")
-#: Smallest standard deviation a coordinate is given: shares are 0 in nearly all clean texts.
+#: Standard deviation of the noise every coordinate is given, whose square is added to its variance: shares are 0 in nearly all clean
+#: texts, and groups of few rows have singular covariances, which a smallest variance alone would not mend.
 FLOORS = (0.3, 0.15, 0.7, 0.7, 0.7)
+#: A group's estimates weigh its own rows against so many rows of its language.
+PULL = 50
 CHI2_MEDIAN = 4.351
 #: The 99.999 % quantile of chi-square with as many degrees as the vector has coordinates.
 CHI2_CUTOFF = 30.856
@@ -107,29 +114,46 @@ def _cut(binned: DataFrame, keys: list[str], share: float) -> DataFrame:
     return reached.filter(F.col("upto") >= F.col("total") * F.lit(share)).groupBy(*keys).agg(F.min("bin").alias("cut"))
 
 
+def _drawn(own: Column, language: Column, n: Column) -> Column:
+    return (n * own + PULL * language) / (n + PULL)
+
+
 def _moments(rows: DataFrame) -> DataFrame:
-    """Centre and inverse covariance per group, in the unit of the vector; the floors are added to the variances."""
+    """Centre, inverse covariance and logarithm of the determinant per group and start, in the unit of the vector."""
     p = range(len(VECTOR))
+    pairs = [(i, j) for i in p for j in p if j <= i]
     whole = {v: F.col(v).cast("decimal(20,0)") for v in VECTOR}
-    sums = rows.groupBy("group").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        *[F.sum(whole[v]).cast("double").alias(f"s{i}") for i, v in enumerate(VECTOR)],
-        *[F.sum((F.col(VECTOR[i]) * F.col(VECTOR[j])).cast("decimal(20,0)")).cast("double").alias(f"q{i}{j}") for i in p for j in p if j <= i],
+    names = ["n", *[f"s{i}" for i in p], *[f"q{i}{j}" for i, j in pairs]]
+    own = rows.groupBy("group", "language", "start").agg(
+        F.count(F.lit(1)).cast("decimal(20,0)").alias("n"),
+        *[F.sum(whole[v]).alias(f"s{i}") for i, v in enumerate(VECTOR)],
+        *[F.sum((F.col(VECTOR[i]) * F.col(VECTOR[j])).cast("decimal(20,0)")).alias(f"q{i}{j}") for i, j in pairs],
     )
-    mean = [F.col(f"s{i}") / F.col("n") for i in p]
+    every = own.groupBy("language", "start").agg(*[F.sum(c).cast("double").alias(f"l{c}") for c in names])
+    both = own.select("group", "language", "start", *[F.col(c).cast("double").alias(c) for c in names]).join(every, ["language", "start"])
+
+    def estimate(lead: str) -> tuple[list[Column], dict]:
+        mean = [F.col(f"{lead}s{i}") / F.col(f"{lead}n") for i in p]
+        return mean, {(i, j): F.col(f"{lead}q{i}{j}") / F.col(f"{lead}n") - mean[i] * mean[j] for i, j in pairs}
+
+    (mean, cov), (mean_of_all, cov_of_all) = estimate(""), estimate("l")
+    n = F.col("n")
+    centre = [_drawn(mean[i], mean_of_all[i], n) for i in p]
     cell = {
-        (i, j): F.col(f"q{max(i, j)}{min(i, j)}") / F.col("n") - mean[i] * mean[j] + ((FLOORS[i] * UNIT) ** 2 if i == j else 0.0)
+        (i, j): _drawn(cov[max(i, j), min(i, j)], cov_of_all[max(i, j), min(i, j)], n) + ((FLOORS[i] * UNIT) ** 2 if i == j else 0.0)
         for i in p for j in p
     }
-    return sums.select("group", F.array(*mean).alias("centre"), F.array(*cell.values()).alias("covariance")).select(
-        "group", "centre", _inverse(F.col("covariance"), len(VECTOR)).alias("inverse")
-    )
+    found = pinned(both, centre=F.array(*centre), covariance=F.array(*cell.values()))
+    swept = pinned(found, swept=_inverse(F.col("covariance"), len(VECTOR)))
+    return swept.select("group", "start", "centre", F.col("swept.a").alias("inverse"), F.col("swept.logdet").alias("logdet"))
 
 
 def _inverse(matrix: Column, n: int) -> Column:
-    """Inverse of a positive definite n x n matrix, given row by row as an array, by sweeping every pivot."""
+    """Inverse ``a`` of a positive definite n x n matrix, given row by row as an array, by sweeping every pivot, and ``logdet``."""
+
+    def sweep(state: Column, k: Column) -> Column:
+        a = state["a"]
 
-    def sweep(a: Column, k: Column) -> Column:
         def cell(x: Column) -> Column:
             i, j = F.floor(x / n).cast("int"), x % n
             pivot, down, across = F.get(a, k * n + k), F.get(a, i * n + k), F.get(a, k * n + j)
@@ -138,47 +162,55 @@ def _inverse(matrix: Column, n: int) -> Column:
                 .otherwise(F.get(a, x) - down * across / pivot)
             )
 
-        return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), cell)
+        return F.struct(
+            F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), cell).alias("a"), (state["logdet"] + F.log(F.get(a, k * n + k))).alias("logdet")
+        )
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), matrix, sweep)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.struct(matrix.alias("a"), F.lit(0.0).alias("logdet")), sweep)
 
 
 def _distances(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance of each row to its group's estimate, and its bin."""
+    """Squared Mahalanobis distance of each row to the estimate of its group and start, and its bin."""
     p = range(len(VECTOR))
-    known = attach_group_facts(rows.select("row", "group", *VECTOR), facts, ["group"], ["row"]).select(
-        "row", "group", *VECTOR, "inverse", *[(F.col(v) - F.get("centre", F.lit(i))).alias(f"z{i}") for i, v in enumerate(VECTOR)]
+    kept = ["row", "group", "language", "start", *VECTOR]
+    known = attach_group_facts(rows.select(*kept), facts.select("group", "start", "centre", "inverse"), ["group", "start"], ["row"]).select(
+        *kept, "inverse", *[(F.col(v) - F.get("centre", F.lit(i))).alias(f"z{i}") for i, v in enumerate(VECTOR)]
     )
     terms = [F.get("inverse", F.lit(i * len(VECTOR) + j)) * F.col(f"z{i}") * F.col(f"z{j}") for i in p for j in p]
     squared = pinned(known, d2=F.greatest(reduce(add, terms), F.lit(0.0)))
-    return squared.select("row", "group", *VECTOR, "d2", F.floor(F.log2(1 + F.col("d2")) * DISTANCE_BINS).alias("bin"))
+    return squared.select(*kept, "d2", F.floor(F.log2(1 + F.col("d2")) * DISTANCE_BINS).alias("bin"))
 
 
-def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4, least: int = 50) -> DataFrame:
-    """row and its robust squared distance ``d2``. ``rows`` has row, lang, source and the vector.
-
-    Groups under ``least`` rows are estimated together.
-    """
-    counts = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    names = counts.select(
-        F.coalesce("lang", F.lit("\u0000")).alias("l"), F.coalesce("source", F.lit("\u0000")).alias("s"),
-        F.when(F.col("n") >= least, F.to_json(F.struct("lang", "source"))).otherwise("small").alias("group"),
-    )
-    keyed = rows.withColumn("l", F.coalesce("lang", F.lit("\u0000"))).withColumn("s", F.coalesce("source", F.lit("\u0000")))
-    grouped = durable(attach_group_facts(keyed, names, ["l", "s"], ["row"]).select("row", "group", *VECTOR))
+def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
+    """row and its robust squared distance ``d2``. ``rows`` has row, lang, source and the vector; null lang or source is a value of its own."""
+    grouped = durable(rows.select(
+        "row", F.to_json(F.struct("lang", "source")).alias("group"), F.to_json(F.struct("lang")).alias("language"), *VECTOR
+    ))
+    medians, means = F.lit(0), F.lit(1)
     spots = grouped.select("group", F.posexplode(F.array(*VECTOR)).alias("at", "bin"))
     centres = _cut(spots, ["group", "at"], 0.5)
     p = range(len(VECTOR))
     at_once = [F.max(F.when(F.col("at") == i, F.col("cut"))).cast("double") for i in p]
     unit = [F.lit(1 / (FLOORS[i] * UNIT) ** 2 if i == j else 0.0) for i in p for j in p]
-    facts = durable(centres.groupBy("group").agg(F.array(*at_once).alias("centre")).withColumn("inverse", F.array(*unit)))
+    first = centres.groupBy("group").agg(F.array(*at_once).alias("centre")).select(
+        "group", medians.alias("start"), "centre", F.array(*unit).alias("inverse"), F.lit(0.0).alias("logdet")
+    )
+    facts = durable(first.unionByName(_moments(grouped.withColumn("start", means))))
+    started = grouped.withColumn("start", F.explode(F.array(medians, means)))
     for _ in range(steps):
-        placed = _distances(grouped, facts)
-        inner = attach_group_facts(placed, _cut(placed, ["group"], share), ["group"], ["row"]).filter("bin <= cut")
+        placed = _distances(started, facts)
+        inner = attach_group_facts(placed, _cut(placed, ["group", "start"], share), ["group", "start"], ["row"]).filter("bin <= cut")
         facts = durable(_moments(inner))
-    placed = _distances(grouped, facts)
-    middle = _cut(placed, ["group"], 0.5).select("group", (F.pow(F.lit(2.0), F.col("cut") / DISTANCE_BINS) - 1).alias("middle"))
-    return attach_group_facts(placed, middle, ["group"], ["row"]).select("row", (F.col("d2") / F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))).alias("d2"))
+    best = facts.groupBy("group").agg(F.min_by(F.struct("centre", "inverse"), F.struct("logdet", "start")).alias("best"))
+    placed = durable(_distances(grouped.withColumn("start", medians), best.select("group", medians.alias("start"), "best.*")))
+    sizes = placed.groupBy("group", "language").agg(F.count(F.lit(1)).alias("n"))
+    middle = sizes.join(_cut(placed, ["group"], 0.5), "group").join(_cut(placed, ["language"], 0.5).withColumnRenamed("cut", "every"), "language")
+    scale = middle.select("group", _drawn(_bin_start("cut"), _bin_start("every"), F.col("n")).alias("middle"))
+    return attach_group_facts(placed, scale, ["group"], ["row"]).select("row", (F.col("d2") / F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))).alias("d2"))
+
+
+def _bin_start(bin: str) -> Column:
+    return F.pow(F.lit(2.0), F.col(bin) / DISTANCE_BINS) - 1
 
 
 def quality_rules(

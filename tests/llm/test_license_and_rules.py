@@ -85,20 +85,58 @@ def test_distances_against_numpy(spark):
     ours = np.array([r["d2"] for r in quality_rules.robust_distances(frame, 0.75, 4).orderBy("row").collect()])
     floors = np.diag((np.array(quality_rules.FLOORS) * quality_rules.UNIT) ** 2)
     n = len(points)
-    centre = np.array([np.sort(points[:, k])[int(np.ceil(0.5 * n)) - 1] for k in range(p)], float)
-    spread = floors
-    for step in range(5):
-        z = points - centre
-        d2 = np.einsum("ij,jk,ik->i", z, np.linalg.inv(spread), z)
-        bins = np.floor(np.log2(1 + d2) * quality_rules.DISTANCE_BINS)
-        if step < 4:
-            inner = points[bins <= np.sort(bins)[int(np.ceil(0.75 * n)) - 1]]
-            centre, spread = inner.mean(axis=0), np.cov(inner.T, bias=True) + floors
+    ends = []
+    for centre, spread in (
+        (np.array([np.sort(points[:, k])[int(np.ceil(0.5 * n)) - 1] for k in range(p)], float), floors),
+        (points.mean(axis=0), np.cov(points.T, bias=True) + floors),
+    ):
+        for step in range(5):
+            z = points - centre
+            d2 = np.einsum("ij,jk,ik->i", z, np.linalg.inv(spread), z)
+            bins = np.floor(np.log2(1 + d2) * quality_rules.DISTANCE_BINS)
+            if step < 4:
+                inner = points[bins <= np.sort(bins)[int(np.ceil(0.75 * n)) - 1]]
+                centre, spread = inner.mean(axis=0), np.cov(inner.T, bias=True) + floors
+        ends.append((np.linalg.slogdet(spread)[1], d2, bins))
+    _, d2, bins = min(ends, key=lambda e: e[0])
     middle = 2 ** (np.sort(bins)[int(np.ceil(0.5 * n)) - 1] / quality_rules.DISTANCE_BINS) - 1
     assert ours == pytest.approx(d2 / max(middle / quality_rules.CHI2_MEDIAN, 1), rel=1e-6)
     assert (ours[400:] > 60).all() and (ours[:400] < 60).all()
 
 
+@pytest.fixture(scope="module")
+def vectors():
+    rng = np.random.default_rng(5)
+    p = len(quality_rules.VECTOR)
+    return lambda n, shift=0: np.rint(rng.multivariate_normal(np.full(p, 4000 + shift), np.eye(p) * 250_000, n)).astype(int)
+
+
+def distances_of(spark, groups):
+    rows = [(lang, source, *map(int, x)) for lang, source, points in groups for x in points]
+    schema = "row long, lang string, source string, " + ", ".join(f"{v} long" for v in quality_rules.VECTOR)
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
+    found = {r["row"]: r["d2"] for r in quality_rules.robust_distances(frame).collect()}
+    out, at = [], 0
+    for _, _, points in groups:
+        out.append(np.array([found[at + i] for i in range(len(points))]))
+        at += len(points)
+    return out
+
+
+def test_no_group_size_switches_the_rule(spark, vectors):
+    """Groups of one kind with one row more or less, null names among them, are judged alike; a few far rows in a group of their own are not kept."""
+    sizes = [24, 25, 49, 50, 51, 99, 100]
+    far = vectors(100, 9000)
+    groups = [("en", None, vectors(600)), (None, "a", vectors(60)), ("en", "two", vectors(2, 30_000)), ("en", "", vectors(1))]
+    found = distances_of(spark, groups + [("en", f"s{n}", far[:n]) for n in sizes])
+    assert (found[0] < quality_rules.CHI2_CUTOFF).all() and (found[1] < quality_rules.CHI2_CUTOFF).all() and found[3][0] < quality_rules.CHI2_CUTOFF
+    assert (found[2] > quality_rules.CHI2_CUTOFF).all()
+    shares = [float((d > quality_rules.CHI2_CUTOFF).mean()) for d in found[4:]]
+    assert max(shares) - min(shares) < 0.05
+    typical = [float(np.median(d)) for d in found[4:]]
+    assert all(0.8 < a / b < 1.25 for (a, b), (m, n) in zip(zip(typical, typical[1:]), zip(sizes, sizes[1:])) if n - m == 1)
+
+
 def test_junk_is_rejected_and_clean_kept(spark, folder, documents):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     judged = quality_rules.quality_rules(documents).join(labels, "doc_id")
