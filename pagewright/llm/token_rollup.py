@@ -56,7 +56,7 @@ def deletes(docs: DataFrame) -> DataFrame:
 def commit(spark: SparkSession, store: str, batch: int, changes: DataFrame) -> None:
     """Commit one batch of changes; the same batch committed again leaves the totals as they are.
 
-    Batches count upwards. Within a batch an upsert of a document and version that occurs more than once
+    Only ledger rows of documents that the batch names are shuffled and summed. Batches count upwards. Within a batch an upsert of a document and version that occurs more than once
     takes the largest (tokens, source, lang), and a delete applies before the upserts. Rows without
     doc_id are plain insertions of their batch: each counts, and later batches never revise it.
     """
@@ -69,8 +69,9 @@ def commit(spark: SparkSession, store: str, batch: int, changes: DataFrame) -> N
     )
     gone = known.filter("deleted").select(F.col("doc_id").alias("gone_id")).distinct()
     renewed = fresh.select(F.col("doc_id").alias("new_id"), F.col("version").alias("new_version"))
+    changed = gone.select(F.col("gone_id").alias("doc_id")).unionByName(fresh.select("doc_id")).distinct()
     held = (
-        read_store(spark, f"{store}/ledger", LEDGER).filter(F.col("batch") < batch)
+        read_store(spark, f"{store}/ledger", LEDGER).filter(F.col("batch") < batch).join(changed, "doc_id", "left_semi")
         .groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").alias("sign")).filter("sign > 0")
     )
     touched = (
@@ -101,15 +102,18 @@ def totals(spark: SparkSession, store: str) -> DataFrame:
 
 SQL = """
 WITH counted AS (
-  SELECT d.source, d.lang, t.version,
+  SELECT d.doc_id, d.source, d.lang, t.version,
          len(list_filter(string_split_regex(
            CASE WHEN t.version = 'space-2' THEN replace(coalesce(d.text, ''), '|', ' ') ELSE coalesce(d.text, '') END,
            '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) AS tokens,
-         t.version AS v, contains(coalesce(d.text, ''), '!!') AS loud,
+         t.version = 'space-1' AND contains(coalesce(d.text, ''), '!!') AS revised,
          len(list_filter(string_split_regex(replace(coalesce(d.text, ''), '!!', ' '), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) AS quiet
   FROM documents d CROSS JOIN (VALUES ('space-1'), ('space-2')) t(version)
-  WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0))
-SELECT source, lang, version, count(*) AS docs,
-       CAST(sum(CASE WHEN loud AND v = 'space-1' THEN quiet ELSE tokens END) AS BIGINT) AS tokens
-FROM counted GROUP BY source, lang, version
+  WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0)),
+valued AS (SELECT doc_id, source, lang, version, revised, CASE WHEN revised THEN quiet ELSE tokens END AS tokens FROM counted),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY doc_id, version ORDER BY revised DESC, tokens DESC, source DESC NULLS LAST, lang DESC NULLS LAST) AS place FROM valued)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM ranked WHERE doc_id IS NULL OR place = 1 GROUP BY source, lang, version
 """

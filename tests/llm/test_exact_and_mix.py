@@ -1,9 +1,10 @@
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from pagewright.llm import exact_dedup, mixing, near_dedup, pieces, token_rollup
+from pagewright.llm import exact_dedup, mixing, near_dedup, pieces, queries, token_rollup
 from pagewright.session import workspace
 
 
@@ -117,3 +118,27 @@ def test_stages_keep_columns_of_any_name(spark):
         got = out.collect()
         assert out.columns == docs.columns and {r["doc_id"] for r in got} <= ids and len({r["doc_id"] for r in got}) >= len(ids) - 2
         assert all(r[n] == f"v{k}" for r in got for k, n in enumerate(names))
+
+
+def test_rollup_query_and_sql_agree_on_repeated_ids(spark, tmp_path):
+    """Equal rows, rows of one id that differ, rows without id and a deleted document: one rule in the query and in its SQL."""
+    rows = [
+        (1, "a b", "en", "s"), (1, "a b", "en", "s"), (2, "a b c", "en", "s"), (2, "a b", "de", "t"), (3, "x!!y z", "en", "s"), (3, "q w e r", "en", "t"),
+        (4, "a|b", None, "s"), (4, "a|b", "en", None), (None, "n!!o", "en", "s"), (None, "n!!o", "en", "s"), (5, "gone", "en", "s"), (6, None, "en", "s"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, 0), (1, 1)], "doc_id long, quality long").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op4(spark, str(tmp_path)).select("source", "lang", "version", "docs", "tokens").collect()
+    duck = duckdb.connect()
+    for name in ("documents", "labels"):
+        duck.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    wanted = duck.execute(f"select source, lang, version, docs, tokens from ({token_rollup.SQL})").fetchall()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, wanted))
+
+
+def test_a_commit_reads_the_ledger_by_the_batch_only(spark, odd):
+    """Documents that a batch does not name keep their rows; the batch's own part holds nothing of them."""
+    store = workspace(spark, "rollup")
+    token_rollup.commit(spark, store, 1, token_rollup.upserts(odd, "v1"))
+    token_rollup.commit(spark, store, 2, token_rollup.deletes(odd.filter("doc_id = 7")))
+    assert {r["doc_id"] for r in spark.read.parquet(f"{store}/ledger/batch=2").collect()} <= {7}
