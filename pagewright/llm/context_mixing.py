@@ -401,13 +401,15 @@ def _text_scores(chunked: DataFrame) -> DataFrame:
     """row and its score, for the rows of ``chunked`` (row, held_out, text, chunk)."""
     pieces, grams = _gram_table(chunked)
     counted = _kept(with_counts(_kept(grams, "lm-grams")), "lm-counts")
-    shared = counted.sparkSession.sparkContext.broadcast(_learned(counted))
+    learned = _learned(counted)
+    shared = counted.sparkSession.sparkContext.broadcast((learned.weights, learned.seen))  # plain arrays: executors need no copy of the package
 
     def priced(batches):
+        mixer = Mixer(*shared.value)
         for b in batches:
             grams = b["gram"].to_numpy(zero_copy_only=False).view(np.uint64)
             prefix = b["prefix"].to_numpy(zero_copy_only=False).view(np.uint64)
-            costs = bit_costs(shared.value, _numbers(b["counts"].to_pylist()), grams & np.uint64(0xFF))
+            costs = bit_costs(mixer, _numbers(b["counts"].to_pylist()), grams & np.uint64(0xFF))
             keys = gram_keys(grams, prefix).view(np.int64)
             yield pa.RecordBatch.from_arrays([b["gram"], b["prefix"], pa.array(keys), _blobs(costs)], ["gram", "prefix", "key", "costs"])
 
