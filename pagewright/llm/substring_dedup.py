@@ -175,7 +175,7 @@ def repeated_passages(
     shards = max(1, -(-total // shard_words))
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards))
     held = spread.join(recurring, "phrase").select("doc_id", "digest", "phrase", shard.alias("shard"))
-    located = texts.withColumn("shard", shard).groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(
+    located = texts.filter("doc_id IS NOT NULL").withColumn("shard", shard).groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(
         lambda rows, phrases: _shard_windows(rows, phrases, window, phrase),
         "doc_id long, digest binary, body string, starts array<int>, times array<int>, h1 array<long>, h2 array<int>",
     )
