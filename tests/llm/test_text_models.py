@@ -84,15 +84,47 @@ def test_rows_without_id_stay(spark):
     assert Counter((r["doc_id"], r["text"][:1]) for r in out.collect()) == {(None, "a"): 1, (None, "b"): 1, (5, "c"): 1, (6, "d"): 1, (None, "x"): 1, (None, ""): 2}
 
 
-def test_cross_pairs_sees_groups_that_batches_cut():
+def test_near_rows_sees_groups_that_batches_cut():
     import pyarrow as pa
 
-    regs = np.arange(1, 257, dtype=np.uint16).tobytes()
-    table = pa.table({"band": [1] * 5 + [2] * 2, "low": [0] * 7, "high": [0] * 7, "block": [0] * 7, "rep": [1, 2, 3, 4, 5, 6, 7],
-                      "comp": [1, 1, 3, 4, 5, 6, 7], "n": [100] * 7, "registers": [regs] * 7})
-    for size in (1, 2, 3, 7):
-        found = [(u, v) for b in near_dedup._cross_pairs(table.to_batches(size), 0.85) for u, v in zip(b["u"].to_pylist(), b["v"].to_pylist())]
-        assert len(found) == len(set(found)) == 10 - 1 + 1 and (1, 2) not in found and (6, 7) in found
+    marks = near_dedup.narrow(np.arange(1, 257, dtype=np.uint16)).tobytes()
+    table = pa.table({"band": [1] * 5 + [2] * 2 + [3] * 2, "low": [0] * 9, "high": [0] * 9, "block": [0] * 9, "rep": list(range(1, 10)),
+                      "comp": [1, 1, 3, 4, 5, 6, 7, 8, 8], "n": [100] * 9, "marks": [marks] * 9})
+    for size in (1, 2, 3, 9):
+        found = [tuple(r.values()) for b in near_dedup._near_rows(table.to_batches(size), 0.85) for r in b.to_pylist()]
+        assert sorted(found) == [(1, 1, 1), (2, 1, 1), (3, 3, 1), (4, 4, 1), (5, 5, 1), (6, 6, 6), (7, 7, 6)]
+
+
+def test_set_links_stay_below_the_rows_of_a_block():
+    """Every pair of thirty near copies is over the threshold; one link less than components comes out, whatever the batches."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 62, 200).astype(np.uint64))
+    sets = [np.unique(np.r_[base, rng.integers(0, 1 << 62, 4).astype(np.uint64)]) for _ in range(30)]
+    sets += [np.unique(np.r_[base[:150], rng.integers(0, 1 << 62, 50).astype(np.uint64)]) for _ in range(30)]
+    table = pa.table({"cluster": [1] * 60, "low": [0] * 60, "high": [0] * 60, "rep": list(range(60)), "comp": [0, 0, *range(2, 60)],
+                      "shingles": [x.tobytes() for x in sets]})
+    for size in (1, 7, 60):
+        found = [tuple(r.values()) for b in near_dedup._set_links(table.to_batches(size), 85) for r in b.to_pylist()]
+        assert len(found) == 28 and all(u < v < 30 for u, v in found)
+
+
+def test_families_just_under_the_threshold(spark):
+    """Copies that all lie near one another, but under the threshold, stay apart, chunked or not."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for k in range(30):
+        own = list(words)
+        for at in rng.choice(200, 4, replace=False):
+            own[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(own)))
+    rows += [(100 + k, rows[7][1] + f" tail{k}") for k in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (near_dedup.BLOCK, 5):
+        out = near_dedup.near_classes(frame, 3, 0.85, block).collect()
+        assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out), key=repr) == plain_classes(rows, 3, 85)
 
 
 # --- repeated passages
