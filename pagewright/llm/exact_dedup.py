@@ -1,10 +1,13 @@
 """Exact duplicates by a tree-merge of sorted digest runs.
 
-Rows are dealt into runs by a hash of their id. Each round hands the runs of one subtree to one
-merged run, grouped by digest, and keeps the chosen identifier and the row count of each digest, so
-a run shrinks before it moves on. The way back down tells every run the winner of the whole tree.
-A digest is matched at most ``fan_in`` times per merged run, so a group that holds a third of
-all rows is never gathered: its rows meet only inside their own run.
+Rows are dealt into runs by a hash of their id; a run holds each of its digests once, with the chosen identifier and the row count. In each round
+every run exchanges with ``fan_in - 1`` partners: it hands each partner the digests whose digit of that round is the partner's, and
+merges what it gets. Merging sorts the parts by digest and identifier and keeps the first row of each stretch of equal digests. A round
+settles one digit, so after the last one all copies of a digest have met, each run holds its share of all digests and no run holds everything.
+The way back down tells every run of the round before the winner.
+
+A digest is matched at most ``fan_in`` times per merged run, so a group that holds a third of all rows is never gathered: its rows meet
+only inside their own run.
 
 A group is identified by SHA-256, byte length and a second 64-bit hash of the text together; two texts
 count as equal only if all three agree, at every level.
@@ -12,7 +15,7 @@ count as equal only if all three agree, at every level.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import unused, whole_text
@@ -32,8 +35,23 @@ def digest_runs(docs: DataFrame, runs: int, id_column: str, text_column: str) ->
     )
 
 
-def _merge(rows: DataFrame, pick, keep: Column, size: Column) -> DataFrame:
-    return rows.groupBy("run", *KEY).agg(pick(keep).alias("keep_id"), F.sum(size).alias("group_size"))
+def _exchanged(place: int, fan_in: int) -> Column:
+    """The run that a row goes to: its own, with the digit at ``place`` taken from the digest."""
+    def digit(number: Column) -> Column:
+        return F.floor(number / place) % fan_in
+
+    share = F.pmod("mark", F.lit(place * fan_in).cast("long"))
+    return (F.col("run") + (digit(share) - digit(F.col("run"))) * place).cast("int")
+
+
+def _merged(parts: DataFrame, best: Column) -> DataFrame:
+    """Sorted runs of the exchanged parts: of each stretch of equal digests the best identifier and the rows of all."""
+    stretch = Window.partitionBy("run", *KEY).orderBy(best)
+    whole = stretch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = parts.repartition("run").select(
+        "run", *KEY, "keep_id", F.sum("group_size").over(whole).alias("group_size"), F.row_number().over(stretch).alias("place")
+    )
+    return ranked.filter("place = 1").drop("place")
 
 
 def exact_groups(
@@ -47,18 +65,20 @@ def exact_groups(
     kept = true if their id is the one that stays. An empty table gives no rows, and other columns
     are not read, whatever their names.
     """
-    pick = {"largest": F.max, "smallest": F.min}[keep]
+    if fan_in < 2:
+        raise ValueError("fan_in must be 2 or more")
+    pick, best = {"largest": (F.max, F.desc_nulls_last("keep_id")), "smallest": (F.min, F.asc_nulls_last("keep_id"))}[keep]
     rows = durable(digest_runs(docs, runs, id_column, text_column))
-    levels = [_merge(rows, pick, F.col("doc_id"), F.lit(1))]
-    left = runs
-    while left > 1:
-        left = -(-left // fan_in)
-        up = levels[-1].withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-        levels.append(_merge(up, pick, F.col("keep_id"), F.col("group_size")))
-    settled = levels.pop()
+    settled = rows.groupBy("run", *KEY).agg(pick("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    levels, place = [], 1
+    while place < runs:
+        up = _exchanged(place, fan_in)
+        levels.append((settled.select("run", *KEY), up))
+        settled = _merged(settled.withColumn("run", up), best)
+        place *= fan_in
     while levels:
-        lower = levels.pop().select("run", *KEY).withColumn("up", F.floor(F.col("run") / fan_in).cast("int"))
-        settled = lower.join(settled.withColumnRenamed("run", "up"), ["up", *KEY]).drop("up")
+        lower, up = levels.pop()
+        settled = lower.withColumn("up", up).join(settled.withColumnRenamed("run", "up"), ["up", *KEY]).drop("up")
     return rows.join(settled, ["run", *KEY]).select(
         "doc_id",
         "keep_id",
