@@ -54,14 +54,14 @@ def mix_plan(
     target, rounded down; the document at the cut gives its first words. ``times`` counts whole documents
     instead: the epochs, and one more for every document that starts before the cut; an empty document is
     never taken. The order is by md5 of the id, then id and size, so reruns agree and repeated rows
-    are each counted. A null id has a key of its own, an empty table gives no rows.
+    are each counted. A row without id goes by md5 of its text, so such rows spread over the cells; an empty table gives no rows.
     """
     sized = durable(docs.select(
         F.col(id_column).alias("doc_id"),
         F.col(source_column).isNull().alias("no_source"),
         F.coalesce(F.col(source_column), F.lit("")).alias("source_key"),
         F.size(space_words(whole_text(text_column))).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")).alias("key"),
+        F.md5(F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit(" "), whole_text(text_column))).cast("binary")).alias("key"),
     ).withColumn("cell", F.substring("key", 1, CELL_DIGITS)))
     source = ["no_source", "source_key"]
     targets = durable(source_targets(sized.select(*source, "size"), weights, share, most))
