@@ -38,6 +38,36 @@ def test_quotes_and_line_ends(spark, tmp_path, content, want):
     assert [(r.row, r.front, r.back) for r in read_cards_csv(spark, str(tmp_path)).orderBy("row").collect()] == want
 
 
+def test_cards_across_blocks(spark, tmp_path):
+    """A file cut into many blocks, in the middle of quoted text as well, gives the rows of the whole file."""
+    want, out = [], []
+    for i in range(400):
+        side = [f"f{i}", "a,\r\n" * (i % 5) + 'say "hi"' * (i % 3) + "x" * (i * 7 % 90) + "\n\ny"]
+        out.append(",".join('"' + c.replace('"', '""') + '"' for c in side) + "\r\n")
+        want.append((len(out) - 1, *side))
+        if i % 9 == 4:
+            out.append(" , \n")
+    (tmp_path / "deck.csv").write_bytes("".join(out).encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_cards_csv(spark, str(tmp_path))
+        got = [(r.row, r.front, r.back) for r in rows.orderBy("row").collect()]
+        blocks = spark.read.text(str(tmp_path)).select("_metadata.file_block_start").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == want and blocks > 10
+
+
+def test_many_quotes_take_linear_time(spark, tmp_path):
+    """A file of 20,000 rows with doubled quotes took one cut of the whole file for every doubled quote."""
+    (tmp_path / "deck.csv").write_text("".join(f'"{i} ""a"" ""b""","c ""d"""\n' for i in range(20_000)))
+    start = time.perf_counter()
+    rows = read_cards_csv(spark, str(tmp_path)).filter("back = 'c \"d\"' and front = concat(row, ' \"a\" \"b\"')").count()
+    assert rows == 20_000 and time.perf_counter() - start < 20
+
+
 def test_default_layout_and_lookup(spark):
     subjects = C.default_subjects(spark)
     totals = spark.createDataFrame(list(V.SESSION_TOTALS.items()), "session int, want int")
