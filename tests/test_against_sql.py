@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from pagewright import plans
+from pagewright.plans import views
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -44,6 +45,15 @@ def test_same_rows(spark, duck, name):
     assert ours == theirs
 
 
+def test_parts_grow_with_the_rows(spark, duck, monkeypatch):
+    """What a task holds depends on the rows per part, not on the size of the table."""
+    monkeypatch.setattr(views, "ROWS_PER_TASK", 8)
+    documents = views.Views(spark, FOLDER).documents
+    assert documents.rdd.getNumPartitions() == -(-documents.count() // 8)
+    for name in ("fidelity_exploded", "page_rotation", "doc_rotation", "rotation_audit", "rotated_top"):
+        test_same_rows(spark, duck, name)
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
