@@ -11,7 +11,7 @@ from pagewright.plans.sql_views import squeeze
 from pagewright.plans.views import Views
 from pagewright.functions import text
 from pagewright.session import workspace
-from pagewright.sources import tables
+from pagewright.sources import tables, versions
 from pagewright.streaming import flows
 
 EVENTS = T.StructType([
@@ -25,24 +25,36 @@ DOCUMENTS = T.StructType([
 
 
 BATCHES = 5
+#: Rows of an arriving file at most on average.
+ROWS_PER_FILE = 32768
 
 
-def _arrivals(v: Views, table: str, schema: T.StructType, order: str):
-    """A stream over the table in ``BATCHES`` files that arrive one by one, in the order of a column."""
+def _arrivals(v: Views, table: str, schema: T.StructType, order: str, key: str):
+    """A stream over the table in ``BATCHES`` batches of files that arrive one after the other, in the order of a column.
+
+    Rows of a batch are dealt over its files by ``key``, so no task reads or writes more than a file. A batch takes as many
+    files as each part has.
+    """
     path = workspace(v.spark, f"arriving-{table}")
     rows = v.table(table).select(*schema.fieldNames())
+    files = -(-rows.count() // (BATCHES * ROWS_PER_FILE)) or 1
     place = F.ntile(BATCHES).over(Window.orderBy("day"))
     # Whole stretches of the order per file: counts per stretch are few, the rows themselves are only filtered.
     stretch = F.date_trunc("hour", order) if schema[order].dataType.typeName().startswith("timestamp") else F.floor(F.col(order) / 64)
     stretches = rows.select(stretch.alias("day")).distinct().withColumn("part", place)
     dealt = rows.withColumn("day", stretch).join(stretches, "day")
     for part in range(1, BATCHES + 1):
-        dealt.filter(F.col("part") == part).select(*schema.fieldNames()).coalesce(1).write.mode("append").parquet(path)
-    return flows.read_table_stream(v.spark, path, table, schema, files_per_trigger=1, pattern="*.parquet")
+        chosen = dealt.filter(F.col("part") == part).select(*schema.fieldNames())
+        chosen.repartition(files, key).write.mode("append").parquet(path)
+        # A file that got no row is not written; empty ones in its stead keep the batches apart.
+        written = sum(name.endswith(".parquet") for name in versions.folder_names(v.spark, path))
+        for _ in range(part * files - written):
+            v.spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    return flows.read_table_stream(v.spark, path, table, schema, files_per_trigger=files, pattern="*.parquet")
 
 
 def _usage(v: Views):
-    events = _arrivals(v, "events", EVENTS, "ts")
+    events = _arrivals(v, "events", EVENTS, "ts", "event_id")
     tok_in = F.floor(F.col("value") * 10).cast("long")
     return events.select(
         "event_id", F.col("ts").cast("timestamp").alias("t"), F.col("event_type").alias("tag"), tok_in.alias("tok_in"),
@@ -58,7 +70,7 @@ def stream_pages(v: Views):
     before = v.table("documents").filter("doc_id % 4 = 1").select("doc_id", F.lit("stored before").alias("text"))
     tables.incremental_write(before, path, ["doc_id"])
     for run in ("first", "second"):
-        stream = _arrivals(v, "documents", DOCUMENTS, "doc_id").select("doc_id", "text")
+        stream = _arrivals(v, "documents", DOCUMENTS, "doc_id", "doc_id").select("doc_id", "text")
         flows.stream_pages(stream, path, ["doc_id"], f"{checkpoint}/{run}").awaitTermination()
     stored = tables.read_store(v.spark, path, before.schema)
     return stored.select("doc_id", F.sha2("text", 256).alias("text_sha"))
@@ -66,7 +78,7 @@ def stream_pages(v: Views):
 
 def _quarantine(v: Views):
     good, bad, checkpoint = (workspace(v.spark, name) for name in ("good", "bad", "offsets"))
-    docs = _arrivals(v, "documents", DOCUMENTS, "doc_id")
+    docs = _arrivals(v, "documents", DOCUMENTS, "doc_id", "doc_id")
     dense = F.length(text.squeeze_out(F.col("text")))
     failed = docs.select("doc_id", F.when(dense < 200, F.concat(F.lit("short: "), "text")).alias("error"))
     flows.stream_quarantine(failed, "documents", "doc_id", good, bad, checkpoint).awaitTermination()

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from pagewright import plans
-from pagewright.plans import views
+from pagewright.plans import stream_queries, views
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -54,6 +54,26 @@ def test_parts_grow_with_the_rows(spark, duck, monkeypatch):
         test_same_rows(spark, duck, name)
 
 
+def test_batches_of_many_files(spark, duck, monkeypatch):
+    """A batch arrives in as many files as its rows ask for, files without a row included, and none of the next batch with it."""
+    monkeypatch.setattr(stream_queries, "ROWS_PER_FILE", 3)
+    names, schema = [], stream_queries.DOCUMENTS
+    monkeypatch.setattr(stream_queries.flows, "read_table_stream", lambda spark, path, *rest, **options: names.append((path, options)))
+    stream_queries._arrivals(views.Views(spark, FOLDER), "documents", schema, "doc_id", "doc_id")
+    (path, options), rows = names[0], spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    files = -(-rows // 15)
+    assert options["files_per_trigger"] == files and len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 5 * files
+    arrived = sorted((os.stat(f"{path}/{f}").st_mtime_ns, f) for f in os.listdir(path) if f.endswith(".parquet"))
+    batches = [[f"{path}/{f}" for _, f in arrived[i * files:(i + 1) * files]] for i in range(5)]
+    ends = [spark.read.schema(schema).parquet(*b).selectExpr("min(doc_id)", "max(doc_id)").first() for b in batches]
+    places = [end for pair in ends for end in pair if end is not None]
+    assert len(places) > 2 and places == sorted(places)
+    monkeypatch.undo()
+    monkeypatch.setattr(stream_queries, "ROWS_PER_FILE", 50)
+    for name in ("stream_quarantine", "stream_budget", "stream_usage_daily"):
+        test_same_rows(spark, duck, name)
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
