@@ -118,6 +118,25 @@ def test_normalisation(spark):
     assert row.n == "ab<br/cde" and row.s == "abcde"
 
 
+def test_character_lists_are_the_classes(spark):
+    """Trimming and normalising by character lists does what the patterns of the same classes do, for every character."""
+    chars = spark.range(1, 0xFFFF).filter("id not between 55296 and 57343").selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') as c")
+    c, noise = F.concat("c", F.lit("x y"), "c", "c"), V.MARKUP_CHARS[:-1] + V.WS + "]+"
+    ends = F.regexp_replace(c, f"[{V.WS}]+\\z", "")
+    pairs = [(text.rtrim(c), ends), (text.trim(c), F.regexp_replace(ends, f"^[{V.WS}]+", "")), (text.normalize_text(c), F.lower(F.regexp_replace(c, noise, "")))]
+    for ours, pattern in pairs:
+        assert chars.filter(~ours.eqNullSafe(pattern)).count() == 0
+    assert chars.filter(text.trim(F.col("c")) == "").count() == len(text.WS_CHARS)
+
+
+def test_front_matter_of_many_lines(spark):
+    """Every line used to be parsed again for every other line."""
+    head = "\n".join(f"k{i % 3900}: v{i} " for i in range(4000))
+    start = time.perf_counter()
+    found = spark.createDataFrame([(head,)], "h string").select(text.front_matter_map(F.col("h")).alias("m")).first().m
+    assert len(found) == 3900 and found["k7"] == "v7" and time.perf_counter() - start < 15
+
+
 def levenshtein(a, b):
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
