@@ -171,9 +171,10 @@ def _set_links(batches, percent: int):
     gives at most n - 1 links, however many pairs are near.
     """
     for table, runs in _whole_runs(batches, ["cluster", "low", "high"]):
-        ids, comps = table["rep"].to_numpy(), table["comp"].to_numpy()
+        every, comps = table["rep"].to_numpy(), table["comp"].to_numpy()
         left, right = [], []
         for a, b in runs:
+            ids = every[a:b]
             _, which, many = np.unique(comps[a:b], return_inverse=True, return_counts=True)
             if len(many) < 2:
                 continue
@@ -327,12 +328,17 @@ def near_classes(
     labelled = members.join(found.withColumnRenamed("u", "rep"), "rep", "left").select(
         "band", "rep", "m", F.coalesce("v", "rep").alias("comp")
     )
-    open_bands = labelled.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("band")
-    parts = F.ceil(F.col("m") / block).cast("long")
+    # Rows outside the largest component of a band meet every row of it; rows of the largest one do not meet one another.
+    counts = labelled.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("own"), F.first("m").alias("m"))
+    open_bands = counts.groupBy("band", "m").agg(F.max(F.struct("own", (-F.col("comp")).alias("minus"))).alias("main")).filter("main.own < m").select(
+        "band", (-F.col("main.minus")).alias("main"),
+        F.ceil((F.col("m") - F.col("main.own")) / block).alias("few"), F.ceil(F.col("main.own") / block).alias("most"),
+    )
+    inside, mixed_id = F.col("comp") == F.col("main"), F.xxhash64("rep")
     blocks = (
         labelled.join(open_bands, "band")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), parts))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .withColumn("block", F.when(inside, F.col("few") + F.pmod(mixed_id, "most")).otherwise(F.pmod(mixed_id, "few")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(inside, F.col("few")).otherwise(F.col("few") + F.col("most")) - 1)))
         .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
         .join(classes.select("rep", "n", "registers").mapInArrow(narrowed, "rep long, n long, marks binary"), "rep")
         .select("band", "low", "high", "block", "rep", "comp", "n", "marks")

@@ -110,6 +110,29 @@ def test_set_links_stay_below_the_rows_of_a_block():
         assert len(found) == 28 and all(u < v < 30 for u, v in found)
 
 
+def test_set_links_of_several_blocks_name_their_own_rows():
+    """Blocks that arrive in one table each link their own two copies, none the rows of the block before."""
+    import pyarrow as pa
+
+    sets = [np.arange(1000 * k, 1000 * k + 100, dtype=np.uint64).tobytes() for k in (1, 2, 3)]
+    table = pa.table({"cluster": [1, 1, 2, 2, 3, 3], "low": [0] * 6, "high": [0] * 6, "rep": [10, 11, 20, 21, 30, 31], "comp": [10, 11, 20, 21, 30, 31],
+                      "shingles": [x for x in sets for _ in range(2)]})
+    for size in (1, 3, 6):
+        found = [tuple(r.values()) for b in near_dedup._set_links(table.to_batches(size), 85) for r in b.to_pylist()]
+        assert sorted(found) == [(10, 11), (20, 21), (30, 31)]
+
+
+@pytest.mark.parametrize("part", [1 << 17, 7])
+def test_components_of_chains_and_stars(spark, monkeypatch, part):
+    from pagewright.llm import components
+
+    monkeypatch.setattr(components, "PART_EDGES", part)
+    chain, star, loose = [(k, k + 1) for k in range(100, 160)], [(500 + k, 500) for k in range(1, 40)], [(7, 3), (9, 7), (3, 9), (4, 4)]
+    out = components.connected_components(spark.createDataFrame(chain + star + loose, "u long, v long")).collect()
+    want = [(k, 100) for k in range(101, 161)] + [(500 + k, 500) for k in range(1, 40)] + [(7, 3), (9, 3)]
+    assert sorted((r["u"], r["v"]) for r in out) == sorted(want)
+
+
 def test_families_just_under_the_threshold(spark):
     """Copies that all lie near one another, but under the threshold, stay apart, chunked or not."""
     rng = np.random.default_rng(8)
