@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import chunks, text_bytes, whole_text, word_codes
+from pagewright.llm.common import chunks, text_bytes, whole_text
 from pagewright.operators.ordering import attach_group_facts
 from pagewright.session import durable, workspace
 
@@ -32,6 +33,8 @@ SHARE = 1 / 16
 #: Tables of frequent words and pairs are broadcast up to so many rows; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 BLOCK_BYTES = 8 << 20
+#: Bytes of text of a block whose words are Python objects at a time.
+PIECE_BYTES = 1 << 20
 GAP = b"\xff"
 #: Lower-cases A-Z; the marks between pieces become a byte that no text holds.
 FOLD = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -52,6 +55,16 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(blob), "<i4").astype(np.int64)
 
 
+def _block_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """The folded words of a block as codes into its distinct words; words become Arrow data piece by piece, so few Python objects live at a time."""
+    parts = []
+    for start, end in chunks(texts, PIECE_BYTES):
+        folded = (t.translate(FOLD).replace(GAP, b" \xff ") + b" \xff" for t in texts[start:end])
+        parts.append(pa.array([w for t in folded for w in t.split()], pa.large_binary()))
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
 def _streams(texts: DataFrame) -> DataFrame:
     def code(batches):
         block = TaskContext.get().partitionId() << 32
@@ -62,14 +75,14 @@ def _streams(texts: DataFrame) -> DataFrame:
                 own = [raw[i] for i in np.flatnonzero(langs == lang).tolist()]
                 for start, end in chunks(own, BLOCK_BYTES):
                     block += 1
-                    codes, _, distinct = word_codes([t.translate(FOLD).replace(GAP, b" \xff ") + b" \xff" for t in own[start:end]])
-                    gap = distinct.index(GAP)
+                    codes, distinct = _block_words(own[start:end])
+                    gap = pc.index(distinct, GAP).as_py()
                     codes = np.where(codes == gap, -1, codes - (codes > gap))
-                    del distinct[gap]
+                    distinct = pa.concat_arrays([distinct[:gap], distinct[gap + 1:]]).cast(pa.binary()).cast(pa.string())
                     times = np.bincount(codes[codes >= 0], minlength=len(distinct)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([block], pa.int64()), pa.array([lang], pa.string()),
-                        pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pa.array(distinct, pa.binary()).cast(pa.string())),
+                        pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct),
                         pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pa.array(times)),
                         pa.array([packed(codes)], pa.binary()),
                     ], ["block", "lang", "words", "times", "codes"])
@@ -77,22 +90,57 @@ def _streams(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(code, STREAM)
 
 
+def _gapped(block: pa.Array, lang: pa.Array, blob: bytes, local: np.ndarray, ids: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """A stream with gaps for all words but those numbered ``local`` in the block."""
+    codes = unpacked(blob)
+    place = np.full(max(codes.max(initial=-1) + 2, 1), -1)
+    place[local] = np.arange(len(local))
+    kept = place[codes]
+    kept = kept[np.r_[True, (kept[1:] >= 0) | (kept[:-1] >= 0)]] if len(kept) else kept
+    whole = pa.array([0, len(ids)], pa.int32())
+    return pa.RecordBatch.from_arrays([
+        block, lang, pa.ListArray.from_arrays(whole, pa.array(ids, pa.int64())),
+        pa.ListArray.from_arrays(whole, pa.array(times, pa.int64())), pa.array([packed(kept)], pa.binary()),
+    ], ["block", "lang", "ids", "f", "codes"])
+
+
 def _keep_frequent(rows):
     """The streams with gaps for all words that are not in ``known`` (structs of number in the block, id, f)."""
     for batch in rows:
         for k in range(batch.num_rows):
-            codes = unpacked(batch["codes"][k].as_py())
             known = batch["known"].slice(k, 1).flatten()
             local, ids, times = (known.field(j).to_numpy(zero_copy_only=False) for j in range(3))
-            place = np.full(max(codes.max(initial=-1) + 2, 1), -1)
-            place[local] = np.arange(len(local))
-            kept = place[codes]
-            kept = kept[np.r_[True, (kept[1:] >= 0) | (kept[:-1] >= 0)]] if len(kept) else kept
-            whole = pa.array([0, len(ids)], pa.int32())
-            yield pa.RecordBatch.from_arrays([
-                batch["block"].slice(k, 1), batch["lang"].slice(k, 1), pa.ListArray.from_arrays(whole, pa.array(ids, pa.int64())),
-                pa.ListArray.from_arrays(whole, pa.array(times, pa.int64())), pa.array([packed(kept)], pa.binary()),
-            ], ["block", "lang", "ids", "f", "codes"])
+            yield _gapped(batch["block"].slice(k, 1), batch["lang"].slice(k, 1), batch["codes"][k].as_py(), local, ids, times)
+
+
+def _frequent_streams(streams: DataFrame, entries: DataFrame, vocabulary: DataFrame, most: int) -> DataFrame:
+    """The streams with gaps for all words that are not in ``vocabulary``, blocks without any left out.
+
+    A vocabulary of at most ``most`` words goes to every task, which looks its blocks up; a larger one is joined to the words of the blocks.
+    """
+    if vocabulary.count() > most:
+        known = (
+            entries.select("block", "lang", "local", "word").join(vocabulary, ["lang", "word"])
+            .groupBy("block", "lang").agg(F.collect_list(F.struct("local", "id", "f")).alias("known"))
+        )
+        return streams.select("block", "lang", "codes").join(known, ["block", "lang"]).select("block", "lang", "known", "codes").mapInArrow(_keep_frequent, FREQUENT)
+    table = vocabulary.select("lang", "word", "id", "f").toArrow()
+    shared = streams.sparkSession.sparkContext.broadcast({
+        lang: [table.filter(pc.equal(table["lang"], lang))[c].combine_chunks() for c in ("word", "id", "f")] for lang in table["lang"].unique().to_pylist()
+    })
+
+    def look_up(rows):
+        for batch in rows:
+            for k in range(batch.num_rows):
+                own = shared.value.get(batch["lang"][k].as_py())
+                if own is not None:
+                    at = pc.index_in(batch["words"].slice(k, 1).flatten().cast(own[0].type), own[0])
+                    local = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+                    if len(local):
+                        ids, times = (c.take(at.drop_null()).to_numpy(zero_copy_only=False) for c in own[1:])
+                        yield _gapped(batch["block"].slice(k, 1), batch["lang"].slice(k, 1), batch["codes"][k].as_py(), local, ids, times)
+
+    return streams.select("block", "lang", "words", "codes").mapInArrow(look_up, FREQUENT)
 
 
 def _pairs(rows):
@@ -116,7 +164,7 @@ def _pairs(rows):
 
 def _grams(stream: pa.Table, frequent: pa.Table, words: int) -> pa.Table:
     """Counts of the longer phrases of one stream that start or end with an open word and hold no infrequent pair."""
-    out = [[], []]
+    phrases, sizes, counted = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     lang = stream["lang"][0].as_py() if stream.num_rows else None
     if stream.num_rows and frequent.num_rows:
         codes = unpacked(stream["codes"][0].as_py())
@@ -141,9 +189,12 @@ def _grams(stream: pa.Table, frequent: pa.Table, words: int) -> pa.Table:
                 for j in range(size):
                     number = np.unique(number * len(ids) + codes[wanted + j], return_inverse=True)[1]
                 _, first, times = np.unique(number, return_index=True, return_counts=True)
-                out[0].extend(ids[codes[wanted[first][:, None] + np.arange(size)]].tolist())
-                out[1].extend(times.tolist())
-    return pa.table({"lang": pa.array([lang] * len(out[0]), pa.string()), "gram": pa.array(out[0], pa.list_(pa.int64())), "times": pa.array(out[1], pa.int64())})
+                phrases.append(ids[codes[wanted[first][:, None] + np.arange(size)]].ravel())
+                sizes.append(np.full(len(first), size))
+                counted.append(times)
+    ends, phrases, counted = np.r_[0, np.cumsum(np.concatenate(sizes))], np.concatenate(phrases), np.concatenate(counted)
+    grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(phrases, pa.int64()))
+    return pa.table({"lang": pa.repeat(pa.scalar(lang, pa.string()), len(grams)), "gram": grams, "times": pa.array(counted, pa.int64())})
 
 
 def _scored(counts: DataFrame, words: DataFrame, state: DataFrame, least: int) -> DataFrame:
@@ -209,15 +260,8 @@ def mine_collocations(
     )
     counted = entries.groupBy("lang", "word").agg(F.sum("times").alias("f")).filter(F.col("f") >= least)
     vocabulary = durable(durable(counted).withColumn("id", F.monotonically_increasing_id()))
-    known = (
-        entries.select("block", "lang", "local", "word").join(small_side(vocabulary), ["lang", "word"])
-        .groupBy("block", "lang").agg(F.collect_list(F.struct("local", "id", "f")).alias("known"))
-    )
     path = workspace(spark, "frequent")
-    (
-        streams.select("block", "lang", "codes").join(known, ["block", "lang"]).select("block", "lang", "known", "codes")
-        .mapInArrow(_keep_frequent, FREQUENT).write.option("compression", "uncompressed").parquet(path)
-    )
+    _frequent_streams(streams, entries, vocabulary, BROADCAST_ROWS).write.option("compression", "uncompressed").parquet(path)
     frequent = spark.read.schema(FREQUENT).parquet(path)
 
     # Occurrences of the words up to each count, to open a share of a language: one row for each language and count.

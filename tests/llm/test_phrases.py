@@ -248,3 +248,41 @@ def test_scores_of_large_counts(spark):
 
 def test_collocations_of_an_empty_table(nothing):
     assert collocations.mine_collocations(nothing).count() == 0
+
+
+def test_looked_up_words_equal_joined_words(spark):
+    """Streams keep the same words whether the vocabulary goes to every task or is joined; blocks without any word are left out by both."""
+    from pyspark.sql import functions as F
+
+    rows = [("en", "alpha beta, gamma alpha\nrare0 été beta"), ("fr", "beta beta été"), ("xx", "nothing known"), ("en", ""), (None, "alpha")]
+    texts = spark.createDataFrame(rows, "lang string, text string").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").coalesce(1)
+    streams = collocations._streams(texts)
+    entries = streams.select("block", "lang", F.posexplode("words").alias("local", "word"))
+    vocabulary = spark.createDataFrame(
+        [("en", "alpha", 0, 120), ("en", "été", 1, 300), ("fr", "beta", 2, 100), ("en", "beta", 3, 101)], "lang string, word string, id long, f long"
+    )
+
+    def kept(most):
+        out = {}
+        for r in collocations._frequent_streams(streams, entries, vocabulary, most).collect():
+            ids = [*r["ids"], None]
+            out[r["block"], r["lang"]] = (sorted(zip(r["ids"], r["f"])), [ids[c] for c in collocations.unpacked(bytes(r["codes"]))])
+        return out
+
+    looked_up = kept(10)
+    assert looked_up == kept(0)
+    assert sorted(lang for _, lang in looked_up) == ["en", "fr"]
+    assert [c for lang, (_, c) in sorted((k[1], v) for k, v in looked_up.items()) if lang == "fr"] == [[2, 2, None]]
+
+
+def test_grams_of_a_stream_without_frequent_pairs():
+    import numpy as np
+    import pyarrow as pa
+
+    stream = pa.table({"lang": ["en"], "ids": [[4, 9]], "f": [[100, 200]], "most": [500], "codes": [collocations.packed(np.array([0, 1, 0, 1, -1]))]})
+    none = collocations._grams(stream, pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())}), 5)
+    some = collocations._grams(stream, pa.table({"a": [4, 9], "b": [9, 4]}), 5)
+    assert none.num_rows == 0 and none.schema == some.schema
+    assert sorted(map(str, some.to_pylist())) == sorted(
+        str({"lang": "en", "gram": g, "times": 1}) for g in ([4, 9, 4], [9, 4, 9], [4, 9, 4, 9])
+    )
