@@ -298,7 +298,8 @@ def apply_status(instructions: DataFrame, pages: DataFrame, baseline: DataFrame,
     keys = list(keys)
     parts = _record_parts(keys)
     marks = explode_marks(usable_instructions(instructions, keys), keys)
-    resolved = durable(resolve_overlaps(locate_marks(marks, pages, keys, body), keys))
+    # The mark's own text and line are not asked for below, so they are not written and shuffled on.
+    resolved = durable(resolve_overlaps(locate_marks(marks, pages, keys, body).drop("text", "line"), keys))
     failed = resolved.groupBy(*keys).agg(
         F.count_if(~F.col("status").isin("applied", "duplicate")).alias("failed_marks"),
         F.count_if(markup.mark_type(F.col("type")).isNull()).alias("unknown_types"),

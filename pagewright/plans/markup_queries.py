@@ -156,7 +156,7 @@ _APPLIED = _APPLIED.replace(
 @query("apply_marks", f"""
     select doc_id, page, sha256(new_body) as new_sha, n_marks, {strip("new_body")} = {strip("body")} as intact from ({_APPLIED})""")
 def apply_marks(v: Views):
-    out = E.apply_marks(v.marked, _resolved(v), KEYS)
+    out = E.apply_marks(v.marked, E.resolve_overlaps(_located(v).drop("text", "line", "type"), KEYS), KEYS)
     return out.select(*KEYS, F.sha2("new_body", 256).alias("new_sha"), "n_marks", "intact")
 
 
