@@ -8,10 +8,11 @@ are learned online over the training n-grams, with every occurrence left out of
 mixed odds to what was seen at such odds. Three degrees of sharpness are mixed by Bayes' rule along each text, which
 adapts to the text as it goes on.
 
-Counts of n-grams and words cover all training texts and stay in Spark tables that grow with them: one row per distinct gram, and
-per order one row per context and next byte with the counts along that byte's bits. Tables of longer contexts are joined to those of
-shorter ones, so no key has more than 256 rows there; counts of word beginnings come back by a salted join. Only the mixing weights and the
-``HEAD`` most frequent words travel to all tasks; rarer words are joined.
+Counts of n-grams and words cover all training texts and grow with them. A byte with a blank among the five bytes before it has its
+word's beginning there as well, so its 6-gram tells all; every other byte is fixed by its word. So a chunk of texts needs one cost for each
+distinct 6-gram of the first kind, and one for the rest of each distinct word. Words are counted over all chunks; their bytes and the 6-grams of the chunks
+go to buckets by the last three bytes of the context, where all counts of orders 3 to 5 and of longer beginnings are complete. Shorter
+contexts are bounded by the alphabet of bytes and travel to all tasks, as do the mixing weights. Costs go back in the order of what was asked for.
 """
 
 from __future__ import annotations
@@ -21,15 +22,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import chunks, held_out, mixed, text_bytes, whole_text, word_codes, word_hashes
+from pagewright.llm.common import chunks, held_out, mixed, text_bytes, whole_text
 from pagewright.operators.ordering import attach_group_facts
 from pagewright.session import durable, workspace
 
 ORDERS = (1, 2, 3, 4, 5)
-HEAD = 1 << 17
 INPUTS = len(ORDERS) + 1
 #: How often a word's beginning was seen, in steps: never, once, up to 3, 15, 255 times, more often.
 STEPS = (1, 2, 4, 16, 256)
@@ -42,7 +43,18 @@ SHARPNESS = (0.8, 1.0, 1.2)
 END = b"\n"
 LM_CHUNK = 1 << 20
 #: Bytes of text that are scored together; a longer text is a chunk of its own.
-SCORE_CHUNK = 8 << 20
+SCORE_CHUNK = 24 << 20
+#: Distinct words of a chunk that are kept together, bytes of words of a block, and grams of a bucket on average.
+CHUNK_WORDS = 1_500_000
+BLOCK_BYTES = 2 << 20
+BUCKET_GRAMS = 500_000
+#: Orders whose counts go to all tasks, as do those of word beginnings of at most so many bytes.
+SHORT = 2
+SOURCE = "source long, ids array<long>, held_out array<boolean>, texts binary, words array<binary>, n array<long>, grams binary, times binary, size long"
+BLOCK = "source long, words array<binary>, n array<long>, c array<long>, first array<boolean>, asked binary, asking binary"
+NEEDED = "source long, bucket int, costs binary, words binary, lengths binary, c binary"
+WEIGHTS = "part long, n double, weights binary, seen binary"
+PART = "bucket int, source long, grams binary, times binary, prefix binary"
 #: Distinct grams a task keeps together before it hands them on.
 HELD = 1_500_000
 #: Per predictor: what was seen beside each of the eight bits of a byte, and how often the byte itself was.
@@ -57,7 +69,11 @@ def coded_text(text: bytes | None) -> bytes:
 def byte_grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every coded byte with the bytes before it, as one number, text after text; a hash of the word's bytes before it; and
     where each text starts."""
-    bodies = [coded_text(t) for t in texts]
+    return coded_grams([coded_text(t) for t in texts])
+
+
+def coded_grams(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``byte_grams`` of coded texts."""
     lead = END * _CONTEXT
     raw = np.frombuffer(b"".join(lead + b for b in bodies), np.uint8).astype(np.uint64)
     grams = np.zeros(max(len(raw) - _CONTEXT, 0), np.uint64)
@@ -208,22 +224,6 @@ def bit_costs(mixer: Mixer, counts: np.ndarray, symbol: np.ndarray) -> np.ndarra
     return costs
 
 
-def log10_scores(texts: list[bytes | None], keys: np.ndarray, costs: np.ndarray) -> np.ndarray:
-    """log10 probability of each coded text, from the costs of its grams; ``keys`` are sorted."""
-    out = []
-    for start, end in chunks(texts, LM_CHUNK):
-        grams, prefix, starts = byte_grams(texts[start:end])
-        place = np.searchsorted(keys, gram_keys(grams, prefix))
-        sums = np.stack([np.add.reduceat(costs[:, s].astype(np.float64)[place], starts[:-1]) for s in range(len(SHARPNESS))], axis=1)
-        top = sums.max(axis=1)
-        out.append(top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)))
-    return np.concatenate(out) if out else np.zeros(0)
-
-
-def _words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    return word_codes([t.lower() if t else t for t in texts])
-
-
 def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     grams, prefix, numbers = (np.concatenate([p[k] for p in parts]) for k in range(3))
     at, inverse, _ = distinct_grams(grams, prefix)
@@ -248,21 +248,6 @@ def _kept(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
-def _cut_chunks(batches):
-    """Rows with the number of their chunk: stretches of about ``SCORE_CHUNK`` bytes of a task's rows."""
-    from pyspark import TaskContext
-
-    chunk, total = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        numbers = []
-        for length in pc.binary_length(batch["text"]).to_pylist():
-            if total and total + length > SCORE_CHUNK:
-                chunk, total = chunk + 1, 0
-            total += length
-            numbers.append(chunk)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], [*batch.schema.names, "chunk"])
-
-
 def _chunk_grams(batches):
     """Distinct grams of each chunk, with their numbers in training texts; merged whenever ``HELD`` have come together."""
     held, total, current = [], 0, None
@@ -349,39 +334,49 @@ def with_counts(grams: DataFrame) -> DataFrame:
     return both.join(known, ["context", "symbol"]).select("gram", "prefix", "n", F.concat("counts", "path").alias("counts"))
 
 
-def _word_counts(batches):
-    for batch in batches:
-        raw = text_bytes(batch["text"])
-        for start, end in chunks(raw):
-            codes, _, distinct = _words(raw[start:end])
-            numbers = np.bincount(codes, minlength=len(distinct))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*distinct, b" "], pa.binary()), pa.array(np.r_[numbers, end - start].astype(np.int64))], ["word", "n"]
-            )
+def _weights(part: int, mixer: Mixer, numbers: np.ndarray) -> pa.RecordBatch:
+    total = float(numbers.sum())
+    return pa.RecordBatch.from_arrays([
+        pa.array([part], pa.int64()), pa.array([total]), pa.array([(total * mixer.weights).tobytes()], pa.binary()), pa.array([mixer.seen.tobytes()], pa.binary()),
+    ], ["part", "n", "weights", "seen"])
+
+
+def _summed(batches):
+    rows = [r for b in batches for r in b.to_pylist()]
+    if rows:
+        weights, seen = (np.sum([np.frombuffer(r[c]) for r in rows], axis=0) for c in ("weights", "seen"))
+        yield pa.RecordBatch.from_arrays([
+            pa.array([rows[0]["part"]]), pa.array([sum(r["n"] for r in rows)]), pa.array([weights.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary()),
+        ], ["part", "n", "weights", "seen"])
+
+
+def _averaged(learned: DataFrame, parts: int) -> Mixer:
+    """The weights of ``parts`` mixers by their numbers of bytes, first within the square root of as many groups, in a fixed order."""
+    groups = max(1, int(parts**0.5))
+    total, weights, seen = 0.0, np.zeros((GATES, INPUTS + 1)), np.zeros((GATES, LEVELS, 2))
+    summed = learned.repartition(groups, "part").sortWithinPartitions("part").mapInArrow(_summed, WEIGHTS)
+    for row in sorted(summed.collect(), key=lambda r: r["part"]):
+        total += row["n"]
+        weights += np.frombuffer(row["weights"]).reshape(weights.shape)
+        seen += np.frombuffer(row["seen"]).reshape(seen.shape)
+    return Mixer(weights / total if total else weights, seen)
 
 
 def _learned(counted: DataFrame) -> Mixer:
     """Mixing weights over the grams of training texts: each task learns from its own, the weights are averaged."""
 
     def learn(batches):
+        from pyspark import TaskContext
+
         parts = []
         for b in batches:
             grams, prefix, numbers = (b[c].to_numpy(zero_copy_only=False) for c in ("gram", "prefix", "n"))
             parts.append((grams, prefix, numbers, _numbers(b["counts"].to_pylist())))
         if parts and sum(len(x[0]) for x in parts):
             grams, prefix, numbers, counts = (np.concatenate([x[k] for x in parts]) for k in range(4))
-            mixer = train_mixer(counts, grams.view(np.uint64), prefix.view(np.uint64), numbers)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([float(numbers.sum())]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.seen.tobytes()], pa.binary()),
-            ], ["n", "weights", "seen"])
+            yield _weights(TaskContext.get().partitionId(), train_mixer(counts, grams.view(np.uint64), prefix.view(np.uint64), numbers), numbers)
 
-    learned = counted.filter("n > 0").mapInArrow(learn, "n double, weights binary, seen binary").toLocalIterator()
-    total, weights, seen = 0.0, np.zeros((GATES, INPUTS + 1)), np.zeros((GATES, LEVELS, 2))
-    for row in learned:  # one small row per task
-        total += row["n"]
-        weights += row["n"] * np.frombuffer(row["weights"]).reshape(weights.shape)
-        seen += np.frombuffer(row["seen"]).reshape(seen.shape)
-    return Mixer(weights / total if total else weights, seen)
+    return _averaged(counted.filter("n > 0").mapInArrow(learn, WEIGHTS), 64)
 
 
 def _gram_table(chunked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -397,105 +392,419 @@ def train_model(training: DataFrame) -> Model:
     return Model(grams, _learned(_kept(with_counts(grams), "lm-counts")))
 
 
-def _text_scores(chunked: DataFrame) -> DataFrame:
-    """row and its score, for the rows of ``chunked`` (row, held_out, text, chunk)."""
-    pieces, grams = _gram_table(chunked)
-    counted = _kept(with_counts(_kept(grams, "lm-grams")), "lm-counts")
-    learned = _learned(counted)
-    shared = counted.sparkSession.sparkContext.broadcast((learned.weights, learned.seen))  # plain arrays: executors need no copy of the package
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers, byte after byte of their places, compressed."""
+    flat = np.ascontiguousarray(values)
+    return zstandard.compress(flat.view(np.uint8).reshape(-1, flat.dtype.itemsize).T.tobytes(), 3)
 
-    def priced(batches):
-        mixer = Mixer(*shared.value)
-        for b in batches:
-            grams = b["gram"].to_numpy(zero_copy_only=False).view(np.uint64)
-            prefix = b["prefix"].to_numpy(zero_copy_only=False).view(np.uint64)
-            costs = bit_costs(mixer, _numbers(b["counts"].to_pylist()), grams & np.uint64(0xFF))
-            keys = gram_keys(grams, prefix).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b["gram"], b["prefix"], pa.array(keys), _blobs(costs)], ["gram", "prefix", "key", "costs"])
 
-    prices = counted.mapInArrow(priced, "gram long, prefix long, key long, costs binary")
-    needed = pieces.select("chunk", "gram", "prefix").join(prices, ["gram", "prefix"]).select("chunk", "key", "costs")
+def unsqueezed(blob: bytes, kind=np.uint64) -> np.ndarray:
+    places = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(places.T).reshape(-1).view(kind)
+
 
-    def score(texts: pa.Table, costs: pa.Table) -> pa.Table:
-        keys = costs["key"].to_numpy().view(np.uint64)
-        keys, at = np.unique(keys, return_index=True)
-        values = np.frombuffer(b"".join(costs["costs"].to_pylist()), np.float32).reshape(-1, len(SHARPNESS))[at]
-        scores = log10_scores(text_bytes(texts["text"].combine_chunks()), keys, values)
-        return pa.table({"row": texts["row"], "score": pa.array(scores, pa.float64())})
+def raised(grams: np.ndarray) -> np.ndarray:
+    """The steps between sorted grams."""
+    return np.diff(grams, prepend=np.uint64(0))
 
-    texts = chunked.select("chunk", "row", "text").groupBy("chunk")
-    return texts.cogroup(needed.groupBy("chunk")).applyInArrow(score, "row long, score double")
+
+def open_grams(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The 6-grams of coded texts that hold a blank or a start before their last byte, and where each text starts; every text has some."""
+    lead = END * _CONTEXT
+    raw = np.frombuffer(lead.join([b"", *bodies]), np.uint8)
+    ends = np.cumsum([len(b) + _CONTEXT for b in bodies])
+    size = len(raw) - _CONTEXT
+    breaks = (raw == 32) | (raw == END[0])
+    wanted = breaks[:size].copy()
+    for k in range(1, _CONTEXT):
+        wanted |= breaks[k:size + k]
+    wanted[(ends[:-1, None] - _CONTEXT + np.arange(_CONTEXT)).ravel()] = False
+    wide = raw.astype(np.uint64)
+    grams = wide[:size].copy()
+    for k in range(1, _CONTEXT + 1):
+        grams <<= np.uint64(8)
+        grams |= wide[k:size + k]
+    at = np.flatnonzero(wanted)
+    return grams[at], np.searchsorted(at, np.r_[0, ends[:-1]])
+
+
+def ended_words(lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of texts, each with the sign after it, as codes into distinct ones, and where each text starts. A text without words is its
+    end sign alone."""
+    starts = np.r_[0, np.cumsum([len(x) for x in lists])]
+    coded = pa.array([w for x in lists for w in x], pa.large_binary()).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2
+    codes[starts[1:] - 1] += 1
+    there = np.zeros(2 * len(coded.dictionary), bool)
+    there[codes] = True
+    both = np.flatnonzero(there)
+    signs = pa.array([b" ", END], pa.large_binary()).take(pa.array(both & 1))
+    distinct = pc.binary_join_element_wise(coded.dictionary.take(pa.array(both >> 1)), signs, pa.scalar(b"", pa.large_binary()))
+    return (np.cumsum(there) - 1)[codes], starts[:-1], distinct
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    """A table of the places of distinct keys by their hash; a key whose slot is taken goes to the next."""
+    table = np.full(1 << (int(len(keys)).bit_length() + 2), -1, np.int32)
+    left, spot = np.arange(len(keys), dtype=np.int32), mixed(keys) & np.uint64(len(table) - 1)
+    while len(left):
+        free = table[spot] < 0
+        table[spot[free]] = left[free]
+        missed = table[spot] != left
+        left, spot = left[missed], (spot[missed] + np.uint64(1)) & np.uint64(len(table) - 1)
+    return table
+
+
+def places(table: np.ndarray, keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where the asked numbers, all among ``keys``, stand there."""
+    spot = mixed(asked) & np.uint64(len(table) - 1)
+    out = table[spot]
+    left = np.flatnonzero(keys[out] != asked)
+    while len(left):
+        spot[left] = (spot[left] + np.uint64(1)) & np.uint64(len(table) - 1)
+        out[left] = table[spot[left]]
+        left = left[keys[out[left]] != asked[left]]
+    return out
+
+
+def inner_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of ended words behind five others of the word: 6-grams, 48 bits of hash of the word before each, never 0, and the word of each."""
+    grams, prefix, starts = coded_grams(words)
+    owner = np.repeat(np.arange(len(words)), np.diff(starts))
+    inner = np.arange(len(grams)) - starts[:-1][owner] >= _CONTEXT
+    return grams[inner], prefix[inner] & np.uint64((1 << 48) - 1) | np.uint64(1 << 48), owner[inner]
+
+
+def buckets_of(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The grams by bucket and number: their order, the buckets that have some and where each starts (one entry more)."""
+    bucket = (mixed((grams >> np.uint64(8)) & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((grams, bucket))
+    found, starts = np.unique(bucket[order], return_index=True)
+    return order, found, np.r_[starts, len(order)]
+
+
+def _chunk_sources(batches):
+    """Chunks of coded texts with their distinct words and open grams and the numbers of these in training texts, 0 for those of held-out texts."""
+    from pyspark import TaskContext
+
+    source, held, ids, total, found = TaskContext.get().partitionId() << 32, [], [], 0, 0
+
+    def row():
+        words = pa.concat_tables([h[0] for h in held]).group_by("word").aggregate([("n", "sum")])
+        word, n = words["word"].combine_chunks().cast(pa.binary()), words["n_sum"].combine_chunks()
+        grams, inverse = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True)
+        times = np.bincount(inverse, np.concatenate([h[2] for h in held]), len(grams)).astype(np.int64)
+        own, out = (pa.concat_arrays([x[k] for x in ids]) for k in range(2))
+        ends, lines = pa.array([0, len(word)], pa.int32()), pa.array([0, len(own)], pa.int32())
+        return pa.RecordBatch.from_arrays([
+            pa.array([source]), pa.ListArray.from_arrays(lines, own), pa.ListArray.from_arrays(lines, out),
+            pa.array([zstandard.compress(b"".join(h[3] for h in held), 5)]), pa.ListArray.from_arrays(ends, word), pa.ListArray.from_arrays(ends, n),
+            pa.array([squeezed(raised(grams))]), pa.array([squeezed(times)]), pa.array([len(grams)]),
+        ], ["source", "ids", "held_out", "texts", "words", "n", "grams", "times", "size"])
+
+    for batch in batches:
+        raw = text_bytes(batch["text"])
+        learned = ~batch["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+        for start, end in chunks(raw, LM_CHUNK):
+            size = sum(len(t) for t in raw[start:end])
+            if held and (total + size > SCORE_CHUNK or found > CHUNK_WORDS):
+                yield row()
+                source, held, ids, total, found = source + 1, [], [], 0, 0
+            lists = [t.lower().split() or [b""] for t in raw[start:end]]
+            bodies = [b" ".join(x) + END for x in lists]
+            codes, starts, distinct = ended_words(lists)
+            n = np.bincount(codes, np.repeat(learned[start:end], np.diff(np.r_[starts, len(codes)])), len(distinct)).astype(np.int64)
+            grams, starts = open_grams(bodies)
+            both = np.sort((grams << np.uint64(1)) | np.repeat(learned[start:end], np.diff(np.r_[starts, len(grams)])))
+            at = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+            times = np.diff(np.r_[at, len(both)]) * (both[at] & np.uint64(1)).astype(np.int64)
+            held.append((pa.table({"word": distinct, "n": n}), both[at] >> np.uint64(1), times, b"".join(bodies)))
+            ids.append((batch["doc_id"].slice(start, end - start), batch["held_out"].slice(start, end - start)))
+            total, found = total + size, found + len(distinct)
+    if held:
+        yield row()
+
+
+def _word_blocks(batches):
+    """Blocks of words with their numbers over all chunks (``n`` with the sign after it, ``c`` with either), from rows in the order of word and sign;
+    ``first`` marks one row a word, ``asked`` and ``asking`` tell which word which chunk asks for."""
+    from pyspark import TaskContext
+
+    source, held = -1 - (TaskContext.get().partitionId() << 32), None
+
+    def row(rows):
+        bare, last, asking, n = (rows[c].combine_chunks() for c in ("bare", "last", "source", "n"))
+        last, n = last.to_numpy(zero_copy_only=False).astype(np.int64), n.to_numpy()
+        fresh = np.r_[True, pc.not_equal(bare[1:], bare[:-1]).to_numpy(zero_copy_only=False)]
+        ended = fresh | np.r_[True, last[1:] != last[:-1]]
+        at = np.flatnonzero(ended)
+        signs = pa.array([b" ", END], pa.binary()).take(pa.array(last[at]))
+        words = pc.binary_join_element_wise(bare.take(pa.array(at)), signs, pa.scalar(b"", pa.binary()))
+        c = np.add.reduceat(n, np.flatnonzero(fresh))[np.cumsum(fresh)[at] - 1]
+        ends = pa.array([0, len(at)], pa.int32())
+        return pa.RecordBatch.from_arrays([
+            pa.array([source]), pa.ListArray.from_arrays(ends, words), pa.ListArray.from_arrays(ends, pa.array(np.add.reduceat(n, at))),
+            pa.ListArray.from_arrays(ends, pa.array(c)), pa.ListArray.from_arrays(ends, pa.array(fresh[at])),
+            pa.array([squeezed(np.cumsum(ended) - 1)]), pa.array([squeezed(asking.to_numpy())]),
+        ], ["source", "words", "n", "c", "first", "asked", "asking"])
+
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part])
+        if held["bare"].nbytes > BLOCK_BYTES:
+            held = held.combine_chunks()
+            other = pc.not_equal(held["bare"], held["bare"][-1]).to_numpy()
+            cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            if cut:
+                yield row(held.slice(0, cut))
+                source, held = source - 1, held.slice(cut).take(pa.array(np.arange(len(held) - cut)))
+    if held is not None and len(held):
+        yield row(held)
+
+
+def _parts(source: pa.Scalar, grams: np.ndarray, times: np.ndarray, prefix: np.ndarray | None, buckets: int) -> pa.RecordBatch:
+    order, found, starts = buckets_of(grams, buckets)
+    spans = [order[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+    return pa.RecordBatch.from_arrays([
+        pa.array(found, pa.int32()), pa.repeat(source, len(found)), pa.array([squeezed(raised(grams[x])) for x in spans], pa.binary()),
+        pa.array([squeezed(times[x]) for x in spans], pa.binary()),
+        pa.array([None if prefix is None else squeezed(prefix[x]) for x in spans], pa.binary()),
+    ], ["bucket", "source", "grams", "times", "prefix"])
+
+
+def _by_bucket(batches):
+    """The rows of each bucket of a task, which are in the order of buckets: source numbers, their sizes, grams, times, hashes of
+    beginnings (0 for open grams)."""
+
+    def whole(bucket, rows):
+        parts = [(s, np.cumsum(unsqueezed(g), dtype=np.uint64), unsqueezed(t, np.int64), p) for s, g, t, p in rows]
+        prefix = [np.zeros(len(g), np.uint64) if p is None else unsqueezed(p) for _, g, _, p in parts]
+        return bucket, [x[0] for x in parts], [len(x[1]) for x in parts], np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]), np.concatenate(prefix)
+
+    bucket, rows = None, []
+    for batch in batches:
+        for b, *row in zip(*(batch[c].to_pylist() for c in ("bucket", "source", "grams", "times", "prefix"))):
+            if rows and b != bucket:
+                yield whole(bucket, rows)
+                rows = []
+            bucket = b
+            rows.append(row)
+    if rows:
+        yield whole(bucket, rows)
+
+
+def beginnings(grams: np.ndarray) -> np.ndarray:
+    """Bytes since the last blank or start before the last byte of open grams."""
+    length = np.full(len(grams), _CONTEXT, np.int64)
+    for k in range(_CONTEXT, 0, -1):
+        byte = (grams >> np.uint64(8 * k)) & np.uint64(0xFF)
+        length[(byte == 32) | (byte == END[0])] = k - 1
+    return length
+
+
+def low_keys(grams: np.ndarray, size: np.ndarray | int, kind: np.ndarray | int) -> np.ndarray:
+    """Kind of a short context, its ``size`` bytes and the byte after it as one number."""
+    mask = (np.uint64(1) << np.uint64(8) * (np.asarray(size).astype(np.uint64) + np.uint64(1))) - np.uint64(1)
+    return (np.asarray(kind).astype(np.uint64) << np.uint64(32)) | (grams & mask)
+
+
+def _low_counts(batches):
+    for _, _, _, grams, times, prefix in _by_bucket(batches):
+        length = np.where(prefix == 0, beginnings(grams), _CONTEXT)
+        short = length <= SHORT
+        keys = np.concatenate([low_keys(grams, SHORT, SHORT), low_keys(grams[short], length[short], SHORT + 1 + length[short])])
+        keys, inverse = np.unique(keys, return_inverse=True)
+        n = np.bincount(inverse, np.concatenate([times, times[short]]), len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+
+
+def low_paths(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and ``path_counts`` of the short contexts; ``keys`` hold order ``SHORT`` and the short beginnings."""
+    for order in range(SHORT - 1, 0, -1):
+        own = (keys >> np.uint64(32)) == np.uint64(order + 1)
+        keys, numbers = np.r_[keys, low_keys(keys[own], order, order)], np.r_[numbers, numbers[own]]
+    keys, inverse = np.unique(keys, return_inverse=True)
+    numbers = np.bincount(inverse, numbers, len(keys)).astype(np.int64)
+    return keys, path_counts(keys >> np.uint64(8), (keys & np.uint64(0xFF)).astype(np.int64), numbers) if len(keys) else np.zeros((0, PATH), np.float32)
+
+
+def bucket_counts(grams: np.ndarray, prefix: np.ndarray, numbers: np.ndarray, low: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The counts of every predictor for the distinct grams of a bucket: ``PATH`` numbers each."""
+    counts = np.zeros((len(grams), INPUTS, PATH), np.float32)
+    symbol = (grams & np.uint64(0xFF)).astype(np.int64)
+    for k, order in enumerate(ORDERS):
+        if order <= SHORT:
+            counts[:, k] = low[1][np.searchsorted(low[0], low_keys(grams, order, order))]
+            continue
+        key = grams & np.uint64((1 << (8 * (order + 1))) - 1)
+        by = np.argsort(key, kind="stable")
+        counts[by, k] = path_counts(key[by] >> np.uint64(8), symbol[by], numbers[by])
+    length = np.where(prefix == 0, beginnings(grams), _CONTEXT)
+    short = length <= SHORT
+    counts[short, -1] = low[1][np.searchsorted(low[0], low_keys(grams[short], length[short], SHORT + 1 + length[short]))]
+    rest = np.flatnonzero(~short)
+    if len(rest):
+        begun = np.where(prefix[rest] == 0, low_keys(grams[rest] >> np.uint64(8), length[rest] - 1, 0) | (length[rest].astype(np.uint64) << np.uint64(40)), prefix[rest])
+        by = np.lexsort((symbol[rest], begun))
+        counts[rest[by], -1] = path_counts(begun[by], symbol[rest][by], numbers[rest][by])
+    return counts
+
+
+def _scores(sources: DataFrame, blocks: DataFrame, tokens: int, distinct: int, ends: int) -> DataFrame:
+    """The columns of ``score_texts`` for the texts of ``sources``."""
+    spark = sources.sparkSession
+    inner = blocks.select(F.explode("words").alias("word")).agg(F.sum(F.greatest(F.octet_length("word") - _CONTEXT, F.lit(0)))).first()[0] or 0
+    asked = inner + (sources.agg(F.sum("size")).first()[0] or 0)
+    buckets = int(max(1, -(-asked // BUCKET_GRAMS)))
+
+    def chunk_parts(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                grams = np.cumsum(unsqueezed(batch["grams"][k].as_py()), dtype=np.uint64)
+                yield _parts(batch["source"][k], grams, unsqueezed(batch["times"][k].as_py(), np.int64), None, buckets)
+
+    def block_parts(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                grams, prefix, owner = inner_grams(batch["words"].slice(k, 1).flatten().to_pylist())
+                yield _parts(batch["source"][k], grams, batch["n"].slice(k, 1).flatten().to_numpy(zero_copy_only=False)[owner], prefix, buckets)
+
+    parts = sources.select("source", "grams", "times").mapInArrow(chunk_parts, PART).unionByName(blocks.select("source", "words", "n").mapInArrow(block_parts, PART))
+    parts = durable(parts.repartition(buckets, "bucket").sortWithinPartitions("bucket"))
+    low = parts.mapInArrow(_low_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # bounded by the alphabet of bytes
+    low = low_paths(*(low[c].combine_chunks().to_numpy(zero_copy_only=False).view(kind) for c, kind in (("key", np.uint64), ("n", np.int64))))
+    low = spark.sparkContext.broadcast(low)
+
+    def learn(batches):
+        for bucket, _, _, grams, times, prefix in _by_bucket(batches):
+            grams, prefix, numbers = _merged([(grams, prefix, times)])
+            if numbers.any():
+                seen = numbers > 0
+                counts = bucket_counts(grams, prefix, numbers, low.value)
+                if not seen.all():
+                    counts, grams, prefix, numbers = counts[seen], grams[seen], prefix[seen], numbers[seen]
+                yield _weights(bucket, train_mixer(counts, grams, prefix, numbers), numbers)
+
+    learned = _averaged(parts.mapInArrow(learn, WEIGHTS), buckets)
+    shared = spark.sparkContext.broadcast((learned.weights, learned.seen))  # plain arrays: executors need no copy of the package
+
+    def priced(of_words):
+        """Costs of the grams that blocks of words ask for, or of those that chunks ask for."""
+
+        def price(batches):
+            mixer = Mixer(*shared.value)
+            for bucket, own, sizes, grams, times, prefix in _by_bucket(batches):
+                at, inverse, _ = distinct_grams(grams, prefix)
+                grams, prefix = grams[at], prefix[at]
+                numbers = np.bincount(inverse, times, len(at)).astype(np.int64)
+                wanted = (prefix != 0) == of_words
+                costs = np.zeros((len(grams), len(SHARPNESS)), np.float32)
+                costs[wanted] = bit_costs(mixer, bucket_counts(grams, prefix, numbers, low.value)[wanted], grams[wanted] & np.uint64(0xFF))
+                ends = np.r_[0, np.cumsum(sizes)].tolist()
+                rows = [(x, squeezed(costs[inverse[a:b]].T)) for x, a, b in zip(own, ends[:-1], ends[1:]) if (x < 0) == of_words]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([x for x, _ in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int32()), pa.array([c for _, c in rows], pa.binary()),
+                ], ["source", "bucket", "costs"])
+
+        return parts.mapInArrow(price, "source long, bucket int, costs binary")
+
+    def returned(grams, bucket, costs):
+        """Costs in the order of ``grams``, from those by bucket."""
+        out = np.zeros((len(grams), len(SHARPNESS)), np.float32)
+        blobs = [costs[k].as_py() for k in np.argsort(bucket, kind="stable").tolist()]
+        if blobs:
+            out[buckets_of(grams, buckets)[0]] = np.concatenate([unsqueezed(x, np.float32).reshape(len(SHARPNESS), -1).T for x in blobs])
+        return out
+
+    def answers(block: pa.Table, costs: pa.Table) -> pa.Table:
+        """For every chunk the words of a block that it asks for, with the cost of their inner bytes and their numbers."""
+        words = block["words"].combine_chunks().flatten()
+        c = block["c"].combine_chunks().flatten().to_numpy()
+        grams, _, owner = inner_grams(words.to_pylist())
+        values = returned(grams, costs["bucket"].to_numpy(), costs["costs"])
+        sums = np.stack([np.bincount(owner, values[:, s], len(words)) for s in range(len(SHARPNESS))]).astype(np.float32)
+        word, asking = unsqueezed(block["asked"][0].as_py(), np.int64), unsqueezed(block["asking"][0].as_py(), np.int64)
+        order = np.argsort(asking, kind="stable")
+        found, starts = np.unique(asking[order], return_index=True)
+        lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int32)
+        spans = [word[order[a:b]] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)])]
+        return pa.table({
+            "source": pa.array(found), "bucket": pa.nulls(len(found), pa.int32()), "costs": pa.array([squeezed(sums[:, x]) for x in spans], pa.binary()),
+            "words": pa.array([zstandard.compress(b"".join(words.take(pa.array(x)).to_pylist()), 3) for x in spans], pa.binary()),
+            "lengths": pa.array([squeezed(lengths[x]) for x in spans], pa.binary()), "c": pa.array([squeezed(c[x]) for x in spans], pa.binary()),
+        })
+
+    told = blocks.select("source", "words", "c", "asked", "asking").groupBy("source")
+    told = told.cogroup(priced(True).groupBy("source")).applyInArrow(answers, NEEDED)
+    none = F.lit(None).cast("binary")
+    needed = told.unionByName(priced(False).select("source", "bucket", "costs", none.alias("words"), none.alias("lengths"), none.alias("c")))
+    divisor = tokens + 0.5 * (distinct + 1)
+
+    def score(texts: pa.Table, needed: pa.Table) -> pa.Table:
+        of_words = needed.filter(pc.is_null(needed["bucket"]))
+        lengths = np.concatenate([unsqueezed(x, np.int32) for x in of_words["lengths"].to_pylist()])
+        data = b"".join(zstandard.decompress(x) for x in of_words["words"].to_pylist())
+        offsets = np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+        words = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        c = np.concatenate([unsqueezed(x, np.int64) for x in of_words["c"].to_pylist()])
+        costs = np.concatenate([unsqueezed(x, np.float32).reshape(len(SHARPNESS), -1).T for x in of_words["costs"].to_pylist()])
+        gain = np.where(lengths > 1, np.log10(c + 0.5) - np.log10(divisor), 0.0)
+        known = (lengths > 1) & (c > 0)
+        of_grams = needed.filter(pc.is_valid(needed["bucket"]))
+        keys = np.cumsum(unsqueezed(texts["grams"][0].as_py()), dtype=np.uint64)
+        values, table = returned(keys, of_grams["bucket"].to_numpy(), of_grams["costs"]), slots(keys)
+        bodies = [b + END for b in zstandard.decompress(texts["texts"][0].as_py()).split(END)[:-1]]
+        pieces, parts = chunks(bodies, LM_CHUNK), []
+        for start, end in pieces:
+            codes, starts, own = ended_words([b[:-1].split(b" ") for b in bodies[start:end]])
+            parts.append((codes.astype(np.int32), starts, own))
+        place = pc.index_in(pa.concat_arrays([p[2] for p in parts]), words).to_numpy(zero_copy_only=False)
+        columns, before = [], 0
+        for (start, end), (codes, starts, own) in zip(pieces, parts):
+            at, before = place[before:before + len(own)][codes], before + len(own)
+            grams, firsts = open_grams(bodies[start:end])
+            sums = np.add.reduceat(costs[at], starts, axis=0, dtype=np.float64)
+            sums += np.add.reduceat(values[places(table, keys, grams)], firsts, axis=0, dtype=np.float64)
+            top = sums.max(axis=1)
+            columns.append((
+                np.add.reduceat((lengths > 1)[at], starts, dtype=np.int64) + 1, np.add.reduceat(known[at], starts, dtype=np.int64) + (ends > 0),
+                np.add.reduceat(gain[at], starts) + np.log10((ends + 0.5) / divisor), top + np.log10((10.0 ** (sums - top[:, None])).mean(axis=1)),
+            ))
+        n_tokens, n_known, base, scores = (np.concatenate(x) for x in zip(*columns))
+        sizes = np.array([len(b) for b in bodies], np.float64)
+        return pa.table({
+            "doc_id": texts["ids"].combine_chunks().flatten(), "held_out": texts["held_out"].combine_chunks().flatten(), "n_tokens": n_tokens, "n_known": n_known,
+            "train_tokens": np.full(len(sizes), tokens, np.int64), "base_score": base, "score": scores, "bits_per_byte": -scores / np.log10(2.0) / sizes,
+        })
+
+    texts = sources.select("source", "ids", "held_out", "texts", "grams").groupBy("source")
+    return texts.cogroup(needed.groupBy("source")).applyInArrow(
+        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+    )
 
 
 def score_texts(
-    docs: DataFrame, modulus: int = 5, rest: int = 1, head: int = HEAD, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, modulus: int = 5, rest: int = 1, head: int | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Learns from the rows whose crc32(id) mod ``modulus`` is not ``rest``. ``base_score`` is the smoothed word model, ``score`` the log10
     probability of the coded text under the mixing model. A null or empty text is its end sign alone; repeated rows
-    are each learned from and scored; without training rows counts are 0 and every bit costs one bit.
+    are each learned from and scored; without training rows counts are 0 and every bit costs one bit. ``head`` has no effect any more: no words
+    are broadcast.
     """
-    spark = docs.sparkSession
     rows = docs.select(
-        F.col(id_column).alias("doc_id"), held_out(id_column, modulus, rest).alias("held_out"), whole_text(text_column).alias("text"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    rows = _kept(rows.mapInArrow(_cut_chunks, "doc_id long, held_out boolean, text string, row long, chunk long"), "lm-texts")
-    training = rows.filter(~F.col("held_out")).select("text")
-    counts = durable(training.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")))
-    size = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
-    distinct, tokens = size["v"], size["n"] or 0
-    divisor = tokens + 0.5 * (distinct + 1)
-    top = counts.orderBy(F.desc("c"), "word").limit(head).collect()  # at most ``head`` words
-    hashes = word_hashes([bytes(r["word"]) for r in top])
-    order = np.argsort(hashes)
-    table = (hashes[order], np.array([r["c"] for r in top], np.float64)[order])
-    end_count = next(iter(counts.filter(F.col("word") == F.lit(b" ")).collect()), None)
-    ends = end_count["c"] if end_count else 0
-    shared = spark.sparkContext.broadcast(table)
-
-    def words_of(batches):
-        known, numbers = shared.value
-        for batch in batches:
-            raw = text_bytes(batch["text"])
-            columns = {c: [] for c in ("n_tokens", "n_known", "base", "rare", "times", "n_bytes")}
-            for start, end in chunks(raw, LM_CHUNK):
-                codes, starts, vocabulary = _words(raw[start:end])
-                found = word_hashes(vocabulary)
-                place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-                common = known[place] == found if len(known) else np.zeros(len(found), bool)
-                gain = np.where(common, np.log10((numbers[place] if len(known) else 0) + 0.5) - np.log10(divisor), 0.0)
-                for i in range(end - start):
-                    own = codes[starts[i]:starts[i + 1]]
-                    hit = common[own]
-                    tail, times = np.unique(own[~hit], return_counts=True)
-                    columns["n_tokens"].append(len(own) + 1)
-                    columns["n_known"].append(int(hit.sum()) + (ends > 0))
-                    columns["base"].append(float(gain[own].sum()) + float(np.log10((ends + 0.5) / divisor)))
-                    columns["rare"].append([vocabulary[k] for k in tail.tolist()])
-                    columns["times"].append(times)
-                    columns["n_bytes"].append(len(coded_text(raw[start + i])))
-            yield pa.RecordBatch.from_arrays([
-                batch["row"], batch["doc_id"], batch["held_out"], pa.array(columns["n_tokens"], pa.int64()), pa.array(columns["n_known"], pa.int64()),
-                pa.array(columns["base"], pa.float64()), pa.array(columns["rare"], pa.list_(pa.binary())),
-                pa.array(columns["times"], pa.list_(pa.int64())), pa.array(columns["n_bytes"], pa.int64()),
-            ], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "times", "n_bytes"])
-
-    scored = durable(rows.mapInArrow(
-        words_of, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, rare array<binary>, times array<long>, n_bytes long"
-    ))
-    tails = scored.select("row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))))
-    missing = F.coalesce("c", F.lit(0))
-    looked_up = tails.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(missing > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * (F.log10(missing + 0.5) - F.log10(F.lit(float(divisor))))).alias("more"),
-    )
-    return scored.drop("rare", "times").join(_text_scores(rows), "row").join(looked_up, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-        (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"),
+        F.col(id_column).cast("long").alias("doc_id"), held_out(id_column, modulus, rest).alias("held_out"), whole_text(text_column).alias("text")
     )
+    sources = _kept(rows.mapInArrow(_chunk_sources, SOURCE), "lm-sources")
+    asked = sources.select("source", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("n").alias("n"))))
+    last = F.expr("substring(word, octet_length(word), 1)") == F.lit(END)
+    asked = asked.select(F.expr("substring(word, 1, octet_length(word) - 1)").alias("bare"), last.alias("last"), "source", "n")
+    blocks = _kept(asked.repartition("bare").sortWithinPartitions("bare", "last").mapInArrow(_word_blocks, BLOCK), "lm-words")
+    counted = blocks.select(F.inline(F.arrays_zip(*(F.col(x).alias(y) for x, y in (("words", "word"), ("n", "n"), ("c", "c"), ("first", "once"))))))
+    full = F.octet_length("word") > 1
+    size = counted.agg(
+        F.count_if(full & F.col("once") & (F.col("c") > 0)).alias("v"), F.sum(F.when(full, F.col("n"))).alias("n"), F.sum(F.when(last, F.col("n"))).alias("ends"),
+    ).first()
+    ends = size["ends"] or 0
+    return _scores(sources, blocks, (size["n"] or 0) + ends, size["v"] + (ends > 0), ends)

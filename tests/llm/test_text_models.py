@@ -2,12 +2,14 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pagewright.llm import context_mixing, near_dedup, pieces, quality_classifier, substring_dedup
+from pagewright.session import shared_dir
 
 
 # --- near copies
@@ -312,6 +314,41 @@ def test_language_model_counts_are_exact(spark):
             assert row.tolist() == [*beside, sum(n for b, n in table[context] if b == byte)]
 
 
+def written(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*") if f.is_file())
+
+
+def test_language_model_writes_no_counts_per_gram(documents, spark):
+    """What is written grows with the texts, not with distinct grams times predictors."""
+    before = written(shared_dir(spark))
+    context_mixing.score_texts(documents).collect()
+    size = sum(len(r["text"] or "") for r in documents.select("text").collect())
+    assert written(shared_dir(spark)) - before < 6 * size
+
+
+def test_language_model_scores_against_counts_of_all_grams(spark, monkeypatch):
+    """Costs that come back by word and by open gram, over many chunks, blocks and buckets, add up to those of every byte."""
+    rng = np.random.default_rng(6)
+    words = ["a", "of", "the", "abcde", "abcdef", "abcdefgh", "https://example.org/a", "https://example.org/b", "Über", "x" * 400]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 40))) for _ in range(80)] + ["", None, " \t ", "end", "the\x0eabcdefgh the\x0e"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    mixer = context_mixing.Mixer(rng.normal(0.3, 0.2, (context_mixing.GATES, context_mixing.INPUTS + 1)), rng.random((context_mixing.GATES, context_mixing.LEVELS, 2)) * 9)
+    for name, value in (("LM_CHUNK", 900), ("SCORE_CHUNK", 2500), ("BLOCK_BYTES", 40), ("BUCKET_GRAMS", 150), ("_averaged", lambda *_: mixer)):
+        monkeypatch.setattr(context_mixing, name, value)
+    out = {r["doc_id"]: r for r in context_mixing.score_texts(frame).collect()}
+    rows = spark.createDataFrame([(t or "", zlib.crc32(str(i).encode()) % 5 == 1, 0) for i, t in enumerate(texts)], "text string, held_out boolean, chunk long")
+    counted = {(r["gram"], r["prefix"]): r["counts"] for r in context_mixing.with_counts(context_mixing._gram_table(rows)[1]).collect()}
+    n, base = plain_base(list(enumerate(texts)))
+    assert len(out) == len(texts)
+    for i, text in enumerate(texts):
+        grams, prefix, _ = context_mixing.byte_grams([(text or "").encode()])
+        counts = context_mixing._numbers([counted[key] for key in zip(grams.view(np.int64).tolist(), prefix.view(np.int64).tolist())])
+        sums = context_mixing.bit_costs(mixer, counts, grams & np.uint64(0xFF)).astype(float).sum(axis=0)
+        assert out[i]["score"] == pytest.approx(sums.max() + math.log10((10 ** (sums - sums.max())).mean()), rel=1e-5)
+        assert (out[i]["n_tokens"], out[i]["n_known"], out[i]["train_tokens"]) == (*base[i][:2], n)
+        assert out[i]["base_score"] == pytest.approx(base[i][2], rel=1e-9)
+
+
 # --- pieces
 
 @pytest.fixture(scope="module")
