@@ -32,7 +32,7 @@ TOP = 2000
 SHARE = 1 / 16
 #: Tables of frequent words and pairs are broadcast up to so many rows; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text of a block whose words are Python objects at a time.
 PIECE_BYTES = 1 << 20
 GAP = b"\xff"
@@ -65,27 +65,38 @@ def _block_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
+def _coded_blocks(batch, block: int):
+    """The blocks of a batch of texts, numbered from ``block`` on; only the texts of one block are Python objects at a time, and memory that
+    a block has left free is given back."""
+    langs = np.asarray(batch["lang"].to_pylist(), object)
+    sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
+    for lang in dict.fromkeys(langs.tolist()):
+        own = np.flatnonzero(langs == lang)
+        before = np.cumsum(sizes[own]) - sizes[own]
+        for part in np.split(own, np.flatnonzero(np.diff(before // BLOCK_BYTES)) + 1):
+            codes, distinct = _block_words(text_bytes(batch["text"].take(pa.array(part))))
+            gap = pc.index(distinct, GAP).as_py()
+            codes = np.where(codes == gap, -1, codes - (codes > gap))
+            distinct = pa.concat_arrays([distinct[:gap], distinct[gap + 1:]]).cast(pa.binary()).cast(pa.string())
+            times = np.bincount(codes[codes >= 0], minlength=len(distinct)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block], pa.int64()), pa.array([lang], pa.string()),
+                pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct),
+                pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pa.array(times)),
+                pa.array([packed(codes)], pa.binary()),
+            ], ["block", "lang", "words", "times", "codes"])
+            block += 1
+            del codes, distinct, times
+            pa.default_memory_pool().release_unused()
+
+
 def _streams(texts: DataFrame) -> DataFrame:
     def code(batches):
-        block = TaskContext.get().partitionId() << 32
+        block = 1 + (TaskContext.get().partitionId() << 32)
         for batch in batches:
-            langs = np.asarray(batch["lang"].to_pylist(), object)
-            raw = text_bytes(batch["text"])
-            for lang in dict.fromkeys(langs.tolist()):
-                own = [raw[i] for i in np.flatnonzero(langs == lang).tolist()]
-                for start, end in chunks(own, BLOCK_BYTES):
-                    block += 1
-                    codes, distinct = _block_words(own[start:end])
-                    gap = pc.index(distinct, GAP).as_py()
-                    codes = np.where(codes == gap, -1, codes - (codes > gap))
-                    distinct = pa.concat_arrays([distinct[:gap], distinct[gap + 1:]]).cast(pa.binary()).cast(pa.string())
-                    times = np.bincount(codes[codes >= 0], minlength=len(distinct)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([block], pa.int64()), pa.array([lang], pa.string()),
-                        pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct),
-                        pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pa.array(times)),
-                        pa.array([packed(codes)], pa.binary()),
-                    ], ["block", "lang", "words", "times", "codes"])
+            for row in _coded_blocks(batch, block):
+                yield row
+                block += 1
 
     return texts.mapInArrow(code, STREAM)
 

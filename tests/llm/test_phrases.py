@@ -275,6 +275,28 @@ def test_looked_up_words_equal_joined_words(spark):
     assert [c for lang, (_, c) in sorted((k[1], v) for k, v in looked_up.items()) if lang == "fr"] == [[2, 2, None]]
 
 
+def test_blocks_take_few_texts_at_a_time(monkeypatch):
+    """A large batch is not held as Python objects, and its blocks hold every text once, by language."""
+    import numpy as np
+    import pyarrow as pa
+
+    taken, plain = [], collocations.text_bytes
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(collocations, "text_bytes", lambda column: taken.append(sum(map(len, plain(column)))) or plain(column))
+    texts = [f"word{k % 7} again{k}, " * (k % 9) for k in range(400)]
+    langs = [("en", "de", "und")[k % 3] for k in range(400)]
+    rows = [b.to_pylist()[0] for b in collocations._coded_blocks(pa.record_batch({"lang": langs, "text": texts}), 5)]
+    assert [r["block"] for r in rows] == list(range(5, 5 + len(rows))) and max(taken) < 1000 + max(map(len, texts))
+    for lang in set(langs):
+        counted = Counter()
+        for r in rows:
+            if r["lang"] == lang:
+                counted.update(dict(zip(r["words"], r["times"])))
+                codes = collocations.unpacked(r["codes"])
+                assert r["times"] == np.bincount(codes[codes >= 0]).tolist()
+        assert counted == Counter(w for t, x in zip(texts, langs) if x == lang for w in t.replace(",", " ").split())
+
+
 def test_grams_of_a_stream_without_frequent_pairs():
     import numpy as np
     import pyarrow as pa
